@@ -36,33 +36,35 @@ def format_rule(share_rule: Column, channel_rule: Column) -> Column:
     return F.when(plain, "不适用").otherwise(F.concat(share, F.lit("；"), channel))
 
 
-def _fixed_decimals(value: Column, digits: int) -> Column:
+def _fixed_decimals(value: str, digits: int) -> Column:
     return F.format_string(f"%.{digits}f", exact_round(value, digits))
 
 
-def format_percentage(value: Column, missing: str = "待核实", sign: bool = False) -> Column:
+def format_percentage(value: str, missing: str = "待核实", sign: bool = False) -> Column:
+    """``value`` here and below is a column name or SQL text."""
     shown = F.concat(_fixed_decimals(value, 2), F.lit("%"))
     if sign:
-        shown = F.when(exact_round(value, 2) >= 0, F.concat(F.lit("+"), shown)).otherwise(shown)
-    return F.when(value.isNull(), missing).otherwise(shown)
+        shown = F.when(F.expr(value) >= 0, F.concat(F.lit("+"), shown)).otherwise(shown)
+    return F.when(F.expr(value).isNull(), missing).otherwise(shown)
 
 
-def format_correlation(value: Column) -> Column:
-    return F.concat(_fixed_decimals(value * 100, 1), F.lit("%"))
+def format_correlation(value: str) -> Column:
+    return F.concat(_fixed_decimals(f"({value}) * 100", 1), F.lit("%"))
 
 
-def format_beta(value: Column) -> Column:
+def format_beta(value: str) -> Column:
     return _fixed_decimals(value, 2)
 
 
-def format_cost(value: Column) -> Column:
-    return F.when(value.isNull(), "--").otherwise(F.concat(_fixed_decimals(value, 2), F.lit("%/年")))
+def format_cost(value: str) -> Column:
+    return F.when(F.expr(value).isNull(), "--").otherwise(F.concat(_fixed_decimals(value, 2), F.lit("%/年")))
 
 
-def format_turnover(value: Column) -> Column:
+def format_turnover(value: str) -> Column:
+    number = F.expr(value)
     return (
-        F.when(value.isNull(), "--")
-        .when(value >= 100000000, F.concat(_fixed_decimals(value / 100000000, 2), F.lit("亿元")))
-        .when(value >= 10000, F.concat(_fixed_decimals(value / 10000, 0), F.lit("万元")))
+        F.when(number.isNull(), "--")
+        .when(number >= 100000000, F.concat(_fixed_decimals(f"({value}) / 100000000", 2), F.lit("亿元")))
+        .when(number >= 10000, F.concat(_fixed_decimals(f"({value}) / 10000", 0), F.lit("万元")))
         .otherwise(F.concat(_fixed_decimals(value, 0), F.lit("元")))
     )

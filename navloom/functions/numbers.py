@@ -20,25 +20,29 @@ def finite_number(text: Column) -> Column:
     return F.when(is_finite(number), number)
 
 
-def exact_round(x: Column, digits: int = 0) -> Column:
+def exact_round(x: str, digits: int = 0) -> Column:
     """Round the binary value of ``x`` half to even, as IEEE decimal output does.
 
-    ``round`` works on the shortest decimal text, so 2.675 would become 2.68
-    although its binary value lies below the tie.  The product ``x * 10**digits``
-    is therefore taken with its rounding error; only an exact tie needs it.
+    ``x`` is a column name or SQL text.  ``round`` works on the shortest decimal
+    text, so 2.675 would become 2.68 although its binary value lies below the
+    tie.  The product ``x * 10**digits`` is therefore taken with its rounding
+    error, which only an exact tie needs.  Adding 0.0 drops a negative zero.
     """
-    scale = float(10**digits)
-    product = x * scale
-    high = x * _SPLIT - (x * _SPLIT - x)
-    error = (high * scale - product) + (x - high) * scale
-    tie = F.abs(product - F.floor(product) - 0.5) == 0.0
-    whole = (
-        F.when(tie & (error > 0), F.floor(product) + 1.0)
-        .when(tie & (error < 0), F.floor(product).cast("double"))
-        .otherwise(F.rint(product))
+    return F.expr(exact_round_sql(x, digits))
+
+
+def exact_round_sql(x: str, digits: int) -> str:
+    scale = f"{float(10**digits)}D"
+    product = f"(({x}) * {scale})"
+    high = f"(({x}) * {_SPLIT}D - (({x}) * {_SPLIT}D - ({x})))"
+    error = f"(({high} * {scale} - {product}) + (({x}) - {high}) * {scale})"
+    return (
+        f"CASE WHEN abs({product}) >= {_WHOLE}D THEN ({x})"
+        f" WHEN abs({product} - floor({product}) - 0.5D) <> 0D OR {error} = 0D"
+        f" THEN rint({product}) / {scale} + 0.0D"
+        f" WHEN {error} > 0D THEN (floor({product}) + 1) / {scale} + 0.0D"
+        f" ELSE floor({product}) / {scale} + 0.0D END"
     )
-    # Adding 0.0 turns a negative zero into zero.
-    return F.when(F.abs(product) < _WHOLE, whole / scale + 0.0).otherwise(x)
 
 
 def plain_digits(text: Column) -> Column:
@@ -58,14 +62,13 @@ def cny_amount(value: Column, unit: Column) -> Column:
 
 
 def scale_100m(value: Column, unit: Column) -> Column:
-    """Amount text with 亿元, 万元 or 元 to units of 10**8 CNY, four decimals."""
+    """Amount text with 亿元, 万元 or 元 to units of 10**8 CNY."""
     number = finite_number(plain_digits(value))
-    amount = (
+    return (
         F.when(unit == "亿元", number)
         .when(unit == "万元", number / 10000)
         .otherwise(number / 100000000)
     )
-    return exact_round(amount, 4)
 
 
 def annualized(total_return_pct: Column, days: Column) -> Column:

@@ -216,8 +216,7 @@ def component_weight(statement: Column, patterns: Column) -> Column:
         group_or_null(F.regexp_extract(statement, p, 2)))), lambda w: w.isNotNull())
     every = F.regexp_extract_all(statement, F.lit(r"(?U)(\d+(?:\.\d+)?)\s*%"), F.lit(1))
     largest = F.array_max(F.transform(every, lambda w: plain_digits(w).try_cast("double")))
-    return exact_round(F.coalesce(plain_digits(F.get(beside, F.lit(0))).try_cast("double"), largest,
-                                  F.lit(100.0)), 2)
+    return F.coalesce(plain_digits(F.get(beside, F.lit(0))).try_cast("double"), largest, F.lit(100.0))
 
 
 def with_weight_patterns(catalog: DataFrame) -> DataFrame:
@@ -260,6 +259,7 @@ def parse_benchmarks(docs: DataFrame, catalog: DataFrame) -> tuple[DataFrame, Da
         key, F.col("id").alias("benchmark_id"), F.col("display_name").alias("benchmark_name"),
         component_weight(F.col("statement"), F.col("patterns")).alias("weight_pct"),
         "market_scope", "market_label", "asset_class", "style_label", "structure", "excluded_target")
+    components = components.withColumn("weight_pct", exact_round("weight_pct", 2))
     statements = read.select("code", key, "fund_name", "statement")
     return statements, components
 
@@ -338,7 +338,7 @@ def parse_costs(docs: DataFrame, *, as_of) -> DataFrame:
     good = F.col("cost_issue").isNull()
     return parsed.withColumn("cost_issue", issue).select(
         "code", "announcement_id", F.when(good, "parsed").otherwise("unavailable").alias("status"),
-        F.when(good, exact_round(F.col("rate"), 2)).alias("annualized_pct"),
+        F.when(good, exact_round("rate", 2)).alias("annualized_pct"),
         F.when(good, F.col("measured")).alias("measurement_date"), "cost_issue")
 
 
@@ -383,10 +383,10 @@ def parse_report_totals(docs: DataFrame) -> DataFrame:
         .when(F.col("amount").isNull() & ~F.col("dash"), "fund_amount_missing")
         .when(invested & (F.coalesce("net_total", F.lit(0.0)) <= 0), "net_assets_missing"))
     share = F.when(invested, fund_investment_pct(F.col("amount"), F.col("net_total"))).otherwise(0.0)
-    return parts.withColumn("report_issue", issue).select(
+    return parts.withColumn("share", share).withColumn("report_issue", issue).select(
         "code", "announcement_id",
-        F.when(F.col("report_issue").isNull(), exact_round(F.col("direct"), 4)).alias("direct_us_pct"),
-        F.when(F.col("report_issue").isNull(), exact_round(share, 4)).alias("fund_investment_pct"),
+        F.when(F.col("report_issue").isNull(), exact_round("direct", 4)).alias("direct_us_pct"),
+        F.when(F.col("report_issue").isNull(), exact_round("share", 4)).alias("fund_investment_pct"),
         "report_issue")
 
 

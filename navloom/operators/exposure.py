@@ -83,10 +83,10 @@ def exposure_components(totals: DataFrame, contributed: DataFrame) -> DataFrame:
                            F.col("source_url").alias("own_url"))
     reported = F.col("reported_category").isin("commodity", "fixed_income")
     rows = contributed.join(report, "announcement_id").select(
-        "announcement_id", "rank", "fund_name", exact_round(F.col("weight_pct"), 4).alias("weight_pct"),
+        "announcement_id", "rank", "fund_name", exact_round("weight_pct", 4).alias("weight_pct"),
         F.col("resolved_category").alias("category"), F.col("resolved_pct").alias("us_equity_pct"),
-        exact_round(F.col("confirmed_contribution_pct"), 4).alias("confirmed_contribution_pct"),
-        exact_round(F.col("possible_contribution_pct"), 4).alias("possible_contribution_pct"),
+        exact_round("confirmed_contribution_pct", 4).alias("confirmed_contribution_pct"),
+        exact_round("possible_contribution_pct", 4).alias("possible_contribution_pct"),
         F.coalesce("data_date", F.when(reported, F.col("own_date"))).alias("data_date"),
         F.coalesce("source_url", F.when(reported, F.col("own_url"))).alias("source_url"))
     rest = exposure_interval(totals, contributed).where(
@@ -94,10 +94,10 @@ def exposure_components(totals: DataFrame, contributed: DataFrame) -> DataFrame:
     remainder = rest.select(
         "announcement_id", F.lit(None).cast("int").alias("rank"),
         F.lit("前十大之外未披露基金仓位").alias("fund_name"),
-        exact_round(F.col("residual_pct"), 4).alias("weight_pct"),
+        exact_round("residual_pct", 4).alias("weight_pct"),
         F.lit("unresolved_residual").alias("category"), F.lit(None).cast("double").alias("us_equity_pct"),
         F.lit(0.0).alias("confirmed_contribution_pct"),
-        exact_round(F.col("residual_pct"), 4).alias("possible_contribution_pct"),
+        exact_round("residual_pct", 4).alias("possible_contribution_pct"),
         F.lit(None).cast("date").alias("data_date"), F.col("own_url").alias("source_url"))
     return rows.unionByName(remainder)
 
@@ -115,23 +115,24 @@ def exposure_interval(totals: DataFrame, contributed: DataFrame) -> DataFrame:
         F.count_if(F.col("resolved_pct").isNull()
                    & (F.col("weight_pct") >= fixed.UNRESOLVED_WARNING_PCT)).alias("unresolved_warnings"))
     joined = totals.join(sums, "announcement_id", "left")
-
-    def total(name: str) -> Column:
-        return F.coalesce(F.col(name), F.lit(0)).cast("double")
-
-    residual = F.greatest(F.lit(0.0), F.col("fund_investment_pct") - total("disclosed"))
-    counted = F.when(residual > fixed.RESIDUAL_FLOOR_PCT, residual).otherwise(0.0)
-    confirmed = F.least(F.lit(100.0), F.col("direct_us_pct") + total("lookthrough"))
-    unresolved = total("unknown") + counted
-    return joined.select(
+    filled = joined.select(
+        "announcement_id", "report_date", "direct_us_pct", "fund_investment_pct", "unresolved_warnings",
+        *[F.coalesce(name, F.lit(0)).cast("double").alias(name) for name in ("disclosed", "lookthrough", "unknown")])
+    bounds = filled.withColumn(
+        "residual_pct", F.greatest(F.lit(0.0), F.col("fund_investment_pct") - F.col("disclosed"))
+    ).withColumns({
+        "confirmed": F.least(F.lit(100.0), F.col("direct_us_pct") + F.col("lookthrough")),
+        "unresolved": F.col("unknown") + F.when(
+            F.col("residual_pct") > fixed.RESIDUAL_FLOOR_PCT, F.col("residual_pct")).otherwise(0.0),
+    })
+    return bounds.select(
         "announcement_id", "report_date",
-        exact_round(confirmed, 2).alias("confirmed_pct"),
-        exact_round(F.least(F.lit(100.0), confirmed + unresolved), 2).alias("possible_pct"),
-        exact_round(F.col("direct_us_pct"), 2).alias("direct_us_pct"),
-        exact_round(total("lookthrough"), 2).alias("lookthrough_confirmed_pct"),
-        exact_round(unresolved, 2).alias("unresolved_pct"),
-        residual.alias("residual_pct"),
-        F.coalesce("unresolved_warnings", F.lit(0)).alias("unresolved_warnings"))
+        exact_round("confirmed", 2).alias("confirmed_pct"),
+        exact_round("least(100D, confirmed + unresolved)", 2).alias("possible_pct"),
+        exact_round("direct_us_pct", 2).alias("direct_us_pct"),
+        exact_round("lookthrough", 2).alias("lookthrough_confirmed_pct"),
+        exact_round("unresolved", 2).alias("unresolved_pct"),
+        "residual_pct", F.coalesce("unresolved_warnings", F.lit(0)).alias("unresolved_warnings"))
 
 
 def classify_exposure(confirmed: Column, possible: Column,
@@ -147,7 +148,7 @@ def classify_exposure(confirmed: Column, possible: Column,
 def exposure_warnings(interval: DataFrame, threshold: float = fixed.MIN_US_EQUITY_PCT) -> DataFrame:
     """AG-06, PRJ-02. Texts for an undisclosed remainder and an open interval."""
     residual = F.format_string("%s 前十大基金之外尚有 %.2f%% 基金仓位未披露，仅计入可能上限。",
-                               "code", exact_round(F.col("residual_pct"), 2))
+                               "code", exact_round("residual_pct", 2))
     crossing = F.format_string("%s 美股占比区间 %.2f%%-%.2f%% 跨越阈值，按确认下限进入全球补充榜。",
                                "code", "confirmed_pct", "possible_pct")
     status = classify_exposure(F.col("confirmed_pct"), F.col("possible_pct"), threshold)
@@ -160,7 +161,7 @@ def exposure_warnings(interval: DataFrame, threshold: float = fixed.MIN_US_EQUIT
 def holding_warnings(contributed: DataFrame) -> DataFrame:
     """AG-06. Texts for holdings that only count towards the upper bound."""
     text = F.format_string("%s 无法按 %s 的可用数据穿透，其 %.2f%% 仓位仅计入可能上限。", "fund_name",
-                           F.col("report_date").cast("string"), exact_round(F.col("weight_pct"), 2))
+                           F.col("report_date").cast("string"), exact_round("weight_pct", 2))
     unknown = contributed.where(F.col("resolved_pct").isNull()
                                 & (F.col("weight_pct") >= fixed.UNRESOLVED_WARNING_PCT))
     return unknown.select("announcement_id", text.alias("text"))

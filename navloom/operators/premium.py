@@ -63,12 +63,12 @@ def quote_records(validated: DataFrame) -> DataFrame:
     market = F.when(F.col("market_id") == 1, "sh").otherwise("sz")
     return validated.where("reject_reason is null").select(
         "code", F.coalesce(F.nullif("quote_name", F.lit("")), "name").alias("shown_name"),
-        exact_round(F.col("price"), 4).alias("market_price_cny"),
-        exact_round(F.col("iopv"), 4).alias("iopv_cny"),
-        exact_round(F.col("source_discount_pct"), 2).alias("source_discount_pct"),
-        exact_round(-F.col("source_discount_pct"), 2).alias("premium_pct"),
-        exact_round(F.col("change_pct"), 2).alias("change_pct"),
-        exact_round(F.col("turnover_cny"), 3).alias("turnover_cny"),
+        exact_round("price", 4).alias("market_price_cny"),
+        exact_round("iopv", 4).alias("iopv_cny"),
+        exact_round("source_discount_pct", 2).alias("source_discount_pct"),
+        exact_round("-source_discount_pct", 2).alias("premium_pct"),
+        exact_round("change_pct", 2).alias("change_pct"),
+        exact_round("turnover_cny", 3).alias("turnover_cny"),
         F.try_to_date("quote_date_raw", F.lit("yyyyMMdd")).alias("quote_date"),
         F.timestamp_seconds("updated_seconds").alias("updated_at"),
         F.format_string(fixed.QUOTE_PAGE_URL.replace("{}", "%s"), market, F.col("code")).alias("quote_source_url"))

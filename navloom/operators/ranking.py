@@ -21,7 +21,7 @@ def main_order() -> list[Column]:
 def supplement_order() -> list[Column]:
     """SRT-02. No drawdown at all comes first; the ratio counts at four decimals."""
     return [
-        exact_round(F.col("drawdown_ratio"), 4).desc_nulls_first(), F.col("three_year_return_pct").desc(),
+        exact_round("drawdown_ratio", 4).desc_nulls_first(), F.col("three_year_return_pct").desc(),
         F.col("three_year_max_drawdown_pct").desc(), F.coalesce("institution_pct", F.lit(0.0)).desc(),
         F.col("scale_100m_cny").desc(), F.col("code").asc(),
     ]

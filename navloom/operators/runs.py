@@ -22,11 +22,12 @@ def compare_runs(baseline: DataFrame, current: DataFrame, targets: DataFrame) ->
     ``reduction`` the reduction in percent.  A miss only warns.
     """
     joined = baseline_summary(baseline).join(current, "metric").join(targets, "metric")
-    reduced = reduction_pct(F.col("median"), F.col("value"))
+    joined = joined.withColumn("reduced", reduction_pct(F.col("median"), F.col("value")))
+    reduced = F.col("reduced")
     passed = F.when(F.col("kind") == "at_most", F.col("value") <= F.col("target")).otherwise(
         reduced >= F.col("target"))
     return joined.select(
-        "metric", "median", "minimum", "maximum", "value", exact_round(reduced, 4).alias("reduction_pct"),
+        "metric", "median", "minimum", "maximum", "value", exact_round("reduced", 4).alias("reduction_pct"),
         F.when(passed, "PASS").otherwise("WARN").alias("verdict"))
 
 

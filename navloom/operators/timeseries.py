@@ -71,17 +71,13 @@ def factor_issues(factors: DataFrame) -> DataFrame:
     return issues_of(factors, F.col("code"), F.col("factor_issue"), F.col("date"))
 
 
-def _unbroken(value: Column, broken_so_far: Column) -> Column:
-    """A product skips nulls, so a missing factor must void what follows it."""
-    return F.when(broken_so_far == 0, value)
-
-
 def wealth_series(nav: DataFrame, *, as_of) -> DataFrame:
     """WIN-02. Wealth from 1.0 at the first point; null after a missing factor."""
     points = daily_factor(nav, as_of=as_of)
     wealth = F.product(F.coalesce("factor", F.lit(1.0))).over(_running())
-    broken = F.count_if(F.col("factor_issue").isNotNull()).over(_running())
-    return points.select("code", "date", _unbroken(wealth, broken).alias("wealth"))
+    # A product skips nulls, so a missing factor must void what follows it.
+    broken = F.count("factor_issue").over(_running())
+    return points.select("code", "date", F.when(broken == 0, wealth).alias("wealth"))
 
 
 def _horizon_points(nav: DataFrame, as_of, horizons: dict[int, str]) -> DataFrame:
@@ -90,7 +86,10 @@ def _horizon_points(nav: DataFrame, as_of, horizons: dict[int, str]) -> DataFram
     WIN-05: the anchor is the last point on or before the code's own last date
     minus n years.  WIN-03: the peak starts at the anchor.
     """
-    points = daily_factor(nav, as_of=as_of).withColumn("last_date", F.max("date").over(_by_code()))
+    points = daily_factor(nav, as_of=as_of).withColumns({
+        "last_date": F.max("date").over(_by_code()),
+        "last_issue": F.max(F.when(F.col("factor_issue").isNotNull(), F.col("date"))).over(_by_code()),
+    })
     anchors = {
         f"anchor_{prefix}": F.max(
             F.when(F.col("date") <= years_ago(F.col("last_date"), years), F.col("date"))
@@ -101,10 +100,11 @@ def _horizon_points(nav: DataFrame, as_of, horizons: dict[int, str]) -> DataFram
     growth = {}
     for prefix in horizons.values():
         after = F.col("date") > F.col(f"anchor_{prefix}")
+        # A product skips nulls, so a missing factor voids the whole window.
+        whole = F.coalesce(F.col("last_issue") <= F.col(f"anchor_{prefix}"), F.col("last_issue").isNull())
         product = F.product(F.when(after, F.col("factor")).otherwise(1.0)).over(_running())
-        broken = F.count_if(after & F.col("factor_issue").isNotNull()).over(_running())
         growth[f"growth_{prefix}"] = F.when(
-            F.col("date") >= F.col(f"anchor_{prefix}"), _unbroken(product, broken))
+            (F.col("date") >= F.col(f"anchor_{prefix}")) & whole, product)
     points = points.withColumns(growth)
     drawdown = {
         f"drawdown_{prefix}":
@@ -138,19 +138,24 @@ def performance_record(nav: DataFrame, *, as_of,
     measures = [
         F.min("date").alias("nav_history_start_date"),
         F.max("date").alias("nav_history_end_date"),
-        F.count_if(F.col("factor_issue").isNotNull()).alias("factor_issue_count"),
+        F.count("factor_issue").alias("factor_issue_count"),
     ]
+    kept = ["code", "nav_history_start_date", "nav_history_end_date", "factor_issue_count"]
+    results = []
     for prefix in horizons.values():
-        end = F.max_by(F.struct(f"growth_{prefix}"), "date")[f"growth_{prefix}"]
         measures += [
-            exact_round((end - 1) * 100, 2).alias(f"{prefix}_return_pct"),
-            F.when(end.isNotNull(), exact_round(F.min(f"drawdown_{prefix}") * 100, 2))
-            .alias(f"{prefix}_max_drawdown_pct"),
-            F.max(f"anchor_{prefix}").alias(f"{prefix}_performance_start_date"),
-            F.when(F.max(f"anchor_{prefix}").isNotNull(), F.max("date"))
+            F.max_by(f"growth_{prefix}", "date").alias(f"growth_{prefix}"),
+            F.min(f"drawdown_{prefix}").alias(f"drawdown_{prefix}"),
+            F.max(f"anchor_{prefix}").alias(f"anchor_{prefix}"),
+        ]
+        results += [
+            exact_round(f"(growth_{prefix} - 1) * 100", 2).alias(f"{prefix}_return_pct"),
+            exact_round(f"drawdown_{prefix} * 100", 2).alias(f"{prefix}_max_drawdown_pct"),
+            F.col(f"anchor_{prefix}").alias(f"{prefix}_performance_start_date"),
+            F.expr(f"if(anchor_{prefix} is null, null, nav_history_end_date)")
             .alias(f"{prefix}_performance_end_date"),
         ]
-    return points.groupBy("code").agg(*measures)
+    return points.groupBy("code").agg(*measures).select(*kept, *results)
 
 
 def trailing_return(nav: DataFrame, *, as_of, years: int) -> DataFrame:
@@ -277,9 +282,9 @@ def gated_fit(stats: DataFrame, min_observations: int, min_span_days: int) -> Da
     good = F.col("fit_error").isNull()
     return gated.select(
         "code",
-        F.when(good, exact_round(F.col("correlation"), 4)).alias("correlation"),
-        F.when(good, exact_round(F.col("beta"), 4)).alias("beta"),
-        F.when(good, exact_round(F.col("tracking_error_pct"), 2)).alias("tracking_error_pct"),
+        F.when(good, exact_round("correlation", 4)).alias("correlation"),
+        F.when(good, exact_round("beta", 4)).alias("beta"),
+        F.when(good, exact_round("tracking_error_pct", 2)).alias("tracking_error_pct"),
         "observations", "start_date", "end_date", "fit_error")
 
 

@@ -140,13 +140,14 @@ def check_benchmark(metadata: DataFrame, *, as_of) -> DataFrame:
 def check_scores(ranking: DataFrame) -> DataFrame:
     """DQ-06. Supplement scores against their recomputation."""
     days = F.date_diff("three_year_performance_end_date", "three_year_performance_start_date")
-    expected = annualized(F.col("three_year_return_pct"), days)
     drawdown = F.col("three_year_max_drawdown_pct")
+    ranking = ranking.withColumn("expected", annualized(F.col("three_year_return_pct"), days)).withColumn(
+        "expected_ratio", return_drawdown_ratio(F.col("expected"), drawdown))
     stored, ratio = F.col("three_year_annualized_return_pct"), F.col("return_drawdown_ratio")
     supplement = F.col("ranking_list") == fixed.SUPPLEMENT_LIST
-    recomputed = exact_round(return_drawdown_ratio(expected, drawdown), 4)
+    recomputed = exact_round("expected_ratio", 4)
     rules = [
-        Rule("score_annualized", supplement & _no(F.abs(stored - exact_round(expected, 2)) <= 1e-9),
+        Rule("score_annualized", supplement & _no(F.abs(stored - exact_round("expected", 2)) <= 1e-9),
              "annualized return differs"),
         Rule("score_ratio", supplement & (drawdown != 0) & _no(F.abs(ratio - recomputed) <= 1e-9),
              "return to drawdown ratio differs"),
@@ -263,9 +264,10 @@ def check_fields(ranking: DataFrame, *, as_of) -> DataFrame:
              "cost is from the future"),
         Rule("fit_range", main & _no(fit.correlation.between(-1, 1) & is_finite(fit.beta)
                                      & (fit.tracking_error_pct >= 0)), "fit is invalid"),
-        Rule("fit_decimals", main & _no((fit.correlation == exact_round(fit.correlation, 4))
-                                        & (fit.beta == exact_round(fit.beta, 4))
-                                        & (fit.tracking_error_pct == exact_round(fit.tracking_error_pct, 2))),
+        Rule("fit_decimals", main & _no((fit.correlation == exact_round("benchmark_fit.correlation", 4))
+                                        & (fit.beta == exact_round("benchmark_fit.beta", 4))
+                                        & (fit.tracking_error_pct
+                                           == exact_round("benchmark_fit.tracking_error_pct", 2))),
              "fit has too many decimals"),
         Rule("fit_observations", main & _no(fit.observations >= fixed.MIN_OBSERVATIONS), "too few observations"),
         Rule("fit_span", main & _no((fit.end_date <= day) & (F.date_diff(

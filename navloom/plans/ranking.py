@@ -254,8 +254,8 @@ def _record_columns(params: Params) -> list[Column]:
         exposure.alias("us_equity_exposure"), F.col("quota_status"), F.col("quota_confidence"),
         F.col("direct_limit"), F.col("agency_limit"), F.col("share_class_rule"), F.col("channel_rule"),
         F.coalesce("quota_source_urls", F.array().cast("array<string>")).alias("quota_source_urls"),
-        F.when(supplement, exact_round(F.col("annualized_pct"), 2)).alias("three_year_annualized_return_pct"),
-        F.when(supplement, exact_round(F.col("drawdown_ratio"), 4)).alias("return_drawdown_ratio"),
+        F.when(supplement, exact_round("annualized_pct", 2)).alias("three_year_annualized_return_pct"),
+        F.when(supplement, exact_round("drawdown_ratio", 4)).alias("return_drawdown_ratio"),
     ]
 
 

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A skewed join is worth one more exchange when an aggregate follows it.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Call-site capture makes each column expression several times slower to build.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
 }

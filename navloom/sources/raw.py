@@ -14,7 +14,7 @@ from navloom.functions.dates import (
     as_date, market_date_from_millis, period_key, utc_date_from_millis,
 )
 from navloom.functions.numbers import (
-    cny_amount, finite_number, group_or_null, is_finite, plain_digits, scale_100m,
+    cny_amount, exact_round, finite_number, group_or_null, is_finite, plain_digits, scale_100m,
 )
 from navloom.functions.text import strip_tags
 from navloom.operators.quality import Loaded, issues_of, union_all
@@ -209,7 +209,7 @@ def extract_fund_pages(pages: DataFrame) -> Loaded:
     reason = F.when(F.col("scale_100m_cny").isNull(), "scale_missing").when(
         F.col("inception_date").isNull(), "inception_missing"
     )
-    flagged = out.withColumn("reason", reason)
+    flagged = out.withColumn("scale_100m_cny", exact_round("scale_100m_cny", 4)).withColumn("reason", reason)
     return Loaded(flagged.where("reason is null").drop("reason"),
                   issues_of(flagged, F.col("code"), F.col("reason")))
 
