@@ -40,7 +40,7 @@ def reject_reason(as_of) -> Column:
     missing = F.lit(False)
     for name in _NUMBERS:
         missing = missing | ~is_finite(F.col(name))
-    day = F.try_to_date("quote_date_raw", F.lit("yyyyMMdd"))
+    day = F.try_to_date("quote_date_raw", "yyyyMMdd")
     updated = _market_day(F.col("updated_seconds"))
     return (
         F.when(missing, "value_missing")
@@ -69,7 +69,7 @@ def quote_records(validated: DataFrame) -> DataFrame:
         exact_round("-source_discount_pct", 2).alias("premium_pct"),
         exact_round("change_pct", 2).alias("change_pct"),
         exact_round("turnover_cny", 3).alias("turnover_cny"),
-        F.try_to_date("quote_date_raw", F.lit("yyyyMMdd")).alias("quote_date"),
+        F.try_to_date("quote_date_raw", "yyyyMMdd").alias("quote_date"),
         F.timestamp_seconds("updated_seconds").alias("updated_at"),
         F.format_string(fixed.QUOTE_PAGE_URL.replace("{}", "%s"), market, F.col("code")).alias("quote_source_url"))
 

@@ -22,7 +22,7 @@ from navloom.operators.quality import Loaded, issues_of, union_all
 
 def iso_date(text: Column) -> Column:
     """First ten characters as a date; null when they are none."""
-    return F.try_to_date(F.substring(text, 1, 10), F.lit("yyyy-MM-dd"))
+    return F.try_to_date(F.substring(text, 1, 10), "yyyy-MM-dd")
 
 
 def load_funds(raw: DataFrame) -> DataFrame:
