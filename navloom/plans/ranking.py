@@ -53,8 +53,8 @@ class Params:
     min_span_days: int = fixed.MIN_SPAN_DAYS
     allow_partial_period: bool = False
     short_history_is_fatal: bool = True
-    # Write each reused stage to the checkpoint folder instead of recomputing it.
-    materialize: bool = False
+    # Stages that several results read are written to the checkpoint folder once.
+    materialize: bool = True
 
 
 def parse_documents(announcements: DataFrame, texts: DataFrame, funds: DataFrame,
@@ -131,7 +131,7 @@ def evaluate(eligible: DataFrame, tables: Tables, params: Params) -> DataFrame:
     measured = measured.withColumn("failures", elig.performance_failures(params.min_return_pct)).withColumn(
         "fit_error", F.when(F.col("correlation").isNull(),
                             F.coalesce("fit_error", F.lit("too_few_observations"))))
-    measured = elig.with_score(measured)
+    measured = stage(elig.with_score(measured), params)
 
     qualified = measured.where("size(failures) = 0")
     reports = tables.report_totals.join(qualified.select("code"), "code", "left_semi")
@@ -174,12 +174,20 @@ def run_issues(enriched: DataFrame, evaluated: DataFrame, params: Params) -> Dat
     return union_all(frames)
 
 
+def stage(df: DataFrame, params: Params) -> DataFrame:
+    """Cut the lineage of a one-row-per-fund table that is read several times."""
+    return cut_lineage(df) if params.materialize else df
+
+
 def build_ranking(tables: Tables, params: Params) -> dict[str, DataFrame]:
-    """PIPE-01. All results of a run as lazy DataFrames."""
+    """PIPE-01. All results of a run as DataFrames over the staged fund tables.
+
+    The price history is read for two staged tables only; everything after
+    them works on one row per fund.
+    """
     eligible, enriched, selection = eligible_funds(tables, params)
-    evaluated = evaluate(eligible, tables, params)
-    if params.materialize:
-        evaluated = cut_lineage(evaluated)
+    eligible = stage(eligible, params)
+    evaluated = stage(evaluate(eligible, tables, params), params)
     passed = evaluated.where("ranking_list is not null and quota_reason is null")
     main, supplement = rank.rank_main(passed, params.top), rank.rank_supplement(passed, params.top)
     ranked = main.unionByName(supplement)

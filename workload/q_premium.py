@@ -25,7 +25,7 @@ stored AS (SELECT concat(CAST(o_custkey AS VARCHAR), '-', CAST(day(o_orderdate)
     arg_min(o_totalprice / 1000, o_orderkey) AS price FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1),
 snap AS (SELECT cat.code, CASE WHEN f.code IS NOT NULL THEN 'fresh' WHEN s.code IS NOT NULL THEN 'stale' ELSE 'unavailable' END AS quote_status,
     CASE WHEN f.code IS NOT NULL THEN round(f.price, 4) ELSE s.price END AS market_price_cny,
-    CASE WHEN f.code IS NOT NULL THEN 2.04 WHEN s.code IS NOT NULL THEN 1.0 END AS premium_pct
+    CASE WHEN f.code IS NOT NULL THEN CAST(2.04 AS DOUBLE) WHEN s.code IS NOT NULL THEN CAST(1 AS DOUBLE) END AS premium_pct
   FROM cat LEFT JOIN (SELECT * FROM checked WHERE reason IS NULL) f ON f.code = cat.code LEFT JOIN stored s ON s.code = cat.code)"""
 
 
