@@ -11,13 +11,14 @@ _WHOLE = 4503599627370496.0  # 2**52: doubles from here on are whole numbers
 
 def is_finite(x: Column) -> Column:
     """True for a number that is neither null, NaN nor infinite."""
-    return x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
+    # NaN sorts above every number, so it is not below infinity either.
+    return F.coalesce(F.abs(x) < F.lit(float("inf")), F.lit(False))
 
 
 def finite_number(text: Column) -> Column:
     """Text to double; anything that is not a finite number becomes null."""
     number = text.try_cast("double")
-    return F.when(is_finite(number), number)
+    return F.when(F.abs(number) < F.lit(float("inf")), number)
 
 
 def exact_round(x: str, digits: int = 0) -> Column:
@@ -58,17 +59,13 @@ def group_or_null(extracted: Column) -> Column:
 def cny_amount(value: Column, unit: Column) -> Column:
     """Amount text with 万元 or 元 to whole CNY."""
     number = finite_number(plain_digits(value))
-    return F.rint(F.when(unit == "万元", number * 10000).otherwise(number)).cast("long")
+    return F.rint(number * F.when(unit == "万元", 10000.0).otherwise(1.0)).cast("long")
 
 
 def scale_100m(value: Column, unit: Column) -> Column:
     """Amount text with 亿元, 万元 or 元 to units of 10**8 CNY."""
     number = finite_number(plain_digits(value))
-    return (
-        F.when(unit == "亿元", number)
-        .when(unit == "万元", number / 10000)
-        .otherwise(number / 100000000)
-    )
+    return number / F.when(unit == "亿元", 1.0).when(unit == "万元", 10000.0).otherwise(100000000.0)
 
 
 def annualized(total_return_pct: Column, days: Column) -> Column:

@@ -212,8 +212,8 @@ def weight_pattern(alias: str) -> str:
 def component_weight(statement: Column, patterns: Column) -> Column:
     """TXT-06. Weight beside the longest alias, else the largest percentage, else 100."""
     beside = F.filter(F.transform(patterns, lambda p: F.coalesce(
-        group_or_null(F.regexp_extract(statement, p, 1)),
-        group_or_null(F.regexp_extract(statement, p, 2)))), lambda w: w.isNotNull())
+        group_or_null(F.call_function("regexp_extract", statement, p, F.lit(1))),
+        group_or_null(F.call_function("regexp_extract", statement, p, F.lit(2))))), lambda w: w.isNotNull())
     every = F.regexp_extract_all(statement, F.lit(r"(?U)(\d+(?:\.\d+)?)\s*%"), F.lit(1))
     largest = F.array_max(F.transform(every, lambda w: plain_digits(w).try_cast("double")))
     return F.coalesce(plain_digits(F.get(beside, F.lit(0))).try_cast("double"), largest, F.lit(100.0))

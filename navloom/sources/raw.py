@@ -192,18 +192,21 @@ def extract_fund_pages(pages: DataFrame) -> Loaded:
         return group_or_null(F.regexp_extract(source, "(?U)" + pattern, group))
 
     base = pages.withColumn("state", strip_tags(F.regexp_extract("html", fixed.PAGE_STATE, 1)))
-    out = base.select(
-        "code",
-        iso_date(part(fixed.PAGE_INCEPTION)).alias("inception_date"),
-        scale_100m(part(fixed.PAGE_SCALE, 1), part(fixed.PAGE_SCALE, 2)).alias("scale_100m_cny"),
-        iso_date(part(fixed.PAGE_SCALE, 3)).alias("scale_report_date"),
-        purchase_status(F.col("state"), part(fixed.PAGE_BUY_STATUS),
-                        part(fixed.PAGE_IS_SALE) == "true").alias("purchase_status"),
+    # The groups become columns first, so that each pattern runs once per page.
+    parts = base.select(
+        "code", "state", part(fixed.PAGE_INCEPTION).alias("inception"),
+        *[part(fixed.PAGE_SCALE, i).alias(f"scale_{i}") for i in (1, 2, 3)],
+        part(fixed.PAGE_BUY_STATUS).alias("buy_status"), part(fixed.PAGE_IS_SALE).alias("is_sale"),
+        *[part(fixed.PAGE_LIMIT, i, "state").alias(f"limit_{i}") for i in (1, 2)],
+        *[part(fixed.PAGE_LATEST_NAV, i).alias(f"nav_{i}") for i in (1, 2)])
+    out = parts.select(
+        "code", iso_date(F.col("inception")).alias("inception_date"),
+        scale_100m(F.col("scale_1"), F.col("scale_2")).alias("scale_100m_cny"),
+        iso_date(F.col("scale_3")).alias("scale_report_date"),
+        purchase_status(F.col("state"), F.col("buy_status"), F.col("is_sale") == "true").alias("purchase_status"),
         F.col("state").alias("purchase_status_text"),
-        cny_amount(part(fixed.PAGE_LIMIT, 1, "state"),
-                   part(fixed.PAGE_LIMIT, 2, "state")).alias("page_agency_limit_cny"),
-        iso_date(part(fixed.PAGE_LATEST_NAV)).alias("latest_nav_date"),
-        finite_number(part(fixed.PAGE_LATEST_NAV, 2)).alias("latest_nav_value"),
+        cny_amount(F.col("limit_1"), F.col("limit_2")).alias("page_agency_limit_cny"),
+        iso_date(F.col("nav_1")).alias("latest_nav_date"), finite_number(F.col("nav_2")).alias("latest_nav_value"),
         F.format_string(fixed.FUND_PAGE_URL.replace("{}", "%s"), "code").alias("fund_page_url"),
     )
     reason = F.when(F.col("scale_100m_cny").isNull(), "scale_missing").when(
