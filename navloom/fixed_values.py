@@ -64,6 +64,7 @@ DIRECT_CHANNEL = (
 AGENCY_CHANNEL = r"非直销销售机构|代销机构|代销渠道"
 CHANNEL_EXPLICIT = r"(?:不得超过|不超过|高于|超过|限额(?:调整)?为)\s*([\d][\d,.]*)\s*(万元|元)"
 AMOUNT = r"(?<![\d-])([\d][\d,.]*)\s*(万元|元)"
+CLOSING_AMOUNT = r"([\d][\d,.]*)\s*(万元|元)$"
 LIMIT_WORD = r"上限|超过|不得超过|不超过|限制|暂停办理|累计申购"
 CHANNEL_BEFORE, CHANNEL_AFTER, LIMIT_CONTEXT = 80, 220, 55
 GLOBAL_AMOUNTS = [

@@ -78,24 +78,23 @@ def missing_reports(codes: DataFrame, reports: DataFrame) -> DataFrame:
 # --- quota notices ---------------------------------------------------------
 
 def global_amount(text: Column) -> Column:
-    """TXT-01. First wording that hits; the first two name no unit."""
+    """TXT-01. ``(value, unit)`` texts of the first wording that hits; two name no unit."""
     options = []
     for i, pattern in enumerate(fixed.GLOBAL_AMOUNTS):
         value = _group(text, pattern)
         unit = F.lit("元") if i < 2 else _group(text, pattern, 2)
         options.append(F.when(value.isNotNull(), F.struct(value.alias("value"), unit.alias("unit"))))
-    hit = F.coalesce(*options)
-    return cny_amount(hit.value, hit.unit)
+    return F.coalesce(*options)
 
 
-def channel_amount(text: Column, channel: str) -> Column:
-    """TXT-02. Explicit amount in the clause of a channel word, else the nearest one.
+def channel_amount_text(text: Column, channel: str) -> Column:
+    """TXT-02. Text that ends in the amount of a channel, or null.
 
-    The nearest amount lies within -80/+220 characters of the word and has a
-    limit word within 55 characters; the first of equally near ones wins.
+    An explicit amount in the clause of a channel word comes first, else the
+    nearest one: within -80/+220 characters of the word and with a limit word
+    within 55 characters; the first of equally near ones wins.
     """
-    explicit = rf"(?:{channel})[^。；]*?{fixed.CHANNEL_EXPLICIT}"
-    stated = cny_amount(_group(text, explicit), _group(text, explicit, 2))
+    stated = _group(text, rf"(?:{channel})[^。；]*?{fixed.CHANNEL_EXPLICIT}", 0)
     words = match_spans(text, _u(channel))
 
     def near(word: Column) -> Column:
@@ -110,8 +109,12 @@ def channel_amount(text: Column, channel: str) -> Column:
     ranked = F.flatten(F.transform(words, near))
     nearest = F.array_min(F.transform(ranked, lambda c, i: F.struct(
         c.distance.alias("distance"), i.alias("turn"), c.found.alias("found"))))
-    fallback = cny_amount(_group(nearest.found, fixed.AMOUNT), _group(nearest.found, fixed.AMOUNT, 2))
-    return F.when(text.rlike(_u(channel)), F.coalesce(stated, fallback))
+    return F.when(text.rlike(_u(channel)), F.coalesce(stated, nearest.found))
+
+
+def closing_amount(text: Column) -> Column:
+    """The amount a text ends in, in CNY."""
+    return cny_amount(_group(text, fixed.CLOSING_AMOUNT), _group(text, fixed.CLOSING_AMOUNT, 2))
 
 
 def effective_date(text: Column, published: Column) -> Column:
@@ -119,9 +122,11 @@ def effective_date(text: Column, published: Column) -> Column:
     return F.coalesce(*[chinese_date(text, _u(p)) for p in fixed.EFFECTIVE_DATES], published)
 
 
-def _future_clauses(text: Column) -> Column:
-    """Sentences that open with a start date and speak of a change."""
-    spans = match_spans(text, _u(fixed.FUTURE_DATE))
+def _future_clauses(text: Column, spans: Column) -> Column:
+    """Sentences that open with a start date and speak of a change.
+
+    ``spans`` is a column of its own: an expression would run per element.
+    """
     clauses = F.transform(spans, lambda s, i: F.struct(
         (i + 1).alias("transition_seq"),
         chinese_date(s.found, _u(fixed.FUTURE_DATE)).alias("clause_date"),
@@ -136,18 +141,24 @@ def parse_notices(docs: DataFrame) -> DataFrame:
     ``docs`` also carries ``notice_seq``, the place of a notice in its fund's log.
     """
     base = docs.where("text is not null").withColumn("body", normalize_notice(F.col("text")))
-    base = base.withColumn("base_date", effective_date(F.col("body"), F.col("published_date")))
+    base = base.withColumn("base_date", effective_date(F.col("body"), F.col("published_date"))).withColumn(
+        "spans", match_spans(F.col("body"), _u(fixed.FUTURE_DATE)))
     whole = F.array(F.struct(F.lit(0).alias("transition_seq"), F.col("base_date").alias("clause_date"),
                              F.col("body").alias("segment")))
     rows = base.select("code", "announcement_id", "notice_seq", "published_date", "source_url", "base_date",
-                       F.explode(F.concat(whole, _future_clauses(F.col("body")))).alias("c"))
+                       F.explode(F.concat(whole, _future_clauses(F.col("body"), F.col("spans")))).alias("c"))
     rows = rows.select("code", "announcement_id", "notice_seq", "published_date", "source_url", "base_date",
                        "c.*").where("transition_seq = 0 or clause_date != base_date")
-    segment, squeezed = F.col("segment"), compact(F.col("segment"))
+    segment, squeezed = F.col("segment"), F.col("squeezed")
+    # Two steps, so that each pattern runs once per segment.
     found = rows.withColumns({
-        "direct_amount_cny": channel_amount(segment, fixed.DIRECT_CHANNEL),
-        "agency_amount_cny": channel_amount(segment, fixed.AGENCY_CHANNEL),
-        "global_amount_cny": global_amount(segment),
+        "squeezed": compact(segment), "hit": global_amount(segment),
+        "direct_text": channel_amount_text(segment, fixed.DIRECT_CHANNEL),
+        "agency_text": channel_amount_text(segment, fixed.AGENCY_CHANNEL),
+    }).withColumns({
+        "direct_amount_cny": closing_amount(F.col("direct_text")),
+        "agency_amount_cny": closing_amount(F.col("agency_text")),
+        "global_amount_cny": cny_amount(F.col("hit.value"), F.col("hit.unit")),
     })
     none = F.col("direct_amount_cny").isNull() & F.col("agency_amount_cny").isNull() \
         & F.col("global_amount_cny").isNull()
@@ -407,15 +418,15 @@ def parse_holdings(docs: DataFrame) -> DataFrame:
     body = repair_text(F.col("text"))
     table = group_or_null(F.regexp_extract(
         body, rf"(?Us)(?:{fixed.HOLDINGS_START})(.*?){fixed.HOLDINGS_END}", 1))
-    found = docs.withColumn("table", table).where("table is not null")
-    spans = match_spans(F.col("table"), fixed.HOLDING_ROW)
+    found = docs.withColumn("table", table).withColumn("spans", match_spans(F.col("table"), fixed.HOLDING_ROW))
+    spans = F.col("spans")
     rows = F.transform(spans, lambda s, i: F.struct(
         F.regexp_extract(s.found, r"(10|[1-9])", 1).cast("int").alias("rank"),
         i.alias("row_seq"),
         collapse(cut(F.col("table"), s.stop, F.coalesce(
             F.get(spans, i + 1).start, F.length("table")))).alias("body")))
     exploded = found.select("code", "announcement_id", F.explode(rows).alias("r")).select(
-        "code", "announcement_id", "r.*")
+        "code", "announcement_id", "r.*")  # a report without the table has null spans and no rows
     name = F.coalesce(*[_group(F.col("body"), p) for p in fixed.HOLDING_NAMES])
     percents = F.filter(
         F.transform(F.regexp_extract_all("body", F.lit(_u(fixed.HOLDING_PERCENT)), F.lit(1)),

@@ -26,6 +26,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores when the input has fewer splits than cores.
+
+    Text jobs cost far more per row than this exchange; larger inputs arrive in
+    enough splits and are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def code_of(column: str):
     return F.expr(f"lpad(cast({column} as string), 6, '0')")
 

@@ -113,7 +113,7 @@ a(id, alias) AS (VALUES ('w0', 'THEAND'), ('w0', 'OFTHE'), ('w1', 'TION'), ('w2'
 SELECT DISTINCT CAST(doc_id AS BIGINT) AS doc_id, id FROM d JOIN a ON contains(t, alias)""")
 def match_catalog(spark, sf):
     """JN-05: which catalog entries each whole document names."""
-    docs = b.table(spark, sf, "documents").select("doc_id", "text")
+    docs = b.spread(b.table(spark, sf, "documents").select("doc_id", "text"))
     return doc.match_catalog(docs, "doc_id", "text", b.word_catalog(spark)).select("doc_id", "id")
 
 

@@ -22,7 +22,7 @@ NOTICE = """case o_orderpriority
 
 
 def notices(spark, sf):
-    orders = b.table(spark, sf, "orders").withColumn("amount", F.expr("cast(floor(o_totalprice) as bigint)"))
+    orders = b.spread(b.table(spark, sf, "orders")).withColumn("amount", F.expr("cast(floor(o_totalprice) as bigint)"))
     return orders.select(
         b.code_of("o_custkey").alias("code"), F.col("o_orderkey").cast("string").alias("announcement_id"),
         F.expr("cast(o_orderdate as date)").alias("published_date"), F.lit("u").alias("source_url"),
@@ -60,7 +60,7 @@ REPORT = """concat('4.期末基金资产\\n净值\\n人民币A类 ', format_numb
 
 
 def reports(spark, sf):
-    return b.table(spark, sf, "customer").select(
+    return b.spread(b.table(spark, sf, "customer")).select(
         b.code_of("c_custkey").alias("code"), b.code_of("c_custkey").alias("announcement_id"), F.expr(REPORT).alias("text"))
 
 
@@ -95,7 +95,7 @@ UNION ALL SELECT announcement_id, 'sp-500', n + 50 FROM c WHERE s = 'BUILDING' U
 UNION ALL SELECT announcement_id, 'dax', n + 40 FROM c WHERE s = 'FURNITURE' UNION ALL SELECT announcement_id, 'msci-world', 100 FROM c WHERE s = 'HOUSEHOLD'""")
 def benchmark_roundtrip(spark, sf):
     """TXT-05, TXT-06 and JN-05 with the default catalog."""
-    docs = b.table(spark, sf, "customer").select(
+    docs = b.spread(b.table(spark, sf, "customer")).select(
         b.code_of("c_custkey").alias("code"), b.code_of("c_custkey").alias("announcement_id"),
         F.col("c_name").alias("fund_name"), F.expr(STATEMENT).alias("text"))
     _, components = doc.parse_benchmarks(docs, load_benchmarks(spark))
@@ -106,7 +106,7 @@ def benchmark_roundtrip(spark, sf):
   WHEN c_mktsegment = 'MACHINERY' THEN 'unreadable' WHEN c_mktsegment = 'HOUSEHOLD' AND c_acctbal < 5000 THEN 'conflict' ELSE 'matched' END AS product_summary_status FROM customer""")
 def compare_components(spark, sf):
     """Prospectus against summary; cheap household accounts name another index."""
-    base = b.table(spark, sf, "customer").withColumn("text", F.expr(STATEMENT)).select(
+    base = b.spread(b.table(spark, sf, "customer")).withColumn("text", F.expr(STATEMENT)).select(
         b.code_of("c_custkey").alias("code"), b.code_of("c_custkey").alias("announcement_id"), "c_acctbal", "c_mktsegment",
         F.col("c_name").alias("fund_name"), "text")
     catalog = load_benchmarks(spark)
