@@ -232,24 +232,18 @@ def set_checks(spark, sf):
     return twice.unionByName(rank.set_difference(a, c).withColumn("occurrences", F.lit(1).cast("long")))
 
 
-@query("dq07_order_check", """WITH r AS (SELECT o_orderpriority AS ranking_list, o_orderkey, o_custkey, o_totalprice,
-  row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC, o_orderkey) AS rank FROM orders),
-s AS (SELECT *, CASE WHEN o_custkey % 50 = 0 THEN o_totalprice / 2 ELSE o_totalprice END AS shown FROM r),
-n AS (SELECT *, lead(shown) OVER w AS next_shown, lead(o_orderkey) OVER w AS next_key FROM s WINDOW w AS (PARTITION BY ranking_list ORDER BY rank))
-SELECT ranking_list, CAST(rank AS BIGINT) AS rank, CAST(o_orderkey AS VARCHAR) AS code, CAST(next_key AS VARCHAR) AS next_code FROM n
-WHERE next_shown > shown OR (next_shown = shown AND next_key < o_orderkey)""")
+@query("dq07_order_check", """WITH n AS (SELECT conv_id, turn, length(text) AS size,
+  lead(length(text)) OVER (PARTITION BY conv_id ORDER BY turn) AS next_size FROM conversations)
+SELECT CAST(conv_id AS VARCHAR) AS ranking_list, CAST(turn + 1 AS BIGINT) AS rank, CAST(turn AS VARCHAR) AS code,
+  CAST(turn + 1 AS VARCHAR) AS next_code FROM n WHERE next_size > size""")
 def order_check(spark, sf):
-    """Stored ranks of whole lists against falsified prices."""
-    from pyspark.sql import Window
-
-    order = Window.partitionBy("o_orderpriority").orderBy(F.col("o_totalprice").desc(), "o_orderkey")
-    stored = b.table(spark, sf, "orders").select(
-        F.col("o_orderpriority").alias("ranking_list"), F.row_number().over(order).alias("rank"),
-        F.col("o_orderkey").alias("code"),
-        F.expr("case when o_custkey % 50 = 0 then o_totalprice / 2 else o_totalprice end").alias("shown"))
-    breaks = val.order_breaks(stored, F.struct(-F.col("shown"), F.col("code")))
-    return breaks.select("ranking_list", F.col("rank").cast("long").alias("rank"), F.col("code").cast("string").alias("code"),
-                         F.col("next_code").cast("string").alias("next_code"))
+    """Turns of a conversation as stored ranks; the sort rule is longest text first."""
+    stored = b.table(spark, sf, "conversations").select(
+        F.col("conv_id").cast("string").alias("ranking_list"), (F.col("turn") + 1).alias("rank"),
+        F.col("turn").alias("code"), F.length("text").alias("size"))
+    breaks = val.order_breaks(stored, F.struct(-F.col("size"), F.col("code")))
+    return breaks.select("ranking_list", F.col("rank").cast("long").alias("rank"),
+                         F.col("code").cast("string").alias("code"), F.col("next_code").cast("string").alias("next_code"))
 
 
 @query("win09_rank_gaps", """SELECT DISTINCT CAST(l_suppkey AS VARCHAR) AS ranking_list FROM lineitem GROUP BY l_suppkey

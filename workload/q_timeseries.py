@@ -228,20 +228,14 @@ def series_coverage(spark, sf):
     return ts.series_coverage(b.index_levels(spark, sf), as_of=b.AS_OF)
 
 
-@query("win08_check_monotonic", """WITH p AS (SELECT o_custkey, o_orderkey, CAST(o_orderdate AS DATE) AS date,
-  row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS seq FROM orders),
-n AS (SELECT *, lead(date) OVER (PARTITION BY o_custkey ORDER BY seq) AS next_date FROM p)
-SELECT lpad(CAST(o_custkey AS VARCHAR), 6, '0') AS code, CAST(seq AS BIGINT) AS seq, date, next_date
-FROM n WHERE next_date <= date""")
+@query("win08_check_monotonic", """WITH p AS (SELECT conv_id, turn, CAST(DATE '2024-01-01' + CAST(length(text) % 400 AS INTEGER) AS DATE) AS date
+  FROM conversations), n AS (SELECT *, lead(date) OVER (PARTITION BY conv_id ORDER BY turn) AS next_date FROM p)
+SELECT CAST(conv_id AS VARCHAR) AS code, CAST(turn AS BIGINT) AS seq, date, next_date FROM n WHERE next_date <= date""")
 def check_monotonic(spark, sf):
-    from pyspark.sql import Window
-
-    # The stored position of each customer's orders; a customer's order log is
-    # numbered the way a stored history would already carry it.
-    order = Window.partitionBy("o_custkey").orderBy("o_orderkey")
-    points = b.table(spark, sf, "orders").select(
-        b.code_of("o_custkey").alias("code"), F.row_number().over(order).cast("long").alias("seq"),
-        F.expr("cast(o_orderdate as date)").alias("date"))
+    """Turns as stored positions; the length of a text stands for its date."""
+    points = b.table(spark, sf, "conversations").select(
+        F.col("conv_id").cast("string").alias("code"), F.col("turn").cast("long").alias("seq"),
+        F.expr("date_add(date'2024-01-01', length(text) % 400)").alias("date"))
     return ts.check_monotonic(points)
 
 
