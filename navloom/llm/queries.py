@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from navloom.llm import decontaminate, language, packing, pii, quality
+from navloom.llm import decontaminate, language, packing, pii, quality, simhash
 from navloom.llm.common import held_out, id_text, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_text(table(spark, sf_dir, "documents"))
 
 
+@query("op2_simhash_near_dedup")
+def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and group of every document."""
+    return simhash.near_duplicates(documents(spark, sf_dir)).select(
+        "doc_id", F.expr("lower(lpad(hex(fp), 16, '0'))").alias("fingerprint"), "component_id")
+
+
 OP6_SQL = r"""
 with upper_letters as (select 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' u, 'abcdefghijklmnopqrstuvwxyz' l),
 dw as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), u, l), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w
