@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from navloom.llm import decontaminate, language, packing, pii, quality, simhash
+from navloom.llm import decontaminate, embeddings, language, packing, pii, quality, simhash
 from navloom.llm.common import held_out, id_text, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_text(table(spark, sf_dir, "documents"))
 
 
+@query("op1_embedding_near_dedup")
+def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector."""
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings")).withColumn(
+        "kept", F.col("vec_id") == F.col("component_id"))
+
+
 @query("op2_simhash_near_dedup")
 def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and group of every document."""
