@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from navloom.llm import decontaminate, embeddings, language, packing, pii, quality, simhash
+from navloom.llm import decontaminate, embeddings, language, licenses, packing, pii, quality, secret_scan, simhash
 from navloom.llm.common import held_out, id_text, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +43,21 @@ def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.expr("lower(lpad(hex(fp), 16, '0'))").alias("fingerprint"), "component_id")
 
 
+@query("op4_secret_scan")
+def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, counted by kind and as spans."""
+    found = secret_scan.find_secrets(documents(spark, sf_dir))
+    counts = [F.expr(f"cast(size(filter(spans, s -> s.kind = '{k}')) as long)").alias(f"n_{k}") for k in secret_scan.KINDS]
+    return found.select("doc_id", *counts, F.sha2(secret_scan.joined(secret_scan.BASE_KINDS), 256).alias("base_sha256"),
+                        secret_scan.joined(secret_scan.KINDS).alias("spans"))
+
+
+@query("op5_license_scan", licenses.oracle_sql())
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences stated by every document."""
+    return licenses.per_document(documents(spark, sf_dir), licenses.known_licenses(spark))
+
+
 OP6_SQL = r"""
 with upper_letters as (select 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' u, 'abcdefghijklmnopqrstuvwxyz' l),
 dw as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), u, l), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w
