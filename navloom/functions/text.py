@@ -79,26 +79,44 @@ def match_spans(text: Column, pattern: str) -> Column:
     """All matches as ``array<struct<start, stop, found>>``, 0-based offsets.
 
     ``split`` gives the pieces between the matches, so the offsets are running
-    sums of lengths and no Python is needed.
+    sums of lengths and no Python is needed.  Sums run over chunks of the matches
+    and then within each chunk, because appending to one array costs its length
+    each time; a text with very many matches stays affordable.
     """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
     empty = F.array().cast("array<struct<start:int,stop:int,found:string>>")
-    return F.aggregate(
-        F.zip_with(F.slice(gaps, 1, F.size(found)), found,
-                   lambda gap, hit: F.struct(F.length(gap).alias("gap"), hit.alias("hit"))),
-        F.struct(F.lit(0).alias("at"), empty.alias("spans")),
-        lambda acc, item: F.struct(
-            (acc.at + item.gap + F.length(item.hit)).alias("at"),
-            F.array_append(
-                acc.spans,
-                F.struct((acc.at + item.gap).alias("start"),
-                         (acc.at + item.gap + F.length(item.hit)).alias("stop"),
-                         item.hit.alias("found")),
-            ).alias("spans"),
-        ),
-        lambda acc: acc.spans,
-    )
+    items = F.zip_with(F.slice(F.split(text, pattern, -1), 1, F.size(found)), found,
+                       lambda gap, hit: F.struct(F.length(gap).alias("gap"), hit.alias("hit")))
+    width = F.ceil(F.sqrt(F.size(found))).cast("int")
+
+    def spans_from(chunk: Column, at: Column) -> Column:
+        return F.aggregate(
+            chunk, F.struct(at.alias("at"), empty.alias("spans")),
+            lambda acc, item: F.struct(
+                (acc.at + item.gap + F.length(item.hit)).alias("at"),
+                F.array_append(acc.spans, F.struct(
+                    (acc.at + item.gap).alias("start"), (acc.at + item.gap + F.length(item.hit)).alias("stop"),
+                    item.hit.alias("found"))).alias("spans")),
+            lambda acc: acc.spans)
+
+    def total(chunk: Column) -> Column:
+        return F.aggregate(chunk, F.lit(0), lambda n, item: n + item.gap + F.length(item.hit))
+
+    def chunks(all_items: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.size(all_items), width), lambda i: F.slice(all_items, i, width))
+
+    def chunk_starts(parts: Column) -> Column:
+        return F.aggregate(
+            parts, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts")),
+            lambda acc, chunk: F.struct((acc.at + total(chunk)).alias("at"),
+                                        F.array_append(acc.starts, acc.at).alias("starts")),
+            lambda acc: acc.starts)
+
+    # transform over a one-element array binds a value once for all uses.
+    spans = F.element_at(F.transform(F.array(items), lambda all_items: F.element_at(F.transform(
+        F.array(chunks(all_items)),
+        lambda parts: F.flatten(F.zip_with(parts, chunk_starts(parts), spans_from))), 1)), 1)
+    return F.when(F.size(found) > 0, spans).when(text.isNotNull(), empty)
 
 
 def cut(text: Column, start: Column, stop: Column) -> Column:
