@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from navloom.llm import decontaminate, embeddings, language, licenses, packing, pii, quality, secret_scan, simhash
+from navloom.llm import decontaminate, embeddings, language, licenses, packing, pii, quality, secret_scan, simhash, suffixes
 from navloom.llm.common import held_out, id_text, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +43,14 @@ def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.expr("lower(lpad(hex(fp), 16, '0'))").alias("fingerprint"), "component_id")
 
 
+@query("op3_suffix_dedup")
+def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What remains of every document without bytes of strings that start earlier."""
+    return suffixes.remove_repeats(documents(spark, sf_dir)).select(
+        "doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op4_secret_scan")
 def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, counted by kind and as spans."""
