@@ -26,16 +26,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores when the input has fewer splits than cores.
-
-    Text jobs cost far more per row than this exchange; larger inputs arrive in
-    enough splits and are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def code_of(column: str):
     return F.expr(f"lpad(cast({column} as string), 6, '0')")
 
@@ -141,10 +131,13 @@ def transitions(spark, sf, shift: int = 0) -> DataFrame:
         "concat('https://notice.test/', cast(event_id as string)) as source_url")
 
 
-def failed_notices(spark, sf, shift: int = 0, below: float = 400.0) -> DataFrame:
-    """``below`` thins the unreadable notices of the full run by their value."""
-    return table(spark, sf, "events").where(f"event_type = 'error' and value < {below}").selectExpr(
-        "lpad(cast(user_id as string), 6, '0') as code", f"{_event_day(shift)} as published_date")
+def failed_notices(spark, sf, shift: int = 0) -> DataFrame:
+    """Every error event is an unreadable notice; five neighbouring users share the fund it belongs to.
+
+    So each event counts, and funds without an unreadable notice remain.
+    """
+    return table(spark, sf, "events").where("event_type = 'error'").selectExpr(
+        "lpad(cast(user_id - user_id % 5 as string), 6, '0') as code", f"{_event_day(shift)} as published_date")
 
 
 def instruments(spark) -> DataFrame:

@@ -10,12 +10,12 @@ from workload import bindings as b
 from workload.registry import query
 
 
-def state_cte(shift: int = 0, as_of: str = "DATE '2024-01-25'", failed_below: float = 400.0) -> str:
+def state_cte(shift: int = 0, as_of: str = "DATE '2024-01-25'") -> str:
     day = f"(CAST(ts AS DATE) - {shift})"
-    return f"""ev AS (SELECT lpad(CAST(user_id AS VARCHAR), 6, '0') AS code, event_id, event_type AS kind, value,
+    return f"""ev AS (SELECT lpad(CAST(user_id AS VARCHAR), 6, '0') AS code, user_id, event_id, event_type AS kind, value,
     CAST({day} AS DATE) AS published, CAST({day} + CASE WHEN value > 50 THEN 3 ELSE 0 END AS DATE) AS effective,
     CAST(floor(value) AS BIGINT) AS amount FROM events),
-bad AS (SELECT code, max(published) AS failed FROM ev WHERE kind = 'error' AND value < {failed_below} GROUP BY code),
+bad AS (SELECT lpad(CAST(user_id - user_id % 5 AS VARCHAR), 6, '0') AS code, max(published) AS failed FROM ev WHERE kind = 'error' GROUP BY 1),
 live AS (SELECT ev.*, failed FROM ev LEFT JOIN bad USING (code)
   WHERE kind <> 'error' AND effective <= {as_of} AND (failed IS NULL OR published > failed)),
 latest AS (SELECT *, row_number() OVER (PARTITION BY code, kind = 'view' ORDER BY effective DESC, published DESC, event_id DESC) AS rd,
@@ -57,14 +57,13 @@ CUSTOMER_PAGES = """SELECT lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS code, c_a
   CASE WHEN c_acctbal >= 0 AND c_acctbal < 3000 THEN CAST(floor(c_acctbal) AS BIGINT) END AS page_limit FROM customer"""
 
 
-def _state(spark, sf, below=40.0):
-    return quo.quota_state(b.fund_pages(spark, sf), b.transitions(spark, sf),
-                           b.failed_notices(spark, sf, below=below), as_of=b.EVENTS_AS_OF)
+def _state(spark, sf):
+    return quo.quota_state(b.fund_pages(spark, sf), b.transitions(spark, sf), b.failed_notices(spark, sf), as_of=b.EVENTS_AS_OF)
 
 
 @query("win07_quota_state", f"WITH {state_cte()}, {state_select(CUSTOMER_PAGES)} SELECT * FROM state")
 def quota_state(spark, sf):
-    return _state(spark, sf, 400.0).select(
+    return _state(spark, sf).select(
         "code", F.col("direct_limit.status").alias("direct_status"),
         F.col("direct_limit.amount_cny").alias("direct_amount"),
         F.col("direct_limit.effective_date").alias("direct_date"),
@@ -72,13 +71,13 @@ def quota_state(spark, sf):
         "quota_status", "quota_confidence", "share_class_rule", "channel_rule", "has_unparsed_notice")
 
 
-@query("win07_quota_sources", f"""WITH {state_cte(failed_below=5.0)} SELECT DISTINCT code,
+@query("win07_quota_sources", f"""WITH {state_cte()} SELECT DISTINCT code,
   concat('https://notice.test/', CAST(event_id AS VARCHAR)) AS source_url FROM live""")
 def quota_sources(spark, sf):
-    return quo.quota_sources(b.transitions(spark, sf), b.failed_notices(spark, sf, below=5.0), as_of=b.EVENTS_AS_OF)
+    return quo.quota_sources(b.transitions(spark, sf), b.failed_notices(spark, sf), as_of=b.EVENTS_AS_OF)
 
 
-@query("flt12_quota_gate", f"""WITH {state_cte(failed_below=40.0)}, {state_select(CUSTOMER_PAGES)}
+@query("flt12_quota_gate", f"""WITH {state_cte()}, {state_select(CUSTOMER_PAGES)}
 SELECT code, CASE WHEN has_unparsed_notice OR direct_status = 'unknown' THEN 'quota_unresolved'
   WHEN direct_status = 'limited' AND direct_amount < 20 THEN 'direct_limit_below_threshold' END AS quota_reason FROM state""")
 def quota_gate(spark, sf):
@@ -86,7 +85,7 @@ def quota_gate(spark, sf):
     return _state(spark, sf).select("code", quo.quota_gate(20).alias("quota_reason"))
 
 
-@query("flt12_quota_warnings", f"""WITH {state_cte(failed_below=40.0)}, {state_select(CUSTOMER_PAGES)}
+@query("flt12_quota_warnings", f"""WITH {state_cte()}, {state_select(CUSTOMER_PAGES)}
 SELECT CAST(count(*) FILTER (quota_status = 'unknown') AS BIGINT) AS unknown_texts,
   CAST(count(*) FILTER (has_unparsed_notice OR direct_status = 'unknown') AS BIGINT) AS excluded_texts FROM state""")
 def quota_warnings(spark, sf):

@@ -14,7 +14,6 @@ from workload.registry import query
 
 DAY = "DATE '2001-07-25'"
 TOP, MIN_OBS, LIMIT = 10, 60, 20
-FAILED_BELOW = 0.5
 
 
 def tables(spark, sf) -> plan.Tables:
@@ -58,7 +57,7 @@ def tables(spark, sf) -> plan.Tables:
         index_levels=b.index_levels(spark, sf), fx_rates=b.fx_rates(spark, sf), report_totals=totals,
         report_holdings=holdings, instruments=b.instruments(spark),
         transitions=b.transitions(spark, sf, b.EVENT_SHIFT),
-        failed_notices=b.failed_notices(spark, sf, b.EVENT_SHIFT, FAILED_BELOW))
+        failed_notices=b.failed_notices(spark, sf, b.EVENT_SHIFT))
 
 
 def params() -> plan.Params:
@@ -83,7 +82,7 @@ _PAGES = """SELECT lpad(CAST(s_suppkey AS VARCHAR), 6, '0') AS code, s_acctbal >
   CASE WHEN s_acctbal >= 0 AND s_acctbal < 3000 THEN CAST(floor(s_acctbal) AS BIGINT) END AS page_limit FROM supplier"""
 
 RUN = f"""WITH {nav_cte(as_of=DAY)}, {RECORD_CTE}, {bench_cte(DAY)}, fit AS ({fit_select(MIN_OBS, 700)}),
-{state_cte(b.EVENT_SHIFT, DAY, FAILED_BELOW)}, {state_select(_PAGES)},
+{state_cte(b.EVENT_SHIFT, DAY)}, {state_select(_PAGES)},
 halves AS (SELECT CASE WHEN month(l_shipdate) <= 6 THEN make_date(year(l_shipdate), 6, 30)
     ELSE make_date(year(l_shipdate), 12, 31) END AS report_date, count(*) AS n FROM lineitem WHERE l_shipdate <= {DAY} GROUP BY 1),
 chosen AS (SELECT max(report_date) AS d FROM (SELECT *, lag(n) OVER (ORDER BY report_date) AS older FROM halves)
@@ -186,13 +185,17 @@ def ranking_cap(spark, sf):
 
 @query("dq13_digest", f"""{RUN}, t AS (SELECT 'interval' AS kind FROM ranked WHERE possible > confirmed
   UNION ALL SELECT 'override' FROM ranked WHERE routing_reason = 'us_main_name_geography_override'
-  UNION ALL SELECT DISTINCT concat('exclusion', reason)[:9] FROM exclusions GROUP BY reason, 1)
-SELECT kind, CAST(count(*) AS BIGINT) AS n FROM (SELECT kind FROM t WHERE kind <> 'exclusion'
-  UNION ALL SELECT 'exclusion' FROM (SELECT DISTINCT reason FROM exclusions)) GROUP BY kind""")
+  UNION ALL SELECT 'exclusion' FROM (SELECT DISTINCT reason FROM exclusions)
+  UNION ALL SELECT 'warning' FROM evaluated WHERE passed AND (has_unparsed_notice OR direct_status = 'unknown')
+  UNION ALL SELECT 'warning' FROM evaluated WHERE passed AND confirmed < 50 AND possible >= 50
+  UNION ALL SELECT 'warning' FROM halves, chosen WHERE report_date > d
+  UNION ALL SELECT 'warning' FROM (VALUES ('us_main'), ('global_supplement')) lists(name)
+    WHERE (SELECT count(*) FROM ranked WHERE ranking_list = name) < {TOP})
+SELECT kind, CAST(count(*) AS BIGINT) AS n FROM t GROUP BY kind""")
 def digest(spark, sf):
+    """Lines of the digest by kind, every warning of the run included."""
     out = _run(spark, sf)
-    none = out["warnings"].where("false").withColumn("seq", F.lit(0).cast("long"))
-    return runs.digest(out["ranking"], out["exclusion_summary"], none).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+    return runs.digest(out["ranking"], out["exclusion_summary"], out["warnings"]).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("dq03_closure_check", """SELECT CAST(NULL AS VARCHAR) AS rule_id, CAST(NULL AS VARCHAR) AS key WHERE false""")
