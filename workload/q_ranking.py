@@ -189,8 +189,8 @@ def ranking_cap(spark, sf):
   UNION ALL SELECT 'warning' FROM evaluated WHERE passed AND (has_unparsed_notice OR direct_status = 'unknown')
   UNION ALL SELECT 'warning' FROM evaluated WHERE passed AND confirmed < 50 AND possible >= 50
   UNION ALL SELECT 'warning' FROM halves, chosen WHERE report_date > d
-  UNION ALL SELECT 'warning' FROM (VALUES ('us_main'), ('global_supplement')) lists(name)
-    WHERE (SELECT count(*) FROM ranked WHERE ranking_list = name) < {TOP})
+  UNION ALL SELECT 'warning' FROM (VALUES ('us_main'), ('global_supplement')) lists(list_name)
+    WHERE (SELECT count(*) FROM ranked WHERE ranking_list = list_name) < {TOP})
 SELECT kind, CAST(count(*) AS BIGINT) AS n FROM t GROUP BY kind""")
 def digest(spark, sf):
     """Lines of the digest by kind, every warning of the run included."""
