@@ -67,6 +67,7 @@ AMOUNT = r"(?<![\d-])([\d][\d,.]*)\s*(万元|元)"
 CLOSING_AMOUNT = r"([\d][\d,.]*)\s*(万元|元)$"
 LIMIT_WORD = r"上限|超过|不得超过|不超过|限制|暂停办理|累计申购"
 CHANNEL_BEFORE, CHANNEL_AFTER, LIMIT_CONTEXT = 80, 220, 55
+WEIGHT_GAP_CHARS = 55
 GLOBAL_AMOUNTS = [
     r"限制\s*(?:大额\s*)?申购\s*(?:及\s*定期定额投资\s*)?金额\s*"
     r"(?:[（(]\s*单\s*位\s*[：:]\s*(?:人民币\s*)?元\s*[）)])?\s*([\d,.]+)",

@@ -19,8 +19,8 @@ from navloom.functions.text import (
     normalize_notice, product_structure, share_aggregation,
 )
 from navloom.operators.eligibility import management_style
-from navloom.operators.matching import alias_hits, small_catalog
-from navloom.operators.quality import DataError, issues_of, union_all
+from navloom.operators.matching import alias_hits
+from navloom.operators.quality import issues_of, union_all
 
 
 def _u(pattern: str) -> str:
@@ -57,10 +57,7 @@ def latest_documents(classified: DataFrame, *, as_of) -> DataFrame:
 
 
 def latest_report(announcements: DataFrame, *, as_of) -> DataFrame:
-    """AG-08. Newest periodic report by period end, then publication; ``list_seq`` breaks ties.
-
-    Without ``list_seq`` the listing order is newest id first, so the larger id wins.
-    """
+    """AG-08. Newest periodic report by period end, then publication, then the larger id."""
     reports = announcements.withColumn("report_date", report_period_end(F.col("title"))).where(
         (F.col("report_date") <= as_date(as_of)) & (F.col("published_date") <= as_date(as_of)))
     newest = reports.groupBy("code").agg(
@@ -209,39 +206,36 @@ def benchmark_statement(text: Column) -> Column:
     return best.statement
 
 
-def _escape(word: str) -> str:
-    return "".join("\\" + c if c in r"\^$.|?*+()[]{}&-" else c for c in word)
-
-
-def weight_pattern(alias: str) -> str:
+def weight_pattern(alias: Column) -> Column:
     """``w%×alias`` or ``alias×w%`` with free spacing inside the alias."""
-    body = r"\s*".join(_escape(part) for part in alias.split())
+    plain = F.regexp_replace(F.trim(alias), r"([\\^$.|?*+()\[\]{}&-])", r"\\$1")
+    body = F.regexp_replace(plain, r"(?U)\s+", r"\\s*")
     number = r"(\d+(?:\.\d+)?)\s*%"
-    return rf"(?iU)(?:{number}\s*[×*xX]\s*{body}|{body}[^+＋，,。；;]{{0,55}}?[×*xX]\s*{number})"
+    return F.concat(F.lit(rf"(?iU)(?:{number}\s*[×*xX]\s*"), body, F.lit("|"), body,
+                    F.lit(rf"[^+＋，,。；;]{{0,{fixed.WEIGHT_GAP_CHARS}}}?[×*xX]\s*{number})"))
 
 
-def component_weight(statement: Column, patterns: Column) -> Column:
-    """TXT-06. Weight beside the longest alias, else the largest percentage, else 100."""
-    beside = F.filter(F.transform(patterns, lambda p: F.coalesce(
-        group_or_null(F.call_function("regexp_extract", statement, p, F.lit(1))),
-        group_or_null(F.call_function("regexp_extract", statement, p, F.lit(2))))), lambda w: w.isNotNull())
-    every = F.regexp_extract_all(statement, F.lit(r"(?U)(\d+(?:\.\d+)?)\s*%"), F.lit(1))
-    largest = F.array_max(F.transform(every, lambda w: plain_digits(w).try_cast("double")))
-    return F.coalesce(plain_digits(F.get(beside, F.lit(0))).try_cast("double"), largest, F.lit(100.0))
+def component_weights(named: DataFrame, catalog: DataFrame, key: str) -> DataFrame:
+    """TXT-06. ``named(key, position, statement)`` with the weight of each entry.
 
+    The weight stands beside the longest alias that has one, else it is the
+    largest percentage, else 100.  Rows are sorted by pattern within their
+    partition, so that each pattern is compiled once there and not for each row.
+    """
+    aliases = catalog.select("position", F.posexplode(F.array_sort(
+        F.filter("aliases", lambda a: F.trim(a) != ""), lambda a, b: F.length(b) - F.length(a))).alias("turn", "alias"))
+    patterns = aliases.select("position", "turn", weight_pattern(F.col("alias")).alias("pattern"))
+    tried = named.join(patterns, "position").sortWithinPartitions("pattern")
 
-def with_weight_patterns(catalog: DataFrame) -> DataFrame:
-    """Catalog with one weight pattern per alias, longest alias first.
+    def beside(group: int) -> Column:
+        return group_or_null(F.call_function("regexp_extract", F.col("statement"), F.col("pattern"), F.lit(group)))
 
-    A benchmark catalog is a curated list; its patterns are built once.
-    """
-    entries = small_catalog(catalog, 20000)
-    if entries is None:
-        raise DataError("the benchmark catalog is too large to be curated")
-    rows = [(e.position, [weight_pattern(a) for a in sorted(e.aliases, key=len, reverse=True) if a.strip()])
-            for e in entries]
-    patterns = catalog.sparkSession.createDataFrame(rows, "position int, patterns array<string>")
-    return catalog.join(patterns, "position")
+    found = tried.select(key, "position", "turn", F.coalesce(beside(1), beside(2)).alias("beside"))
+    first = found.where("beside is not null").groupBy(key, "position").agg(F.min_by("beside", "turn").alias("beside"))
+    every = F.regexp_extract_all("statement", F.lit(r"(?U)(\d+(?:\.\d+)?)\s*%"), F.lit(1))
+    largest = F.array_max(F.transform(every, lambda w: plain_digits(w).try_cast("double")))
+    return named.join(first, [key, "position"], "left").withColumn("weight_pct", F.coalesce(
+        plain_digits(F.col("beside")).try_cast("double"), largest, F.lit(100.0))).drop("beside")
 
 
 def match_catalog(texts: DataFrame, key: str, text: str, catalog: DataFrame) -> DataFrame:
@@ -251,32 +245,37 @@ def match_catalog(texts: DataFrame, key: str, text: str, catalog: DataFrame) ->
 
 
 def parse_benchmarks(docs: DataFrame, catalog: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """TXT-05, TXT-06. ``(statements, components)`` of readable documents.
+    """TXT-05, TXT-06. ``(statements, components)`` of readable documents, by code and announcement id.
 
-    ``docs`` carries ``fund_name``.  A statement that only names a target index
-    is matched on the fund name and the opening of the text.
+    ``docs`` carries ``fund_name``.  Several funds may list one document: its text
+    is parsed once, under its id.  A statement that only names a target index is
+    matched on the fund name, which is the fund's own, and the opening of the text.
     """
-    read = docs.where("text is not null").withColumn("statement", benchmark_statement(F.col("text")))
-    read = read.where("statement is not null")
-    key = "announcement_id"
-    own = match_catalog(read, key, "statement", catalog)
+    key, own_key = "announcement_id", ["code", "announcement_id"]
+    texts = docs.where("text is not null").groupBy(key).agg(F.first("text").alias("text"))
+    texts = texts.withColumn("statement", benchmark_statement(F.col("text"))).where("statement is not null")
+    listed = docs.select("code", key, "fund_name").dropDuplicates(own_key)
+    shared = match_catalog(texts, key, "statement", catalog).select(key, "position")
+    own = listed.select(*own_key).join(shared, key)
     opening = F.concat_ws(" ", "fund_name", F.substring("text", 1, fixed.BENCHMARK_FALLBACK_CHARS))
-    unnamed = read.where(F.col("statement").contains("标的指数")).join(
-        own.select(key).distinct(), key, "left_anti").withColumn("opening", opening)
-    matched = own.unionByName(match_catalog(unnamed, key, "opening", catalog))
-    weighted = matched.join(with_weight_patterns(catalog).select("position", "patterns"), "position").join(
-        read.select(key, "statement"), key)
+    unnamed = texts.where(F.col("statement").contains("标的指数")).join(
+        shared.select(key).distinct(), key, "left_anti").join(listed, key).withColumn(
+        "opening", opening).withColumn("pair", F.struct(*own_key))
+    fallback = match_catalog(unnamed, "pair", "opening", catalog).select("pair.*", "position")
+    matched = own.unionByName(fallback)
+    named = matched.select(key, "position").distinct().join(texts.select(key, "statement"), key)
+    weights = component_weights(named, catalog, key)
+    weighted = matched.join(weights.select(key, "position", "weight_pct"), [key, "position"]).join(catalog, "position")
     components = weighted.select(
-        key, F.col("id").alias("benchmark_id"), F.col("display_name").alias("benchmark_name"),
-        component_weight(F.col("statement"), F.col("patterns")).alias("weight_pct"),
+        "code", key, F.col("id").alias("benchmark_id"), F.col("display_name").alias("benchmark_name"), "weight_pct",
         "market_scope", "market_label", "asset_class", "style_label", "structure", "excluded_target")
     components = components.withColumn("weight_pct", exact_round("weight_pct", 2))
-    statements = read.select("code", key, "fund_name", "statement")
+    statements = listed.join(texts.select(key, "statement"), key)
     return statements, components
 
 
 def benchmark_profiles(statements: DataFrame, components: DataFrame) -> DataFrame:
-    """TXT-06. One profile per document; components by weight descending, then id.
+    """TXT-06. One profile per fund and document; components by weight descending, then id.
 
     A document names each catalog entry once, so the array is bounded by the catalog.
     """
@@ -284,9 +283,9 @@ def benchmark_profiles(statements: DataFrame, components: DataFrame) -> DataFram
               "asset_class", "style_label", "structure", "excluded_target"]
     ordered = F.array_sort(
         F.collect_list(F.struct((-F.col("weight_pct")).alias("order"), *fields)))
-    nested = components.groupBy("announcement_id").agg(ordered.alias("sorted")).withColumn(
+    nested = components.groupBy("code", "announcement_id").agg(ordered.alias("sorted")).withColumn(
         "components", F.transform("sorted", lambda c: c.dropFields("order"))).drop("sorted")
-    joined = statements.join(nested, "announcement_id", "left").withColumn(
+    joined = statements.join(nested, ["code", "announcement_id"], "left").withColumn(
         "components", F.coalesce("components", F.array().cast(nested.schema["components"].dataType)))
     count = F.size("components")
     only = F.get("components", F.lit(0))
@@ -312,24 +311,28 @@ def benchmark_profiles(statements: DataFrame, components: DataFrame) -> DataFram
         "components")
 
 
+def summary_match(summary_id: Column, status: Column, components: Column, summary_components: Column) -> Column:
+    """JN-12. matched, conflict, unreadable or missing; ``status`` and the components are null when unread."""
+    def ids(found: Column) -> Column:
+        return F.array_sort(F.transform(found, lambda c: c.benchmark_id))
+
+    unread = summary_components.isNull() | status.isNull() | status.isin("unreadable", "unrecognized")
+    return (
+        F.when(summary_id.isNull(), "missing").when(unread, "unreadable")
+        .when(~ids(components).eqNullSafe(ids(summary_components)), "conflict").otherwise("matched"))
+
+
 def compare_components(left: DataFrame, right: DataFrame) -> DataFrame:
     """JN-12. Whether two documents of a fund name the same benchmarks.
 
     Inputs are profiles; an unusable left side is ``unreadable``, an absent
     right side ``missing``.
     """
-    def ids(profile: DataFrame, name: str) -> DataFrame:
-        found = F.array_sort(F.transform("components", lambda c: c.benchmark_id))
-        return profile.select("code", found.alias(name), F.col("status").alias(f"{name}_status"))
-
-    joined = ids(left, "left_ids").join(ids(right, "right_ids"), "code", "left")
-    status = (
-        F.when(F.col("right_ids_status").isNull(), "missing")
-        .when(F.col("left_ids_status").isin("unreadable", "unrecognized")
-              | (F.col("right_ids_status") == "unreadable"), "unreadable")
-        .when(~F.col("left_ids").eqNullSafe(F.col("right_ids")), "conflict")
-        .otherwise("matched"))
-    return joined.select("code", status.alias("product_summary_status"))
+    other = right.select("code", F.col("announcement_id").alias("summary_id"), F.when(
+        F.col("status") != "unreadable", F.col("components")).alias("summary_components"))
+    joined = left.select("code", "status", "components").join(other, "code", "left")
+    return joined.select("code", summary_match(
+        F.col("summary_id"), F.col("status"), F.col("components"), F.col("summary_components")).alias("product_summary_status"))
 
 
 # --- operating expense -----------------------------------------------------
@@ -364,7 +367,7 @@ def repair_text(text: Column) -> Column:
 
 
 def parse_report_totals(docs: DataFrame) -> DataFrame:
-    """TXT-08, AG-16. Direct US share and fund investment share per report."""
+    """TXT-08, AG-16. Direct US share and fund investment share per listed report."""
     fixed_text = docs.withColumn("body", repair_text(F.col("text")))
     body = F.col("body")
 
@@ -446,8 +449,8 @@ def parse_holdings(docs: DataFrame) -> DataFrame:
 
 def report_issues(totals: DataFrame, holdings: DataFrame) -> DataFrame:
     """TXT-07, TXT-08. Fatal issues, an invested fund without any holding row included."""
-    listed = holdings.select("announcement_id").distinct()
-    unlisted = totals.where("fund_investment_pct > 0").join(listed, "announcement_id", "left_anti")
+    listed = holdings.select("code", "announcement_id").distinct()
+    unlisted = totals.where("fund_investment_pct > 0").join(listed, ["code", "announcement_id"], "left_anti")
     return union_all([
         issues_of(totals, F.col("code"), F.col("report_issue"), F.col("announcement_id")),
         issues_of(holdings, F.col("code"), F.col("row_issue"), F.col("announcement_id")),
@@ -460,29 +463,25 @@ def document_profiles(funds: DataFrame, legal: DataFrame, profiles: DataFrame, c
     """TXT-11. Contract profile and cost of every fund; nothing unreadable ever blocks.
 
     ``legal`` is ``latest_documents`` joined with texts, ``profiles`` and
-    ``costs`` the parsed results keyed by ``announcement_id``.
+    ``costs`` the parsed results keyed by ``code`` and ``announcement_id``.
     """
     def newest(kind: str, prefix: str) -> DataFrame:
         rows = legal.where(F.col("document_class") == kind)
         return rows.select("code", *[F.col(c).alias(f"{prefix}_{c}")
                                      for c in ("announcement_id", "title", "published_date", "source_url")])
 
-    own = profiles.drop("code").withColumnRenamed("announcement_id", "prospectus_announcement_id")
+    own = profiles.withColumnRenamed("announcement_id", "prospectus_announcement_id")
     base = funds.select("code", "name", "fund_type").join(newest("prospectus", "prospectus"), "code", "left")
-    base = base.join(own, "prospectus_announcement_id", "left")
+    base = base.join(own, ["code", "prospectus_announcement_id"], "left")
     base = base.join(newest("product_summary", "summary"), "code", "left").join(
-        costs.select(F.col("announcement_id").alias("summary_announcement_id"),
+        costs.select("code", F.col("announcement_id").alias("summary_announcement_id"),
                      F.col("status").alias("cost_status"), "annualized_pct", "measurement_date", "cost_issue"),
-        "summary_announcement_id", "left")
-    other = profiles.select(F.col("announcement_id").alias("summary_announcement_id"),
-                            F.transform("components", lambda c: c.benchmark_id).alias("summary_ids"))
-    base = base.join(other, "summary_announcement_id", "left")
-    readable = F.col("status").isNotNull()
-    own_ids = F.array_sort(F.transform("components", lambda c: c.benchmark_id))
-    summary_status = (
-        F.when(F.col("summary_announcement_id").isNull(), "missing")
-        .when(F.col("summary_ids").isNull() | ~readable | (F.col("status") == "unrecognized"), "unreadable")
-        .when(own_ids != F.array_sort("summary_ids"), "conflict").otherwise("matched"))
+        ["code", "summary_announcement_id"], "left")
+    other = profiles.select("code", F.col("announcement_id").alias("summary_announcement_id"),
+                            F.col("components").alias("summary_components"))
+    base = base.join(other, ["code", "summary_announcement_id"], "left")
+    summary_status = summary_match(
+        F.col("summary_announcement_id"), F.col("status"), F.col("components"), F.col("summary_components"))
 
     def text(name: str, default: str) -> Column:
         return F.coalesce(F.col(name), F.lit(default)).alias(name)

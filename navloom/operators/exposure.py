@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from navloom import fixed_values as fixed
 from navloom.functions.numbers import exact_round
-from navloom.functions.text import has_any, normalize_instrument
-from navloom.operators.matching import alias_hits, small_catalog
+from navloom.functions.text import normalize_instrument
+from navloom.operators.matching import alias_hits
+
+def report_key(df: DataFrame) -> list[str]:
+    """A report is listed by a fund; tables of distinct documents have no ``code``."""
+    return [c for c in ("code", "announcement_id") if c in df.columns]
+
 
-_RESOLVED = "category string, us_equity_pct double, data_date date, source_url string"
 # Weights are published with two decimals; exact sums do not depend on row order.
 _EXACT = "decimal(28,10)"
 
@@ -23,31 +27,13 @@ def usable(category: Column, data_date: Column, source_url: Column, report_date:
     return structural | F.coalesce(recent, F.lit(False))
 
 
-def _first_usable(text: Column, report_date: Column, entries: list[Row]) -> Column:
-    """The first entry in catalog order that matches and may be used."""
-    options = []
-    for entry in entries:
-        values = [F.lit(entry.category), F.lit(float(entry.us_equity_pct)),
-                  F.lit(entry.data_date).cast("date"), F.lit(entry.source_url)]
-        fits = has_any(text, entry.normalized_aliases) & usable(
-            values[0], values[2], values[3], report_date)
-        fields = [v.alias(n) for v, n in zip(values, ("category", "us_equity_pct", "data_date", "source_url"))]
-        options.append(F.when(fits, F.struct(*fields)))
-    return F.coalesce(*options, F.lit(None).cast(f"struct<{_RESOLVED.replace(' ', ':').replace(',:', ',')}>"))
-
-
 def resolve_instruments(holdings: DataFrame, catalog: DataFrame) -> DataFrame:
     """JN-06. Holdings with category, exposure, data date and source, or nulls.
 
-    ``holdings`` carries ``report_date``.  A catalog too large for expressions
-    is matched once per distinct name and joined back.
+    ``holdings`` carries ``report_date``.  Each distinct name is matched once; the
+    first usable entry in catalog order is joined back.
     """
-    entries = small_catalog(catalog)
     named = holdings.withColumn("normalized_name", normalize_instrument(F.col("fund_name")))
-    if entries is not None:
-        resolved = named.withColumn(
-            "r", _first_usable(F.col("normalized_name"), F.col("report_date"), entries))
-        return resolved.select(*holdings.columns, "r.*")
     names = named.select("normalized_name", "report_date").distinct()
     hits = alias_hits(names.select("normalized_name").distinct().withColumn("t", F.col("normalized_name")),
                       "normalized_name", "t", catalog)
@@ -79,20 +65,20 @@ def exposure_components(totals: DataFrame, contributed: DataFrame) -> DataFrame:
 
     ``totals`` carries ``source_url``, the report that a reported class is read from.
     """
-    report = totals.select("announcement_id", F.col("report_date").alias("own_date"),
-                           F.col("source_url").alias("own_url"))
+    key = report_key(contributed)
+    report = totals.select(*key, F.col("report_date").alias("own_date"), F.col("source_url").alias("own_url"))
     reported = F.col("reported_category").isin("commodity", "fixed_income")
-    rows = contributed.join(report, "announcement_id").select(
-        "announcement_id", "rank", "fund_name", exact_round("weight_pct", 4).alias("weight_pct"),
+    rows = contributed.join(report, key).select(
+        *key, "rank", "fund_name", exact_round("weight_pct", 4).alias("weight_pct"),
         F.col("resolved_category").alias("category"), F.col("resolved_pct").alias("us_equity_pct"),
         exact_round("confirmed_contribution_pct", 4).alias("confirmed_contribution_pct"),
         exact_round("possible_contribution_pct", 4).alias("possible_contribution_pct"),
         F.coalesce("data_date", F.when(reported, F.col("own_date"))).alias("data_date"),
         F.coalesce("source_url", F.when(reported, F.col("own_url"))).alias("source_url"))
     rest = exposure_interval(totals, contributed).where(
-        F.col("residual_pct") > fixed.RESIDUAL_FLOOR_PCT).join(report, "announcement_id")
+        F.col("residual_pct") > fixed.RESIDUAL_FLOOR_PCT).join(report, key)
     remainder = rest.select(
-        "announcement_id", F.lit(None).cast("int").alias("rank"),
+        *key, F.lit(None).cast("int").alias("rank"),
         F.lit("前十大之外未披露基金仓位").alias("fund_name"),
         exact_round("residual_pct", 4).alias("weight_pct"),
         F.lit("unresolved_residual").alias("category"), F.lit(None).cast("double").alias("us_equity_pct"),
@@ -103,20 +89,21 @@ def exposure_components(totals: DataFrame, contributed: DataFrame) -> DataFrame:
 
 
 def exposure_interval(totals: DataFrame, contributed: DataFrame) -> DataFrame:
-    """AG-06. Confirmed and possible exposure per report.
+    """AG-06. Confirmed and possible exposure per fund and report.
 
-    Holdings are summed before they meet ``totals``, so a report with very many
+    Funds that share a document hold it each in their own rows.  Holdings are summed before they meet ``totals``, so a report with very many
     rows is combined on the map side.
     """
-    sums = contributed.groupBy("announcement_id").agg(
+    key = report_key(contributed)
+    sums = contributed.groupBy(*key).agg(
         F.sum(F.col("weight_pct").cast(_EXACT)).alias("disclosed"),
         F.sum(F.col("confirmed_contribution_pct").cast(_EXACT)).alias("lookthrough"),
         F.sum(F.when(F.col("resolved_pct").isNull(), F.col("weight_pct")).cast(_EXACT)).alias("unknown"),
         F.count_if(F.col("resolved_pct").isNull()
                    & (F.col("weight_pct") >= fixed.UNRESOLVED_WARNING_PCT)).alias("unresolved_warnings"))
-    joined = totals.join(sums, "announcement_id", "left")
+    joined = totals.join(sums, key, "left")
     filled = joined.select(
-        "announcement_id", "report_date", "direct_us_pct", "fund_investment_pct", "unresolved_warnings",
+        *key, "report_date", "direct_us_pct", "fund_investment_pct", "unresolved_warnings",
         *[F.coalesce(name, F.lit(0)).cast("double").alias(name) for name in ("disclosed", "lookthrough", "unknown")])
     bounds = filled.withColumn(
         "residual_pct", F.greatest(F.lit(0.0), F.col("fund_investment_pct") - F.col("disclosed"))
@@ -126,7 +113,7 @@ def exposure_interval(totals: DataFrame, contributed: DataFrame) -> DataFrame:
             F.col("residual_pct") > fixed.RESIDUAL_FLOOR_PCT, F.col("residual_pct")).otherwise(0.0),
     })
     return bounds.select(
-        "announcement_id", "report_date",
+        *key, "report_date",
         exact_round("confirmed", 2).alias("confirmed_pct"),
         exact_round("least(100D, confirmed + unresolved)", 2).alias("possible_pct"),
         exact_round("direct_us_pct", 2).alias("direct_us_pct"),
@@ -159,9 +146,9 @@ def exposure_warnings(interval: DataFrame, threshold: float = fixed.MIN_US_EQUIT
 
 
 def holding_warnings(contributed: DataFrame) -> DataFrame:
-    """AG-06. Texts for holdings that only count towards the upper bound."""
-    text = F.format_string("%s 无法按 %s 的可用数据穿透，其 %.2f%% 仓位仅计入可能上限。", "fund_name",
+    """AG-06. Texts for holdings that only count towards the upper bound, the fund in front."""
+    text = F.format_string("%s：%s 无法按 %s 的可用数据穿透，其 %.2f%% 仓位仅计入可能上限。", "code", "fund_name",
                            F.col("report_date").cast("string"), exact_round("weight_pct", 2))
     unknown = contributed.where(F.col("resolved_pct").isNull()
                                 & (F.col("weight_pct") >= fixed.UNRESOLVED_WARNING_PCT))
-    return unknown.select("announcement_id", text.alias("text"))
+    return unknown.select("code", text.alias("text"))

@@ -1,50 +1,52 @@
-"""Substring matches between texts and the aliases of a curated catalog."""
+"""Substring matches between texts and the aliases of a curated catalog.
+
+One plan for catalogs of any size: a text offers the window behind each of its
+positions under its first characters, the aliases are joined on those characters
+and verified on the window.  The alias side is a small table that Spark
+broadcasts under its own size check; then nothing is shuffled but the hits.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from navloom.functions.text import has_any
-
-# Up to here a catalog becomes expressions of the scan; beyond it, a join.
-INLINE_ENTRIES = 200
-PREFIX_CHARS = 8
-
-
-def small_catalog(catalog: DataFrame, limit: int = INLINE_ENTRIES) -> list[Row] | None:
-    """The catalog in position order, or null when it is larger than ``limit``."""
-    rows = catalog.limit(limit + 1).collect()
-    return sorted(rows, key=lambda row: row.position) if len(rows) <= limit else None
+# First characters of an alias that windows are joined on; shorter aliases use what they have.
+GRAM_CHARS = 3
+PIECE_CHARS = 256
 
 
-def matched_positions(text: Column, entries: list[Row]) -> Column:
-    """JN-05. Positions of all entries with an alias inside ``text``."""
-    return F.array_compact(F.array(*[
-        F.when(has_any(text, entry.normalized_aliases), F.lit(entry.position)) for entry in entries
-    ]))
+def alias_table(catalog: DataFrame) -> DataFrame:
+    """``(position, alias, gram)`` of all non-empty normalized aliases."""
+    aliases = catalog.select("position", F.explode("normalized_aliases").alias("alias")).where("alias <> ''")
+    return aliases.distinct().withColumn("gram", F.substring("alias", 1, GRAM_CHARS))
 
 
-def alias_hits(df: DataFrame, key: str, text: str, catalog: DataFrame,
-               limit: int = INLINE_ENTRIES) -> DataFrame:
-    """JN-05. ``(key, position)`` pairs of texts and the entries they contain.
+def alias_hits(df: DataFrame, key: str, text: str, catalog: DataFrame) -> DataFrame:
+    """JN-05. Distinct ``(key, position)`` pairs of texts and the catalog entries they contain.
 
-    A small catalog is evaluated inside the scan.  A larger one is joined on a
-    prefix of the alias: a text offers its substrings of the prefix lengths the
-    catalog has, and only hits on a prefix are checked in full.
+    The windows are as long as the longest alias; the lengths of the grams and
+    windows are two numbers of the catalog, read once.
     """
-    entries = small_catalog(catalog, limit)
-    if entries is not None:
-        hits = df.select(key, F.explode(matched_positions(F.col(text), entries)).alias("position"))
-        return hits.distinct()
-    aliases = catalog.select("position", F.explode("normalized_aliases").alias("alias")).where("alias != ''")
-    aliases = aliases.withColumn("gram", F.substring("alias", 1, PREFIX_CHARS))
-    lengths = F.sequence(F.lit(1), F.lit(PREFIX_CHARS))
-    grams = F.array_distinct(F.flatten(F.transform(lengths, lambda n: F.transform(
-        F.when(F.length(text) >= n, F.sequence(F.lit(1), F.length(text) - n + 1))
-        .otherwise(F.array().cast("array<int>")),
-        lambda i: F.substr(F.col(text), i, n)))))
-    offered = df.select(key, F.explode(grams).alias("gram"))
-    candidates = offered.join(aliases, "gram").select(key, "position", "alias")
-    checked = candidates.join(df.select(key, text), key).where(F.col(text).contains(F.col("alias")))
-    return checked.select(key, "position").distinct()
+    aliases = alias_table(catalog)
+    sizes = aliases.agg(F.max(F.length("alias")).alias("longest"),
+                        F.array_sort(F.collect_set(F.length("gram"))).alias("grams")).first()
+    if sizes.longest is None:
+        return df.select(key, F.lit(None).cast("int").alias("position")).where("false")
+    # Windows are cut from pieces of bounded length, each with the start of the next piece behind it.
+    size = max(PIECE_CHARS, sizes.longest)
+    pieces = df.select(key, F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{1,{size}}}"), F.lit(0)).alias("pieces"))
+    lapped = pieces.select(key, F.explode(F.zip_with(
+        "pieces", F.slice("pieces", 2, F.greatest(F.size("pieces"), F.lit(1))),
+        lambda own, after: F.struct(
+            F.length(own).alias("chars"),
+            F.concat(own, F.substring(F.coalesce(after, F.lit("")), 1, sizes.longest - 1)).alias("body")))).alias("p"))
+    windows = lapped.select(key, F.explode(F.transform(
+        F.sequence(F.lit(1), F.col("p.chars")),
+        lambda i: F.substr(F.col("p.body"), i, F.lit(sizes.longest)))).alias("window"))
+    hits = None
+    for length in sizes.grams:
+        offered = windows.withColumn("gram", F.substring("window", 1, length))
+        found = offered.join(aliases, "gram").where(F.expr("startswith(window, alias)")).select(key, "position")
+        hits = found if hits is None else hits.unionByName(found)
+    return hits.distinct()

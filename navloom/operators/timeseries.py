@@ -8,7 +8,7 @@ factors, all horizons and the weekly series.
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -131,9 +131,13 @@ def anchors(nav: DataFrame, *, as_of, horizons: dict[int, str] = fixed.RETURN_HO
           .alias(f"{prefix}_anchor") for years, prefix in horizons.items()])
 
 
-def performance_record(nav: DataFrame, *, as_of,
-                       horizons: dict[int, str] = fixed.RETURN_HORIZONS) -> DataFrame:
-    """AG-02, AG-03, AG-19. Returns and drawdowns of all horizons, one row per code."""
+def performance_record(nav: DataFrame, *, as_of, horizons: dict[int, str] = fixed.RETURN_HORIZONS,
+                       weekly_years: int | None = None) -> DataFrame:
+    """AG-02, AG-03, AG-19. Returns and drawdowns of all horizons, one row per code.
+
+    With ``weekly_years`` the same pass also gives ``weekly``, the last wealth of
+    each week of so many years (AG-01): at most 53 points a year.
+    """
     points = _horizon_points(nav, as_of, horizons)
     measures = [
         F.min("date").alias("nav_history_start_date"),
@@ -142,6 +146,15 @@ def performance_record(nav: DataFrame, *, as_of,
     ]
     kept = ["code", "nav_history_start_date", "nav_history_end_date", "factor_issue_count"]
     results = []
+    if weekly_years is not None:
+        points = points.withColumns({
+            "next_date": F.lead("date").over(_by_code().orderBy("date")),
+            "wealth": F.when(F.count("factor_issue").over(_running()) == 0,
+                             F.product(F.coalesce("factor", F.lit(1.0))).over(_running()))})
+        closes = F.col("next_date").isNull() | (week_start(F.col("next_date")) != week_start(F.col("date")))
+        recent = F.col("date") >= years_ago(F.col("last_date"), weekly_years)
+        measures.append(F.collect_list(F.when(closes & recent, F.struct("date", "wealth"))).alias("weekly"))
+        kept.append("weekly")
     for prefix in horizons.values():
         measures += [
             F.max_by(f"growth_{prefix}", "date").alias(f"growth_{prefix}"),
@@ -179,27 +192,47 @@ def history_issues(performance: DataFrame, severity: str = "fatal") -> DataFrame
     return issues_of(performance, F.col("code"), reason, F.col("nav_history_start_date"), severity)
 
 
-def asof_calendar(series: DataFrame, *, by: list[str] = (), on: str = "date", value: str = "value",
+def asof_calendar(series: DataFrame, *, on: str = "date", value: str = "value",
                   tolerance_days: int = fixed.MAX_STALENESS_DAYS) -> DataFrame:
-    """JN-03. For each day the latest value at most ``tolerance_days`` old.
+    """JN-04. For each day the latest value of one series, at most ``tolerance_days`` old.
 
-    Every point is carried forward over its tolerance and the newest source
-    wins, so the as-of rule becomes an aggregate and the later join an equi
-    join on the day.  No window over a whole series is needed.
+    A point is carried to the day before the next one, so no day has two sources.
+    A series has one row per calendar day, which bounds the window.
     """
-    carried = series.select(
-        *by, F.col(on).alias("source_date"), F.col(value).alias("asof_value"),
-        F.explode(F.sequence(F.col(on), F.date_add(F.col(on), tolerance_days))).alias("asof_date"))
-    newest = carried.groupBy(*by, "asof_date").agg(
-        F.max_by(F.struct("source_date", "asof_value"), "source_date").alias("s"))
-    return newest.select(*by, "asof_date", "s.source_date", "s.asof_value")
+    points = series.groupBy(F.col(on).alias("source_date")).agg(F.max(value).alias("asof_value"))
+    following = F.lead("source_date").over(Window.partitionBy(F.lit(0)).orderBy("source_date"))
+    last = F.date_add("source_date", tolerance_days)
+    until = points.withColumn("until", F.least(last, F.coalesce(F.date_sub(following, 1), last)))
+    return until.select(F.explode(F.sequence("source_date", "until")).alias("asof_date"), "source_date", "asof_value")
 
 
 def asof_join(left: DataFrame, right: DataFrame, *, on: str, by: list[str] = (), value: str = "value",
               tolerance_days: int = fixed.MAX_STALENESS_DAYS) -> DataFrame:
-    """JN-03. Backward as-of join; exactly ``tolerance_days`` old is still allowed."""
-    calendar = asof_calendar(right, by=by, on=on, value=value, tolerance_days=tolerance_days)
-    return left.join(calendar.withColumnRenamed("asof_date", on), [*by, on], "left")
+    """JN-03. Backward as-of join; exactly ``tolerance_days`` old is still allowed.
+
+    Time is cut into spans of ``tolerance_days + 1`` days.  The points of a key in
+    one span are one sorted array, of at most a point per day; a left row meets its
+    own span and the one before, whatever the tolerance.
+    """
+    width = tolerance_days + 1
+
+    def span(column: Column) -> Column:
+        return F.floor(F.date_diff(column, F.lit(date(1970, 1, 1))) / width)
+
+    daily = right.groupBy(*by, F.col(on).alias("source_date")).agg(F.max(value).alias("asof_value"))
+    spans = daily.groupBy(*by, span(F.col("source_date")).alias("_span")).agg(
+        F.array_sort(F.collect_list(F.struct("source_date", "asof_value"))).alias("points"))
+    own = spans.withColumnRenamed("points", "own_points")
+    before = spans.withColumn("_span", F.col("_span") + 1).withColumnRenamed("points", "earlier_points")
+    key = [*by, "_span"]
+    met = left.withColumn("_span", span(F.col(on))).join(own, key, "left").join(before, key, "left")
+    nothing = F.array().cast(spans.schema["points"].dataType)
+    usable = F.filter(
+        F.concat(F.coalesce("earlier_points", nothing), F.coalesce("own_points", nothing)),
+        lambda p: (p.source_date <= F.col(on)) & (F.date_diff(F.col(on), p.source_date) <= tolerance_days))
+    found = F.try_element_at(usable, F.lit(-1))
+    return met.withColumn("_found", found).select(
+        *left.columns, F.col("_found.source_date").alias("source_date"), F.col("_found.asof_value").alias("asof_value"))
 
 
 def benchmark_calendar(index: DataFrame, fx: DataFrame) -> DataFrame:
@@ -268,6 +301,23 @@ def fit_error(min_observations: int, min_span_days: int) -> Column:
     )
 
 
+def weekly_points(performance: DataFrame) -> DataFrame:
+    """AG-01. ``weekly`` of ``performance_record`` as rows."""
+    rows = performance.select("code", F.explode("weekly").alias("p")).select("code", "p.*")
+    return rows.withColumn("week", week_start(F.col("date")))
+
+
+def fit_weekly(weekly: DataFrame, calendar: DataFrame, *, min_observations: int = fixed.MIN_OBSERVATIONS,
+               min_span_days: int = fixed.MIN_SPAN_DAYS) -> DataFrame:
+    """AG-04, AG-05. Fit of weekly points; ``calendar`` is ``benchmark_calendar``.
+
+    All funds share the week-end dates, so the calendar is best read from storage:
+    with its size known it is broadcast, and only a larger one is shuffled.
+    """
+    aligned = weekly.join(calendar, "date")
+    return gated_fit(fit_statistics(weekly_returns(aligned)), min_observations, min_span_days)
+
+
 def benchmark_fit(nav: DataFrame, index: DataFrame, fx: DataFrame, *, as_of,
                   min_observations: int = fixed.MIN_OBSERVATIONS,
                   min_span_days: int = fixed.MIN_SPAN_DAYS) -> DataFrame:
@@ -314,14 +364,21 @@ def check_monotonic(points: DataFrame) -> DataFrame:
     return pairs.where("next_date <= date")
 
 
-def reconcile_nav(nav: DataFrame, pages: DataFrame, *, as_of, reloaded: bool = False) -> DataFrame:
-    """JN-11. Page's latest NAV against the series: ok, mismatch, page_lead, missing, skipped."""
-    shown = pages.select("code", "latest_nav_date", "latest_nav_value")
-    joined = shown.join(nav.select("code", "date", "nav"), "code", "left")
-    seen = joined.groupBy("code").agg(
-        F.max("latest_nav_date").alias("page_date"), F.max("latest_nav_value").alias("page_value"),
-        F.max(F.when(F.col("date") == F.col("latest_nav_date"), F.col("nav"))).alias("series_value"),
-        F.max(F.when(F.col("date") <= as_date(as_of), F.col("date"))).alias("series_date"))
+def reconcile_nav(nav: DataFrame, pages: DataFrame, *, as_of, reloaded: bool = False,
+                  last_dates: DataFrame | None = None) -> DataFrame:
+    """JN-11. Page's latest NAV against the series: ok, mismatch, page_lead, missing, skipped.
+
+    The value comes by an equi join on code and date, the last date from an
+    aggregate or from ``last_dates(code, series_date)``; no history meets its fund
+    row by row.
+    """
+    shown = pages.groupBy("code").agg(
+        F.max("latest_nav_date").alias("page_date"), F.max("latest_nav_value").alias("page_value"))
+    values = nav.select("code", F.col("date").alias("page_date"), F.col("nav").alias("series_value"))
+    last = last_dates if last_dates is not None else visible(nav, as_of, "date").groupBy("code").agg(
+        F.max("date").alias("series_date"))
+    seen = shown.join(values, ["code", "page_date"], "left").join(last, "code", "left").select(
+        "code", "page_date", "page_value", "series_value", "series_date")
     lead = F.date_diff("page_date", "series_date")
     status = (
         F.when(F.col("page_date").isNull() | F.col("page_value").isNull()
@@ -334,8 +391,22 @@ def reconcile_nav(nav: DataFrame, pages: DataFrame, *, as_of, reloaded: bool = F
     return seen.withColumn("status", status)
 
 
-def default_as_of() -> date:
-    """Today at +08:00, the day a run is dated by."""
-    from datetime import datetime, timezone
+def reconcile_issues(reconciled: DataFrame) -> DataFrame:
+    """JN-11. A history that contradicts the fund page, or lacks its date, is fatal."""
+    reason = F.when(F.col("status") == "mismatch", "nav_page_mismatch").when(F.col("status") == "missing", "nav_page_missing")
+    return issues_of(reconciled, F.col("code"), reason, F.col("page_date"))
+
+
+def reconcile_warnings(reconciled: DataFrame) -> DataFrame:
+    """JN-11. Texts for pages that are ahead of a history that was reloaded."""
+    text = F.concat("code", F.lit(" 的基金主页净值已更新至 "), F.col("page_date").cast("string"), F.lit("，历史净值至 "),
+                    F.col("series_date").cast("string"), F.lit("，已强制重新验证完整历史并按后者计算。"))
+    return reconciled.where("status = 'page_lead'").select(text.alias("text"))
+
 
-    return datetime.now(timezone(timedelta(hours=8))).date()
+def coverage_issues(coverage: DataFrame, name: str) -> DataFrame:
+    """AG-13. A series that does not cover the window or is stale is fatal."""
+    both = F.array_compact(F.array(
+        F.when(~F.col("covered"), F.lit(f"{name}_not_covered")), F.when(~F.col("fresh"), F.lit(f"{name}_stale"))))
+    rows = coverage.select("last_date", F.explode(both).alias("reason"))
+    return issues_of(rows, F.lit(name), F.col("reason"), F.col("last_date"))

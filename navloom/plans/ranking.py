@@ -1,8 +1,12 @@
-"""The full ranking, composed lazily from the operators."""
+"""The full ranking, composed from the operators.
+
+Four tables of one row per fund are staged while a run is built; what follows them
+is lazy.
+"""
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -17,12 +21,26 @@ from navloom.operators import quota as quo
 from navloom.operators import ranking as rank
 from navloom.operators import timeseries as ts
 from navloom.operators.quality import gate, issues_of, union_all
-from navloom.session import cut_lineage
+from navloom.session import staged
+
+
+@dataclass
+class Disclosures:
+    """Listings, ``texts(announcement_id, text, error)`` and the benchmark catalog."""
+
+    announcements: DataFrame
+    texts: DataFrame
+    benchmarks: DataFrame
 
 
 @dataclass
 class Tables:
-    """Input tables; the last group comes from ``parse_documents`` or is given."""
+    """Input tables.
+
+    The document tables come from ``disclosures``, parsed for the funds that pass
+    the return thresholds, or are given.  ``report_holdings`` has one set of rows per
+    document; ``report_totals`` says which funds list it.
+    """
 
     funds: DataFrame
     holder_periods: DataFrame
@@ -31,12 +49,15 @@ class Tables:
     nav: DataFrame
     index_levels: DataFrame
     fx_rates: DataFrame
-    report_totals: DataFrame  # code, announcement_id, report_date, published_date, source_url, ...
-    report_holdings: DataFrame
     instruments: DataFrame
-    transitions: DataFrame
-    failed_notices: DataFrame
+    report_totals: DataFrame | None = None  # code, announcement_id, report_date, published_date, source_url, ...
+    report_holdings: DataFrame | None = None
+    transitions: DataFrame | None = None
+    failed_notices: DataFrame | None = None
     profiles: DataFrame | None = None  # contract_benchmark and holding_cost per code
+    disclosures: Disclosures | None = None
+    issues: DataFrame | None = None  # what the loaders found
+    warnings: DataFrame | None = None  # what the loaders report, as text
 
 
 @dataclass
@@ -53,6 +74,7 @@ class Params:
     min_span_days: int = fixed.MIN_SPAN_DAYS
     allow_partial_period: bool = False
     short_history_is_fatal: bool = True
+    nav_reloaded: bool = False
     # Stages that several results read are written to the checkpoint folder once.
     materialize: bool = True
 
@@ -62,11 +84,12 @@ def parse_documents(announcements: DataFrame, texts: DataFrame, funds: DataFrame
     """Disclosures to the parsed tables of ``Tables``.
 
     ``texts(announcement_id, text, error)``.  One listing feeds legal documents,
-    reports and notices; only selected documents are parsed.
+    reports and notices; only selected documents of ``funds`` are parsed.
     """
     from navloom.sources.raw import document_url
 
-    listed = announcements.withColumn("source_url", document_url(F.col("announcement_id")))
+    listed = announcements.join(funds.select("code"), "code", "left_semi").withColumn(
+        "source_url", document_url(F.col("announcement_id")))
     url = listed.select("code", "announcement_id", "source_url")
     legal = doc.latest_documents(
         doc.classify_documents(listed), as_of=as_of).where("document_class != 'periodic_report'")
@@ -79,21 +102,24 @@ def parse_documents(announcements: DataFrame, texts: DataFrame, funds: DataFrame
 
     newest = doc.latest_report(quo.on_latest_page(listed), as_of=as_of)
     reports = newest.join(url, ["code", "announcement_id"]).join(texts, "announcement_id", "left")
-    totals = doc.parse_report_totals(reports)
-    holdings = doc.parse_holdings(reports)
-    facts = reports.select("announcement_id", "report_date", "published_date", "source_url")
+    # Share classes list the same report; its text is parsed once.
+    facts = reports.select("code", "announcement_id", "report_date", "published_date", "source_url")
+    single = reports.groupBy("announcement_id").agg(F.first("code").alias("code"), F.first("text").alias("text"))
+    totals = facts.join(doc.parse_report_totals(single).drop("code"), "announcement_id")
+    holdings = doc.parse_holdings(single).drop("code")
 
     selected = doc.notice_order(quo.select_notices(quo.on_latest_page(listed), as_of=as_of))
     notices = selected.join(texts, "announcement_id", "left")
     transitions = doc.parse_notices(notices)
     return {
-        "report_totals": totals.join(facts, "announcement_id"),
+        "report_totals": totals,
         "report_holdings": holdings,
         "transitions": transitions,
         "failed_notices": doc.failed_notices(notices, transitions),
         "profiles": doc.document_profiles(funds, legal, profiles, costs),
         "issues": union_all([
-            doc.report_issues(totals, holdings), doc.missing_reports(funds.select("code"), newest)]),
+            doc.report_issues(totals, facts.select("code", "announcement_id").join(holdings, "announcement_id")),
+            doc.missing_reports(funds.select("code"), newest)]),
     }
 
 
@@ -114,36 +140,65 @@ def eligible_funds(tables: Tables, params: Params) -> tuple[DataFrame, DataFrame
     return eligible, enriched, selection
 
 
-def evaluate(eligible: DataFrame, tables: Tables, params: Params) -> DataFrame:
-    """Every eligible fund with performance, fit, exposure, quota, route and reasons.
+def measure(eligible: DataFrame, tables: Tables, params: Params) -> DataFrame:
+    """Eligible funds with performance, threshold failures, score and benchmark fit.
 
-    The cheap attribute filter and the return thresholds run before documents
-    are joined; failed funds stay as rows with their reasons.
+    The price history is read and dealt by fund once: the same pass gives the
+    record and the weekly points.  Fits are computed for funds that pass.
     """
-    codes = eligible.select("code")
-    nav = tables.nav.join(codes, "code", "left_semi")
-    performance = ts.performance_record(nav, as_of=params.as_of)
-    fit = ts.benchmark_fit(nav, tables.index_levels, tables.fx_rates, as_of=params.as_of,
-                           min_observations=params.min_observations, min_span_days=params.min_span_days)
-    measured = eligible.join(performance, "code", "left").join(
+    nav = tables.nav.join(eligible.select("code"), "code", "left_semi")
+    performance = ts.performance_record(
+        nav, as_of=params.as_of, weekly_years=fixed.BENCHMARK_WINDOW_YEARS)
+    measured = stage(elig.with_score(eligible.join(performance, "code", "left").withColumn(
+        "failures", elig.performance_failures(params.min_return_pct))), params)
+    calendar = stage(ts.benchmark_calendar(tables.index_levels, tables.fx_rates), params)
+    fit = ts.fit_weekly(
+        ts.weekly_points(measured.where("size(failures) = 0")), calendar,
+        min_observations=params.min_observations, min_span_days=params.min_span_days)
+    joined = measured.drop("weekly").join(
         fit.withColumnRenamed("start_date", "fit_start_date").withColumnRenamed("end_date", "fit_end_date"),
         "code", "left")
-    measured = measured.withColumn("failures", elig.performance_failures(params.min_return_pct)).withColumn(
-        "fit_error", F.when(F.col("correlation").isNull(),
-                            F.coalesce("fit_error", F.lit("too_few_observations"))))
-    measured = stage(elig.with_score(measured), params)
+    return joined.withColumn("fit_error", F.when(
+        F.col("correlation").isNull(), F.coalesce("fit_error", F.lit("too_few_observations"))))
+
+
+def with_documents(tables: Tables, measured: DataFrame, params: Params) -> Tables:
+    """Tables with the disclosures of the funds that pass the thresholds, parsed."""
+    if tables.disclosures is None:
+        return tables
+    funds = tables.funds.join(measured.where("size(failures) = 0").select("code"), "code", "left_semi")
+    given = tables.disclosures
+    parsed = parse_documents(given.announcements, given.texts, funds, given.benchmarks, params.as_of)
+    found = parsed.pop("issues")
+    issues = found if tables.issues is None else tables.issues.unionByName(found)
+    parsed = {name: stage(df, params) for name, df in parsed.items()}
+    return replace(tables, issues=stage(issues, params), **parsed)
+
 
-    qualified = measured.where("size(failures) = 0")
+def contributed_holdings(tables: Tables, qualified: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Reports of the qualified funds, and their holdings with what each contributes."""
     reports = tables.report_totals.join(qualified.select("code"), "code", "left_semi")
     dated = tables.report_holdings.join(
-        reports.select("announcement_id", "report_date"), "announcement_id")
-    contributed = expo.contributions(expo.resolve_instruments(dated, tables.instruments))
+        reports.select("code", "announcement_id", "report_date"), "announcement_id")
+    return reports, expo.contributions(expo.resolve_instruments(dated, tables.instruments))
+
+
+def evaluate(measured: DataFrame, tables: Tables, params: Params) -> DataFrame:
+    """Every eligible fund with performance, fit, exposure, quota, route and reasons.
+
+    The return thresholds run before documents are joined; failed funds stay as
+    rows with their reasons.
+    """
+    qualified = measured.where("size(failures) = 0").select("code")
+    reports, contributed = contributed_holdings(tables, qualified)
     interval = expo.exposure_interval(reports, contributed).join(
-        reports.select("announcement_id", "code", "published_date",
-                       F.col("source_url").alias("exposure_source_url")), "announcement_id")
+        reports.select("code", "announcement_id", "published_date",
+                       F.col("source_url").alias("exposure_source_url")), ["code", "announcement_id"])
+    pages = tables.fund_pages.join(qualified, "code", "left_semi")
     state = quo.quota_state(
-        tables.fund_pages.select("code", "purchase_status", "page_agency_limit_cny", "fund_page_url"),
-        tables.transitions, tables.failed_notices, as_of=params.as_of)
+        pages.select("code", "purchase_status", "page_agency_limit_cny", "fund_page_url"),
+        tables.transitions.join(qualified, "code", "left_semi"),
+        tables.failed_notices.join(qualified, "code", "left_semi"), as_of=params.as_of)
 
     passed = F.size("failures") == 0
     joined = measured.join(interval, "code", "left").join(state, "code", "left")
@@ -159,8 +214,12 @@ def evaluate(eligible: DataFrame, tables: Tables, params: Params) -> DataFrame:
     })
 
 
-def run_issues(enriched: DataFrame, evaluated: DataFrame, params: Params) -> DataFrame:
-    """Fatal findings of the evaluation; a missing fit only matters on the main list."""
+def run_issues(enriched: DataFrame, evaluated: DataFrame, tables: Tables, params: Params,
+               reconciled: DataFrame | None = None) -> DataFrame:
+    """Fatal findings: of loading and parsing, of the evaluation, of pages and benchmark series.
+
+    A missing fit only matters on the main list.
+    """
     passed = F.size("failures") == 0
     fit = F.when((F.col("ranking_list") == fixed.MAIN_LIST) & F.col("fit_error").isNotNull(), "fit_unavailable")
     exposure = F.when(passed & F.col("confirmed_pct").isNull(), "exposure_missing")
@@ -171,23 +230,60 @@ def run_issues(enriched: DataFrame, evaluated: DataFrame, params: Params) -> Dat
         frames.append(issues_of(evaluated, F.col("code"), reason, F.col("fit_error")))
     severity = "fatal" if params.short_history_is_fatal else "warning"
     frames.append(ts.history_issues(evaluated, severity))
+    frames += [ts.coverage_issues(ts.series_coverage(series, as_of=params.as_of), name)
+               for name, series in (("index", tables.index_levels), ("fx", tables.fx_rates))]
+    if reconciled is not None:
+        frames.append(ts.reconcile_issues(reconciled))
+    if tables.issues is not None:
+        frames.append(tables.issues)
     return union_all(frames)
 
 
+def reconcile(eligible: DataFrame, evaluated: DataFrame, tables: Tables, params: Params) -> DataFrame | None:
+    """JN-11 for the eligible funds, where the pages show a latest value."""
+    if not {"latest_nav_date", "latest_nav_value"} <= set(tables.fund_pages.columns):
+        return None
+    codes = eligible.select("code")
+    return ts.reconcile_nav(
+        tables.nav.join(codes, "code", "left_semi"), tables.fund_pages.join(codes, "code", "left_semi"),
+        as_of=params.as_of, reloaded=params.nav_reloaded,
+        last_dates=evaluated.select("code", F.col("nav_history_end_date").alias("series_date")))
+
+
+def run_warnings(selection: DataFrame, evaluated: DataFrame, main: DataFrame, supplement: DataFrame,
+                 tables: Tables, params: Params, reconciled: DataFrame | None) -> DataFrame:
+    """AG-18. Every distinct text that the run reports."""
+    routed = evaluated.where("ranking_list is not null")
+    _, contributed = contributed_holdings(tables, routed.select("code"))
+    frames = [
+        elig.period_warnings(selection), expo.exposure_warnings(routed), expo.holding_warnings(contributed),
+        quo.quota_warnings(routed), rank.short_list_warnings(main, supplement, params.top)]
+    if tables.profiles is not None:
+        frames.append(doc.profile_warnings(tables.profiles.join(routed.select("code"), "code", "left_semi")))
+    if reconciled is not None:
+        frames.append(ts.reconcile_warnings(reconciled))
+    if tables.warnings is not None:
+        frames.append(tables.warnings)
+    return union_all([f.select("text") for f in frames]).distinct()
+
+
 def stage(df: DataFrame, params: Params) -> DataFrame:
-    """Cut the lineage of a one-row-per-fund table that is read several times."""
-    return cut_lineage(df) if params.materialize else df
+    """Stage a table that is read several times."""
+    return staged(df) if params.materialize else df
 
 
-def build_ranking(tables: Tables, params: Params) -> dict[str, DataFrame]:
-    """PIPE-01. All results of a run as DataFrames over the staged fund tables.
+def build_ranking(tables: Tables, params: Params) -> dict:
+    """PIPE-01. All results of a run as DataFrames, and ``tables`` with the parsed documents.
 
-    The price history is read for two staged tables only; everything after
-    them works on one row per fund.
+    The price history is read for one staged table, and once more where pages show
+    a value to reconcile; everything after works on one row per fund.
     """
     eligible, enriched, selection = eligible_funds(tables, params)
     eligible = stage(eligible, params)
-    evaluated = stage(evaluate(eligible, tables, params), params)
+    measured = stage(measure(eligible, tables, params), params)
+    tables = with_documents(tables, measured, params)
+    evaluated = stage(evaluate(measured, tables, params), params)
+    reconciled = reconcile(eligible, evaluated, tables, params)
     passed = evaluated.where("ranking_list is not null and quota_reason is null")
     main, supplement = rank.rank_main(passed, params.top), rank.rank_supplement(passed, params.top)
     ranked = main.unionByName(supplement)
@@ -196,16 +292,13 @@ def build_ranking(tables: Tables, params: Params) -> dict[str, DataFrame]:
         rank.exclusion_rows(failures, F.col("failure")),
         rank.exclusion_rows(evaluated, F.col("quota_reason")),
         rank.exclusion_rows(rank.capped(passed, ranked), "ranking_cap")])
-    warnings = union_all([
-        elig.period_warnings(selection).select("text"),
-        expo.exposure_warnings(evaluated.where("ranking_list is not null")).select("text"),
-        quo.quota_warnings(evaluated.where("ranking_list is not null")).select("text"),
-        rank.short_list_warnings(main, supplement, params.top)]).distinct()
+    warnings = run_warnings(selection, evaluated, main, supplement, tables, params, reconciled)
     return {
         "eligible": eligible, "evaluated": evaluated, "main": main, "supplement": supplement,
         "ranking": rank.union_lists(main, supplement), "exclusions": rank.exclusion_codes(exclusions),
         "exclusion_summary": rank.exclusion_summary(exclusions), "funnel": rank.funnel(evaluated),
-        "warnings": warnings, "issues": run_issues(enriched, evaluated, params), "selection": selection,
+        "warnings": warnings, "issues": run_issues(enriched, evaluated, tables, params, reconciled),
+        "selection": selection, "tables": tables,
     }
 
 
@@ -215,15 +308,12 @@ def ranking_record(ranked: DataFrame, tables: Tables, params: Params) -> DataFra
     Components and sources are collected for ranked funds only; a report lists
     ten positions and a fund has at most twelve selected notices.
     """
-    codes = F.broadcast(ranked.select("code"))  # at most 2 * top rows
-    reports = tables.report_totals.join(codes, "code", "left_semi")
-    dated = tables.report_holdings.join(reports.select("announcement_id", "report_date"), "announcement_id")
-    parts = expo.exposure_components(
-        reports, expo.contributions(expo.resolve_instruments(dated, tables.instruments)))
-    nested = parts.join(reports.select("announcement_id", "code"), "announcement_id").groupBy("code").agg(
+    codes = ranked.select("code")
+    parts = expo.exposure_components(*contributed_holdings(tables, codes))
+    nested = parts.groupBy("code").agg(
         F.array_sort(F.collect_list(F.struct(
             F.coalesce("rank", F.lit(99)).alias("rank"),
-            *[c for c in parts.columns if c not in ("announcement_id", "rank")]))).alias("components"))
+            *[c for c in parts.columns if c not in ("code", "announcement_id", "rank")]))).alias("components"))
     sources = quo.quota_sources(
         tables.transitions.join(codes, "code", "left_semi"), tables.failed_notices, as_of=params.as_of)
     sources = sources.groupBy("code").agg(F.array_sort(F.collect_set("source_url")).alias("quota_source_urls"))

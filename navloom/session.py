@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,18 +31,35 @@ def build_session(app: str = "navloom", master: str | None = None, **extra: str)
     return builder.getOrCreate()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and read on from there.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder named in ``spark.checkpoint.dir``.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``.  A
-    temporary one is made only for a session that names none on a local master.
+    A session that names none gets a folder of its own, which only works on a
+    local master, as in tests.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if not context.getCheckpointDir():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder:
             if not context.master.startswith("local"):
                 raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="navloom-checkpoint-")
+            folder = tempfile.mkdtemp(prefix="spark-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder and read on from there.
+
+    The lineage is cut, lost executors lose nothing, and later plans see pruned
+    columns and real sizes.
+    """
+    path = f"{checkpoint_folder(df.sparkSession)}/staged-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Checkpoint ``df`` in the shared folder and read on from there."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)

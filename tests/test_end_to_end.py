@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from navloom import schemas
 from navloom.operators import validation as val
+from navloom.operators.quality import DataError
 from navloom.plans import ranking as plan
 from navloom.plans.validation import benchmark_metadata, validate_run
 from navloom.sources import catalogs, sinks
@@ -15,8 +16,8 @@ AS_OF = D(2026, 8, 20)
 MOVES = [0.01, -0.005, 0.02, -0.004]
 
 
-@pytest.fixture(scope="module")
-def run(spark):
+def build(spark, change=lambda rows: rows):
+    """A run over three funds; ``change`` may alter the ``(announcement_id, text, error)`` rows."""
     nav, index, level = [], [], 100.0
     wealth = {"000001": 1.0, "000002": 1.0, "000003": 1.0}
     for i in range(191):
@@ -43,25 +44,39 @@ def run(spark):
     index_frame = spark.createDataFrame(index, schemas.SERIES)
     fx = spark.createDataFrame([(d, 7.0) for d, _ in index], schemas.SERIES)
     fund_frame = spark.createDataFrame(funds, schemas.FUNDS)
-    parsed = plan.parse_documents(
-        spark.createDataFrame(announced, schemas.ANNOUNCEMENTS), spark.createDataFrame(texts, "announcement_id string, text string, error string"),
-        fund_frame, catalogs.load_benchmarks(spark), AS_OF)
+    given = plan.Disclosures(
+        spark.createDataFrame(announced, schemas.ANNOUNCEMENTS),
+        spark.createDataFrame(change(texts), "announcement_id string, text string, error string"), catalogs.load_benchmarks(spark))
     tables = plan.Tables(
         funds=fund_frame, holder_periods=spark.createDataFrame([(D(2025, 12, 31), 3, "2025_4")], schemas.HOLDER_PERIODS),
         holders=spark.createDataFrame([("2025_4", c, 10.0, 90.0, 1.0) for c, _, _ in funds], schemas.HOLDERS),
         fund_pages=spark.createDataFrame(pages, schemas.FUND_PAGES), nav=spark.createDataFrame(nav, schemas.NAV),
-        index_levels=index_frame, fx_rates=fx, report_totals=parsed["report_totals"],
-        report_holdings=parsed["report_holdings"], instruments=catalogs.load_instruments(spark),
-        transitions=parsed["transitions"], failed_notices=parsed["failed_notices"], profiles=parsed["profiles"])
+        index_levels=index_frame, fx_rates=fx, instruments=catalogs.load_instruments(spark), disclosures=given)
     params = plan.Params(as_of=AS_OF)
     results = plan.build_ranking(tables, params)
-    records = plan.ranking_record(results["ranking"], tables, params).cache()
+    records = plan.ranking_record(results["ranking"], results["tables"], params).cache()
     metadata = benchmark_metadata(index_frame, fx, "https://index", "https://fx")
-    return parsed, results, records, metadata
+    return results, records, metadata
+
+
+@pytest.fixture(scope="module")
+def run(spark):
+    return build(spark)
+
+
+def test_unreadable_report_blocks_publication(spark, tmp_path):
+    def lose(rows):
+        return [(k, None if k == "r000002" else t, "lost" if k == "r000002" else e) for k, t, e in rows]
+
+    results, records, _ = build(spark, lose)
+    assert ("000002", "unreadable") in {(r.code, r.reason) for r in results["issues"].collect()}
+    with pytest.raises(DataError):
+        plan.publish(results, records, str(tmp_path / "run"))
+    assert not (tmp_path / "run").exists()
 
 
 def test_ranked_records(run):
-    parsed, results, records, _ = run
+    results, records, _ = run
     got = {r.code: r for r in records.collect()}
     assert set(got) == {"000001", "000002"}
     first, second = got["000001"], got["000002"]
@@ -74,13 +89,13 @@ def test_ranked_records(run):
     assert first.contract_benchmark.product_summary_status == "matched"
     assert first.holding_cost.annualized_pct == 0.66
     assert first.product_structure_tags == ["主动", "股票/混合", "大盘成长"]
-    assert parsed["issues"].count() == 0 and results["issues"].count() == 0
+    assert results["issues"].count() == 0
     assert [(r.reason, r.code) for r in results["exclusions"].collect()] == [("three_year_return_below_threshold", "000003")]
     assert results["funnel"].first().full_scan_completed
 
 
 def test_validation_accepts_and_rejects(run):
-    _, results, records, metadata = run
+    results, records, metadata = run
     assert validate_run(records, results, as_of=AS_OF, benchmark=metadata).collect() == []
 
     def broken(change, check):
@@ -100,7 +115,7 @@ def test_validation_accepts_and_rejects(run):
 
 
 def test_sinks_and_parity(spark, run, tmp_path):
-    _, results, records, _ = run
+    results, records, _ = run
     plan.publish(results, records, str(tmp_path / "run"))
     plan.publish(results, records, str(tmp_path / "run"))
     assert spark.read.json(str(tmp_path / "run")).count() == 2

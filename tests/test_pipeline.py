@@ -93,17 +93,17 @@ def test_exposure_golden(spark):
     assert _interval(spark, 49.99, 1.0, [("UNKNOWN", 1.0)])[0].status == "ambiguous"
 
 
-def test_large_catalog_join_equals_inline(spark, monkeypatch):
+def test_alias_hits_of_any_length(spark):
     texts = spark.createDataFrame([(1, "ABCDEFGHIJKL"), (2, "XXBCDYY"), (3, "ZQ"), (4, "")], "k int, t string")
     catalog = spark.createDataFrame([(0, ["CDEFGHIJK", "NOPE"]), (1, ["BCD"]), (2, ["Q"]), (3, ["ABCDEFGHX"])],
                                     "position int, normalized_aliases array<string>")
-    inline = sorted(map(tuple, matching.alias_hits(texts, "k", "t", catalog).collect()))
-    joined = sorted(map(tuple, matching.alias_hits(texts, "k", "t", catalog, limit=1).collect()))
-    assert inline == joined == [(1, 0), (1, 1), (2, 1), (3, 2)]
+    assert sorted(map(tuple, matching.alias_hits(texts, "k", "t", catalog).collect())) == [(1, 0), (1, 1), (2, 1), (3, 2)]
+    # Matches across the border of two pieces, and a catalog without aliases.
+    long = spark.createDataFrame([(n, "A" * n + "CDEFGHIJK") for n in range(240, 262)], "k int, t string")
+    assert sorted(r.k for r in matching.alias_hits(long, "k", "t", catalog).where("position = 0").collect()) == list(range(240, 262))
+    assert matching.alias_hits(texts, "k", "t", catalog.where("false")).count() == 0
     rows = spark.createDataFrame([("r", 1, "Invesco QQQ Trust Series 1", 1.0, None, D(2026, 6, 30)),
                                   ("r", 2, "nothing", 1.0, None, D(2026, 6, 30))], schemas.REPORT_HOLDINGS + ", report_date date")
-    monkeypatch.setattr(expo, "small_catalog", lambda c: None)
-    monkeypatch.setattr(matching, "INLINE_ENTRIES", 1)
     got = {r.rank: r.category for r in expo.resolve_instruments(rows, catalogs.load_instruments(spark)).collect()}
     assert got == {1: "us_equity", 2: None}
 
