@@ -30,6 +30,8 @@ SAMPLE_TOKEN = TOKEN_CHARS + "{8,}"
 MIN_LENGTH = 20
 # Log-likelihood ratio, in nats, from which a token counts as random.
 MIN_RATIO = 12.0
+# Weight of a character's own frequency beside the counts of its pair.
+BACKOFF = 10.0
 # Codes of the model alphabet: plus to z.
 LOW, SIZE = 43, 80
 
@@ -79,26 +81,39 @@ def train(docs: DataFrame) -> list[float]:
     """Log-likelihood ratios, random against ordinary, of all character pairs.
 
     Every document gives the values of its rule spans and one ordinary token, the
-    one its text's hash points at.  Both models add one to every pair, so that an
-    empty table, or one without secrets, gives a flat model.  At most two counts
-    for every pair of the alphabet reach the driver.
+    one its text's hash points at, rule spans excepted.  An empty table, or one
+    without secrets, gives a flat model.  At most two counts for every pair of the
+    alphabet reach the driver.
     """
-    text = F.col("text")
-    ordinary = F.regexp_extract_all(text, F.lit(SAMPLE_TOKEN), F.lit(0))
-    secrets = F.transform(base_spans(text), lambda s: F.struct(
+    found = docs.where("text is not null").select("text", base_spans(F.col("text")).alias("base"))
+    tokens = F.filter(F.regexp_extract_all("text", F.lit(SAMPLE_TOKEN), F.lit(0)),
+                      lambda t: ~F.exists("base", lambda s: F.contains(s.found, t)))
+    secrets = F.transform("base", lambda s: F.struct(
         F.lit(1).alias("random"),
         F.when(s.kind == "assign", F.regexp_extract(s.found, ASSIGN, 2)).otherwise(s.found).alias("token")))
-    one = F.transform(F.array(ordinary), lambda o: F.when(F.size(o) > 0, F.struct(
-        F.lit(0).alias("random"), F.element_at(o, 1 + F.pmod(F.xxhash64(text), F.size(o)).cast("int")).alias("token"))))
-    samples = docs.where("text is not null").select(F.explode(F.concat(secrets, one)).alias("s")).where("s is not null")
+    one = F.transform(F.array(tokens), lambda o: F.when(F.size(o) > 0, F.struct(
+        F.lit(0).alias("random"), F.element_at(o, 1 + F.pmod(F.xxhash64("text"), F.size(o)).cast("int")).alias("token"))))
+    samples = found.select(F.explode(F.concat(secrets, one)).alias("s")).where("s is not null")
     rows = samples.select("s.random", F.explode(_pairs(F.col("s.token"))).alias("pair")).groupBy("random", "pair").agg(
         F.count(F.lit(1)).alias("n")).collect()
-    counts = [[1] * (SIZE * SIZE), [1] * (SIZE * SIZE)]
+    counts = [[0] * (SIZE * SIZE), [0] * (SIZE * SIZE)]
     for r in rows:
         counts[r["random"]][r["pair"]] += r["n"]
-    sums = [[sum(c[a * SIZE:(a + 1) * SIZE]) for a in range(SIZE)] for c in counts]
-    return [round(log(counts[1][p] / sums[1][p // SIZE]) - log(counts[0][p] / sums[0][p // SIZE]), 4)
-            for p in range(SIZE * SIZE)]
+    ordinary, random = (_log_model(c) for c in counts)
+    return [round(b - a, 4) for a, b in zip(ordinary, random)]
+
+
+def _log_model(counts: list[int]) -> list[float]:
+    """Log probability of each second character given the first.
+
+    A first character seen seldom falls back on how frequent the second one is, so
+    that characters strange to a model count against it anywhere.
+    """
+    second = [sum(counts[b::SIZE]) for b in range(SIZE)]
+    total = sum(second)
+    share = [(n + 0.5) / (total + 0.5 * SIZE) for n in second]
+    first = [sum(counts[a * SIZE:(a + 1) * SIZE]) for a in range(SIZE)]
+    return [log((counts[p] + BACKOFF * share[p % SIZE]) / (first[p // SIZE] + BACKOFF)) for p in range(SIZE * SIZE)]
 
 
 def find_secrets(docs: DataFrame, ratios: list[float] | None = None, min_length: int = MIN_LENGTH,
