@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from navloom.llm.common import staged
 from navloom.llm.graph import components
-from navloom.llm.grouping import complete_groups, forest, meet, pairs_within
+from navloom.llm.grouping import Linked, complete_groups, meet, pairs_within
 
 THRESHOLD = 0.95
 RECALL = 0.995
@@ -100,7 +100,7 @@ def _linked(threshold: float):
             unit = units(rows)
             earlier = np.arange(codes.shape[1])
             links = np.zeros(len(rep), np.int64)
-            found_i, found_j = [], []
+            found = Linked(len(rep))
             for i, j in pairs_within(groups, side, one):
                 near = (np.einsum("ij,ij->i", unit[i], unit[j]) >= threshold) & (sizes[i] == sizes[j])
                 i, j = i[near], j[near]
@@ -110,10 +110,9 @@ def _linked(threshold: float):
                 if len(i):
                     np.add.at(links, i, copies[j])
                     np.add.at(links, j, copies[i])
-                    found_i.append(i)
-                    found_j.append(j)
-            if found_i:
-                a, b = forest(len(rep), np.concatenate(found_i), np.concatenate(found_j))
+                    found.add(i, j)
+            a, b = found.edges()
+            if len(a):
                 at = np.flatnonzero(links)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate([rep[a], rep[at]])),

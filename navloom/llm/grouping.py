@@ -74,6 +74,29 @@ def pairs_within(groups: np.ndarray, side: np.ndarray, one_shard: np.ndarray,
         step += 1
 
 
+class Linked:
+    """Linked row pairs of a part, kept as a spanning forest once they are many."""
+
+    LIMIT = 200_000
+
+    def __init__(self, size: int):
+        self.size, self.held, self.pairs = size, 0, []
+
+    def add(self, i: np.ndarray, j: np.ndarray) -> None:
+        if len(i):
+            self.pairs.append((i, j))
+            self.held += len(i)
+            if self.held > self.LIMIT + self.size:
+                self.pairs = [self.edges()]
+                self.held = len(self.pairs[0][0])
+
+    def edges(self) -> tuple[np.ndarray, np.ndarray]:
+        """Edges that connect what the pairs connect, fewer than the rows."""
+        if not self.pairs:
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        return forest(self.size, *(np.concatenate(side) for side in zip(*self.pairs)))
+
+
 def forest(size: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Edges (row, least row of its component) that connect what the pairs connect."""
     label = np.arange(size)

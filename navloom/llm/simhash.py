@@ -22,7 +22,7 @@ from xxhash import xxh64_intdigest
 
 from navloom.llm.common import append_columns, as_bytes, id_text, staged
 from navloom.llm.graph import components
-from navloom.llm.grouping import complete_groups, forest, meet, pairs_within
+from navloom.llm.grouping import Linked, complete_groups, meet, pairs_within
 
 WORDS = 4
 SEED = 42
@@ -90,7 +90,7 @@ def _links(bits: int, references: np.ndarray):
             one = part.column("lo").to_numpy() == part.column("hi").to_numpy()
             table = np.bitwise_count(fp[:, None] ^ references[None, :]).astype(np.int8)
             first = table[:, 0].astype(np.int64)
-            found_i, found_j = [], []
+            found = Linked(len(fp))
             for i, j in pairs_within(groups, side, one, lambda a, b: first[b] - first[a] > bits):
                 for k in range(1, len(references)):
                     near = np.abs(table[i, k] - table[j, k]) <= bits
@@ -98,11 +98,9 @@ def _links(bits: int, references: np.ndarray):
                     if not len(i):
                         break
                 near = np.bitwise_count(fp[i] ^ fp[j]) <= bits
-                if near.any():
-                    found_i.append(i[near])
-                    found_j.append(j[near])
-            if found_i:
-                a, b = forest(len(fp), np.concatenate(found_i), np.concatenate(found_j))
+                found.add(i[near], j[near])
+            a, b = found.edges()
+            if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(rep[a]), pa.array(rep[b])], names=["a", "b"])
 
     return run
