@@ -15,7 +15,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
@@ -138,13 +138,14 @@ def near_duplicates(docs: DataFrame, bits: int = BITS) -> DataFrame:
 def keep_first(docs: DataFrame, bits: int = BITS) -> DataFrame:
     """The rows of ``docs`` whose document is the first, by id, of its group; columns unchanged.
 
-    A group keeps the smallest id; of rows that repeat that id one stays.  Rows with
-    a null id stay.
+    A group keeps the smallest id; of rows that repeat that id the one of the least
+    text hash stays.  Rows with a null id stay.  Texts are dealt by id once, at every
+    input size, and the choice among repeated rows uses the same deal.
     """
-    judged = staged(near_duplicates(docs, bits).select(F.col("doc_id").alias("_id"), F.col("component_id").alias("_c")))
+    judged = near_duplicates(docs, bits).select(F.col("doc_id").alias("_id"), F.col("component_id").alias("_c"))
     dropped = judged.where("_id <> _c").select("_id").distinct()
-    repeated = staged(judged.where("_id is not null").groupBy("_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_id"))
-    same = docs["doc_id"].cast("long") == F.col("_id")
-    kept = docs.join(dropped, same, "left_anti")
-    return kept.join(repeated, same, "left_anti").union(
-        kept.join(repeated, same, "left_semi").dropDuplicates(["doc_id"]))
+    named = docs.where("doc_id is not null")
+    kept = named.join(dropped.hint("merge"), named["doc_id"] == F.col("_id"), "left_anti")
+    turn = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
+    one = kept.withColumn("_turn", turn).where("_turn = 1").drop("_turn")
+    return one.union(docs.where("doc_id is null"))
