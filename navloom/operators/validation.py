@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,22 +21,39 @@ _SIX_DIGITS = r"^\d{6}$"
 _SHA256 = r"^[0-9a-f]{64}$"
 
 
+@dataclass(frozen=True)
+class Limits:
+    """What a run was asked for; records are checked against these, not against the defaults."""
+
+    top: int = fixed.TOP
+    min_age_years: int = fixed.MIN_AGE_YEARS
+    min_return_pct: dict = field(default_factory=lambda: dict(fixed.MIN_RETURN_PCT))
+    min_us_equity_pct: float = fixed.MIN_US_EQUITY_PCT
+    min_direct_limit_cny: int = fixed.MIN_DIRECT_LIMIT_CNY
+    main_exclude_keywords: tuple = tuple(fixed.GEOGRAPHY_KEYWORDS)
+    min_observations: int = fixed.MIN_OBSERVATIONS
+    min_span_days: int = fixed.MIN_SPAN_DAYS
+
+
+DEFAULTS = Limits()
+
+
 def _no(condition: Column) -> Column:
     """Violated unless the condition is known to hold."""
     return ~F.coalesce(condition, F.lit(False))
 
 
-def check_records(ranking: DataFrame, *, as_of) -> DataFrame:
+def check_records(ranking: DataFrame, *, as_of, limits: Limits = DEFAULTS) -> DataFrame:
     """DQ-02. Scope, eligibility, threshold, window and routing rules of each record."""
     day = as_date(as_of)
     main = F.col("ranking_list") == fixed.MAIN_LIST
-    geography = has_any(F.col("name"), fixed.GEOGRAPHY_KEYWORDS)
+    geography = has_any(F.col("name"), limits.main_exclude_keywords)
     confirmed = F.col("us_equity_exposure.confirmed_pct")
     possible = F.col("us_equity_exposure.possible_pct")
     reason = F.col("routing_reason")
     rules = [
         Rule("record_code", _no(F.col("code").rlike(_SIX_DIGITS)), "code is not six digits"),
-        Rule("record_rank", _no(F.col("rank").between(1, fixed.TOP)), "rank is outside the list"),
+        Rule("record_rank", _no(F.col("rank").between(1, limits.top)), "rank is outside the list"),
         Rule("record_name", _no(F.col("name") != ""), "name is missing"),
         Rule("record_scope", _no(F.col("fund_type").startswith(fixed.QDII_PREFIX)
                                  | (F.col("fund_type") == fixed.OVERSEAS_INDEX_TYPE)), "type is out of scope"),
@@ -42,9 +61,9 @@ def check_records(ranking: DataFrame, *, as_of) -> DataFrame:
         Rule("record_purchase", _no(F.col("purchase_status").isin("open", "limited")), "not purchasable"),
         Rule("record_scale", _no(is_finite(F.col("scale_100m_cny")) & (F.col("scale_100m_cny") >= 0)),
              "scale is invalid"),
-        Rule("record_age", _no(F.col("inception_date") < years_ago(day, fixed.MIN_AGE_YEARS)),
+        Rule("record_age", _no(F.col("inception_date") < years_ago(day, limits.min_age_years)),
              "not strictly older than the minimum age"),
-        Rule("record_three_year", _no(F.col("three_year_return_pct") >= fixed.MIN_RETURN_PCT[3]),
+        Rule("record_three_year", _no(F.col("three_year_return_pct") >= limits.min_return_pct[3]),
              "three-year return below the threshold"),
         Rule("record_numbers", _no(is_finite(F.col("one_year_return_pct"))
                                    & is_finite(F.col("one_year_max_drawdown_pct"))
@@ -55,12 +74,12 @@ def check_records(ranking: DataFrame, *, as_of) -> DataFrame:
              "exposure interval is invalid"),
         Rule("exposure_source", _no(F.col("us_equity_exposure.source_url") != ""), "exposure has no source"),
         Rule("main_route", main & _no((reason == fixed.ROUTE_CONFIRMED) & ~geography
-                                      & (confirmed >= fixed.MIN_US_EQUITY_PCT)
+                                      & (confirmed >= limits.min_us_equity_pct)
                                       & (F.col("us_equity_exposure.status") == "qualified")),
              "main-list routing is inconsistent"),
         Rule("supplement_route", ~main & _no(
             ((reason == fixed.ROUTE_GEOGRAPHY) & geography)
-            | ((reason == fixed.ROUTE_BELOW) & ~geography & (confirmed < fixed.MIN_US_EQUITY_PCT))),
+            | ((reason == fixed.ROUTE_BELOW) & ~geography & (confirmed < limits.min_us_equity_pct))),
             "supplement routing is inconsistent"),
     ]
     for years in (5, 10):
@@ -72,7 +91,7 @@ def check_records(ranking: DataFrame, *, as_of) -> DataFrame:
                  "incomplete window has dates"),
             Rule(f"{prefix}_window", value.isNotNull() & _no(
                 (start <= end) & (end <= day) & (start <= years_ago(end, years))), "window is incomplete"),
-            Rule(f"{prefix}_threshold", value.isNotNull() & _no(value >= fixed.MIN_RETURN_PCT[years]),
+            Rule(f"{prefix}_threshold", value.isNotNull() & _no(value >= limits.min_return_pct[years]),
                  "return below the conditional threshold"),
         ]
     return violations(ranking, rules, F.col("code"))
@@ -118,14 +137,14 @@ def check_exclusions(codes: DataFrame, summary: DataFrame) -> DataFrame:
                    F.concat_ws(":", "reason", "code"))])
 
 
-def check_benchmark(metadata: DataFrame, *, as_of) -> DataFrame:
+def check_benchmark(metadata: DataFrame, *, as_of, limits: Limits = DEFAULTS) -> DataFrame:
     """DQ-05. Fixed benchmark facts and sources at most seven days old."""
     day = as_date(as_of)
     rules = [
         Rule("benchmark_currency", _no(F.col("currency") == "CNY"), "benchmark is not in CNY"),
         Rule("benchmark_window", _no(F.col("window_years") == fixed.BENCHMARK_WINDOW_YEARS), "window differs"),
-        Rule("benchmark_minimum", _no((F.col("min_observations") == fixed.MIN_OBSERVATIONS)
-                                      & (F.col("min_span_days") == fixed.MIN_SPAN_DAYS)), "minimums differ"),
+        Rule("benchmark_minimum", _no((F.col("min_observations") == limits.min_observations)
+                                      & (F.col("min_span_days") == limits.min_span_days)), "minimums differ"),
     ]
     for prefix in ("index", "fx"):
         start, latest = F.col(f"{prefix}_start_date"), F.col(f"{prefix}_latest_date")
@@ -200,7 +219,7 @@ def check_order(ranking: DataFrame) -> DataFrame:
                           F.col("ranking_list")))
 
 
-def check_limits(ranking: DataFrame) -> DataFrame:
+def check_limits(ranking: DataFrame, limits: Limits = DEFAULTS) -> DataFrame:
     """DQ-08. Status, amount and source of both channels."""
     rules = []
     for channel, allowed in (("direct", ["limited", "unlimited", "suspended"]),
@@ -219,7 +238,7 @@ def check_limits(ranking: DataFrame) -> DataFrame:
     direct = F.col("direct_limit")
     rules += [
         Rule("direct_threshold", _no((direct.status == "unlimited")
-                                     | (F.coalesce(direct.amount_cny, F.lit(0)) >= fixed.MIN_DIRECT_LIMIT_CNY)),
+                                     | (F.coalesce(direct.amount_cny, F.lit(0)) >= limits.min_direct_limit_cny)),
              "direct limit is below the threshold"),
         Rule("quota_sources", (F.col("quota_status") == "limited")
              & (F.coalesce(F.size("quota_source_urls"), F.lit(0)) <= 0), "limited quota has no notice"),
@@ -227,7 +246,7 @@ def check_limits(ranking: DataFrame) -> DataFrame:
     return violations(ranking, rules, F.col("code"))
 
 
-def check_fields(ranking: DataFrame, *, as_of) -> DataFrame:
+def check_fields(ranking: DataFrame, *, as_of, limits: Limits = DEFAULTS) -> DataFrame:
     """DQ-09. Benchmark, cost and fit fields of each record."""
     day = as_date(as_of)
     contract, cost, fit = F.col("contract_benchmark"), F.col("holding_cost"), F.col("benchmark_fit")
@@ -269,9 +288,9 @@ def check_fields(ranking: DataFrame, *, as_of) -> DataFrame:
                                         & (fit.tracking_error_pct
                                            == exact_round("benchmark_fit.tracking_error_pct", 2))),
              "fit has too many decimals"),
-        Rule("fit_observations", main & _no(fit.observations >= fixed.MIN_OBSERVATIONS), "too few observations"),
+        Rule("fit_observations", main & _no(fit.observations >= limits.min_observations), "too few observations"),
         Rule("fit_span", main & _no((fit.end_date <= day) & (F.date_diff(
-            fit.end_date, fit.start_date) >= fixed.MIN_SPAN_DAYS)), "fit span is invalid"),
+            fit.end_date, fit.start_date) >= limits.min_span_days)), "fit span is invalid"),
     ]
     return violations(ranking, rules, F.col("code"))
 

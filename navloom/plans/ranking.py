@@ -6,7 +6,7 @@ is lazy.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field, fields, replace
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -21,6 +21,7 @@ from navloom.operators import quota as quo
 from navloom.operators import ranking as rank
 from navloom.operators import timeseries as ts
 from navloom.operators.quality import gate, issues_of, union_all
+from navloom.operators.validation import Limits
 from navloom.session import staged
 
 
@@ -78,6 +79,10 @@ class Params:
     # Stages that several results read are written to the checkpoint folder once.
     materialize: bool = True
 
+    def limits(self) -> Limits:
+        """The limits that a finished run is validated against."""
+        return Limits(**{f.name: getattr(self, f.name) for f in fields(Limits)})
+
 
 def parse_documents(announcements: DataFrame, texts: DataFrame, funds: DataFrame,
                     benchmarks: DataFrame, as_of) -> dict[str, DataFrame]:

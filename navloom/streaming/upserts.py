@@ -2,13 +2,16 @@
 
 Each micro-batch appends only its own changes under its batch number, and a
 replayed batch overwrites its own partition, so a lost driver leaves no
-duplicates.  The current state is an aggregate over the log.
+duplicates.  The current state is the latest snapshot under the later batches of the
+log; ``compact`` writes a new snapshot of one row per key, after which earlier batches
+are no longer read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
@@ -34,11 +37,36 @@ def stream_quotes(stream: DataFrame, catalog: DataFrame, state_path: str, checkp
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
+def _snapshots(path: str) -> str:
+    return path.rstrip("/") + "_snapshots"
+
+
+def _latest(spark: SparkSession, path: str, key: list[str]) -> DataFrame:
+    """The newest row per key, with its ``batch_id``: snapshot and the batches after it."""
+    log = spark.read.parquet(path)
+    try:
+        snapshots = spark.read.parquet(_snapshots(path))
+    except AnalysisException:
+        snapshots = None
+    if snapshots is not None:
+        through = snapshots.agg(F.max("through")).first()[0]  # from partition names alone
+        kept = snapshots.where(F.col("through") == through).drop("through")
+        log = log.where(F.col("batch_id") > through).unionByName(kept)
+    values = [c for c in log.columns if c not in key]
+    last = log.groupBy(*key).agg(F.max_by(F.struct(*values), "batch_id").alias("r"))
+    return last.select(*key, "r.*")
+
+
+def compact(spark: SparkSession, path: str, key: list[str]) -> None:
+    """Write the state as a snapshot; safe to repeat, and to lose before it is complete."""
+    through = spark.read.parquet(path).agg(F.max("batch_id")).first()[0]
+    _latest(spark, path, key).withColumn("through", F.lit(through)).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy("through").parquet(_snapshots(path))
+
+
 def premium_state(spark: SparkSession, state_path: str) -> DataFrame:
     """Latest valid record per code."""
-    log = spark.read.parquet(state_path)
-    last = log.groupBy("code").agg(F.max_by(F.struct(*RECORD), "batch_id").alias("r"))
-    return last.select("code", "r.*")
+    return _latest(spark, state_path, ["code"]).select("code", *RECORD)
 
 
 def stream_announcements(stream: DataFrame, table_path: str, checkpoint: str, *,
@@ -56,7 +84,5 @@ def stream_announcements(stream: DataFrame, table_path: str, checkpoint: str, *,
 
 def announcement_state(spark: SparkSession, table_path: str, seeded: DataFrame, *, as_of) -> DataFrame:
     """Seeded history merged with the newest landed row of each id."""
-    log = spark.read.parquet(table_path)
-    landed = log.groupBy("code", "announcement_id").agg(
-        F.max_by(F.struct("title", "published_date", "on_latest_page"), "batch_id").alias("a"))
-    return merge_announcements(seeded, landed.select("code", "announcement_id", "a.*"), as_of)
+    landed = _latest(spark, table_path, ["code", "announcement_id"])
+    return merge_announcements(seeded, landed.drop("batch_id"), as_of)

@@ -1,3 +1,4 @@
+import json
 import os
 from datetime import date
 
@@ -161,6 +162,12 @@ def test_streamed_quotes_and_announcements(spark, tmp_path):
     assert land(_quote(change_pct=0.5)) == 0.5
     assert land(_quote(change_pct=0.7), _quote(change_pct=0.8)) == 0.5  # repeated rows keep the old value
     assert land(_quote(price=-1.0)) == 0.5
+    upserts.compact(spark, state, ["code"])
+    upserts.compact(spark, state, ["code"])
+    assert upserts.premium_state(spark, state).count() == 1
+    assert land(_quote(change_pct=0.9)) == 0.9  # later batches over the snapshot
+    upserts.compact(spark, state, ["code"])
+    assert upserts.premium_state(spark, state).first().change_pct == 0.9
     kind = schemas.ANNOUNCEMENTS + ", arrival long"
     spark.createDataFrame([("f", "1", "new", D(2026, 1, 2), True, 2), ("f", "1", "mid", D(2026, 1, 2), True, 1)], kind) \
         .write.parquet(str(tmp_path / "a"))
@@ -181,6 +188,21 @@ def test_gate(spark):
     gate(fatal.where("false"), spark.range(1))
 
 
+def test_catalog_of_another_version_is_refused(spark, tmp_path):
+    entry = {"id": "x", "display_name": "X", "aliases": ["X index"], "market_scope": "us", "market_label": "us",
+             "asset_class": "equity", "style_label": "s", "structure": "standard", "excluded_target": False}
+    for version in (1, 2):
+        (tmp_path / f"{version}.json").write_text(json.dumps({"schema_version": version, "entries": [entry]}))
+    good = catalogs.load_benchmarks(spark, str(tmp_path / "1.json"))
+    assert good.count() == 1 and catalogs.check_benchmarks(good).count() == 0
+    assert {r.rule_id for r in catalogs.check_benchmarks(good.withColumn("id", F.lit(None).cast("string"))).collect()} == {"benchmark_id"}
+    with pytest.raises(DataError):
+        catalogs.load_benchmarks(spark, str(tmp_path / "2.json"))
+    first = catalogs.fingerprint(good).first().fingerprint
+    assert first == catalogs.fingerprint(good.repartition(3)).first().fingerprint
+    assert first != catalogs.fingerprint(good.withColumn("id", F.lit("y"))).first().fingerprint
+
+
 def test_default_catalogs(spark):
     loaded = catalogs.load_exchange_funds(spark)
     assert loaded.issues.count() == 0 and loaded.rows.count() == 25
