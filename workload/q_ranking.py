@@ -198,11 +198,6 @@ def digest(spark, sf):
     return runs.digest(out["ranking"], out["exclusion_summary"], out["warnings"]).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("dq03_closure_check", """SELECT CAST(NULL AS VARCHAR) AS rule_id, CAST(NULL AS VARCHAR) AS key WHERE false""")
-def closure_check(spark, sf):
-    return val.check_closure(_run(spark, sf)["funnel"]).select("rule_id", "key")
-
-
 @query("dq04_check_exclusions", f"""{RUN}, c AS (SELECT reason, count(DISTINCT fund) AS n FROM exclusions GROUP BY reason)
 SELECT 'exclusion_count' AS rule_id, reason AS key FROM c WHERE reason LIKE '%quota%'
 UNION ALL SELECT 'exclusion_label', reason FROM c WHERE reason = 'ranking_cap'""")
