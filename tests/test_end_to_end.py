@@ -9,7 +9,8 @@ from navloom.operators.quality import DataError
 from navloom.plans import ranking as plan
 from navloom.plans.validation import benchmark_metadata, validate_run
 from navloom.sources import catalogs, sinks
-from tests.test_documents import REPORT
+from tests.compose import report
+from tests.test_documents import HELD
 
 D = date
 AS_OF = D(2026, 8, 20)
@@ -34,10 +35,10 @@ def build(spark, change=lambda rows: rows):
     announced, texts = [], []
     for c, _, _ in funds:
         for kind, title, text in (
-                ("p", "某基金招募说明书", "本基金的业绩比较基准为95%×纳斯达克100指数收益率+5%×活期存款利率。"),
+                ("p", "某基金招募说明书", "本基金的业绩比较基准为92%×纳斯达克100指数收益率+8%×存款利率。"),
                 ("s", "某基金(A类份额)基金产品资料概要更新",
-                 "业绩比较基准 95%×纳斯达克100指数收益率+5%×活期存款利率 风险收益特征 基金运作综合费率（年化）0.66%"),
-                ("r", "某基金2026年第2季度报告", REPORT.replace("美国 10.00 10.00", "美国 10.00 60.00")),
+                 "业绩比较基准 92%×纳斯达克100指数收益率+8%×存款利率 风险收益特征 基金运作综合费率（年化）0.66%"),
+                ("r", "某基金2026年第2季度报告", report(us="60.00", funds="60.00 60.00", holdings=HELD)),
                 ("n", "关于调整大额申购限制金额的公告", "限制申购金额（单位：元） 1,000.00")):
             announced.append((c, f"{kind}{c}", title, D(2026, 7, 20), True))
             texts.append((f"{kind}{c}", text, None))

@@ -15,7 +15,7 @@ def test_two_codes_on_one_prospectus_and_report(spark):
     codes = ["000001", "000002"]
     announced = [(c, key, title, date(2026, 7, 20), True) for c in codes for key, title in (
         ("P", "某基金招募说明书"), ("R", "某基金2026年第2季度报告"))]
-    texts = [("P", "本基金的业绩比较基准为95%×纳斯达克100指数收益率+5%×活期存款利率。", None), ("R", REPORT, None)]
+    texts = [("P", "本基金的业绩比较基准为92%×纳斯达克100指数收益率+8%×存款利率。", None), ("R", REPORT, None)]
     funds = spark.createDataFrame([(c, "全球成长(QDII)A", "QDII-股票") for c in codes], schemas.FUNDS)
     parsed = plan.parse_documents(
         spark.createDataFrame(announced, schemas.ANNOUNCEMENTS),
