@@ -320,7 +320,9 @@ def check_premium(snapshot: DataFrame, catalog: DataFrame, status: DataFrame, *,
         Rule("premium_sign", present & _no(F.abs(discount + premium) <= 0.011), "sign differs"),
         Rule("premium_formula", present & _no(premium_check(price, iopv, -premium)),
              "premium differs from price over IOPV"),
-        Rule("premium_future", present & _no((F.col("quote_date") <= day)), "quote is from the future"),
+        Rule("premium_future", present & _no((F.col("quote_date") <= day) & (F.to_date("updated_at") <= day)),
+             "quote is from the future"),
+        Rule("premium_url", present & _no(F.col("quote_source_url").startswith("https://")), "quote URL is invalid"),
     ]
     stored = status.select(*[F.col(c).alias(f"stored_{c}") for c in status.columns], F.lit(1).alias("one"))
     again = snapshot_status(snapshot).withColumn("one", F.lit(1)).join(stored, "one")
@@ -334,6 +336,13 @@ def check_premium(snapshot: DataFrame, catalog: DataFrame, status: DataFrame, *,
         violations(again, [Rule("premium_counts", differs, "status row differs")], F.lit("premium"))])
 
 
+def check_premium_order(stored: DataFrame) -> DataFrame:
+    """DQ-10. Records stored by ``rank`` that are not by premium descending, unknown ones last, then code."""
+    key = F.struct(F.col("premium_pct").isNull(), -F.col("premium_pct"), F.col("code"))
+    breaks = order_breaks(stored.withColumn("ranking_list", F.lit("premium")), key)
+    return violations(breaks, [Rule("premium_order", F.lit(True), "record order differs")], F.col("next_code"))
+
+
 def check_lists(main: DataFrame, supplement: DataFrame) -> DataFrame:
     """SET-02. Codes in both lists or twice in one."""
     return violations(duplicate_codes(main, supplement),

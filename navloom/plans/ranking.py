@@ -91,7 +91,7 @@ def parse_documents(announcements: DataFrame, texts: DataFrame, funds: DataFrame
     ``texts(announcement_id, text, error)``.  One listing feeds legal documents,
     reports and notices; only selected documents of ``funds`` are parsed.
     """
-    from navloom.sources.raw import document_url
+    from navloom.sources.raw import document_url, invisible_announcements
 
     listed = announcements.join(funds.select("code"), "code", "left_semi").withColumn(
         "source_url", document_url(F.col("announcement_id")))
@@ -124,7 +124,8 @@ def parse_documents(announcements: DataFrame, texts: DataFrame, funds: DataFrame
         "profiles": doc.document_profiles(funds, legal, profiles, costs),
         "issues": union_all([
             doc.report_issues(totals, facts.select("code", "announcement_id").join(holdings, "announcement_id")),
-            doc.missing_reports(funds.select("code"), newest)]),
+            doc.missing_reports(funds.select("code"), newest),
+            invisible_announcements(funds.select("code"), listed, as_of)]),
     }
 
 

@@ -243,6 +243,12 @@ def merge_announcements(old: DataFrame, new: DataFrame, as_of) -> DataFrame:
         F.col("published_date") <= as_date(as_of))
 
 
+def invisible_announcements(codes: DataFrame, announcements: DataFrame, as_of) -> DataFrame:
+    """SRC-08. A fund without any announcement published by ``as_of`` is fatal."""
+    seen = announcements.where(F.col("published_date") <= as_date(as_of)).select("code").distinct()
+    return issues_of(codes.join(seen, "code", "left_anti"), F.col("code"), F.lit("announcements_missing"))
+
+
 def document_url(announcement_id: Column) -> Column:
     return F.format_string(fixed.DOCUMENT_URL.replace("{}", "%s"), announcement_id)
 

@@ -13,8 +13,9 @@ from navloom.operators import matching
 from navloom.operators import premium as prem
 from navloom.operators import quota as quo
 from navloom.operators import ranking as rank
+from navloom.operators import validation as val
 from navloom.operators.quality import DataError, gate
-from navloom.sources import catalogs
+from navloom.sources import catalogs, raw
 from navloom.streaming import upserts
 
 D = date
@@ -179,6 +180,21 @@ def test_streamed_quotes_and_announcements(spark, tmp_path):
     assert {(r.announcement_id, r.title) for r in merged.collect()} == {("1", "new"), ("2", "x")}
 
 
+def test_stored_premium_order(spark):
+    good = [(1, "b", 3.0), (2, "a", 2.0), (3, "c", 2.0), (4, "d", None)]
+    schema = "rank int, code string, premium_pct double"
+    assert val.check_premium_order(spark.createDataFrame(good, schema)).count() == 0
+    bad = [(1, "b", 3.0), (2, "c", 2.0), (3, "a", 2.0), (4, "d", None), (5, "e", 1.0)]
+    assert {r.key for r in val.check_premium_order(spark.createDataFrame(bad, schema)).collect()} == {"a", "e"}
+
+
+def test_funds_without_visible_announcements(spark):
+    codes = spark.createDataFrame([("1",), ("2",)], "code string")
+    listed = spark.createDataFrame([("1", "x", "t", D(2026, 1, 1), True), ("2", "y", "t", D(2027, 1, 1), True)], schemas.ANNOUNCEMENTS)
+    found = raw.invisible_announcements(codes, listed, D(2026, 8, 1)).collect()
+    assert [(r.code, r.reason, r.severity) for r in found] == [("2", "announcements_missing", "fatal")]
+
+
 def test_gate(spark):
     fatal = spark.createDataFrame([("f", "r", None, "fatal")], schemas.ISSUES)
     with pytest.raises(DataError):

@@ -2,7 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from navloom.functions.display import format_limit, format_percentage, format_turnover
+from navloom import fixed_values as fixed
+from navloom.functions.display import (
+    format_beta, format_correlation, format_cost, format_limit, format_percentage, format_rule, format_turnover,
+)
 from navloom.functions.numbers import premium_band
 from navloom.operators import premium as prem
 from navloom.operators import validation as val
@@ -95,6 +98,9 @@ def bands(spark, sf):
     return b.table(spark, sf, "events").select("event_id", premium_band(value).alias("band"))
 
 
+_SHARE, _CHANNEL = fixed.SHARE_RULE_LABELS, fixed.CHANNEL_RULE_LABELS
+
+
 @query("fn17_display", """SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey,
   CASE WHEN o_orderpriority = '1-URGENT' THEN '正常开放' WHEN o_orderpriority = '2-HIGH' THEN '待核实'
     WHEN o_orderpriority = '3-MEDIUM' THEN concat(format('{:,}', CAST(o_custkey + 1 AS BIGINT)), '万元')
@@ -102,16 +108,27 @@ def bands(spark, sf):
   CASE WHEN o_orderstatus = 'P' THEN '待核实' WHEN o_custkey % 2 = 1 THEN format('-{:d}.50%', CAST(o_custkey AS BIGINT))
     ELSE format('+{:d}.25%', CAST(o_custkey AS BIGINT)) END AS percent_text,
   CASE WHEN o_orderstatus = 'F' THEN format('{:d}元', CAST(o_custkey % 9000 AS BIGINT))
-    ELSE format('{:d}.50亿元', CAST(o_custkey + 1 AS BIGINT)) END AS turnover_text FROM orders""")
+    ELSE format('{:d}.50亿元', CAST(o_custkey + 1 AS BIGINT)) END AS turnover_text,
+  concat(format('{:.1f}', CAST(o_custkey % 40 * 2.5 AS DOUBLE)), '%') AS correlation_text,
+  format('{:.2f}', CAST(o_custkey % 8 * 0.25 AS DOUBLE)) AS beta_text,
+  CASE WHEN o_orderstatus = 'P' THEN '--' ELSE format('{:.2f}%/年', CAST(o_custkey % 8 * 0.25 AS DOUBLE)) END AS cost_text,
+  CASE WHEN o_custkey % 2 = 0 AND o_custkey % 3 = 0 THEN '不适用' ELSE concat(CASE WHEN o_custkey % 2 = 0 THEN '""" + _SHARE["not applicable"] + """' ELSE '""" + _SHARE["A/C separate"] + """' END, '；',
+    CASE WHEN o_custkey % 3 = 0 THEN '""" + _CHANNEL["same fund-level limit"] + """' ELSE '""" + _CHANNEL["direct and agency limits differ"] + """' END) END AS rule_text FROM orders""")
 def display(spark, sf):
     orders = b.table(spark, sf, "orders").selectExpr(
         "o_orderkey", "case o_orderpriority when '1-URGENT' then 'unlimited' when '2-HIGH' then 'unknown' else 'limited' end as status",
         "case when o_orderpriority = '3-MEDIUM' then (o_custkey + 1) * 10000 else o_custkey end as amount",
         "case when o_orderstatus = 'P' then null when o_custkey % 2 = 1 then -o_custkey - 0.5D else o_custkey + 0.25D end as pct",
-        "case when o_orderstatus = 'F' then cast(o_custkey % 9000 as double) else (o_custkey + 1.5D) * 100000000 end as turnover")
+        "case when o_orderstatus = 'F' then cast(o_custkey % 9000 as double) else (o_custkey + 1.5D) * 100000000 end as turnover",
+        "o_custkey % 40 * 0.025D as correlation", "o_custkey % 8 * 0.25D as beta",
+        "case when o_orderstatus <> 'P' then o_custkey % 8 * 0.25D end as cost",
+        "if(o_custkey % 2 = 0, 'not applicable', 'A/C separate') as share_rule",
+        "if(o_custkey % 3 = 0, 'same fund-level limit', 'direct and agency limits differ') as channel_rule")
     return orders.select("o_orderkey", format_limit(F.col("status"), F.col("amount")).alias("limit_text"),
                          format_percentage("pct", sign=True).alias("percent_text"),
-                         format_turnover("turnover").alias("turnover_text"))
+                         format_turnover("turnover").alias("turnover_text"), format_correlation("correlation").alias("correlation_text"),
+                         format_beta("beta").alias("beta_text"), format_cost("cost").alias("cost_text"),
+                         format_rule(F.col("share_rule"), F.col("channel_rule")).alias("rule_text"))
 
 
 @query("src10_exchange_fund_rules", """WITH f AS (SELECT p_partkey, lpad(CAST(p_partkey AS VARCHAR), 6, '0') AS code, p_size, p_type FROM part)
