@@ -72,7 +72,9 @@ def scan(docs: DataFrame, licenses: DataFrame) -> DataFrame:
     """
     flat = F.trim(F.regexp_replace(canonical(F.col("text")), r"[\n ]+", " "))
     book = licenses.select("license", "family", F.md5(flat).alias("digest")).distinct()
-    found = docs.select("doc_id", F.explode(digests(canonical(F.col("text")))).alias("d"))
+    # The form is a column of its own, so that it is computed once for all its uses.
+    forms = docs.select("doc_id", canonical(F.col("text")).alias("form"))
+    found = forms.select("doc_id", F.explode(digests(F.col("form"))).alias("d"))
     return found.join(book, found.d == book.digest).groupBy("doc_id", "license", "family").agg(F.count(F.lit(1)).alias("n"))
 
 
