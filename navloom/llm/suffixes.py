@@ -14,7 +14,7 @@ whose gram occurs twice in the corpus:
    It compares two suffixes only behind the prefix both are known to share, and gives
    the common prefix of neighbours, from which equal strings follow for every offset of
    a string around its anchor;
-4. removed ranges return to their documents.
+4. removed ranges are gathered by groups of documents and return to them.
 
 A passage that fills a third of the corpus reaches its bucket once for each task and
 variant, because tasks settle their own repeats first.
@@ -109,10 +109,10 @@ def _grams(length: int, gram: int):
                 owner = ids[np.array([r for r, _, _ in held])][piece]
                 order = np.lexsort([owner, grams])
                 grams, owner = grams[order], owner[order]
-                new = np.concatenate([[True], (grams[1:] != grams[:-1]) | (owner[1:] != owner[:-1])])
-                times = np.diff(np.append(np.flatnonzero(new), len(grams)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(grams[new]), pa.array(owner[new]), pa.array(times)], names=["g", "ord", "n"])
+                # A gram that a document has several times is sent twice, which tells as much.
+                same = (grams[1:] == grams[:-1]) & (owner[1:] == owner[:-1])
+                third = np.concatenate([[False, False], same[1:] & same[:-1]])[:len(grams)]
+                yield pa.RecordBatch.from_arrays([pa.array(grams[~third]), pa.array(owner[~third])], names=["g", "ord"])
 
     return run
 
@@ -121,11 +121,11 @@ def _repeated(batches):
     """Of rows sorted by gram, those of grams that occur twice or more; one row is held back at most."""
     before, pending = None, None
     for batch in batches:
-        g, owner, n = (batch.column(i).to_numpy() for i in range(3))
+        g, owner = (batch.column(i).to_numpy() for i in range(2))
         if not len(g):
             continue
         heads = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
-        many = np.add.reduceat(n, heads) >= 2
+        many = np.diff(np.append(heads, len(g))) >= 2
         extra_g, extra_owner = [], []
         if before == g[0]:
             many[0] = True
@@ -270,29 +270,56 @@ def merge(runs: list[Iterator[tuple[int, bytes]]]) -> Iterator[tuple[int, int, b
             node //= 2
 
 
-OUT = "bucket int, ord long, starts array<int>, ends array<int>, docs array<long>, places array<int>, lows array<int>," \
+OUT = "bucket int, owners array<long>, starts array<int>, ends array<int>, docs array<long>, places array<int>, lows array<int>," \
       " highs array<int>, commons array<int>, sizes array<int>, tails binary, befores binary"
-_NAMES = ["bucket", "ord", "starts", "ends", "docs", "places", "lows", "highs", "commons", "sizes", "tails", "befores"]
+_NAMES = ["bucket", "owners", "starts", "ends", "docs", "places", "lows", "highs", "commons", "sizes", "tails", "befores"]
 
 
-def _removed_rows(found: Suffixes, marks: np.ndarray, length: int) -> pa.RecordBatch:
-    """One row of removed ranges for each document."""
+def _removed_rows(found: Suffixes, marks: np.ndarray, length: int, buckets: int) -> pa.RecordBatch:
+    """Removed ranges, one row for each group of documents; its bucket is -1 - group."""
     row, near, far = stretches(marks)
     owner, start, end = found.owner[row], found.position[row] - far, found.position[row] - near + length
-    order = np.lexsort([start, owner])
-    owner, start, end = owner[order], start[order], end[order]
-    heads = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(owner) else np.zeros(0, int)
-    counts = np.diff(np.append(heads, len(owner))).tolist() if len(owner) else []
+    group = (_mixed(owner.view(np.uint64).copy()) % np.uint64(buckets)).astype(np.int64)
+    order = np.lexsort([start, owner, group])
+    group, owner, start, end = group[order], owner[order], start[order], end[order]
+    heads = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(group) else np.zeros(0, np.int64)
+    counts = np.diff(np.append(heads, len(group))).tolist() if len(group) else []
     size = len(heads)
     empty = {"docs": pa.int64()}
     rest = [pa.nulls(size, pa.list_(empty.get(n, pa.int32()))) for n in _NAMES[4:10]] + [pa.nulls(size, pa.binary())] * 2
-    spread = (owner[heads] & 0x7FFFFFFF).astype(np.int32) if size else np.zeros(0, np.int32)
     return pa.RecordBatch.from_arrays(
-        [pa.array(-1 - (spread % 65536)), pa.array(owner[heads] if size else np.zeros(0, np.int64)),
+        [pa.array((-1 - group[heads]).astype(np.int32)), list_column(counts, pa.array(owner)),
          list_column(counts, pa.array(start.astype(np.int32))), list_column(counts, pa.array(end.astype(np.int32))), *rest],
         names=_NAMES)
 
 
+def _by_document(batches):
+    """Step 4: ranges of a group of documents, as one row for each document."""
+
+    def rows(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        owner, start, end = (np.concatenate([b.column(i).flatten().to_numpy() for b in held]) for i in (1, 2, 3))
+        order = np.lexsort([start, owner])
+        owner, start, end = owner[order], start[order], end[order]
+        heads = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+        counts = np.diff(np.append(heads, len(owner))).tolist()
+        return pa.RecordBatch.from_arrays(
+            [pa.array(owner[heads]), list_column(counts, pa.array(start)), list_column(counts, pa.array(end))],
+            names=["k", "starts", "ends"])
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        group = batch.column(0).to_numpy()
+        for part in np.split(np.arange(len(group)), np.flatnonzero(group[1:] != group[:-1]) + 1):
+            if not len(part):
+                continue
+            if held and held[-1].column(0)[0].as_py() != group[part[0]]:
+                yield rows(held)
+                held = []
+            held.append(batch.slice(int(part[0]), len(part)))
+    if held:
+        yield rows(held)
+
+
 def _runs(buckets: int, length: int, gram: int):
     """Step 2: settle the repeats of a task, front-code the rest by bucket."""
 
@@ -305,7 +332,7 @@ def _runs(buckets: int, length: int, gram: int):
         found = Suffixes(owner[order], position[order], low[order], high[order], right, left,
                          common_prefixes(right, length))
         marks = found.earlier(length, gram)
-        yield _removed_rows(found, marks, length)
+        yield _removed_rows(found, marks, length, buckets)
         distance = np.arange(marks.shape[1])
         own = (distance >= found.low[:, None]) & (distance <= found.high[:, None])
         row, near, far = stretches(own & ~marks)
@@ -322,7 +349,7 @@ def _runs(buckets: int, length: int, gram: int):
             tails = [t[c:] for t, c in zip(texts, commons.tolist())]
             befores = [left[i][len(left[i]) - f:] if f else b"" for i, f in zip(at.tolist(), far[mine].tolist())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([b], pa.int32()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.list_(pa.int32())),
+                [pa.array([b], pa.int32()), pa.nulls(1, pa.list_(pa.int64())), pa.nulls(1, pa.list_(pa.int32())),
                  pa.nulls(1, pa.list_(pa.int32())), pa.array([found.owner[at]], pa.list_(pa.int64())),
                  *[pa.array([v], pa.list_(pa.int32())) for v in (
                      found.position[at], near[mine], far[mine], commons, [len(t) for t in tails])],
@@ -367,7 +394,7 @@ def _front_coded(commons: list[int], sizes: list[int], tails: bytes) -> Iterator
         yield common, text
 
 
-def _merged(length: int, gram: int):
+def _merged(buckets: int, length: int, gram: int):
     """Step 3: merge the runs of each bucket; rows of removed ranges pass through."""
 
     def settle(rows: list[dict]) -> pa.RecordBatch:
@@ -392,7 +419,7 @@ def _merged(length: int, gram: int):
             befores += [r["befores"][e - h:e] for e, h in zip(ends, r["highs"])]
         found = Suffixes(column("docs"), column("places"), column("lows"), high, right, [befores[i] for i in at.tolist()],
                          np.array(commons, np.int64))
-        return _removed_rows(found, found.earlier(length, gram), length)
+        return _removed_rows(found, found.earlier(length, gram), length, buckets)
 
     def run(batches):
         rows: list[dict] = []
@@ -400,14 +427,14 @@ def _merged(length: int, gram: int):
             numbers = batch.column(0).to_numpy()
             through = batch.filter(pa.array(numbers < 0))
             if through.num_rows:
-                yield through.select(["ord", "starts", "ends"])
+                yield through.select(["bucket", "owners", "starts", "ends"])
             for row in batch.filter(pa.array(numbers >= 0)).select([0, *range(4, 12)]).to_pylist():
                 if rows and rows[0]["bucket"] != row["bucket"]:
-                    yield settle(rows).select(["ord", "starts", "ends"])
+                    yield settle(rows).select(["bucket", "owners", "starts", "ends"])
                     rows = []
                 rows.append(row)
         if rows:
-            yield settle(rows).select(["ord", "starts", "ends"])
+            yield settle(rows).select(["bucket", "owners", "starts", "ends"])
 
     return run
 
@@ -419,7 +446,7 @@ def _kept(batches):
         out = []
         for text, first, last in zip(texts, starts, ends):
             ranges: list[list[int]] = []
-            for a, b in sorted(zip((x for part in first or [] for x in part), (x for part in last or [] for x in part))):
+            for a, b in sorted(zip(first or [], last or [])):
                 if ranges and a <= ranges[-1][1]:
                     ranges[-1][1] = max(ranges[-1][1], b)
                 else:
@@ -451,15 +478,15 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     keyed = base.select(F.coalesce("doc_id", F.lit(least)).alias("ord"), "text")
     total = base.agg(F.sum(F.expr("octet_length(text)"))).first()[0] or 0
     buckets = max(1, int(total) // BUCKET_BYTES)
-    grams = keyed.mapInArrow(_grams(length, gram), "g long, ord long, n long")
+    grams = keyed.mapInArrow(_grams(length, gram), "g long, ord long")
     repeated = staged(grams.repartition("g").sortWithinPartitions("g").mapInArrow(_repeated, "ord long, g long"))
     wanted = repeated.groupBy(F.col("ord").alias("k")).agg(F.collect_list("g").alias("wanted"))
     runs = keyed.join(wanted, F.col("ord") == F.col("k")).select("ord", "text", "wanted").mapInArrow(
         _runs(buckets, length, gram), OUT)
     removed = runs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
-        _merged(length, gram), "ord long, starts array<int>, ends array<int>")
-    ranges = removed.groupBy(F.col("ord").alias("k")).agg(
-        F.collect_list("starts").alias("starts"), F.collect_list("ends").alias("ends"))
+        _merged(buckets, length, gram), "bucket int, owners array<long>, starts array<int>, ends array<int>")
+    ranges = removed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
+        _by_document, "k long, starts array<int>, ends array<int>")
     return base.join(ranges, F.coalesce("doc_id", F.lit(least)) == F.col("k"), "left").select(
         "doc_id", "text", "starts", "ends").mapInArrow(
         _kept, "doc_id long, n_bytes long, n_removed long, removed array<struct<start:int,end:int>>, kept binary")
