@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from navloom.llm.common import append_columns, as_bytes, held_out
+from navloom.llm.common import append_columns, as_bytes, held_out, staged
 
 BITS = 13
 DIMS = 1 << BITS
@@ -26,6 +26,8 @@ DIMS = 1 << BITS
 ROWS_PER_LANGUAGE = 400
 CENTROIDS = 3
 ROUNDS = 8
+# Sampled ids that may be broadcast: some tens of megabytes.
+BROADCAST_IDS = 1_000_000
 # Cosine distance beyond which a prediction is marked as rejected.
 MAX_DISTANCE = 0.9
 
@@ -115,7 +117,10 @@ def train(docs: DataFrame, max_rows: int = ROWS_PER_LANGUAGE, centroids: int = C
     # The sample is drawn on ids alone and limited within each task before it moves.
     ids = known.select("doc_id", "lang").withColumn("_n", F.row_number().over(order)).where(
         F.col("_n") <= max_rows).select("doc_id", "lang").distinct()
-    sample = known.select("doc_id", "lang", F.col("text").cast("binary").alias("text")).join(F.broadcast(ids), ["doc_id", "lang"])
+    ids = staged(ids)
+    # A corpus with very many languages is joined by a shuffle instead.
+    chosen = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    sample = known.select("doc_id", "lang", F.col("text").cast("binary").alias("text")).join(chosen, ["doc_id", "lang"])
     sums = {r["at"]: r["n"] for r in sample.select("text").mapInArrow(_frequencies, "at long, n long").groupBy("at").agg(
         F.sum("n").alias("n")).collect()}
     total = sums.pop(-1, 0)
