@@ -28,9 +28,9 @@ from navloom.llm.common import slices, staged
 CAPACITY = 1024
 END_ID = 2
 # Segments that one task remembers.
-CACHE_SIZE = 300_000
+CACHE_SIZE = 100_000
 # Pieces of one salt; a salt is ranked by one task.
-PIECES_PER_SALT = 50_000
+PIECES_PER_SALT = 20_000
 
 PIECES = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("piece", T.IntegerType()),
