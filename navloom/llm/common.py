@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import uuid
+import gc
+import time
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -11,11 +12,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from navloom.session import cut_lineage
+from navloom.session import staged  # noqa: F401 - the operators take it from here
 
 # Rows that one Python call handles at a time; bounds the memory of a worker.
 SLICE_ROWS = 256
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,18 +33,16 @@ def held_out() -> Column:
     return F.expr("coalesce(crc32(cast(doc_id as string)) % 3 = 1, false)")
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """Write a table to the shared checkpoint folder and read it back.
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files of finished steps that nothing refers to any more.
 
-    Parquet keeps column pruning and real size statistics, and survives the
-    loss of any executor.
+    It acts when the driver collects garbage, which a driver with little to do may
+    put off for half an hour while the files fill the executors' disks.
     """
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        cut_lineage(df.sparkSession.range(1))
-    path = f"{context.getCheckpointDir()}/staged-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    for _ in range(2):  # what the first pass frees may hold what the second one finds
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def slices(batch: pa.RecordBatch, column: str | None = None) -> Iterator[pa.RecordBatch]:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from navloom.llm.common import as_bytes, list_column, staged
+from navloom.llm.common import as_bytes, list_column, release, staged
 from navloom.llm.decontaminate import rolling
 
 LENGTH = 100
@@ -480,13 +480,17 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     buckets = max(1, int(total) // BUCKET_BYTES)
     grams = keyed.mapInArrow(_grams(length, gram), "g long, ord long")
     repeated = staged(grams.repartition("g").sortWithinPartitions("g").mapInArrow(_repeated, "ord long, g long"))
+    del grams
+    release(docs.sparkSession)
     wanted = repeated.groupBy(F.col("ord").alias("k")).agg(F.collect_list("g").alias("wanted"))
     runs = keyed.join(wanted, F.col("ord") == F.col("k")).select("ord", "text", "wanted").mapInArrow(
         _runs(buckets, length, gram), OUT)
     removed = runs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
         _merged(buckets, length, gram), "bucket int, owners array<long>, starts array<int>, ends array<int>")
-    ranges = removed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
-        _by_document, "k long, starts array<int>, ends array<int>")
+    ranges = staged(removed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
+        _by_document, "k long, starts array<int>, ends array<int>"))
+    del wanted, runs, removed
+    release(docs.sparkSession)
     return base.join(ranges, F.coalesce("doc_id", F.lit(least)) == F.col("k"), "left").select(
         "doc_id", "text", "starts", "ends").mapInArrow(
         _kept, "doc_id long, n_bytes long, n_removed long, removed array<struct<start:int,end:int>>, kept binary")
