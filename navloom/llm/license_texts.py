@@ -103,3 +103,10 @@ def known() -> list[tuple[str, str, str]]:
     whole = [(name, family[name], text) for name, text in TEXTS]
     return whole + [(ident, kind, form.format(name)) for ident, kind, names in LICENSES
                     for name in dict.fromkeys([*names, ident]) for form in NOTICES]
+
+
+def bodies() -> list[tuple[str, str, str]]:
+    """(identifier, family, text) of the whole licences that begin with a title, without it."""
+    family = {name: kind for name, kind, _ in LICENSES}
+    split = [(name, *text.split("\n\n", 1)) for name, text in TEXTS]
+    return [(name, family[name], body) for name, title, body in split if title.endswith(" License")]

@@ -1,10 +1,11 @@
 """Licence scan by canonical digest, in DataFrame functions only.
 
-Whole documents, their blocks between empty lines and their lines are brought to
-one canonical form: lower case, no copyright lines, one spelling of equivalent
-words, no punctuation, single blanks.  The digest of the form is hash-joined with
-the digests of known licence texts and notices.  Nothing is searched inside a
-unit, so a match is a licence text in full.
+Whole documents, their blocks between empty lines, runs of such blocks and their
+lines are brought to one canonical form: lower case, no copyright statements, one
+spelling of equivalent words, no punctuation, single blanks.  The digest of the form
+is hash-joined with the digests of known licence texts and notices.  Nothing is
+searched inside a unit, so a match is a licence text in full, however it is wrapped
+and whatever blocks surround it.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from navloom.llm.license_texts import known
+from navloom.llm.license_texts import bodies, known
 
 # Equivalent spellings, as (spelling, canonical spelling).
 SPELLINGS = [
@@ -30,35 +31,84 @@ SPELLINGS = [
     ("share-alike", "sharealike"), ("signalling", "signaling"), ("utilisation", "utilization"), ("whilst", "while"),
     ("wilful", "willful"), ("https:", "http:"), ("&", " and "),
 ]
+# Lines that the SQL takes out: all that begin with the word.
 COPYRIGHT_LINE = r"(?m)^[^\p{L}\p{N}\n]*(copyright|\(c\)|\x{A9})[^\n]*$"
+# Lines that state a copyright: by sign, year, a place for the year or reserved rights.
+_STATES = r"(?<![0-9])(?:19|20)[0-9]{2}(?![0-9])|[<\[{]\x20?(?:year|yyyy)|all rights reserved"
+COPYRIGHT_STATEMENT = (
+    r"(?m)^[^\p{L}\p{N}\n]*(?:copyright(?![\p{L}\p{N}])(?!\x20+(?:notice|holder|owner|law|statement|license|licence))"
+    rf"(?=[^\n]*(?:\(c\)|\x{{A9}}|{_STATES}))|\(c\)(?=[^\n]*(?:copyright|{_STATES}))|\x{{A9}}"
+    r"|all rights reserved[^\p{L}\p{N}\n]*$)[^\n]*$")
+# A statement without any of these ("Copyright The Authors") is told from a wrapped line by its place at the start of a block.
+COPYRIGHT_HEAD = (r"(\A|\n[^\p{L}\p{N}\n]*\n)(?:[^\p{L}\p{N}\n]*copyright(?![\p{L}\p{N}])"
+                  r"(?!\x20+(?:notice|holder|owner|law|license|licence))[^\n]*(?:\n|\z))+")
+# In canonical form: a block that holds a statement behind other words.
+ALTERED_STATEMENT = r"[\p{L}\p{N}] copyright (?:c )?(?:19|20)[0-9]{2}(?![0-9])"
+TITLE = r"^[\p{L}\p{N} ]{1,40} license(?: [\p{L}\p{N}]{1,10})?$"
+# Runs of every number of blocks up to this one, and of the exact numbers of longer known texts.
+RUN_BLOCKS = 8
 MARKS = r"[^\p{L}\p{N}\n]+"
 
 
 def canonical(text: Column) -> Column:
     """The canonical form with line feeds kept; null as empty."""
     text = F.lower(F.coalesce(text, F.lit("")))
-    text = F.regexp_replace(text, COPYRIGHT_LINE, "")
+    text = F.regexp_replace(text, COPYRIGHT_STATEMENT, "")
+    text = F.regexp_replace(text, COPYRIGHT_HEAD, "$1")
     for spelling, one in SPELLINGS:
         text = F.replace(text, F.lit(spelling), F.lit(one))
     return F.trim(F.regexp_replace(F.regexp_replace(text, MARKS, " "), r" ?\n ?", "\n"))
 
 
-def units(form: Column) -> Column:
-    """Lines, blocks of several lines, and the whole text if it has several blocks."""
+def flat_blocks(form: Column) -> Column:
+    """The blocks that are not empty, each on one line."""
+    return F.filter(F.transform(F.split(form, r"\n\n+"), lambda b: F.trim(F.regexp_replace(b, r"[\n ]+", " "))), lambda b: b != "")
+
+
+def run_sizes(licenses: DataFrame) -> list[int]:
+    """Numbers of blocks in which a known text of several can lie in a document.
+
+    List items and titles are set apart by empty lines or not, so all numbers up to the
+    largest count, at most ``RUN_BLOCKS``; longer texts are looked for in their own layout.
+    """
+    sizes = {r["n"] for r in licenses.select(F.size(flat_blocks(canonical(F.col("text")))).alias("n")).distinct().collect()}
+    return sorted({*range(2, min(max(sizes, default=0), RUN_BLOCKS) + 1), *(n for n in sizes if n > RUN_BLOCKS)})
+
+
+def run_starts(flat: Column) -> Column:
+    """Places of the blocks at which a run may start.
+
+    A text right behind an altered copyright statement is no licence in full, so no run
+    starts there, nor behind a title that follows such a statement.
+    """
+    def altered(i: Column) -> Column:
+        return F.coalesce(F.get(flat, i).rlike(ALTERED_STATEMENT), F.lit(False))
+
+    places = F.filter(F.sequence(F.lit(0), F.size(flat)), lambda i: i > 0)
+    return F.filter(places, lambda i: (i == 1) | ~(altered(i - 2) | (F.get(flat, i - 2).rlike(TITLE) & altered(i - 3))))
+
+
+def units(form: Column, flat: Column, starts: Column, sizes: list[int]) -> Column:
+    """Lines, blocks of several lines, the whole text if it has several blocks, and shorter runs of ``flat`` blocks."""
     lines = F.split(form, "\n")
     blocks = F.filter(F.split(form, r"\n\n+"), lambda b: F.instr(b, "\n") > 0)
     whole = F.when(F.instr(form, "\n\n") > 0, F.array(form)).otherwise(F.array().cast("array<string>"))
-    flat = F.transform(F.concat(blocks, whole), lambda u: F.trim(F.regexp_replace(u, r"[\n ]+", " ")))
-    return F.filter(F.concat(lines, flat), lambda u: u != "")
+    single = F.transform(F.concat(blocks, whole), lambda u: F.trim(F.regexp_replace(u, r"[\n ]+", " ")))
+
+    def runs(n: int) -> Column:
+        held = F.filter(starts, lambda i: (i + n - 1 <= F.size(flat)) & (F.size(flat) > n))
+        return F.transform(held, lambda i: F.array_join(F.slice(flat, i, n), " "))
+
+    return F.filter(F.concat(lines, single, *[runs(n) for n in sizes]), lambda u: u != "")
 
 
-def digests(form: Column) -> Column:
-    return F.transform(units(form), lambda u: F.md5(u))
+def digests(form: Column, flat: Column, starts: Column, sizes: list[int]) -> Column:
+    return F.transform(units(form, flat, starts, sizes), lambda u: F.md5(u))
 
 
 def known_licenses(spark: SparkSession) -> DataFrame:
     """license, family and text of the built-in texts and notices."""
-    rows = json.dumps([dict(zip(("license", "family", "text"), row)) for row in known()])
+    rows = json.dumps([dict(zip(("license", "family", "text"), row)) for row in known() + bodies()])
     return spark.range(1).select(F.inline(F.from_json(
         F.lit(rows), "array<struct<license:string,family:string,text:string>>")))
 
@@ -72,9 +122,12 @@ def scan(docs: DataFrame, licenses: DataFrame) -> DataFrame:
     """
     flat = F.trim(F.regexp_replace(canonical(F.col("text")), r"[\n ]+", " "))
     book = licenses.select("license", "family", F.md5(flat).alias("digest")).distinct()
-    # The form is a column of its own, so that it is computed once for all its uses.
+    # The form and its blocks are columns of their own, so that each is computed once for all its uses.
     forms = docs.select("doc_id", canonical(F.col("text")).alias("form"))
-    found = forms.select("doc_id", F.explode(digests(F.col("form"))).alias("d"))
+    forms = forms.select("doc_id", "form", flat_blocks(F.col("form")).alias("flat"))
+    forms = forms.select("*", run_starts(F.col("flat")).alias("starts"))
+    sizes = run_sizes(licenses)
+    found = forms.select("doc_id", F.explode(digests(F.col("form"), F.col("flat"), F.col("starts"), sizes)).alias("d"))
     return found.join(book, found.d == book.digest).groupBy("doc_id", "license", "family").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -89,7 +142,7 @@ def per_document(docs: DataFrame, licenses: DataFrame) -> DataFrame:
 
 
 def oracle_sql() -> str:
-    """The same scan for DuckDB."""
+    """The scan for DuckDB, by COPYRIGHT_LINE and without runs of blocks."""
     def quoted(text: str) -> str:
         return "'" + text.replace("'", "''") + "'"
 

@@ -2,6 +2,7 @@
 
 import random
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from navloom.llm import decontaminate as dec
-from navloom.llm import language, licenses, packing, pii, quality, secret_scan
+from navloom.llm import language, license_texts, licenses, packing, pii, quality, secret_scan
 from navloom.llm.common import id_text
 
 
@@ -146,6 +147,29 @@ def test_licenses(spark, docs, empty, rows):
     assert licenses.per_document(empty.select("doc_id", "text"), known).count() == 0
 
 
+def test_licenses_wrapped_and_among_blocks(spark):
+    """Every whole text at every width, after several copyright forms, alone and between other blocks."""
+    known = licenses.known_licenses(spark)
+    heads = ["Copyright (c) 2020 Someone", "Copyright The Authors", "(c) 2019-2021 A, B\nCopyright 2020 C\nAll rights reserved.", ""]
+    rows, want = [], {}
+    for name, text in license_texts.TEXTS:
+        for width in range(20, 120, 6):
+            for head in heads:
+                title, _, rest = text.partition("\n\n")
+                titled = title.endswith(" License")
+                blocks = ["\n".join(textwrap.wrap(b, width, break_long_words=False)) for b in (rest if titled else text).split("\n\n")]
+                # The list items of the licence follow without empty lines every second time.
+                body = ("\n\n" if width % 4 else "\n").join(blocks) if len(rows) % 2 else "\n\n".join(blocks)
+                glued = f"{head}\n{body}" if width % 9 == 2 else f"{head}\n\n{body}"
+                for around in (glued, f"# A project\n\nIntroduction.\n\n{title if titled else ''}\n\n{glued}\n\nMore text.\n\nEnd."):
+                    want[len(rows)] = name
+                    rows.append((len(rows), around))
+    rows.append((len(rows), "Copyright (c) 2020\n\nPermission to use, copy, modify"))
+    want[len(rows) - 1] = ""
+    got = licenses.per_document(spark.createDataFrame(rows, "doc_id long, text string"), known).collect()
+    assert {r.doc_id: r.licenses for r in got} == want
+
+
 def test_quality_learns_and_scores_everything(spark, docs, rows, empty):
     rng = random.Random(1)
     texts = [(i, " ".join("".join(rng.choice("aeioulnrst") for _ in range(5)) + ("" if i % 3 else "$$$") for _ in range(60)))
