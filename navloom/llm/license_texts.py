@@ -97,6 +97,63 @@ TEXTS = [
 ]
 
 
+# Further whole texts and the file headers of licences whose full text is a document of its own.
+FURTHER_TEXTS = [
+    ("Unlicense", "This is free and unencumbered software released into the public domain.\n\n"
+     "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or "
+     "as a compiled binary, for any purpose, commercial or non-commercial, and by any means.\n\n"
+     "In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright "
+     "interest in the software to the public domain. We make this dedication for the benefit of the public at large and to "
+     "the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity "
+     "of all present and future rights to this software under copyright law.\n\n"
+     + _NO_WARRANTY.replace("AUTHORS OR COPYRIGHT HOLDERS", "AUTHORS")
+     + "\n\nFor more information, please refer to <https://unlicense.org/>"),
+    ("BSL-1.0", "Boost Software License - Version 1.0 - August 17th, 2003\n\nPermission is hereby granted, free of charge, to any "
+     "person or organization obtaining a copy of the software and accompanying documentation covered by this license (the "
+     '"Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works '
+     "of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the "
+     "following:\n\n"
+     "The copyright notices in the Software and this entire statement, including the above license grant, this restriction and "
+     "the following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works "
+     "of the Software, unless such copies or derivative works are solely in the form of machine-executable object code "
+     "generated by a source language processor.\n\n"
+     'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE '
+     "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE "
+     "COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, "
+     "TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+     "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+]
+# Identifier, licence, version and what the header calls the software, for the headers of the GNU licences.
+_GNU = [
+    ("GPL-2.0", "General", "2", "program"), ("GPL-3.0", "General", "3", "program"), ("AGPL-3.0", "Affero General", "3", "program"),
+    ("LGPL-2.1", "Lesser General", "2.1", "library"), ("LGPL-2.1", "Lesser General", "2.1", "program"),
+    ("LGPL-3.0", "Lesser General", "3", "library"), ("LGPL-3.0", "Lesser General", "3", "program"),
+]
+_VERSIONS = [
+    "as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version.",
+    "as published by the Free Software Foundation, either version {} of the License, or any later version.",
+    "as published by the Free Software Foundation, version {} of the License.",
+    "as published by the Free Software Foundation, version {}.",
+    "version {} as published by the Free Software Foundation.",
+]
+_COPIES = [
+    "If not, see <https://www.gnu.org/licenses/>.",
+    "if not, see <https://www.gnu.org/licenses/>.",
+    "if not, write to the Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA",
+    "if not, write to the Free Software Foundation, Inc., 51 Franklin St, Fifth Floor, Boston, MA 02110-1301 USA",
+    "if not, write to the Free Software Foundation, Inc., 59 Temple Place, Suite 330, Boston, MA 02111-1307 USA",
+]
+
+
+def _gnu_headers() -> list[tuple[str, str]]:
+    return [(ident, f"This {work} is free software: you can redistribute it and/or modify it under the terms of the GNU {kind} "
+             f"Public License {form.format(version)}\n\nThis {work} is distributed in the hope that it will be useful, but WITHOUT "
+             "ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU "
+             f"{kind} Public License for more details.\n\nYou should have received a copy of the GNU {kind} Public License along "
+             f"with this {work}; {copy}") for ident, kind, version, work in _GNU for form in _VERSIONS for copy in _COPIES]
+
+
 def known() -> list[tuple[str, str, str]]:
     """(identifier, family, text) of every whole licence and of every notice form with every name."""
     family = {name: kind for name, kind, _ in LICENSES}
@@ -110,3 +167,9 @@ def bodies() -> list[tuple[str, str, str]]:
     family = {name: kind for name, kind, _ in LICENSES}
     split = [(name, *text.split("\n\n", 1)) for name, text in TEXTS]
     return [(name, family[name], body) for name, title, body in split if title.endswith(" License")]
+
+
+def further() -> list[tuple[str, str, str]]:
+    """(identifier, family, text) of the whole texts and file headers that the SQL does not hold."""
+    family = {name: kind for name, kind, _ in LICENSES}
+    return [(name, family[name], text) for name, text in dict.fromkeys([*FURTHER_TEXTS, *_gnu_headers()])]

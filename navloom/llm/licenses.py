@@ -15,7 +15,7 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from navloom.llm.license_texts import bodies, known
+from navloom.llm.license_texts import bodies, further, known
 
 # Equivalent spellings, as (spelling, canonical spelling).
 SPELLINGS = [
@@ -45,6 +45,8 @@ COPYRIGHT_HEAD = (r"(\A|\n[^\p{L}\p{N}\n]*\n)(?:[^\p{L}\p{N}\n]*copyright(?![\p{
 # In canonical form: a block that holds a statement behind other words.
 ALTERED_STATEMENT = r"[\p{L}\p{N}] copyright (?:c )?(?:19|20)[0-9]{2}(?![0-9])"
 TITLE = r"^[\p{L}\p{N} ]{1,40} license(?: [\p{L}\p{N}]{1,10})?$"
+# Setting that names a table of further texts.
+GIVEN_LICENSES = "spark.navloom.licenses"
 # Runs of every number of blocks up to this one, and of the exact numbers of longer known texts.
 RUN_BLOCKS = 8
 MARKS = r"[^\p{L}\p{N}\n]+"
@@ -107,10 +109,16 @@ def digests(form: Column, flat: Column, starts: Column, sizes: list[int]) -> Col
 
 
 def known_licenses(spark: SparkSession) -> DataFrame:
-    """license, family and text of the built-in texts and notices."""
-    rows = json.dumps([dict(zip(("license", "family", "text"), row)) for row in known() + bodies()])
-    return spark.range(1).select(F.inline(F.from_json(
+    """license, family and text of the built-in texts and notices, and of the given table.
+
+    ``spark.navloom.licenses`` names a Parquet table of further whole texts with these
+    columns; a text may stand in several layouts.
+    """
+    rows = json.dumps([dict(zip(("license", "family", "text"), row)) for row in known() + bodies() + further()])
+    built_in = spark.range(1).select(F.inline(F.from_json(
         F.lit(rows), "array<struct<license:string,family:string,text:string>>")))
+    given = spark.conf.get(GIVEN_LICENSES, None)
+    return built_in.unionByName(spark.read.parquet(given).select("license", "family", "text")) if given else built_in
 
 
 def scan(docs: DataFrame, licenses: DataFrame) -> DataFrame:
@@ -142,7 +150,7 @@ def per_document(docs: DataFrame, licenses: DataFrame) -> DataFrame:
 
 
 def oracle_sql() -> str:
-    """The scan for DuckDB, by COPYRIGHT_LINE and without runs of blocks."""
+    """The scan for DuckDB, by COPYRIGHT_LINE, without runs of blocks and further texts."""
     def quoted(text: str) -> str:
         return "'" + text.replace("'", "''") + "'"
 

@@ -170,6 +170,43 @@ def test_licenses_wrapped_and_among_blocks(spark):
     assert {r.doc_id: r.licenses for r in got} == want
 
 
+def test_license_texts_and_given_table(spark, tmp_path):
+    """Texts of the listed licences as published, and a long text of many blocks from a given table."""
+    gpl = """ * This program is free software; you can redistribute it and/or
+ * modify it under the terms of the GNU General Public License
+ * as published by the Free Software Foundation; either version 2
+ * of the License, or (at your option) any later version.
+ *
+ * This program is distributed in the hope that it will be useful,
+ * but WITHOUT ANY WARRANTY; without even the implied warranty of
+ * MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+ * GNU General Public License for more details.
+ *
+ * You should have received a copy of the GNU General Public License
+ * along with this program.  If not, see <http://www.gnu.org/licenses/>."""
+    mpl = """# This Source Code Form is subject to the terms of the Mozilla Public
+# License, v. 2.0. If a copy of the MPL was not distributed with this
+# file, You can obtain one at http://mozilla.org/MPL/2.0/."""
+    texts = [("GPL-2.0", gpl), ("LGPL-2.1", gpl.replace("General", "Lesser General").replace("version 2", "version 2.1").replace("program", "library")),
+             ("AGPL-3.0", gpl.replace("General", "Affero General").replace("version 2", "version 3").replace("software;", "software:")),
+             ("MPL-2.0", mpl)]
+    texts += [(n, "\n\n".join(textwrap.fill(b, 70) for b in t.split("\n\n"))) for n, t in license_texts.FURTHER_TEXTS]
+    rows = [(i, f"/*\n{t}\n */\n\nint main;") for i, (_, t) in enumerate(texts)]
+    long = "\n\n".join(f"{i}. Section {i} of\nthe terms." for i in range(40))
+    rows += [(100, f"Preface.\n\n{long}\n\nAppendix."), (101, long.replace("of\nthe", "of the")), (102, long[:-9])]
+    path = str(tmp_path / "given")
+    spark.createDataFrame([("Own-1.0", "own", long)], "license string, family string, text string").write.parquet(path)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.licenses for r in licenses.per_document(docs, licenses.known_licenses(spark)).collect()}
+    assert got == {i: n for i, (n, _) in enumerate(texts)} | {100: "", 101: "", 102: ""}
+    spark.conf.set("spark.navloom.licenses", path)
+    try:
+        got = {r.doc_id: r.licenses for r in licenses.per_document(docs, licenses.known_licenses(spark)).collect()}
+    finally:
+        spark.conf.unset("spark.navloom.licenses")
+    assert got == {i: n for i, (n, _) in enumerate(texts)} | {100: "Own-1.0", 101: "Own-1.0", 102: ""}
+
+
 def test_quality_learns_and_scores_everything(spark, docs, rows, empty):
     rng = random.Random(1)
     texts = [(i, " ".join("".join(rng.choice("aeioulnrst") for _ in range(5)) + ("" if i % 3 else "$$$") for _ in range(60)))
