@@ -1,8 +1,8 @@
 """Secret scan: fixed rules and character Markov models, in DataFrame functions only.
 
 The rules find assigned values, access keys and long hexadecimal strings.  Their
-values are the labelled samples of random strings; one ordinary token of every
-document is a labelled sample of identifiers.  Two first-order character models
+values are the labelled samples of random strings; the ordinary tokens of all
+documents are the labelled samples of identifiers.  Two first-order character models
 are counted from them in one aggregate, and tokens whose log-likelihood ratio favours the
 random model are further spans.
 """
@@ -80,8 +80,8 @@ def _pairs(token: Column) -> Column:
 def train(docs: DataFrame) -> list[float]:
     """Log-likelihood ratios, random against ordinary, of all character pairs.
 
-    Every document gives the values of its rule spans and one ordinary token, the
-    one its text's hash points at, rule spans excepted.  An empty table, or one
+    Every document gives the values of its rule spans and all its ordinary tokens,
+    rule spans excepted.  An empty table, or one
     without secrets, gives a flat model.  At most two counts for every pair of the
     alphabet reach the driver.
     """
@@ -91,29 +91,35 @@ def train(docs: DataFrame) -> list[float]:
     secrets = F.transform("base", lambda s: F.struct(
         F.lit(1).alias("random"),
         F.when(s.kind == "assign", F.regexp_extract(s.found, ASSIGN, 2)).otherwise(s.found).alias("token")))
-    one = F.transform(F.array(tokens), lambda o: F.when(F.size(o) > 0, F.struct(
-        F.lit(0).alias("random"), F.element_at(o, 1 + F.pmod(F.xxhash64("text"), F.size(o)).cast("int")).alias("token"))))
-    samples = found.select(F.explode(F.concat(secrets, one)).alias("s")).where("s is not null")
-    rows = samples.select("s.random", F.explode(_pairs(F.col("s.token"))).alias("pair")).groupBy("random", "pair").agg(
-        F.count(F.lit(1)).alias("n")).collect()
+    ordinary = F.transform(tokens, lambda t: F.struct(F.lit(0).alias("random"), t.alias("token")))
+    samples = found.select(F.explode(F.concat(secrets, ordinary)).alias("s")).select("s.random", "s.token")
+    # All characters of both kinds of samples lie in the model alphabet.
+    places = samples.select("random", "token", F.explode(F.sequence(F.lit(1), F.length("token") - 1)).alias("i"))
+    rows = places.groupBy("random", F.expr("substring(token, i, 2)").alias("pair")).agg(F.count(F.lit(1)).alias("n")).collect()
     counts = [[0] * (SIZE * SIZE), [0] * (SIZE * SIZE)]
     for r in rows:
-        counts[r["random"]][r["pair"]] += r["n"]
-    ordinary, random = (_log_model(c) for c in counts)
+        first, second = r["pair"]
+        counts[r["random"]][(ord(first) - LOW) * SIZE + ord(second) - LOW] += r["n"]
+    # The scored tokens are themselves among the ordinary samples; none vouches for itself.
+    ordinary, random = _log_model(counts[0], own=1), _log_model(counts[1])
     return [round(b - a, 4) for a, b in zip(ordinary, random)]
 
 
-def _log_model(counts: list[int]) -> list[float]:
-    """Log probability of each second character given the first.
+def _log_model(counts: list[int], own: int = 0) -> list[float]:
+    """Log probability of each second character given the first, without ``own`` of the pair's counts.
 
     A first character seen seldom falls back on how frequent the second one is, so
     that characters strange to a model count against it anywhere.
     """
     second = [sum(counts[b::SIZE]) for b in range(SIZE)]
     total = sum(second)
-    share = [(n + 0.5) / (total + 0.5 * SIZE) for n in second]
     first = [sum(counts[a * SIZE:(a + 1) * SIZE]) for a in range(SIZE)]
-    return [log((counts[p] + BACKOFF * share[p % SIZE]) / (first[p // SIZE] + BACKOFF)) for p in range(SIZE * SIZE)]
+    out = []
+    for p, n in enumerate(counts):
+        less = min(own, n)
+        share = (second[p % SIZE] - less + 0.5) / (total - less + 0.5 * SIZE)
+        out.append(log((n - less + BACKOFF * share) / (first[p // SIZE] - less + BACKOFF)))
+    return out
 
 
 def find_secrets(docs: DataFrame, ratios: list[float] | None = None, min_length: int = MIN_LENGTH,

@@ -133,6 +133,25 @@ def test_secret_rules_do_not_retry_and_models_add(spark):
     assert all(text[s.start:s.end] == s.found for s in spans)
 
 
+def test_secret_models_count_all_ordinary_tokens(spark):
+    """Every token of every document counts, also in long and repeated documents."""
+    rng = random.Random(4)
+    texts = [" ".join("".join(rng.choice("abcdefgh_XYZ019") for _ in range(rng.randint(3, 18))) for _ in range(n)) for n in (1, 9, 400)]
+    texts += [texts[2], None, "", "password=Zx9kQ2mP7LwT7bR4.q first_identifier second_identifier Zx9kQ2mP7LwT7bR4"]
+    size, low = secret_scan.SIZE, secret_scan.LOW
+    counts = [[0] * (size * size), [0] * (size * size)]
+    for text in texts:
+        secret = [m[2] for m in re.finditer(secret_scan.ASSIGN, text or "", re.ASCII)]
+        tokens = [t for t in re.findall(secret_scan.SAMPLE_TOKEN, text or "") if not any(t in f"password={s}" for s in secret)]
+        for kind, found in ((0, tokens), (1, secret)):
+            for t in found:
+                for a, b in zip(t, t[1:]):
+                    counts[kind][(ord(a) - low) * size + ord(b) - low] += 1
+    ordinary, rnd = secret_scan._log_model(counts[0], own=1), secret_scan._log_model(counts[1])
+    got = secret_scan.train(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert got == [round(b - a, 4) for a, b in zip(ordinary, rnd)]
+
+
 def test_licenses(spark, docs, empty, rows):
     known = licenses.known_licenses(spark)
     got = licenses.per_document(docs.select("doc_id", "text"), known).collect()
