@@ -10,6 +10,7 @@ scan one after the other over the same rows, so nothing is ever dropped.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -140,25 +141,27 @@ def _scan(items, window: int, text_col: str, again: bool):
     return step
 
 
-def item_parts(benchmark: DataFrame, max_part_bytes: int) -> list[list[tuple[str, bytes]]]:
-    """The items in parts of at most ``max_part_bytes`` of text, one item at least.
+def item_parts(benchmark: DataFrame, max_part_bytes: int) -> Iterator[list[tuple[str, bytes]]]:
+    """The items in parts of at most ``max_part_bytes`` of text, one row at least.
 
     The part count doubles until no part is larger, so the size of every
-    broadcast is checked before its rows are read.
+    broadcast is checked before its rows are read.  Rows are dealt by their id and
+    text, so an item of many rows is split too, and each part is read when its turn
+    comes.
     """
-    sized = benchmark.where("text is not null").select(
+    sized = benchmark.where("text is not null").select("item_id", "text").distinct().select(
         F.col("item_id").cast("string").alias("item_id"), F.col("text"), F.expr("octet_length(text)").alias("n"),
-        F.expr("xxhash64(item_id) & 9223372036854775807").alias("h"))
+        F.expr("xxhash64(item_id, text) & 9223372036854775807").alias("h"))
     parts = 1
     while True:
         sizes = sized.groupBy(F.expr(f"h % {parts}").alias("part")).agg(
-            F.sum("n").alias("bytes"), F.countDistinct("item_id").alias("items")).collect()
-        if parts > 65536 or all(r["bytes"] <= max_part_bytes or r["items"] == 1 for r in sizes):
+            F.sum("n").alias("bytes"), F.count(F.lit(1)).alias("rows")).collect()
+        if parts > 65536 or all(r["bytes"] <= max_part_bytes or r["rows"] == 1 for r in sizes):
             break
         parts *= 2
-    return [[(r["item_id"], r["text"].encode()) for r in
-             sized.where(f"h % {parts} = {row['part']}").select("item_id", "text").collect()]
-            for row in sorted(sizes, key=lambda r: r["part"])]
+    for number in sorted(r["part"] for r in sizes):
+        yield [(r["item_id"], r["text"].encode()) for r in
+               sized.where(f"h % {parts} = {number}").select("item_id", "text").collect()]
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = WINDOW,
@@ -172,14 +175,18 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     an empty test set marks nothing; further columns pass through untouched.
     """
     benchmark = benchmark.select("item_id", "text")
-    marked = docs
-    for number, items in enumerate(item_parts(benchmark, max_part_bytes) or [[]]):
+    marked, number = docs, -1
+    for number, items in enumerate(item_parts(benchmark, max_part_bytes)):
         shared = docs.sparkSession.sparkContext.broadcast(items)
+        # The driver lets go of a part before it reads the next one.
+        del items
 
         def factory(shared=shared, again=number > 0):
             return _scan(shared.value, window, text_col, again)
 
         marked = _again(marked, factory, text_col) if number else append_columns(docs, FIELDS, factory, text_col)
+    if number < 0:
+        return append_columns(docs, FIELDS, lambda: _scan([], window, text_col, False), text_col)
     return marked
 
 

@@ -101,6 +101,17 @@ def test_decontamination_parts_spans_and_nulls(spark, docs, rows):
     assert dec.decontaminate(docs, benchmark.where("false")).where("size(items) > 0").count() == 0
 
 
+def test_decontamination_parts_are_read_in_turn_and_split_by_row(spark):
+    """One item of many rows is split within the bound, and only the part in turn is read."""
+    bench = [(1, " ".join(f"w{i}x{j}" for j in range(20))) for i in range(60)] + [(2, "just three words")]
+    benchmark = spark.createDataFrame(bench, "item_id long, text string")
+    parts = dec.item_parts(benchmark, 1000)
+    assert iter(parts) is parts
+    parts = list(parts)
+    assert all(sum(len(t) for _, t in p) <= 1000 for p in parts)
+    assert sorted((int(i), t.decode()) for p in parts for i, t in p) == sorted(bench)
+
+
 def test_secrets_equal_patterns(docs, rows):
     assign = re.compile(secret_scan.ASSIGN, re.ASCII)
 

@@ -19,6 +19,9 @@ from workload.q_text import STATEMENT
 from workload.registry import query
 
 
+CATALOG_ENTRIES = 1000
+
+
 def folder(spark) -> str:
     """A new folder beside the staged tables."""
     return f"{checkpoint_folder(spark)}/landing-{uuid.uuid4().hex}"
@@ -33,8 +36,12 @@ def catalog_file(spark, sf):
         "p_brand as market_label", "'equity' as asset_class", "'s' as style_label", "'standard' as structure",
         "p_size > 40 as excluded_target")
     path = folder(spark)
-    # A catalog is one curated document.
-    entries.agg(F.lit(1).alias("schema_version"), F.collect_list(F.struct("*")).alias("entries")).write.json(path)
+    # Documents of some CATALOG_ENTRIES entries, each a file of its own; an empty catalog is one empty document.
+    groups = max(1, -(-entries.count() // CATALOG_ENTRIES))
+    held = entries.groupBy(F.expr(f"pmod(xxhash64(id), {groups}L)").alias("g")).agg(F.collect_list(F.struct("*")).alias("e"))
+    spark.range(groups).join(held, F.col("id") == F.col("g"), "left").select(
+        F.lit(1).alias("schema_version"), F.coalesce("e", F.array()).alias("entries")
+    ).write.option("maxRecordsPerFile", 1).json(path)
     return load_benchmarks(spark, path).select(
         "id", F.element_at("normalized_aliases", 1).alias("alias"), "market_label", "excluded_target")
 
