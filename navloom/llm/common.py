@@ -28,6 +28,17 @@ def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
 
+def bundled(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``row``, a struct of all columns but the text, and ``text``; so no column's name can clash."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
+    return docs.select(F.struct(*rest, F.lit(0).alias("#")).alias("row"), F.col(f"`{text_col}`").cast("string").alias("text"))
+
+
+def unbundled(df: DataFrame, columns: list[str], text_col: str = "text") -> DataFrame:
+    """The columns that ``bundled`` packed, in their order, with the text as it is now."""
+    return df.select(*[F.col("text").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in columns])
+
+
 def held_out() -> Column:
     """Rows whose id the contracts keep out of training."""
     return F.expr("coalesce(crc32(cast(doc_id as string)) % 3 = 1, false)")
@@ -66,7 +77,7 @@ def append_columns(df: DataFrame, fields: list[T.StructField], factory: Callable
 
     ``factory()`` runs once per task and returns a function from a record batch
     to a list of Arrow arrays, one per field.  A field replaces a column of the
-    same name.
+    same name; ``bundled`` keeps a caller's own columns out of the way.
     """
     names = [f.name for f in fields]
     base = df.drop(*names)

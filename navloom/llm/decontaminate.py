@@ -156,7 +156,7 @@ def item_parts(benchmark: DataFrame, max_part_bytes: int) -> Iterator[list[tuple
     while True:
         sizes = sized.groupBy(F.expr(f"h % {parts}").alias("part")).agg(
             F.sum("n").alias("bytes"), F.count(F.lit(1)).alias("rows")).collect()
-        if parts > 65536 or all(r["bytes"] <= max_part_bytes or r["rows"] == 1 for r in sizes):
+        if all(r["bytes"] <= max_part_bytes or r["rows"] == 1 for r in sizes):
             break
         parts *= 2
     for number in sorted(r["part"] for r in sizes):
@@ -172,7 +172,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     the ids, as strings, of the test items with a window there.  An item with
     fewer words than a window is one window; an item or text that is null or
     has no word matches nothing.  Repeated rows and ids are judged row by row;
-    an empty test set marks nothing; further columns pass through untouched.
+    an empty test set marks nothing; further columns pass through untouched, but
+    one of an appended name is replaced.
     """
     benchmark = benchmark.select("item_id", "text")
     marked, number = docs, -1
@@ -184,7 +185,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
         def factory(shared=shared, again=number > 0):
             return _scan(shared.value, window, text_col, again)
 
-        marked = _again(marked, factory, text_col) if number else append_columns(docs, FIELDS, factory, text_col)
+        # Written between parts, so that a task never holds the windows of two.
+        marked = _again(staged(marked), factory, text_col) if number else append_columns(docs, FIELDS, factory, text_col)
     if number < 0:
         return append_columns(docs, FIELDS, lambda: _scan([], window, text_col, False), text_col)
     return marked

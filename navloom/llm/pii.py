@@ -198,7 +198,8 @@ def find_pii(docs: DataFrame, text_col: str = "text", redact: bool = False) -> D
 
     Null and empty texts have no spans and stay as they are.  Rows are judged one
     by one, so ties, repeated rows and null ids change nothing; an empty table
-    gives an empty table; further columns pass through.
+    gives an empty table; further columns pass through, but one named ``spans`` is
+    replaced.
     """
     fields = [T.StructField("spans", SPANS)]
     if redact:
