@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from navloom.llm import decontaminate, embeddings, language, licenses, packing, pii, quality, secret_scan, simhash, suffixes
+from navloom.llm import decontaminate, embeddings, language, licenses, packing, pii, quality, scoring, secret_scan, simhash, suffixes
 from navloom.llm.common import held_out, id_text, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -130,3 +130,9 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as token pieces placed in sequences of 1024."""
     return packing.pack_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op12_lm_scoring")
+def lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every document under the n-gram model and under plain word counts."""
+    return scoring.score_documents(documents(spark, sf_dir))
