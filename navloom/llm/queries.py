@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from navloom.llm import decontaminate, embeddings, language, licenses, packing, pii, quality, scoring, secret_scan, simhash, suffixes
+from navloom.llm import (
+    alignment, decontaminate, embeddings, language, licenses, packing, pii, quality, scoring, secret_scan, simhash, suffixes,
+)
 from navloom.llm.common import held_out, id_text, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,3 +138,10 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log-probability of every document under the n-gram model and under plain word counts."""
     return scoring.score_documents(documents(spark, sf_dir))
+
+
+@query("op13_tokenizer_alignment")
+def tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens, groups and links of every document under two tokenizers."""
+    return alignment.align_documents(
+        documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
