@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from navloom.llm import (
-    alignment, decontaminate, embeddings, language, licenses, packing, pii, quality, scoring, secret_scan, simhash, suffixes,
+    alignment, decontaminate, embeddings, hard_negatives, language, licenses, packing, pii, quality, scoring, secret_scan,
+    simhash, suffixes,
 )
 from navloom.llm.common import held_out, id_text, table
 
@@ -145,3 +146,28 @@ def tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens, groups and links of every document under two tokenizers."""
     return alignment.align_documents(
         documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+OP11_SQL = """
+with base as (select vec_id id, if(vec_id % 7 = 0, (label + 1) % 10, label) label,
+                     list_transform(embedding, lambda x: floor(256 * cast(x as double))) v
+              from embeddings
+              where vec_id is not null and label is not null and embedding is not null
+                and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+anchors as (select * from base where id % 100 = 0),
+scored as (select a.id anchor_id, b.id, a.label = b.label same, cast(list_dot_product(a.v, b.v) as bigint) score
+           from anchors a join base b on a.id <> b.id and len(a.v) = len(b.v)),
+positives as (select anchor_id, id positive_id, score positive_score from scored where same
+              qualify row_number() over (partition by anchor_id order by score desc, id) <= 5)
+select anchor_id, positive_id, cast(row_number() over w as integer) "rank", id negative_id, positive_score, score negative_score
+from positives join scored using (anchor_id)
+where not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+window w as (partition by anchor_id, positive_id order by score desc, id)
+qualify row_number() over w <= 10
+"""
+
+
+@query("op11_hard_negatives", OP11_SQL)
+def hard_negative_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector and each of its positives."""
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
