@@ -3,7 +3,8 @@
 Features of a text are hashed unigrams and bigrams of its lower-cased words and of
 their shapes (letters, digits and marks folded), as counts divided by the square root of their
 number.  Training runs the per-coordinate FTRL-Proximal update over shards of a
-bounded labelled sample, one task per shard, and averages the shards' weights.
+bounded labelled sample, one group per shard, and averages the shards' weights.  The
+shard of a row follows from its id alone, so the model is the same on any cluster.
 Scoring is a sparse dot product over the whole text, row by row.
 """
 
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from navloom.llm.common import append_columns, as_bytes, held_out
+from navloom.llm.common import append_columns, as_bytes, held_out, staged
 
 BITS = 18
 # Bound of the labelled sample: the rows of least id hash, alike for every input size.
@@ -80,11 +81,13 @@ def _sigmoid(t):
     return 1.0 / (1.0 + np.exp(-np.clip(t, -30, 30)))
 
 
-def _fit_shard(batches):
-    rows = [(row["doc_id"], row["label"], row["text"] or b"") for b in batches for row in b.to_pylist()]
-    rows.sort(key=lambda r: (crc32(str(r[0]).encode()), r[1], r[2]))
-    if not rows:
-        return
+SHARD_MODEL = "rows long, at array<int>, weight array<double>"
+
+
+def _fit_shard(shard: pa.Table) -> pa.Table:
+    """One row: the shard's row count and the weights that are not zero."""
+    rows = [(row["doc_id"], row["label"], row["text"] or b"") for row in shard.to_pylist()]
+    rows.sort(key=lambda r: (crc32(str(r[0]).encode()), r[0], r[1], r[2]))
     model = Leader()
     examples = [(*features(text), label) for _, label, text in rows]
     for _ in range(PASSES):
@@ -92,34 +95,39 @@ def _fit_shard(batches):
             model.learn(index, value, label)
     weights = model.weights(np.arange(_MASK + 2))
     at = np.flatnonzero(weights)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(np.append(at, -1)), pa.array(np.append(weights[at] * len(rows), len(rows)))], names=["at", "weight"])
+    return pa.table({"rows": pa.array([len(rows)], pa.int64()), "at": pa.array([at.astype(np.int32)], pa.list_(pa.int32())),
+                     "weight": pa.array([weights[at]], pa.list_(pa.float64()))})
 
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", max_rows: int = TRAIN_ROWS) -> np.ndarray:
     """Weights from the ``max_rows`` labelled rows of least id hash.
 
     Rows without a label, text or id teach nothing, repeated rows count once.
-    Without any labelled row all weights are zero.  At most ``2 ** BITS + 1``
-    averaged weights reach the driver.
+    Without any labelled row all weights are zero.  Each shard sends
+    one row of at most ``2 ** BITS + 1`` weights to the driver.
     """
     marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label")).where(
         "label in (0, 1) and doc_id is not null").where(~held_out()).groupBy("doc_id").agg(F.max("label").alias("label"))
     # The sample is drawn on ids alone, so no text moves before its bound holds.
-    ids = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("doc_id")).join(marked, "doc_id").distinct().orderBy(
-        F.xxhash64("doc_id"), "doc_id").limit(max_rows)
+    ids = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("doc_id")).join(marked, "doc_id").distinct()
     texts = docs.where("text is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    sample = texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(
+    sample = texts.join(F.broadcast(_least(staged(ids), max_rows)), "doc_id").groupBy("doc_id").agg(
         F.max("label").alias("label"), F.max("text").alias("text"))
-    shards = sample.repartition(SHARDS, "doc_id").mapInArrow(_fit_shard, "at long, weight double")
-    # Each shard also sends its row count at -1, so that one aggregate gives the average.
-    sums = {r["at"]: r["w"] for r in shards.groupBy("at").agg(F.sum("weight").alias("w")).collect()}
-    rows = sums.pop(-1, 1.0)
+    shards = sample.withColumn("shard", F.expr(f"pmod(xxhash64(doc_id), {SHARDS})")).groupBy("shard").applyInArrow(
+        _fit_shard, SHARD_MODEL).collect()
     total = np.zeros(_MASK + 2)
-    for at, weight in sums.items():
-        total[at] = weight / rows
-    return total
+    for shard in sorted(shards):  # sums of one order, so that the last bit is the same in every run
+        total[shard["at"]] += np.array(shard["weight"]) * shard["rows"]
+    return total / max(1, sum(shard["rows"] for shard in shards))
+
+
+def _least(ids: DataFrame, max_rows: int) -> DataFrame:
+    """The ``max_rows`` ids of least hash; a bound on the hash, from the count, keeps the sort short."""
+    reach = min(1.0, 1.5 * (max_rows + 1000) / max(1, ids.count()))
+    bound = int(reach * 2 ** 63)
+    mixed = F.expr("xxhash64(doc_id) & 9223372036854775807L")
+    return ids.where(mixed < F.lit(bound) if reach < 1 else F.lit(True)).orderBy(mixed, "doc_id").limit(max_rows)
 
 
 def score(docs: DataFrame, weights: np.ndarray, text_col: str = "text", column: str = "score") -> DataFrame:
