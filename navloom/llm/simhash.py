@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
-from navloom.llm.common import append_columns, as_bytes, id_text, staged
+from navloom.llm.common import append_columns, as_bytes, bundled, id_text, staged, unbundled
 from navloom.llm.graph import components
 from navloom.llm.grouping import Linked, complete_groups, meet, pairs_within
 
@@ -120,32 +120,48 @@ def link(nodes: DataFrame, bits: int = BITS, block: int = BLOCK_ROWS) -> DataFra
     return grouped.mapInArrow(_links(bits, references), "a long, b long")
 
 
+def _classes(table: DataFrame, bits: int) -> DataFrame:
+    """k, component_id and winner of every fingerprint in rows of doc_id, fp and h.
+
+    Fingerprints are the nodes, so an id with several texts joins no groups.  The
+    winner is the (doc_id, h, fp) of least id and text hash in the whole group.
+    """
+    nodes = staged(table.where("doc_id is not null").groupBy(F.col("fp").alias("k")).agg(
+        F.min(F.struct("doc_id", "h", "fp")).alias("least")))
+    found = components(link(nodes.select(F.col("k").alias("fp"), F.col("k").alias("rep")), bits))
+    named = staged(nodes.join(found, F.col("k") == F.col("node"), "left").select(
+        "k", "least", F.coalesce("component", "k").alias("c")))
+    heads = named.groupBy(F.col("c").alias("head")).agg(F.min("least").alias("winner"))
+    return staged(named.join(heads, F.col("c") == F.col("head")).select(
+        "k", F.col("winner.doc_id").alias("component_id"), "winner"))
+
+
 def near_duplicates(docs: DataFrame, bits: int = BITS) -> DataFrame:
     """doc_id, fp and component_id of every row with an id and a text column.
 
     Rows with a null id are fingerprinted and stay alone, with a null component.
-    Repeated rows repeat; rows that share an id count as one document.
+    Repeated rows repeat.  Rows that share an id but not the text are judged by their
+    texts, each in its own group.
     """
-    table = staged(fingerprints(id_text(docs)).select("doc_id", "fp"))
-    nodes = staged(table.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep")))
-    found = components(link(nodes, bits))
-    classes = staged(nodes.join(found, F.col("rep") == F.col("node"), "left").select(
-        F.col("fp").alias("k"), F.coalesce("component", "rep").alias("component")))
-    return table.join(classes, F.col("fp") == F.col("k"), "left").select(
-        "doc_id", "fp", F.expr("case when doc_id is not null then component end").alias("component_id"))
+    table = staged(fingerprints(id_text(docs)).select("doc_id", "fp", F.lit(0).cast("long").alias("h")))
+    return table.join(_classes(table, bits), F.col("fp") == F.col("k"), "left").select(
+        "doc_id", "fp", F.expr("case when doc_id is not null then component_id end").alias("component_id"))
 
 
 def keep_first(docs: DataFrame, bits: int = BITS) -> DataFrame:
-    """The rows of ``docs`` whose document is the first, by id, of its group; columns unchanged.
+    """One row of ``docs`` for each group of near-duplicates; columns unchanged.
 
-    A group keeps the smallest id; of rows that repeat that id the one of the least
-    text hash stays.  Rows with a null id stay.  Texts are dealt by id once, at every
-    input size, and the choice among repeated rows uses the same deal.
+    A group keeps its smallest id, of several texts under that id the one of least
+    hash, of equal rows any one.  Rows with a null id stay.  Every text has a group,
+    so of each text a near copy at least is kept, whatever ids repeat.
     """
-    judged = near_duplicates(docs, bits).select(F.col("doc_id").alias("_id"), F.col("component_id").alias("_c"))
-    dropped = judged.where("_id <> _c").select("_id").distinct()
-    named = docs.where("doc_id is not null")
-    kept = named.join(dropped.hint("merge"), named["doc_id"] == F.col("_id"), "left_anti")
-    turn = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-    one = kept.withColumn("_turn", turn).where("_turn = 1").drop("_turn")
-    return one.union(docs.where("doc_id is null"))
+    rows = staged(fingerprints(bundled(docs)).select(
+        "row", "text", F.expr("cast(row.doc_id as long)").alias("doc_id"), "fp", F.xxhash64("text").alias("h")))
+    table = rows.select("doc_id", "fp", "h")
+    winners = _classes(table, bits).select("winner").distinct().select(
+        F.col("winner.doc_id").alias("w_id"), F.col("winner.h").alias("w_h"), F.col("winner.fp").alias("w_fp"))
+    kept = rows.join(winners.hint("merge"), (F.col("doc_id") == F.col("w_id")) & (F.col("h") == F.col("w_h"))
+                     & (F.col("fp") == F.col("w_fp")), "left_semi")
+    turn = F.row_number().over(Window.partitionBy("doc_id", "h", "fp").orderBy("doc_id"))
+    one = kept.withColumn("turn", turn).where("turn = 1")
+    return unbundled(one.select("row", "text").union(rows.where("doc_id is null").select("row", "text")), docs.columns)
