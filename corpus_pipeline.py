@@ -7,32 +7,31 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from navloom.llm import decontaminate, packing, pii, quality, simhash
-from navloom.llm.common import id_text, staged, table
+from navloom.llm.common import bundled, id_text, staged, table, unbundled
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts; labels are those of the stage's own rows."""
     weights = quality.train(id_text(docs), table(spark, sf_dir, "labels"))
-    return quality.score(docs, weights, column="_quality").where("_quality >= 0.5").drop("_quality")
+    return unbundled(quality.score(bundled(docs), weights).where("score >= 0.5"), docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, that of the smallest id."""
+    """One row of each group of near-duplicates, that of the smallest id."""
     return simhash.keep_first(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which less than a twentieth of the words lie in test windows, or none."""
-    marked = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    return marked.where(~decontaminate.contaminated()).select(*[F.col(f"`{c}`") for c in docs.columns])
+    marked = decontaminate.decontaminate(bundled(docs), table(spark, sf_dir, "benchmark"))
+    return unbundled(marked.where(~decontaminate.contaminated()), docs.columns)
 
 
 def pii_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, every span of personal data replaced by its kind."""
-    return pii.find_pii(docs, redact=True).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return unbundled(pii.find_pii(bundled(docs), redact=True), docs.columns)
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
