@@ -83,11 +83,12 @@ def match_spans(text: Column, pattern: str) -> Column:
     and then within each chunk, because appending to one array costs its length
     each time; a text with very many matches stays affordable.
     """
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     empty = F.array().cast("array<struct<start:int,stop:int,found:string>>")
-    items = F.zip_with(F.slice(F.split(text, pattern, -1), 1, F.size(found)), found,
-                       lambda gap, hit: F.struct(F.length(gap).alias("gap"), hit.alias("hit")))
-    width = F.ceil(F.sqrt(F.size(found))).cast("int")
+    # The pattern runs twice, for the matches and for the gaps; the last gap has no match behind it.
+    items = F.filter(
+        F.zip_with(F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
+                   lambda gap, hit: F.struct(F.length(gap).alias("gap"), hit.alias("hit"))),
+        lambda item: item.hit.isNotNull())
 
     def spans_from(chunk: Column, at: Column) -> Column:
         return F.aggregate(
@@ -103,7 +104,8 @@ def match_spans(text: Column, pattern: str) -> Column:
         return F.aggregate(chunk, F.lit(0), lambda n, item: n + item.gap + F.length(item.hit))
 
     def chunks(all_items: Column) -> Column:
-        return F.transform(F.sequence(F.lit(1), F.size(all_items), width), lambda i: F.slice(all_items, i, width))
+        width = F.ceil(F.sqrt(F.size(all_items))).cast("int")
+        return F.transform(F.sequence(F.lit(1), F.greatest(F.size(all_items), F.lit(1)), F.greatest(width, F.lit(1))), lambda i: F.slice(all_items, i, width))
 
     def chunk_starts(parts: Column) -> Column:
         return F.aggregate(
@@ -116,7 +118,7 @@ def match_spans(text: Column, pattern: str) -> Column:
     spans = F.element_at(F.transform(F.array(items), lambda all_items: F.element_at(F.transform(
         F.array(chunks(all_items)),
         lambda parts: F.flatten(F.zip_with(parts, chunk_starts(parts), spans_from))), 1)), 1)
-    return F.when(F.size(found) > 0, spans).when(text.isNotNull(), empty)
+    return F.when(text.isNotNull(), F.coalesce(spans, empty))
 
 
 def cut(text: Column, start: Column, stop: Column) -> Column:

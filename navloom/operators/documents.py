@@ -21,6 +21,7 @@ from navloom.functions.text import (
 from navloom.operators.eligibility import management_style
 from navloom.operators.matching import alias_hits
 from navloom.operators.quality import issues_of, union_all
+from navloom.session import dealt
 
 
 def _u(pattern: str) -> str:
@@ -137,7 +138,7 @@ def parse_notices(docs: DataFrame) -> DataFrame:
 
     ``docs`` also carries ``notice_seq``, the place of a notice in its fund's log.
     """
-    base = docs.where("text is not null").withColumn("body", normalize_notice(F.col("text")))
+    base = dealt(docs.where("text is not null"), "announcement_id").withColumn("body", normalize_notice(F.col("text")))
     base = base.withColumn("base_date", effective_date(F.col("body"), F.col("published_date"))).withColumn(
         "spans", match_spans(F.col("body"), _u(fixed.FUTURE_DATE)))
     whole = F.array(F.struct(F.lit(0).alias("transition_seq"), F.col("base_date").alias("clause_date"),
@@ -240,7 +241,7 @@ def component_weights(named: DataFrame, catalog: DataFrame, key: str) -> DataFra
 
 def match_catalog(texts: DataFrame, key: str, text: str, catalog: DataFrame) -> DataFrame:
     """JN-05. All catalog entries a text names, once each."""
-    named = texts.select(key, normalize_name(F.col(text)).alias("normalized"))
+    named = dealt(texts.select(key, text), key).select(key, normalize_name(F.col(text)).alias("normalized"))
     return alias_hits(named, key, "normalized", catalog).join(catalog, "position")
 
 
@@ -252,7 +253,7 @@ def parse_benchmarks(docs: DataFrame, catalog: DataFrame) -> tuple[DataFrame, Da
     matched on the fund name, which is the fund's own, and the opening of the text.
     """
     key, own_key = "announcement_id", ["code", "announcement_id"]
-    texts = docs.where("text is not null").groupBy(key).agg(F.first("text").alias("text"))
+    texts = dealt(docs.where("text is not null"), key).groupBy(key).agg(F.first("text").alias("text"))
     texts = texts.withColumn("statement", benchmark_statement(F.col("text"))).where("statement is not null")
     listed = docs.select("code", key, "fund_name").dropDuplicates(own_key)
     shared = match_catalog(texts, key, "statement", catalog).select(key, "position")
@@ -368,7 +369,7 @@ def repair_text(text: Column) -> Column:
 
 def parse_report_totals(docs: DataFrame) -> DataFrame:
     """TXT-08, AG-16. Direct US share and fund investment share per listed report."""
-    fixed_text = docs.withColumn("body", repair_text(F.col("text")))
+    fixed_text = dealt(docs, "announcement_id").withColumn("body", repair_text(F.col("text")))
     body = F.col("body")
 
     def after(heading: str, chars: int) -> Column:
@@ -421,7 +422,7 @@ def parse_holdings(docs: DataFrame) -> DataFrame:
     body = repair_text(F.col("text"))
     table = group_or_null(F.regexp_extract(
         body, rf"(?Us)(?:{fixed.HOLDINGS_START})(.*?){fixed.HOLDINGS_END}", 1))
-    found = docs.withColumn("table", table).withColumn("spans", match_spans(F.col("table"), fixed.HOLDING_ROW))
+    found = dealt(docs, "announcement_id").withColumn("table", table).withColumn("spans", match_spans(F.col("table"), fixed.HOLDING_ROW))
     spans = F.col("spans")
     rows = F.transform(spans, lambda s, i: F.struct(
         F.regexp_extract(s.found, r"(10|[1-9])", 1).cast("int").alias("rank"),

@@ -1,19 +1,25 @@
 """Substring matches between texts and the aliases of a curated catalog.
 
-One plan for catalogs of any size: a text offers the window behind each of its
-positions under its first characters, the aliases are joined on those characters
-and verified on the window.  The alias side is a small table that Spark
-broadcasts under its own size check; then nothing is shuffled but the hits.
+The first characters of all aliases, the grams, are a small set that is read once and
+tested inside the row: of all positions of a text only those that start with a gram
+leave it, each distinct window once.  The windows join the aliases on their gram and
+are verified there.  A catalog with more than ``MOST_GRAMS`` grams offers all
+positions to the same join.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # First characters of an alias that windows are joined on; shorter aliases use what they have.
 GRAM_CHARS = 3
-PIECE_CHARS = 256
+# Grams that are tested inside the row, each of at most GRAM_CHARS characters.
+MOST_GRAMS = 20_000
+# Characters of a piece: a position in a piece costs as many steps as lie before it.
+PIECE_CHARS = 128
 
 
 def alias_table(catalog: DataFrame) -> DataFrame:
@@ -22,31 +28,50 @@ def alias_table(catalog: DataFrame) -> DataFrame:
     return aliases.distinct().withColumn("gram", F.substring("alias", 1, GRAM_CHARS))
 
 
-def alias_hits(df: DataFrame, key: str, text: str, catalog: DataFrame) -> DataFrame:
-    """JN-05. Distinct ``(key, position)`` pairs of texts and the catalog entries they contain.
+def _gram_lengths(aliases: DataFrame) -> tuple[int, list[int]]:
+    """Length of the longest alias, and the lengths that grams have."""
+    sizes = aliases.agg(F.max(F.length("alias")).alias("longest"),
+                        F.array_sort(F.collect_set(F.length("gram"))).alias("grams")).first()
+    return sizes.longest or 0, sizes.grams
 
-    The windows are as long as the longest alias; the lengths of the grams and
-    windows are two numbers of the catalog, read once.
+
+def candidate_windows(text: Column, longest: int, lengths: list[int], grams: list[str] | None) -> Column:
+    """Distinct windows of ``longest`` characters that start with a gram; with no ``grams`` those of all positions.
+
+    Windows are cut from pieces of bounded length, each with the start of the
+    next piece behind it.
     """
+    size = max(PIECE_CHARS, longest)
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
+
+    def starts(body: Column, i: Column) -> Column:
+        hits = [F.substr(body, i, F.lit(n)).isin([g for g in grams if len(g) == n]) for n in lengths]
+        return reduce(lambda a, b: a | b, hits)
+
+    def of_piece(own: Column, after: Column) -> Column:
+        body = F.concat(own, F.substring(F.coalesce(after, F.lit("")), 1, longest - 1))
+        places = F.sequence(F.lit(1), F.length(own))
+        # A one-element array binds the body once for all positions.
+        return F.flatten(F.transform(F.array(body), lambda bound: F.transform(
+            places if grams is None else F.filter(places, lambda i: starts(bound, i)),
+            lambda i: F.substr(bound, i, F.lit(longest)))))
+
+    bound = F.flatten(F.transform(F.array(pieces), lambda found: F.zip_with(
+        found, F.slice(found, 2, F.greatest(F.size(found), F.lit(1))), of_piece)))
+    return F.array_distinct(F.flatten(bound))
+
+
+def alias_hits(df: DataFrame, key: str, text: str, catalog: DataFrame) -> DataFrame:
+    """JN-05. Distinct ``(key, position)`` pairs of texts and the catalog entries they contain."""
     aliases = alias_table(catalog)
-    sizes = aliases.agg(F.max(F.length("alias")).alias("longest"),
-                        F.array_sort(F.collect_set(F.length("gram"))).alias("grams")).first()
-    if sizes.longest is None:
+    longest, lengths = _gram_lengths(aliases)
+    if not longest:
         return df.select(key, F.lit(None).cast("int").alias("position")).where("false")
-    # Windows are cut from pieces of bounded length, each with the start of the next piece behind it.
-    size = max(PIECE_CHARS, sizes.longest)
-    pieces = df.select(key, F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{1,{size}}}"), F.lit(0)).alias("pieces"))
-    lapped = pieces.select(key, F.explode(F.zip_with(
-        "pieces", F.slice("pieces", 2, F.greatest(F.size("pieces"), F.lit(1))),
-        lambda own, after: F.struct(
-            F.length(own).alias("chars"),
-            F.concat(own, F.substring(F.coalesce(after, F.lit("")), 1, sizes.longest - 1)).alias("body")))).alias("p"))
-    windows = lapped.select(key, F.explode(F.transform(
-        F.sequence(F.lit(1), F.col("p.chars")),
-        lambda i: F.substr(F.col("p.body"), i, F.lit(sizes.longest)))).alias("window"))
-    hits = None
-    for length in sizes.grams:
-        offered = windows.withColumn("gram", F.substring("window", 1, length))
-        found = offered.join(aliases, "gram").where(F.expr("startswith(window, alias)")).select(key, "position")
-        hits = found if hits is None else hits.unionByName(found)
-    return hits.distinct()
+    found = aliases.select("gram").distinct().limit(MOST_GRAMS + 1).collect()
+    grams = [r.gram for r in found] if len(found) <= MOST_GRAMS else None
+    windows = df.select(key, F.explode(candidate_windows(F.col(text), longest, lengths, grams)).alias("window"))
+    # One row for each window and each of its grams, whatever their number of characters.
+    offered = windows.select(key, "window", F.explode(F.array(
+        *[F.substring("window", 1, n) for n in lengths])).alias("gram"))
+    hits = offered.join(aliases, "gram").where(F.expr("startswith(window, alias)"))
+    return hits.select(key, "position").distinct()

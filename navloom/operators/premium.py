@@ -58,11 +58,11 @@ def validate_quotes(quotes: DataFrame, catalog: DataFrame, *, as_of) -> DataFram
     return listed.withColumn("reject_reason", reason)
 
 
-def quote_records(validated: DataFrame) -> DataFrame:
-    """Good quotes in record form; the premium is the negated source discount."""
+def quote_records(validated: DataFrame, *keep: str) -> DataFrame:
+    """Good quotes in record form, with the columns ``keep``; the premium is the negated source discount."""
     market = F.when(F.col("market_id") == 1, "sh").otherwise("sz")
     return validated.where("reject_reason is null").select(
-        "code", F.coalesce(F.nullif("quote_name", F.lit("")), "name").alias("shown_name"),
+        "code", *keep, F.coalesce(F.nullif("quote_name", F.lit("")), "name").alias("shown_name"),
         exact_round("price", 4).alias("market_price_cny"),
         exact_round("iopv", 4).alias("iopv_cny"),
         exact_round("source_discount_pct", 2).alias("source_discount_pct"),

@@ -59,7 +59,17 @@ def staged(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint ``df`` in the shared folder and read on from there."""
-    checkpoint_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` dealt by key to as many tasks as a shuffle of the session has.
+
+    For texts, whose parsing costs far more than their bytes show: the explicit
+    number keeps adaptive execution from gathering them in a few tasks, and one
+    file of a single row group no longer means one task.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it lies; one that is gone is no fault."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -25,37 +25,61 @@ def iso_date(text: Column) -> Column:
     return F.try_to_date(F.substring(text, 1, 10), "yyyy-MM-dd")
 
 
-def load_funds(raw: DataFrame) -> DataFrame:
-    """SRC-01. ``raw(seq, payload)``: JSON arrays of arrays; the last duplicate wins."""
+def _whole(text: Column) -> Column:
+    """A text that ends where its array ends; what follows an array is no JSON."""
+    return F.when(F.rtrim(text).endswith("]"), text)
+
+
+def unreadable(df: DataFrame, parsed: Column, code: Column, reason: str, detail: Column | None = None) -> DataFrame:
+    """A fatal issue for each payload that gives nothing; its rows would vanish in silence."""
+    return issues_of(df, code, F.when(parsed.isNull(), reason), detail)
+
+
+def load_funds(raw: DataFrame) -> Loaded:
+    """SRC-01. ``raw(seq, payload)``: JSON arrays of arrays; the last duplicate wins.
+
+    A payload that does not parse is a fatal issue under its ``seq``.
+    """
     body = F.regexp_replace(F.col("payload"), fixed.RAW_FUND_LIST_HEAD, "")
     body = F.regexp_replace(body, r";[\s]*$", "")
-    rows = raw.select("seq", F.posexplode(F.from_json(body, "array<array<string>>")).alias("pos", "r"))
+    parsed = raw.select("seq", F.from_json(_whole(body), "array<array<string>>").alias("list"))
+    rows = parsed.select("seq", F.posexplode("list").alias("pos", "r"))
     fields = F.struct(F.col("r")[2].alias("name"), F.col("r")[3].alias("fund_type"))
-    return (
+    good = (
         rows.where(F.size("r") >= 4)
         .groupBy(F.col("r")[0].alias("code"))
         .agg(F.max_by(fields, F.struct("seq", "pos")).alias("last"))
         .select("code", "last.name", "last.fund_type")
     )
+    return Loaded(good, unreadable(parsed, F.col("list"), F.col("seq"), "fund_list_unreadable"))
 
 
 def _data_array(payload: Column) -> Column:
-    return F.from_json(F.regexp_extract(payload, fixed.RAW_DATA_ARRAY, 1), "array<array<string>>")
+    """The rows of a payload's data array, null when it has none that parses."""
+    return F.from_json(_whole(group_or_null(F.regexp_extract(payload, fixed.RAW_DATA_ARRAY, 1))), "array<array<string>>")
+
 
+def load_holder_periods(raw: DataFrame) -> Loaded:
+    """SRC-02. ``raw(page, payload)``: report dates with a fund count; other months and bad rows are skipped.
 
-def load_holder_periods(raw: DataFrame) -> DataFrame:
-    """SRC-02. Report dates with a fund count; other months and bad rows are skipped."""
-    rows = raw.select(F.explode(_data_array(F.col("payload"))).alias("r")).where(F.size("r") >= 2)
+    A payload whose data array is missing or does not parse is a fatal issue under
+    its page.
+    """
+    parsed = raw.select("page", _data_array(F.col("payload")).alias("data"))
+    rows = parsed.select(F.explode("data").alias("r")).where(F.size("r") >= 2)
     day = iso_date(F.col("r")[0])
-    return rows.select(
+    good = rows.select(
         day.alias("report_date"), F.col("r")[1].try_cast("long").alias("fund_count"),
         period_key(day).alias("period_key"),
     ).where("fund_count is not null and period_key is not null")
+    return Loaded(good, unreadable(parsed, F.col("data"), F.lit("holder_periods"), "holder_periods_unreadable", F.col("page")))
 
 
 def load_holders(raw: DataFrame) -> Loaded:
-    """SRC-03. ``raw(period_key, page, payload)``; all announced pages must be there."""
-    rows = raw.select("period_key", "page", F.posexplode(_data_array(F.col("payload"))).alias("pos", "r"))
+    """SRC-03. ``raw(period_key, page, payload)``; all announced pages must be there and parse."""
+    parsed = raw.select("period_key", "page", _data_array(F.col("payload")).alias("data"),
+                        F.regexp_extract("payload", fixed.RAW_PAGE_COUNT, 1).try_cast("int").alias("announced"))
+    rows = parsed.select("period_key", "page", F.posexplode("data").alias("pos", "r"))
     rows = rows.where(F.size("r") >= 6)
 
     def cell(i: int) -> Column:
@@ -72,15 +96,15 @@ def load_holders(raw: DataFrame) -> Loaded:
         (optional(3) | cell(3).try_cast("double").isNotNull()).alias("personal_ok"),
         (optional(5) | cell(5).try_cast("double").isNotNull()).alias("shares_ok"),
     ).where("institution_pct is not null and personal_ok and shares_ok")
-    pages = raw.groupBy("period_key").agg(
-        F.count_distinct("page").alias("seen"),
-        F.max(F.when(F.col("page") == 1,
-                     F.regexp_extract("payload", fixed.RAW_PAGE_COUNT, 1).try_cast("int"))).alias("announced"),
+    pages = parsed.groupBy("period_key").agg(
+        F.count_distinct(F.when(F.col("data").isNotNull(), F.col("page"))).alias("seen"),
+        F.max(F.when(F.col("page") == 1, F.col("announced"))).alias("announced"),
     )
     incomplete = F.when(~F.col("seen").eqNullSafe(F.col("announced")), "holder_pages_incomplete")
     detail = F.concat_ws("/", "seen", "announced")
-    return Loaded(good.drop("personal_ok", "shares_ok"),
-                  issues_of(pages, F.col("period_key"), incomplete, detail))
+    return Loaded(good.drop("personal_ok", "shares_ok"), union_all([
+        issues_of(pages, F.col("period_key"), incomplete, detail),
+        unreadable(parsed, F.col("data"), F.col("period_key"), "holder_page_unreadable", F.col("page"))]))
 
 
 def load_nav(raw: DataFrame) -> Loaded:
@@ -145,12 +169,15 @@ def _checked_series(points: DataFrame, as_of, label: str) -> Loaded:
 def load_index_levels(raw: DataFrame, as_of) -> Loaded:
     """SRC-05. ``raw(payload)``: JSON points with epoch milliseconds in UTC."""
     kind = "array<struct<x:string,y:string>>"
-    rows = raw.select(F.explode(F.from_json("payload", kind)).alias("p"))
+    parsed = raw.select(F.from_json(_whole(F.col("payload")), kind).alias("list"))
+    rows = parsed.select(F.explode("list").alias("p"))
     millis = F.col("p.x").try_cast("double")
     points = rows.select(
         utc_date_from_millis(millis).alias("date"), F.col("p.y").try_cast("double").alias("value")
     )
-    return _checked_series(points, as_of, "index")
+    checked = _checked_series(points, as_of, "index")
+    return Loaded(checked.rows, checked.issues.unionByName(
+        unreadable(parsed, F.col("list"), F.lit("index"), "index_payload_unreadable")))
 
 
 def load_fx_html(raw: DataFrame, as_of) -> Loaded:
@@ -217,16 +244,28 @@ def extract_fund_pages(pages: DataFrame) -> Loaded:
                   issues_of(flagged, F.col("code"), F.col("reason")))
 
 
-def load_announcements(raw: DataFrame) -> DataFrame:
-    """SRC-08, first half. ``raw(code, page, payload)``; rows with blanks are dropped."""
-    kind = "struct<Data:array<struct<ID:string,TITLE:string,PUBLISHDATEDesc:string>>>"
-    rows = raw.select("code", "page", F.explode(F.from_json("payload", kind).Data).alias("a"))
+# Where from_json keeps a payload that does not fit the schema.
+_CORRUPT = {"columnNameOfCorruptRecord": "_corrupt_record"}
+
+
+def load_announcements(raw: DataFrame) -> Loaded:
+    """SRC-08, first half. ``raw(code, page, payload)``; rows with blanks are dropped.
+
+    A page that does not parse is a fatal issue of its fund, and so is a row whose
+    date is none; an index without rows is none.
+    """
+    kind = "struct<Data:array<struct<ID:string,TITLE:string,PUBLISHDATEDesc:string>>,_corrupt_record:string>"
+    parsed = raw.select("code", "page", F.from_json("payload", kind, _CORRUPT).alias("j"))
+    rows = parsed.select("code", "page", F.explode("j.Data").alias("a"))
     out = rows.select(
         "code", F.trim("a.ID").alias("announcement_id"), F.trim("a.TITLE").alias("title"),
-        iso_date(F.trim("a.PUBLISHDATEDesc")).alias("published_date"),
+        F.trim("a.PUBLISHDATEDesc").alias("stated"), iso_date(F.trim("a.PUBLISHDATEDesc")).alias("published_date"),
         (F.col("page") == 1).alias("on_latest_page"),
-    )
-    return out.where("announcement_id != '' and title != '' and published_date is not null")
+    ).where("announcement_id != '' and title != '' and stated != ''")
+    whole = F.when(F.col("j").isNotNull() & F.col("j._corrupt_record").isNull(), True)
+    return Loaded(out.where("published_date is not null").drop("stated"), union_all([
+        unreadable(parsed, whole, F.col("code"), "announcement_page_unreadable", F.col("page")),
+        unreadable(out, F.col("published_date"), F.col("code"), "announcement_date_invalid", F.col("announcement_id"))]))
 
 
 def merge_announcements(old: DataFrame, new: DataFrame, as_of) -> DataFrame:
@@ -253,12 +292,16 @@ def document_url(announcement_id: Column) -> Column:
     return F.format_string(fixed.DOCUMENT_URL.replace("{}", "%s"), announcement_id)
 
 
-def load_quotes(raw: DataFrame) -> DataFrame:
-    """SRC-11. ``raw(arrival, payload)``: positional quote fields renamed."""
+def load_quotes(raw: DataFrame) -> Loaded:
+    """SRC-11. ``raw(arrival, payload)``: positional quote fields renamed.
+
+    A payload without a list of quotes is a fatal issue under its arrival.
+    """
     kind = ("struct<data:struct<diff:array<struct<f2:string,f3:string,f6:string,f12:string,"
             "f14:string,f124:string,f297:string,f402:string,f441:string>>>>")
-    rows = raw.select("arrival", F.explode(F.from_json("payload", kind).data.diff).alias("q"))
-    return rows.select(
+    parsed = raw.select("arrival", F.from_json("payload", kind).data.diff.alias("diff"))
+    rows = parsed.select("arrival", F.explode("diff").alias("q"))
+    good = rows.select(
         F.col("q.f12").alias("code"), F.col("arrival").cast("long").alias("arrival"),
         finite_number(F.col("q.f2")).alias("price"), finite_number(F.col("q.f441")).alias("iopv"),
         finite_number(F.col("q.f402")).alias("source_discount_pct"),
@@ -268,6 +311,7 @@ def load_quotes(raw: DataFrame) -> DataFrame:
         F.col("q.f124").try_cast("long").alias("updated_seconds"),
         F.trim("q.f14").alias("quote_name"),
     )
+    return Loaded(good, unreadable(parsed, F.col("diff"), F.col("arrival"), "quote_page_unreadable"))
 
 
 def merge_series(old: DataFrame, new: DataFrame, as_of, years: int = fixed.BENCHMARK_WINDOW_YEARS) -> DataFrame:
@@ -281,11 +325,18 @@ def merge_series(old: DataFrame, new: DataFrame, as_of, years: int = fixed.BENCH
     return kept.groupBy("date").agg(F.max_by("value", "turn").alias("value"))
 
 
-def series_fallback_warning(new: DataFrame, merged: DataFrame, label: str) -> DataFrame:
-    """SRC-12. A warning row when nothing new landed and the stored series is used."""
-    landed = new.agg(F.count(F.lit(1)).alias("landed"))
-    latest = merged.agg(F.max("date").alias("latest"))
-    joined = landed.withColumn("one", F.lit(1)).join(latest.withColumn("one", F.lit(1)), "one")
+def refresh_series(stored: DataFrame, landed: Loaded, as_of, label: str,
+                   years: int = fixed.BENCHMARK_WINDOW_YEARS) -> tuple[Loaded, DataFrame]:
+    """SRC-12. A stored series with what landed, and the warnings.
+
+    What landed with a fatal issue is left out as a whole.  While the stored series has
+    points, that is a warning with its latest date; without any the issues stay.
+    """
+    failed = not landed.issues.where("severity = 'fatal'").isEmpty()
+    kept = merge_series(stored, landed.rows.where("false") if failed else landed.rows, as_of, years)
+    latest = kept.agg(F.max("date").alias("latest"))
     text = F.format_string(f"纳指100基准更新失败，使用完整缓存：{label} 最新数据 %s。", F.col("latest").cast("string"))
-    return joined.where("landed = 0 and latest is not null").select(
+    warnings = latest.where(F.lit(failed) & F.col("latest").isNotNull()).select(
         F.lit(0).cast("long").alias("seq"), text.alias("text"))
+    fallen_back = failed and not kept.isEmpty()
+    return Loaded(kept, landed.issues.where("severity <> 'fatal'") if fallen_back else landed.issues), warnings

@@ -1,18 +1,73 @@
-"""Sinks: nested runs, the flat export and incremental recomputation."""
+"""Sinks: committed runs with a latest one, the flat export and incremental recomputation."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from navloom import fixed_values as fixed
 from navloom.functions.display import format_limit
 
 
+# --- runs ------------------------------------------------------------------
+# A run goes to a folder of its own, runs/run_date=.../attempt=..., which no reader looks at
+# until one row of the manifest names it.  That row is one file, so it is there or it is not:
+# readers see the run before or the run after, never half of one, and a failed attempt never.
+
+MANIFEST = "run_date date, attempt string, committed_at timestamp, records long"
+
+
 def write_run(ranking: DataFrame, path: str) -> None:
-    """SNK-01. One partition per run date; rerunning a date replaces only that date."""
-    ranking.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        "run_date").json(path)
+    """SNK-01. Write and commit the runs in ``ranking``, one for each of its run dates.
+
+    A date that is run again is replaced as a whole by its newest committed attempt.
+    """
+    attempt = uuid.uuid4().hex
+    place = f"{path}/runs/attempt={attempt}"
+    ranking.write.partitionBy("run_date").json(place)
+    spark = ranking.sparkSession
+    written = spark.read.schema(ranking.schema).json(place).groupBy("run_date").agg(F.count(F.lit(1)).alias("records"))
+    commit_run(written, attempt, path)
+
+
+def commit_run(written: DataFrame, attempt: str, path: str) -> None:
+    """Name an attempt's dates, ``written(run_date, records)``, in the manifest: one row each, in one file."""
+    row = written.select("run_date", F.lit(attempt).alias("attempt"), F.current_timestamp().alias("committed_at"), "records")
+    row.coalesce(1).write.mode("append").json(f"{path}/manifest")
+
+
+def committed_runs(spark: SparkSession, path: str) -> DataFrame:
+    """SNK-01. run_date, attempt, committed_at and records of the newest committed attempt of every date."""
+    rows = spark.read.schema(MANIFEST).json(f"{path}/manifest")
+    newest = rows.groupBy("run_date").agg(F.max(F.struct("committed_at", "attempt", "records")).alias("r"))
+    return newest.select("run_date", "r.attempt", "r.committed_at", "r.records")
+
+
+def _read_runs(spark: SparkSession, path: str, schema: StructType, wanted: DataFrame) -> DataFrame:
+    names = [f.name for f in schema.fields]
+    full = StructType([f for f in schema.fields if f.name != "run_date"] + [
+        StructField("attempt", StringType()), StructField("run_date", DateType())])
+    stored = spark.read.schema(full).json(f"{path}/runs")
+    # One row for each date: partitions of other attempts are pruned when the join is run.
+    return stored.join(F.broadcast(wanted.select("run_date", "attempt")), ["run_date", "attempt"], "left_semi").select(*names)
+
+
+def read_history(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """SNK-01. The records of every run date, each from its newest committed attempt."""
+    return _read_runs(spark, path, schema, committed_runs(spark, path))
+
+
+def read_latest(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """SNK-01. The records of the latest run date that is committed, beside the history."""
+    return _read_runs(spark, path, schema, committed_runs(spark, path).orderBy(F.col("run_date").desc()).limit(1))
+
+
+def read_run(spark: SparkSession, path: str, schema: StructType, run_date) -> DataFrame:
+    """SNK-01. The records of one run date, none where it is not committed."""
+    return _read_runs(spark, path, schema, committed_runs(spark, path).where(F.col("run_date") == F.lit(run_date)))
 
 
 def write_flat_csv(flat: DataFrame, path: str) -> None:

@@ -2,11 +2,13 @@
 
 import uuid
 
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from navloom import fixed_values as fixed
 from navloom.operators import documents as doc
 from navloom.operators import validation as val
+from navloom.operators.quality import union_all
 from navloom.plans import ranking as plan
 from navloom.session import checkpoint_folder
 from navloom.sources import sinks
@@ -89,6 +91,57 @@ def stream_announcements(spark, sf):
     return merged.select("code", "announcement_id", (F.col("title") == "new").alias("is_new"), "published_date")
 
 
+@query("str02_late_arrivals", """SELECT lpad(CAST(n_chars % 97 AS VARCHAR), 6, '0') AS code, lpad(CAST(doc_id AS VARCHAR), 9, '0') AS announcement_id,
+  CASE WHEN doc_id % 6 >= 3 THEN 'third' ELSE 'second' END AS title, CAST(CASE WHEN doc_id % 6 >= 3 THEN 3 ELSE 2 END AS BIGINT) AS arrival,
+  CAST(1 AS BIGINT) AS batches_left FROM documents""")
+def late_arrivals(spark, sf):
+    """Three batches, the second of late rows, the third with repeated ones: arrivals decide, and two batches are folded away."""
+    source, table, marks = folder(spark), folder(spark), folder(spark)
+    rows = b.announcements(spark, sf)
+
+    def land(*parts):
+        for title, arrival, chosen in parts:
+            rows.where(chosen).withColumn("title", F.lit(title)).withColumn("arrival", F.lit(arrival).cast("long")).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(spark.read.parquet(source).schema).parquet(source)
+        upserts.stream_announcements(stream, table, marks, compact_batches=2).awaitTermination()
+
+    kind = "cast(announcement_id as bigint) % 6"
+    land(("second", 2, "true"))
+    land(("first", 1, "true"))
+    land(("third", 3, f"{kind} >= 3"), ("second", 2, f"{kind} < 3"))
+    left = spark.read.parquet(f"{table}/log").agg(F.count_distinct("batch_id").alias("batches_left"))
+    found = upserts.state(spark, table, ["code", "announcement_id"])
+    return found.join(F.broadcast(left), F.lit(True)).select("code", "announcement_id", "title", "arrival", "batches_left")
+
+
+@query("snk01_latest_run", """WITH s AS (SELECT s_suppkey, s_acctbal FROM supplier)
+SELECT 'history' AS shown, DATE '2001-07-24' AS run_date, CAST(count(*) AS BIGINT) AS records, CAST(sum(s_suppkey) AS BIGINT) AS keys FROM s
+UNION ALL SELECT 'history', DATE '2001-07-25', count(*), sum(s_suppkey) FROM s WHERE s_acctbal > 1000
+UNION ALL SELECT 'latest', DATE '2001-07-25', count(*), sum(s_suppkey) FROM s WHERE s_acctbal > 1000
+UNION ALL SELECT 'of a date', DATE '2001-07-24', count(*), sum(s_suppkey) FROM s""")
+def latest_run(spark, sf):
+    """Two dates, a rerun of the second and an attempt at a third that fails half-way."""
+    path = folder(spark)
+
+    def records(day, chosen="true"):
+        return b.table(spark, sf, "supplier").where(chosen).selectExpr("s_suppkey", "s_acctbal", f"date'{day}' as run_date")
+
+    sinks.write_run(records("2001-07-24"), path)
+    sinks.write_run(records("2001-07-25", "s_acctbal >= 0"), path)
+    sinks.write_run(records("2001-07-25", "s_acctbal > 1000"), path)
+    broken = records("2001-07-26").withColumn("s_acctbal", F.expr("if(s_suppkey = 7, raise_error('lost'), s_acctbal)"))
+    try:
+        sinks.write_run(broken, path)
+        raise AssertionError("the attempt must fail")
+    except PySparkException:
+        pass
+    schema = records("2001-07-24").schema
+    shown = [("history", sinks.read_history(spark, path, schema)), ("latest", sinks.read_latest(spark, path, schema)),
+             ("of a date", sinks.read_run(spark, path, schema, "2001-07-24"))]
+    return union_all([frame.groupBy(F.lit(name).alias("shown"), "run_date").agg(
+        F.count(F.lit(1)).alias("records"), F.sum("s_suppkey").alias("keys")) for name, frame in shown])
+
+
 @query("txt11_document_profiles", """SELECT lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS code,
   CASE c_nationkey % 5 WHEN 0 THEN 'recognized' WHEN 1 THEN 'composite' WHEN 2 THEN 'recognized' WHEN 3 THEN 'recognized' ELSE 'unrecognized' END AS status,
   CASE c_nationkey % 5 WHEN 0 THEN 'nasdaq-100' WHEN 2 THEN 'dax' WHEN 3 THEN 'msci-world' END AS benchmark_id,
@@ -156,7 +209,7 @@ def _read_run(spark, sf):
     records, path = _records(spark, sf), folder(spark)
     sinks.write_run(records, path)
     sinks.write_run(records, path)  # a rerun replaces its own date
-    return spark.read.schema(records.schema).json(path)
+    return sinks.read_history(spark, path, records.schema)
 
 
 @query("snk02_flat_export", f"""{RUN} SELECT fund AS code, CAST(rank AS VARCHAR) AS rank, name, ranking_list FROM ranked""")
