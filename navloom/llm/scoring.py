@@ -115,10 +115,20 @@ class Grams:
             cuts = np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]])
             for number in np.flatnonzero(np.diff(cuts)).tolist():
                 a, b = cuts[number], cuts[number + 1]
-                sent = BEGIN.join(self.words[a:b]) if k == 1 else keys[a:b].tobytes()
+                sent = BEGIN.join(self.words[a:b]) if k == 1 else _packed(keys[a:b])
                 yield (k << 40) + number, sent, self.counts[k][a:b].tobytes()
 
 
+def _packed(keys: np.ndarray) -> bytes:
+    """Steps between sorted keys, byte plane after byte plane: the high planes are all but zero and compress away."""
+    return np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _unpacked(sent: bytes) -> np.ndarray:
+    steps = np.frombuffer(sent, np.uint8).reshape(8, -1).T
+    return np.cumsum(np.ascontiguousarray(steps).view(np.uint64).ravel(), dtype=np.uint64)
+
+
 class Automaton:
     """The arcs that the texts of some ``Grams`` can use, from their totals in the corpus.
 
@@ -206,7 +216,7 @@ def _add_up(part: pa.Table) -> pa.Table:
         names = pa.array([w for s in sent for w in s.split(BEGIN)], pa.binary()).dictionary_encode()
         place = names.indices.to_numpy()
     else:
-        place = np.unique(np.concatenate([np.frombuffer(s, np.uint64) for s in sent]), return_inverse=True)[1]
+        place = np.unique(np.concatenate([_unpacked(s) for s in sent]), return_inverse=True)[1]
     sums = np.bincount(place, weights=np.concatenate(counts)).astype(np.int64)
     cuts = np.cumsum([len(c) for c in counts])[:-1]
     totals = [t.tobytes() for t in np.split(sums[place], cuts)]
