@@ -357,6 +357,16 @@ def parse_costs(docs: DataFrame, *, as_of) -> DataFrame:
         F.when(good, F.col("measured")).alias("measurement_date"), "cost_issue")
 
 
+def costs_as_of(costs: DataFrame, as_of) -> DataFrame:
+    """TXT-10. Parsed costs as they stand on a day: a later measurement is no cost yet."""
+    late = F.coalesce(F.col("measurement_date") > as_date(as_of), F.lit(False))
+    return costs.select(
+        "code", "announcement_id", F.when(late, "unavailable").otherwise(F.col("status")).alias("status"),
+        F.when(~late, F.col("annualized_pct")).alias("annualized_pct"),
+        F.when(~late, F.col("measurement_date")).alias("measurement_date"),
+        F.when(late, "measurement_in_future").otherwise(F.col("cost_issue")).alias("cost_issue"))
+
+
 # --- periodic reports ------------------------------------------------------
 
 def repair_text(text: Column) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from navloom import fixed_values as fixed
 from navloom.functions.numbers import exact_round
+from navloom.functions.text import fund_identity
 from navloom.operators import documents as doc
 from navloom.operators import eligibility as elig
 from navloom.operators import exposure as expo
@@ -22,16 +23,21 @@ from navloom.operators import ranking as rank
 from navloom.operators import timeseries as ts
 from navloom.operators.quality import gate, issues_of, union_all
 from navloom.operators.validation import Limits
+from navloom.plans.incremental import Store, catalog_fingerprint, parse_once
 from navloom.session import staged
 
 
 @dataclass
 class Disclosures:
-    """Listings, ``texts(announcement_id, text, error)`` and the benchmark catalog."""
+    """Listings, ``texts(announcement_id, text, error)`` and the benchmark catalog.
+
+    With a ``store`` of parsed documents only new ones are parsed.
+    """
 
     announcements: DataFrame
     texts: DataFrame
     benchmarks: DataFrame
+    store: Store | None = None
 
 
 @dataclass
@@ -85,42 +91,67 @@ class Params:
 
 
 def parse_documents(announcements: DataFrame, texts: DataFrame, funds: DataFrame,
-                    benchmarks: DataFrame, as_of) -> dict[str, DataFrame]:
+                    benchmarks: DataFrame, as_of, store: Store | None = None) -> dict[str, DataFrame]:
     """Disclosures to the parsed tables of ``Tables``.
 
     ``texts(announcement_id, text, error)``.  One listing feeds legal documents,
-    reports and notices; only selected documents of ``funds`` are parsed.
+    reports and notices; only selected documents of ``funds`` are parsed, and with a
+    ``store`` only those that it does not know.
     """
     from navloom.sources.raw import document_url, invisible_announcements
 
     listed = announcements.join(funds.select("code"), "code", "left_semi").withColumn(
         "source_url", document_url(F.col("announcement_id")))
     url = listed.select("code", "announcement_id", "source_url")
+    own = funds.select("code", F.col("name").alias("fund_name"),
+                       fund_identity(F.col("code"), F.col("name"), F.col("fund_type")).alias("fund_identity"))
     legal = doc.latest_documents(
         doc.classify_documents(listed), as_of=as_of).where("document_class != 'periodic_report'")
-    legal = legal.join(url, ["code", "announcement_id"]).join(
-        texts, "announcement_id", "left").join(
-        funds.select("code", F.col("name").alias("fund_name")), "code", "left")
-    statements, components = doc.parse_benchmarks(legal, benchmarks)
-    profiles = doc.benchmark_profiles(statements, components)
-    costs = doc.parse_costs(legal.where("document_class = 'product_summary'"), as_of=as_of)
+    legal = legal.join(url, ["code", "announcement_id"]).join(own, "code", "left")
+
+    def benchmark_profiles(docs: DataFrame) -> DataFrame:
+        found = doc.benchmark_profiles(*doc.parse_benchmarks(docs, benchmarks))
+        return found.join(docs.select("code", "announcement_id", "fund_identity"), ["code", "announcement_id"])
+
+    def costs_of(docs: DataFrame) -> DataFrame:
+        return doc.parse_costs(docs, as_of=date.max).join(
+            docs.select("code", "announcement_id", "fund_identity"), ["code", "announcement_id"])
+
+    statements = legal.select("code", "announcement_id", "fund_name", "fund_identity").distinct()
+    profiles = parse_once(store, "benchmarks", statements, texts, benchmark_profiles,
+                          catalog_fingerprint(benchmarks) if store else "").drop("fund_identity")
+    summaries = legal.where("document_class = 'product_summary'").select("code", "announcement_id", "fund_identity").distinct()
+    costs = doc.costs_as_of(parse_once(store, "costs", summaries, texts, costs_of).drop("fund_identity"), as_of)
 
     newest = doc.latest_report(quo.on_latest_page(listed), as_of=as_of)
-    reports = newest.join(url, ["code", "announcement_id"]).join(texts, "announcement_id", "left")
-    # Share classes list the same report; its text is parsed once.
+    reports = newest.join(url, ["code", "announcement_id"])
     facts = reports.select("code", "announcement_id", "report_date", "published_date", "source_url")
-    single = reports.groupBy("announcement_id").agg(F.first("code").alias("code"), F.first("text").alias("text"))
-    totals = facts.join(doc.parse_report_totals(single).drop("code"), "announcement_id")
-    holdings = doc.parse_holdings(single).drop("code")
+    # Share classes list the same report; its text is parsed once, for whichever fund.
+    single = facts.groupBy("announcement_id").agg(F.first("code").alias("code")).withColumn("fund_identity", F.lit(""))
+
+    def of_report(parse):
+        return lambda docs: parse(docs).drop("code").withColumn("fund_identity", F.lit(""))
+
+    totals = facts.join(parse_once(
+        store, "report_totals", single, texts, of_report(doc.parse_report_totals)).drop("fund_identity"), "announcement_id")
+    holdings = parse_once(store, "report_holdings", single, texts, of_report(doc.parse_holdings)).drop("fund_identity")
 
     selected = doc.notice_order(quo.select_notices(quo.on_latest_page(listed), as_of=as_of))
-    notices = selected.join(texts, "announcement_id", "left")
-    transitions = doc.parse_notices(notices)
+    # The date of publication stands in for a date that a notice does not state.
+    dated = F.concat_ws("|", "code", "published_date")
+
+    def changes(docs: DataFrame) -> DataFrame:
+        return doc.parse_notices(docs.withColumn("notice_seq", F.lit(0).cast("long"))).drop(
+            "notice_seq").withColumn("fund_identity", dated)
+
+    notices = selected.select("code", "announcement_id", "published_date", "source_url").withColumn("fund_identity", dated)
+    transitions = parse_once(store, "notices", notices, texts, changes).drop("fund_identity").join(
+        selected.select("code", "announcement_id", "notice_seq"), ["code", "announcement_id"])
     return {
         "report_totals": totals,
         "report_holdings": holdings,
         "transitions": transitions,
-        "failed_notices": doc.failed_notices(notices, transitions),
+        "failed_notices": doc.failed_notices(selected, transitions),
         "profiles": doc.document_profiles(funds, legal, profiles, costs),
         "issues": union_all([
             doc.report_issues(totals, facts.select("code", "announcement_id").join(holdings, "announcement_id")),
@@ -174,7 +205,7 @@ def with_documents(tables: Tables, measured: DataFrame, params: Params) -> Table
         return tables
     funds = tables.funds.join(measured.where("size(failures) = 0").select("code"), "code", "left_semi")
     given = tables.disclosures
-    parsed = parse_documents(given.announcements, given.texts, funds, given.benchmarks, params.as_of)
+    parsed = parse_documents(given.announcements, given.texts, funds, given.benchmarks, params.as_of, given.store)
     found = parsed.pop("issues")
     issues = found if tables.issues is None else tables.issues.unionByName(found)
     parsed = {name: stage(df, params) for name, df in parsed.items()}

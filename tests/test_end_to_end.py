@@ -7,6 +7,7 @@ from navloom import schemas
 from navloom.operators import validation as val
 from navloom.operators.quality import DataError
 from navloom.plans import ranking as plan
+from navloom.plans.incremental import Store, parse_once, stored_documents
 from navloom.plans.validation import benchmark_metadata, validate_run
 from navloom.sources import catalogs, sinks
 from tests.compose import report
@@ -128,3 +129,47 @@ def test_sinks_and_parity(spark, run, tmp_path):
     assert val.parity(flat, back, columns, ["code"]).collect() == []
     changed = back.withColumn("nasdaq100_beta", F.lit("1.0"))
     assert {r.rule_id for r in val.parity(flat, changed, columns, ["code"]).collect()} == {"parity_nasdaq100_beta"}
+
+
+def test_known_documents_are_not_parsed_again(spark, run, tmp_path):
+    kinds = ["benchmarks", "costs", "report_totals", "report_holdings", "notices"]
+    tables = run[0]["tables"]
+    given, funds = tables.disclosures, tables.funds.where("code <> '000003'")
+
+    def parse(store, texts=given.texts, catalog=given.benchmarks, funds=funds):
+        parsed = plan.parse_documents(given.announcements, texts, funds, catalog, AS_OF, store)
+        told = {k: sorted(map(repr, parsed[k].collect())) for k in ("transitions", "report_holdings", "profiles")}
+        return told, {k: stored_documents(run[1], store, k).count() for k in kinds}
+
+    store = Store(str(tmp_path / "parsed"))
+    told, once = parse(store)
+    assert once == {"benchmarks": 4, "costs": 2, "report_totals": 2, "report_holdings": 2, "notices": 2}
+    assert len(told["transitions"]) == 2 and len(told["report_holdings"]) > 4
+    # The second run reads no text at all.
+    lost = given.texts.select("announcement_id", F.lit("broken").alias("text"), F.lit("gone").alias("error"))
+    assert parse(store, lost) == (told, once)
+    # A changed catalog entry: all statements again, nothing else.
+    other = given.benchmarks.withColumn("display_name", F.when(F.col("id") == "dax", "DAX 40").otherwise(F.col("display_name")))
+    assert parse(store, catalog=other) == (told, once | {"benchmarks": 8})
+    # A renamed fund: its own statements and costs again.
+    renamed = funds.withColumn("name", F.when(F.col("code") == "000001", "全球成长精选(QDII)A").otherwise(F.col("name")))
+    assert parse(store, funds=renamed)[1] == once | {"benchmarks": 10, "costs": 3}
+
+
+def test_a_failed_document_counts_as_parsed(spark, run, tmp_path):
+    """An unreadable notice is stored and not tried again; one whose text has not landed is."""
+    given = run[0]["tables"].disclosures
+    store = Store(str(tmp_path / "parsed"))
+    docs = given.announcements.where("announcement_id like 'n%'").select("announcement_id", "code", "published_date", F.lit("").alias("fund_identity"))
+
+    def parse(texts):
+        def found(pending):
+            return pending.where("text is not null").select("announcement_id", "fund_identity", F.length("text").alias("n"))
+        rows = parse_once(store, "kind", docs, texts, found)
+        return {r.announcement_id for r in rows.collect()}, {
+            r.announcement_id: r.n_results for r in stored_documents(docs, store, "kind").collect()}
+
+    texts = given.texts.where("announcement_id <> 'n000003'").withColumn(
+        "text", F.when(F.col("announcement_id") != "n000002", F.col("text")))
+    assert parse(texts) == ({"n000001"}, {"n000001": 1, "n000002": 0})
+    assert parse(given.texts) == ({"n000001", "n000003"}, {"n000001": 1, "n000002": 0, "n000003": 1})

@@ -3,10 +3,15 @@
 The SQL side computes the expected facts from the columns and needs no pattern.
 """
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from navloom.functions.text import product_structure, share_aggregation, strip_tags
 from navloom.operators import documents as doc
+from navloom.operators.quality import union_all
+from navloom.plans.incremental import Store, catalog_fingerprint, parse_once, stored_documents
+from navloom.session import checkpoint_folder, staged
 from navloom.sources import raw
 from navloom.sources.catalogs import load_benchmarks
 from workload import bindings as b
@@ -150,3 +155,34 @@ def text_labels(spark, sf):
                   " when 'error' then '波动率' else '普通' end)")
     return b.table(spark, sf, "events").select(
         "event_id", product_structure(text, F.lit("standard")).alias("structure"), share_aggregation(text).alias("share"))
+
+
+@query("snk03_incremental_parse", """WITH c AS (SELECT c_mktsegment AS s, c_acctbal >= 0 AS early FROM customer),
+r(run, fresh, late) AS (VALUES ('first', true, false), ('second', false, true), ('third', false, false), ('changed catalog', true, true)),
+t AS (SELECT s, early, CASE s WHEN 'BUILDING' THEN 2 WHEN 'AUTOMOBILE' THEN 1 WHEN 'FURNITURE' THEN 1 WHEN 'HOUSEHOLD' THEN 1 ELSE 0 END AS n FROM c)
+SELECT run, CAST(count(*) FILTER (WHERE (early AND fresh) OR (NOT early AND late)) AS BIGINT) AS parsed,
+  CAST(count(*) FILTER (WHERE n > 0 AND (early OR run <> 'first')) AS BIGINT) AS recognized,
+  CAST(sum(CASE WHEN early OR run <> 'first' THEN n ELSE 0 END) AS BIGINT) AS components FROM r, t GROUP BY run""")
+def incremental_parse(spark, sf):
+    """Statements of the customers in credit, then of all, then again, then with one changed catalog entry."""
+    docs = b.table(spark, sf, "customer").select(
+        b.code_of("c_custkey").alias("code"), b.code_of("c_custkey").alias("announcement_id"),
+        F.col("c_name").alias("fund_name"), F.lit("").alias("fund_identity"), "c_acctbal")
+    texts = b.table(spark, sf, "customer").select(
+        b.code_of("c_custkey").alias("announcement_id"), F.expr(STATEMENT).alias("text"), F.lit(None).cast("string").alias("error"))
+    catalog = load_benchmarks(spark)
+    changed = catalog.withColumn("display_name", F.when(F.col("id") == "dax", "DAX 40").otherwise(F.col("display_name")))
+    store, rows = Store(f"{checkpoint_folder(spark)}/parsed-{uuid.uuid4().hex}"), []
+    known = 0
+    for name, some, entries in (("first", docs.where("c_acctbal >= 0"), catalog), ("second", docs, catalog),
+                                ("third", docs, catalog), ("changed catalog", docs, changed)):
+        def parse(pending, entries=entries):
+            return doc.benchmark_profiles(*doc.parse_benchmarks(pending, entries)).withColumn("fund_identity", F.lit(""))
+
+        profiles = parse_once(store, "benchmarks", some.drop("c_acctbal"), texts, parse, catalog_fingerprint(entries))
+        total = stored_documents(docs, store, "benchmarks").count()
+        rows.append(staged(profiles.agg(
+            F.lit(name).alias("run"), F.lit(total - known).cast("long").alias("parsed"), F.count_if(F.size("components") > 0).alias("recognized"),
+            F.sum(F.size("components")).alias("components"))))
+        known = total
+    return union_all(rows)
