@@ -21,7 +21,7 @@ from navloom.functions.text import (
 from navloom.operators.eligibility import management_style
 from navloom.operators.matching import alias_hits
 from navloom.operators.quality import issues_of, union_all
-from navloom.session import dealt
+from navloom.session import dealt, staged
 
 
 def _u(pattern: str) -> str:
@@ -107,7 +107,8 @@ def channel_amount_text(text: Column, channel: str) -> Column:
     ranked = F.flatten(F.transform(words, near))
     nearest = F.array_min(F.transform(ranked, lambda c, i: F.struct(
         c.distance.alias("distance"), i.alias("turn"), c.found.alias("found"))))
-    return F.when(text.rlike(_u(channel)), F.coalesce(stated, nearest.found))
+    # Windows are searched only where no clause states an amount; a case runs its branches one after the other.
+    return F.when(stated.isNotNull(), stated).when(text.rlike(_u(channel)), nearest.found)
 
 
 def closing_amount(text: Column) -> Column:
@@ -254,11 +255,14 @@ def parse_benchmarks(docs: DataFrame, catalog: DataFrame) -> tuple[DataFrame, Da
     """
     key, own_key = "announcement_id", ["code", "announcement_id"]
     texts = dealt(docs.where("text is not null"), key).groupBy(key).agg(F.first("text").alias("text"))
-    texts = texts.withColumn("statement", benchmark_statement(F.col("text"))).where("statement is not null")
+    # Statements and their matches are read several times and short beside the texts: staged, each text is parsed once.
+    texts = staged(texts.select(
+        key, benchmark_statement(F.col("text")).alias("statement"),
+        F.substring("text", 1, fixed.BENCHMARK_FALLBACK_CHARS).alias("opening")).where("statement is not null"))
     listed = docs.select("code", key, "fund_name").dropDuplicates(own_key)
-    shared = match_catalog(texts, key, "statement", catalog).select(key, "position")
+    shared = staged(match_catalog(texts, key, "statement", catalog).select(key, "position"))
     own = listed.select(*own_key).join(shared, key)
-    opening = F.concat_ws(" ", "fund_name", F.substring("text", 1, fixed.BENCHMARK_FALLBACK_CHARS))
+    opening = F.concat_ws(" ", "fund_name", "opening")
     unnamed = texts.where(F.col("statement").contains("标的指数")).join(
         shared.select(key).distinct(), key, "left_anti").join(listed, key).withColumn(
         "opening", opening).withColumn("pair", F.struct(*own_key))

@@ -9,6 +9,8 @@ from navloom import fixed_values as fixed
 from navloom.functions.numbers import exact_round
 from navloom.functions.text import normalize_instrument
 from navloom.operators.matching import alias_hits
+from navloom.session import dealt
+
 
 def report_key(df: DataFrame) -> list[str]:
     """A report is listed by a fund; tables of distinct documents have no ``code``."""
@@ -35,8 +37,8 @@ def resolve_instruments(holdings: DataFrame, catalog: DataFrame) -> DataFrame:
     """
     named = holdings.withColumn("normalized_name", normalize_instrument(F.col("fund_name")))
     names = named.select("normalized_name", "report_date").distinct()
-    hits = alias_hits(names.select("normalized_name").distinct().withColumn("t", F.col("normalized_name")),
-                      "normalized_name", "t", catalog)
+    single = dealt(names.select("normalized_name"), "normalized_name").distinct()
+    hits = alias_hits(single.withColumn("t", F.col("normalized_name")), "normalized_name", "t", catalog)
     options = names.join(hits, "normalized_name").join(
         catalog.select("position", "category", "us_equity_pct", "data_date", "source_url"), "position")
     good = options.where(usable(*[F.col(c) for c in ("category", "data_date", "source_url", "report_date")]))

@@ -28,11 +28,14 @@ def alias_table(catalog: DataFrame) -> DataFrame:
     return aliases.distinct().withColumn("gram", F.substring("alias", 1, GRAM_CHARS))
 
 
-def _gram_lengths(aliases: DataFrame) -> tuple[int, list[int]]:
-    """Length of the longest alias, and the lengths that grams have."""
+def _grams(aliases: DataFrame) -> tuple[int, list[int], list[str] | None]:
+    """Length of the longest alias, the lengths that grams have, and the grams themselves if they are few."""
+    found = aliases.groupBy("gram").agg(F.max(F.length("alias")).alias("longest")).limit(MOST_GRAMS + 1).collect()
+    if len(found) <= MOST_GRAMS:
+        return max((r.longest for r in found), default=0), sorted({len(r.gram) for r in found}), [r.gram for r in found]
     sizes = aliases.agg(F.max(F.length("alias")).alias("longest"),
-                        F.array_sort(F.collect_set(F.length("gram"))).alias("grams")).first()
-    return sizes.longest or 0, sizes.grams
+                        F.array_sort(F.collect_set(F.length("gram"))).alias("lengths")).first()
+    return sizes.longest, sizes.lengths, None
 
 
 def candidate_windows(text: Column, longest: int, lengths: list[int], grams: list[str] | None) -> Column:
@@ -64,11 +67,9 @@ def candidate_windows(text: Column, longest: int, lengths: list[int], grams: lis
 def alias_hits(df: DataFrame, key: str, text: str, catalog: DataFrame) -> DataFrame:
     """JN-05. Distinct ``(key, position)`` pairs of texts and the catalog entries they contain."""
     aliases = alias_table(catalog)
-    longest, lengths = _gram_lengths(aliases)
+    longest, lengths, grams = _grams(aliases)
     if not longest:
         return df.select(key, F.lit(None).cast("int").alias("position")).where("false")
-    found = aliases.select("gram").distinct().limit(MOST_GRAMS + 1).collect()
-    grams = [r.gram for r in found] if len(found) <= MOST_GRAMS else None
     windows = df.select(key, F.explode(candidate_windows(F.col(text), longest, lengths, grams)).alias("window"))
     # One row for each window and each of its grams, whatever their number of characters.
     offered = windows.select(key, "window", F.explode(F.array(
