@@ -9,25 +9,38 @@ from navloom import fixed_values as fixed
 from navloom.functions.numbers import exact_round, reduction_pct
 
 
-MEDIAN_RANGES = 1024
+# Ranges of about equal numbers of distinct values that a metric is cut into.
+MEDIAN_RANGES = 256
+# Ranks that the sketch behind the cuts may be off by, as a share: one in so many.
+SKETCH_ACCURACY = 10_000
+
+
+def value_ranges(runs: DataFrame) -> DataFrame:
+    """Distinct values of ``runs(metric, value)`` with their number ``n`` and the range they fall into.
+
+    The cuts are sampled quantiles of the distinct values, so whatever the
+    distribution, outliers included, no range holds more than its share.
+    """
+    counts = runs.where("value is not null").groupBy("metric", "value").agg(F.count(F.lit(1)).alias("n"))
+    cuts = F.percentile_approx("value", [i / MEDIAN_RANGES for i in range(1, MEDIAN_RANGES)], SKETCH_ACCURACY)
+    ends = counts.groupBy("metric").agg(
+        F.min("value").alias("minimum"), F.max("value").alias("maximum"), F.sum("n").alias("total"), cuts.alias("cuts"))
+    place = F.size(F.filter("cuts", lambda c: c < F.col("value")))
+    return counts.join(ends, "metric").withColumn("range", place).drop("cuts")
 
 
 def baseline_summary(runs: DataFrame) -> DataFrame:
     """AG-17. Median, minimum and maximum per metric of ``runs(metric, value)``.
 
     The exact median without a metric's values in one task: equal values are counted
-    first, values fall into equal ranges between minimum and maximum, and only the
-    range or two that hold the middle ranks are sorted.
+    first, and only the range or two that hold the middle ranks are sorted.
     """
-    counts = runs.where("value is not null").groupBy("metric", "value").agg(F.count(F.lit(1)).alias("n"))
-    ends = counts.groupBy("metric").agg(
-        F.min("value").alias("minimum"), F.max("value").alias("maximum"), F.sum("n").alias("total"))
-    place = F.expr(f"cast(least({MEDIAN_RANGES - 1}, floor((value - minimum) / nullif(maximum - minimum, 0) * {MEDIAN_RANGES})) as int)")
-    ranged = counts.join(ends, "metric").withColumn("range", F.coalesce(place, F.lit(0)))
+    ranged = value_ranges(runs)
     # At most MEDIAN_RANGES rows a metric.
     before = Window.partitionBy("metric").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = ranged.groupBy("metric", "range").agg(F.sum("n").alias("size"), F.max("total").alias("total")).withColumn(
-        "before", F.coalesce(F.sum("size").over(before), F.lit(0)))
+    sizes = ranged.groupBy("metric", "range").agg(
+        F.sum("n").alias("size"), F.max("total").alias("total"), F.min("minimum").alias("minimum"),
+        F.max("maximum").alias("maximum")).withColumn("before", F.coalesce(F.sum("size").over(before), F.lit(0)))
     low, high = F.expr("(total - 1) div 2"), F.expr("total div 2")
     inside = sizes.where((F.col("before") <= high) & (F.col("before") + F.col("size") > low)).select("metric", "range", "before")
     within = Window.partitionBy("metric", "range").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -36,8 +49,8 @@ def baseline_summary(runs: DataFrame) -> DataFrame:
     def value_at(rank: Column) -> Column:
         return F.max(F.when((F.col("end") - F.col("n") <= rank) & (rank < F.col("end")), F.col("value")))
 
-    middle = ranked.groupBy("metric").agg(((value_at(low) + value_at(high)) / 2).alias("median"))
-    return ends.join(middle, "metric").select("metric", "median", "minimum", "maximum")
+    return ranked.groupBy("metric").agg(
+        ((value_at(low) + value_at(high)) / 2).alias("median"), F.min("minimum").alias("minimum"), F.max("maximum").alias("maximum"))
 
 
 def compare_runs(baseline: DataFrame, current: DataFrame, targets: DataFrame) -> DataFrame:

@@ -1,6 +1,10 @@
 import json
 import os
+import shutil
+import subprocess
+import sys
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -231,3 +235,19 @@ def test_queries_have_sql():
 
     assert set(entry.oracle_sql()) <= set(entry.queries()) and len(entry.queries()) > 80
     assert os.path.exists("/root/testdata/sf0.001")
+
+
+def test_queries_without_the_training_data_operators(tmp_path):
+    """A copy of the tree without those folders still lists its queries; so does one that kept the pipeline's file."""
+    root = Path(__file__).resolve().parent.parent
+    left_out = shutil.ignore_patterns("llm", "tests", ".git", "__pycache__", "corpus_pipeline.py")
+    shutil.copytree(root, tmp_path / "tree", ignore=left_out)
+    ask = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()), [q for q in e.queries() if q.startswith('op') or q == 'pipeline'])"
+
+    def listed():
+        env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+        return subprocess.run([sys.executable, "-c", ask], cwd=tmp_path / "tree", env=env, capture_output=True, text=True, check=True).stdout
+
+    assert listed().endswith("[]\n")
+    (tmp_path / "tree" / "corpus_pipeline.py").write_text("import navloom.llm.simhash\n")
+    assert listed().endswith("[]\n")

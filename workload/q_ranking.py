@@ -302,6 +302,19 @@ def run_comparison(spark, sf):
     return runs.compare_runs(rows.where("old").select("metric", "value"), current, targets)
 
 
+@query("ag17_median_outlier", """WITH m AS (SELECT l_returnflag AS metric, l_extendedprice AS v FROM lineitem
+  UNION ALL SELECT DISTINCT l_returnflag, 1e12 FROM lineitem UNION ALL SELECT DISTINCT l_returnflag, -1e12 FROM lineitem WHERE l_returnflag = 'A')
+SELECT metric, quantile_cont(v, 0.5) AS median, min(v) AS minimum, max(v) AS maximum, true AS balanced FROM m GROUP BY metric""")
+def median_outlier(spark, sf):
+    """One price of 1e12 for each flag: the median stays exact, and no range holds more than twice its share of values."""
+    rows = b.table(spark, sf, "lineitem").selectExpr("l_returnflag as metric", "l_extendedprice as value")
+    far = rows.select("metric").distinct()
+    rows = rows.unionByName(far.selectExpr("metric", "1e12D as value")).unionByName(far.where("metric = 'A'").selectExpr("metric", "-1e12D as value"))
+    sizes = runs.value_ranges(rows).groupBy("metric", "range").agg(F.count(F.lit(1)).alias("values"))
+    balanced = sizes.groupBy("metric").agg((F.max("values") * runs.MEDIAN_RANGES <= 2 * F.sum("values")).alias("balanced"))
+    return runs.baseline_summary(rows).join(balanced, "metric")
+
+
 @query("dq11_parity", """SELECT CAST(o_orderkey AS VARCHAR) AS key, CASE WHEN o_orderstatus = 'P' THEN 'parity_row'
   WHEN o_orderpriority = '1-URGENT' THEN 'parity_o_totalprice' ELSE 'parity_o_orderstatus' END AS rule_id FROM orders
 WHERE o_orderstatus = 'P' OR o_orderpriority IN ('1-URGENT', '2-HIGH')""")
