@@ -381,25 +381,45 @@ def repair_text(text: Column) -> Column:
     return out
 
 
-def parse_report_totals(docs: DataFrame) -> DataFrame:
-    """TXT-08, AG-16. Direct US share and fund investment share per listed report."""
-    fixed_text = dealt(docs, "announcement_id").withColumn("body", repair_text(F.col("text")))
+def report_sections(docs: DataFrame) -> DataFrame:
+    """The parts of a report that its parsers read, cut out of the repaired text in one pass.
+
+    ``readable``, ``country_part``, ``asset_part``, ``net_part`` and ``holdings_part``,
+    null where a heading is missing; a report is one row, with or without text.
+    Each part is short whatever the length of the report.
+    """
     body = F.col("body")
 
     def after(heading: str, chars: int) -> Column:
         return group_or_null(F.regexp_extract(body, rf"(?Us)(?:{heading})(.{{1,{chars}}})", 1))
 
-    country = first_piece(after(fixed.COUNTRY_HEADING, fixed.COUNTRY_CHARS), _u(fixed.NEXT_HEADING))
-    asset = collapse_keep_ends(after(fixed.ASSET_HEADING, fixed.ASSET_CHARS))
+    fixed_text = dealt(docs, "announcement_id").withColumn("body", repair_text(F.col("text")))
+    return fixed_text.select(
+        "code", "announcement_id", F.col("text").isNotNull().alias("readable"),
+        first_piece(after(fixed.COUNTRY_HEADING, fixed.COUNTRY_CHARS), _u(fixed.NEXT_HEADING)).alias("country_part"),
+        after(fixed.ASSET_HEADING, fixed.ASSET_CHARS).alias("asset_part"),
+        _group(body, fixed.NET_ASSETS).alias("net_part"),
+        group_or_null(F.regexp_extract(
+            body, rf"(?Us)(?:{fixed.HOLDINGS_START})(.*?){fixed.HOLDINGS_END}", 1)).alias("holdings_part"))
+
+
+def parse_report_totals(docs: DataFrame) -> DataFrame:
+    """TXT-08, AG-16. Direct US share and fund investment share per listed report."""
+    return section_totals(report_sections(docs))
+
+
+def section_totals(sections: DataFrame) -> DataFrame:
+    """TXT-08, AG-16, from the sections of reports."""
+    country, net_block = F.col("country_part"), F.col("net_part")
+    asset = collapse_keep_ends(F.col("asset_part"))
     direct = plain_digits(_group(collapse_keep_ends(country), fixed.COUNTRY_US, 2)).try_cast("double")
     amount = plain_digits(_group(asset, fixed.FUND_AMOUNT)).try_cast("double")
-    net_block = _group(body, fixed.NET_ASSETS)
     net_values = F.transform(
         F.regexp_extract_all(net_block, F.lit(_u(fixed.NET_ASSET_VALUE)), F.lit(1)),
         lambda v: plain_digits(v).try_cast("double"))
     net_total = F.aggregate(net_values, F.lit(0.0), lambda acc, v: acc + v)
-    parts = fixed_text.select(
-        "code", "announcement_id", F.col("text").isNotNull().alias("readable"),
+    parts = sections.select(
+        "code", "announcement_id", "readable",
         country.isNotNull().alias("has_country"), asset.isNotNull().alias("has_asset"),
         F.coalesce(direct, F.lit(0.0)).alias("direct"), amount.alias("amount"),
         F.coalesce(asset.rlike(_u(fixed.FUND_DASH)), F.lit(False)).alias("dash"),
@@ -429,14 +449,17 @@ def collapse_keep_ends(text: Column) -> Column:
 
 
 def parse_holdings(docs: DataFrame) -> DataFrame:
-    """TXT-07, WIN-10. Rows of the top-ten fund table; ``row_issue`` marks unreadable rows.
+    """TXT-07, WIN-10. Rows of the top-ten fund table; ``row_issue`` marks unreadable rows."""
+    return section_holdings(report_sections(docs))
+
+
+def section_holdings(sections: DataFrame) -> DataFrame:
+    """TXT-07, WIN-10, from the sections of reports.
 
     A row runs from its number to the start of the next row.
     """
-    body = repair_text(F.col("text"))
-    table = group_or_null(F.regexp_extract(
-        body, rf"(?Us)(?:{fixed.HOLDINGS_START})(.*?){fixed.HOLDINGS_END}", 1))
-    found = dealt(docs, "announcement_id").withColumn("table", table).withColumn("spans", match_spans(F.col("table"), fixed.HOLDING_ROW))
+    found = sections.withColumn("table", F.col("holdings_part")).withColumn(
+        "spans", match_spans(F.col("table"), fixed.HOLDING_ROW))
     spans = F.col("spans")
     rows = F.transform(spans, lambda s, i: F.struct(
         F.regexp_extract(s.found, r"(10|[1-9])", 1).cast("int").alias("rank"),

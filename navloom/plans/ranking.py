@@ -129,12 +129,14 @@ def parse_documents(announcements: DataFrame, texts: DataFrame, funds: DataFrame
     # Share classes list the same report; its text is parsed once, for whichever fund.
     single = facts.groupBy("announcement_id").agg(F.first("code").alias("code")).withColumn("fund_identity", F.lit(""))
 
-    def of_report(parse):
-        return lambda docs: parse(docs).drop("code").withColumn("fund_identity", F.lit(""))
-
-    totals = facts.join(parse_once(
-        store, "report_totals", single, texts, of_report(doc.parse_report_totals)).drop("fund_identity"), "announcement_id")
-    holdings = parse_once(store, "report_holdings", single, texts, of_report(doc.parse_holdings)).drop("fund_identity")
+    def sections_of(docs: DataFrame) -> DataFrame:
+        return doc.report_sections(docs).drop("code").withColumn("fund_identity", F.lit(""))
+
+    # Totals and holdings both read the short sections, so a long report is searched once.
+    sections = staged(parse_once(store, "report_sections", single, texts, sections_of).drop("fund_identity").join(
+        single.drop("fund_identity"), "announcement_id"))
+    totals = facts.join(doc.section_totals(sections).drop("code"), "announcement_id")
+    holdings = doc.section_holdings(sections).drop("code")
 
     selected = doc.notice_order(quo.select_notices(quo.on_latest_page(listed), as_of=as_of))
     # The date of publication stands in for a date that a notice does not state.

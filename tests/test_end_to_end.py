@@ -132,7 +132,7 @@ def test_sinks_and_parity(spark, run, tmp_path):
 
 
 def test_known_documents_are_not_parsed_again(spark, run, tmp_path):
-    kinds = ["benchmarks", "costs", "report_totals", "report_holdings", "notices"]
+    kinds = ["benchmarks", "costs", "report_sections", "notices"]
     tables = run[0]["tables"]
     given, funds = tables.disclosures, tables.funds.where("code <> '000003'")
 
@@ -143,7 +143,7 @@ def test_known_documents_are_not_parsed_again(spark, run, tmp_path):
 
     store = Store(str(tmp_path / "parsed"))
     told, once = parse(store)
-    assert once == {"benchmarks": 4, "costs": 2, "report_totals": 2, "report_holdings": 2, "notices": 2}
+    assert once == {"benchmarks": 4, "costs": 2, "report_sections": 2, "notices": 2}
     assert len(told["transitions"]) == 2 and len(told["report_holdings"]) > 4
     # The second run reads no text at all.
     lost = given.texts.select("announcement_id", F.lit("broken").alias("text"), F.lit("gone").alias("error"))

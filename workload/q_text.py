@@ -186,3 +186,74 @@ def incremental_parse(spark, sf):
             F.sum(F.size("components")).alias("components"))))
         known = total
     return union_all(rows)
+
+
+NEAREST = """concat('投资者通过直销机构上限', format_number(amount, 0), '元；代销机构上限', amount + 7, '万元。自2003年5月6日起恢复，累计申购金额不超过', amount + 1,
+ '元。自2004年1月1日起，调整为累计申购金额不超过', amount + 2, '万元。自2005年2月', 1 + day(o_orderdate) % 28, '日起，暂停累计申购金额不得超过人民币', amount + 3, '元的业务。',
+ if(o_orderstatus = 'F', '自2006年1月1日起，召开会议，申购金额不超过9元。', ''))"""
+
+
+@query("txt02_nearest_amounts", """WITH o AS (SELECT CAST(o_orderkey AS VARCHAR) AS k, CAST(o_orderdate AS DATE) AS d, CAST(floor(o_totalprice) AS BIGINT) AS a FROM orders)
+SELECT k AS announcement_id, CAST(0 AS BIGINT) AS transition_seq, DATE '2003-05-06' AS effective_date, a AS direct_amount_cny, (a + 7) * 10000 AS agency_amount_cny,
+  a + 1 AS global_amount_cny FROM o
+UNION ALL SELECT k, 2, DATE '2004-01-01', NULL, NULL, (a + 2) * 10000 FROM o
+UNION ALL SELECT k, 3, make_date(2005, 2, 1 + day(d) % 28), NULL, NULL, a + 3 FROM o""")
+def nearest_amounts(spark, sf):
+    """TXT-02 by the nearest amounts beside a limit word, and TXT-04 with several later changes; one sentence changes nothing."""
+    found = doc.parse_notices(notices(spark, sf).join(
+        b.table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("announcement_id"), F.expr(NEAREST.replace("amount", "cast(floor(o_totalprice) as bigint)")).alias("t")),
+        "announcement_id").withColumn("text", F.col("t")).drop("t"))
+    return found.select("announcement_id", F.col("transition_seq").cast("long").alias("transition_seq"), "effective_date",
+                        "direct_amount_cny", "agency_amount_cny", "global_amount_cny")
+
+
+# Statements in the middle of whole documents, behind a preface longer than the opening that a fallback reads.
+EMBEDDED = """concat(repeat('前言。', 1100), text, case doc_id % 4
+ when 0 then concat('。本基金的业绩比较基准为', doc_id % 50 + 50, '%×标普500指数收益率。风险收益特征')
+ when 1 then concat(' 业绩比较基准 ', doc_id % 50 + 40, '%×纳斯达克100指数收益率；风险收益特征')
+ when 2 then '。业绩比较基准：标的指数收益率。本基金为'
+ else concat('。业绩比较基准为德国DAX指数。业绩比较基准采用', doc_id % 50 + 1, '%×恒生指数收益率+5%×活期存款利率。如果今后') end, text)"""
+
+
+@query("txt05_embedded_statements", """SELECT CAST(doc_id AS BIGINT) AS doc_id, CASE doc_id % 4 WHEN 0 THEN 'sp-500' WHEN 3 THEN 'hang-seng' ELSE 'nasdaq-100' END AS benchmark_id,
+  CAST(CASE doc_id % 4 WHEN 0 THEN doc_id % 50 + 50 WHEN 1 THEN doc_id % 50 + 40 WHEN 2 THEN 100 ELSE doc_id % 50 + 1 END AS DOUBLE) AS weight_pct FROM documents""")
+def embedded_statements(spark, sf):
+    """TXT-05 in whole documents: both headings, a weighted statement after a plain one, and the fallback to the fund's name."""
+    docs = b.table(spark, sf, "documents").select(
+        b.code_of("doc_id").alias("code"), F.col("doc_id").cast("string").alias("announcement_id"),
+        F.expr("if(doc_id % 4 = 2, '纳斯达克100指数基金', '基金')").alias("fund_name"), F.expr(EMBEDDED).alias("text"))
+    _, components = doc.parse_benchmarks(docs, load_benchmarks(spark))
+    return components.select(F.col("announcement_id").cast("long").alias("doc_id"), "benchmark_id", "weight_pct")
+
+
+# Reports inside whole documents; five of six lack one thing each.
+EMBEDDED_REPORT = """case when doc_id % 6 = 1 then null else concat(text, '\n', if(doc_id % 6 = 5, '', '4.期末基金资产净值\n人民币A类 200.00\n5.期末基金份额净值 1.00\n'),
+ if(doc_id % 6 = 3, '', concat('5.1 报告期末基金资产组合情况\n1 权益投资 20.00 20.00\n2 基金投资 ', if(doc_id % 6 = 4, '', '100.00 50.00'), '\n9 合计 100.00 100.00\n')),
+ if(doc_id % 6 = 2, '', '5.2 报告期末在各个国家（地区）证券市场的权益投资分布\n国家 公允价值 比例\n美国 10.00 12.25\n5.3 行业分类\n'),
+ '5.9 报告期末按公允价值排序的前十名基金投资明细\n1 SHORT ETF基金 交易型 9.00 ', doc_id % 50, '.50 GLOBAL TECH ETF\n2 AGGREGATE INCOME TOTAL 债 券 型 开放式 Manager 7.00 3.',
+ 10 + doc_id % 50, '\n3 基金 7\n5.10 投资组合报告附注\n', text) end"""
+
+
+def embedded_reports(spark, sf):
+    return b.table(spark, sf, "documents").select(
+        b.code_of("doc_id").alias("code"), F.col("doc_id").cast("string").alias("announcement_id"), F.expr(EMBEDDED_REPORT).alias("text"))
+
+
+@query("txt08_report_issues", """SELECT CAST(doc_id AS BIGINT) AS doc_id, CASE WHEN doc_id % 6 = 0 THEN CAST(12.25 AS DOUBLE) END AS direct_us_pct,
+  CASE WHEN doc_id % 6 = 0 THEN CAST(50 AS DOUBLE) END AS fund_investment_pct, CASE doc_id % 6 WHEN 1 THEN 'unreadable' WHEN 2 THEN 'country_table_missing'
+  WHEN 3 THEN 'asset_table_missing' WHEN 4 THEN 'fund_amount_missing' WHEN 5 THEN 'net_assets_missing' END AS report_issue FROM documents""")
+def report_issues(spark, sf):
+    """TXT-08: every issue a report can have, in whole documents."""
+    return doc.parse_report_totals(embedded_reports(spark, sf)).select(
+        F.col("announcement_id").cast("long").alias("doc_id"), "direct_us_pct", "fund_investment_pct", "report_issue")
+
+
+@query("txt07_embedded_holdings", """SELECT CAST(doc_id AS BIGINT) AS doc_id, CAST(r AS BIGINT) AS rank,
+  CASE r WHEN 1 THEN 'SHORT GLOBAL TECH ETF' WHEN 2 THEN 'AGGREGATE INCOME TOTAL' END AS fund_name,
+  CASE r WHEN 1 THEN CAST(9 AS DOUBLE) WHEN 2 THEN 7 ELSE 5.1 END AS weight_pct, CASE r WHEN 2 THEN 'fixed_income' END AS reported_category,
+  CASE r WHEN 3 THEN 'holding_row_unreadable' END AS row_issue FROM documents, range(1, 4) t(r) WHERE doc_id % 6 <> 1""")
+def embedded_holdings(spark, sf):
+    """TXT-07: a name that goes on behind the numbers, a bond fund and a row that cannot be read, in whole documents."""
+    return doc.parse_holdings(embedded_reports(spark, sf)).select(
+        F.col("announcement_id").cast("long").alias("doc_id"), F.col("rank").cast("long").alias("rank"), "fund_name", "weight_pct",
+        "reported_category", "row_issue")
