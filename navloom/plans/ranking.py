@@ -216,7 +216,9 @@ def with_documents(tables: Tables, measured: DataFrame, params: Params) -> Table
 
 def contributed_holdings(tables: Tables, qualified: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Reports of the qualified funds, and their holdings with what each contributes."""
-    reports = tables.report_totals.join(qualified.select("code"), "code", "left_semi")
+    # A report that could not be read has no totals; its fund lacks an exposure, which is fatal.
+    read = tables.report_totals.where("direct_us_pct is not null and fund_investment_pct is not null")
+    reports = read.join(qualified.select("code"), "code", "left_semi")
     dated = tables.report_holdings.join(
         reports.select("code", "announcement_id", "report_date"), "announcement_id")
     return reports, expo.contributions(expo.resolve_instruments(dated, tables.instruments))

@@ -2,7 +2,8 @@
 
 from importlib import import_module
 
-MODULES = ["q_timeseries", "q_eligibility", "q_exposure", "q_quota", "q_premium", "q_ranking", "q_text", "q_sources", "q_records"]
+MODULES = ["q_timeseries", "q_eligibility", "q_exposure", "q_quota", "q_premium", "q_ranking", "q_text", "q_sources", "q_records",
+           "q_disclosures"]
 
 
 def load_all():
