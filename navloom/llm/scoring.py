@@ -90,8 +90,7 @@ class Grams:
         gram, key = self.at, keys
         for k in range(2, order + 1):
             places = np.flatnonzero(step >= k - 1)
-            code, first, inverse = np.unique(
-                gram[places - 1] * self.width + self.at[places], return_index=True, return_inverse=True)
+            code, inverse = np.unique(gram[places - 1] * self.width + self.at[places], return_inverse=True)
             prefix, last = code // self.width, code % self.width
             with np.errstate(over="ignore"):
                 mixed = (key[prefix] * np.uint64(0x9E3779B97F4A7C15)) ^ (keys[last] + np.uint64(k))
@@ -101,8 +100,11 @@ class Grams:
             back = np.empty(len(by), np.int64)
             back[by] = np.arange(len(by))
             self.keys[k], self.prefix[k], self.last[k] = mixed[by], prefix[by], last[by]
-            self.suffix[k] = gram[places][first][by]
             here = back[inverse]
+            # All places of a gram have the same suffix, so any of them may write it.
+            self.suffix[k] = last[by] if k == 2 else np.empty(len(by), np.int64)
+            if k > 2:
+                self.suffix[k][here] = gram[places]
             self.counts[k] = np.bincount(here[taught[places]], minlength=len(by))
             fresh = np.full(len(self.at), -1, np.int64)
             fresh[places] = here
@@ -155,7 +157,8 @@ class Automaton:
             drop[here] = np.log10(prior / (context[k] + prior))
             if k > 1:
                 fail[here] = base[k - 1] + grams.suffix[k]
-        self.fail, self.drop = fail.tolist(), drop.tolist()
+        # States go by their place in the arcs, state * width.
+        self.fail, self.drop, self.begin = (fail * width).tolist(), drop.tolist(), self.begin * width
 
         def state(k: int, gram: np.ndarray) -> np.ndarray:
             return np.where(context[k][gram] > 0, base[k] + gram, 0)
@@ -171,18 +174,18 @@ class Automaton:
             weights.append(np.log10(self.chance[k][seen]))
             nexts.append(base[k] + seen if k < order else state(k - 1, grams.suffix[k][seen]))
         self.arcs = dict(zip(np.concatenate(keys).tolist(), range(sum(map(len, keys)))))
-        self.weights, self.nexts = np.concatenate(weights).tolist(), np.concatenate(nexts).tolist()
+        self.weights, self.nexts = np.concatenate(weights).tolist(), (np.concatenate(nexts) * width).tolist()
 
     def read(self, words: list[int]) -> float:
         """Log-probability of the words after the begin mark."""
-        arcs, weights, nexts, fail, drop, width = self.arcs, self.weights, self.nexts, self.fail, self.drop, self.width
+        arc_of, weights, nexts, fail, drop, width = self.arcs.get, self.weights, self.nexts, self.fail, self.drop, self.width
         total, state = 0.0, self.begin
         for word in words:
-            arc = arcs.get(state * width + word)
+            arc = arc_of(state + word)
             while arc is None:
-                total += drop[state]
-                state = fail[state]
-                arc = arcs.get(state * width + word)
+                total += drop[state // width]
+                state = fail[state // width]
+                arc = arc_of(state + word)
             total += weights[arc]
             state = nexts[arc]
         return total
