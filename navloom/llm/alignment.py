@@ -28,7 +28,7 @@ from navloom.llm.packing import CachedEncoder, single_spaced
 
 CHUNK_BYTES = 4 << 20
 # Segments that one task remembers.
-CACHE_SIZE = 200_000
+CACHE_SIZE = 400_000
 SPACE = "▁"  # stands for a blank in the pieces of the second tokenizer
 
 ALIGNED = T.StructType([
