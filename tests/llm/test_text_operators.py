@@ -13,6 +13,7 @@ from tokenizers import Tokenizer
 from navloom.llm import decontaminate as dec
 from navloom.llm import language, license_texts, licenses, packing, pii, quality, secret_scan
 from navloom.llm.common import id_text
+from tests.llm.conftest import words
 
 
 def luhn(text):
@@ -346,3 +347,22 @@ def test_empty_tables(spark, empty):
     assert dec.decontaminate(empty, benchmark).count() == 0
     assert secret_scan.find_secrets(id_text(empty)).count() == 0
     assert packing.pack_documents(id_text(empty)).count() == 0
+
+
+def test_language_held_out_rejected_and_tied(spark):
+    """Held-out rows of learned languages, rows of a language left out, and two languages that say the same."""
+    rng = random.Random(9)
+    rows = [(i, words(rng, ["en", "de", "fr"][i % 3], 40), ["en", "de", "fr"][i % 3]) for i in range(450)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train(frame.where("lang <> 'fr'"))
+    got = language.predict(frame.where("crc32(cast(doc_id as string)) % 3 = 1"), model).collect()
+    inside, outside = [r for r in got if r.lang != "fr"], [r for r in got if r.lang == "fr"]
+    assert len(inside) > 60 and sum(r.lang == r.lang_pred for r in inside) >= 0.98 * len(inside)
+    assert not any(r.rejected for r in inside)
+    assert len(outside) > 30 and sum(r.rejected for r in outside) >= 0.95 * len(outside)
+    twins = frame.where("lang = 'en'").select("doc_id", "text", F.lit("y").alias("lang")).union(
+        frame.where("lang = 'en'").select(F.col("doc_id"), "text", F.lit("x").alias("lang")))
+    assert {r.lang_pred for r in language.predict(frame.where("lang = 'en'"), language.train(twins)).collect()} == {"x"}
+    # Document frequencies count every learnable row, whatever the sample.
+    few, all_rows = language.train(frame, max_rows=5), language.train(frame)
+    assert (few.idf == all_rows.idf).all() and few.rows.shape == all_rows.rows.shape
