@@ -25,7 +25,6 @@ SERIES_TOLERANCE = 1e-9
 NAV_MATCH_TOLERANCE = 1e-8
 RESIDUAL_FLOOR_PCT = 0.01
 UNRESOLVED_WARNING_PCT = 0.005
-REDUCTION_TARGETS = {"refresh_seconds": 240.0, "end_to_end_seconds": 300.0, "index_calls": 66.0}
 
 # Fund types, keywords and routing names.
 OVERSEAS_INDEX_TYPE = "指数型-海外股票"

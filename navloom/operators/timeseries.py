@@ -67,10 +67,6 @@ def daily_factor(nav: DataFrame, *, as_of) -> DataFrame:
     )
 
 
-def factor_issues(factors: DataFrame) -> DataFrame:
-    return issues_of(factors, F.col("code"), F.col("factor_issue"), F.col("date"))
-
-
 def wealth_series(nav: DataFrame, *, as_of) -> DataFrame:
     """WIN-02. Wealth from 1.0 at the first point; null after a missing factor."""
     points = daily_factor(nav, as_of=as_of)
