@@ -212,3 +212,26 @@ DIGEST_PREFIXES = [
     "合同基准告警 ", "产品概要告警 ", "持有费率告警 ", "额度剔除 ",
     "美国主榜仅 ", "全球补充榜仅 ",
 ]
+
+# The columns of the flat export, in output order.
+FLAT_COLUMNS = [
+    "ranking_list", "routing_reason", "rank", "code", "name", "fund_type", "management_style",
+    "product_structure_tags", "contract_benchmark_status", "contract_benchmark_name",
+    "contract_benchmark_text", "contract_benchmark_weight_pct", "contract_benchmark_components",
+    "contract_market_scope", "contract_market_label", "contract_asset_class", "contract_style_label",
+    "contract_structure", "contract_prospectus_published_date", "contract_source_url",
+    "product_summary_status", "product_summary_source_url", "holding_cost_status",
+    "holding_cost_annualized_pct", "holding_cost_measurement_date", "holding_cost_source_url",
+    "institution_holding_ratio_pct", "holder_report_date", "inception_date", "scale_100m_cny",
+    "scale_report_date", "nav_history_start_date", "nav_history_end_date", "one_year_return_pct",
+    "one_year_max_drawdown_pct", "one_year_performance_start_date", "one_year_performance_end_date",
+    "three_year_return_pct", "three_year_max_drawdown_pct", "three_year_performance_start_date",
+    "three_year_performance_end_date", "five_year_return_pct", "five_year_performance_start_date",
+    "five_year_performance_end_date", "ten_year_return_pct", "ten_year_performance_start_date",
+    "ten_year_performance_end_date", "nasdaq100_correlation", "nasdaq100_beta", "nasdaq100_tracking_error_pct",
+    "nasdaq100_observations", "nasdaq100_start_date", "nasdaq100_end_date", "three_year_annualized_return_pct",
+    "return_drawdown_ratio", "us_equity_confirmed_pct", "us_equity_possible_pct", "us_equity_status",
+    "us_equity_report_date", "us_equity_source_url", "purchase_status", "direct_limit", "agency_limit",
+    "share_class_rule", "channel_rule", "quota_confidence", "fund_page_url", "performance_source_url",
+    "quota_source_urls",
+]

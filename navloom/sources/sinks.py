@@ -80,52 +80,31 @@ def _amount(channel: str) -> Column:
     return format_limit(F.col(f"{channel}.status"), F.col(f"{channel}.amount_cny"))
 
 
+def _flat_column(name: str) -> Column:
+    """The value of a flat column: a field of a nested record where its prefix names one, else the column itself."""
+    special = {
+        "direct_limit": _amount("direct_limit"), "agency_limit": _amount("agency_limit"),
+        "product_structure_tags": F.concat_ws(" | ", "product_structure_tags"),
+        "quota_source_urls": F.concat_ws(" | ", "quota_source_urls"),
+        "contract_benchmark_name": F.col("contract_benchmark.benchmark_name"),
+        "contract_benchmark_text": F.col("contract_benchmark.benchmark_text"),
+        "contract_benchmark_weight_pct": F.col("contract_benchmark.benchmark_weight_pct"),
+        "contract_benchmark_components": F.to_json("contract_benchmark.components"),
+        "product_summary_status": F.col("contract_benchmark.product_summary_status"),
+        "product_summary_source_url": F.col("contract_benchmark.product_summary_source_url"),
+    }
+    if name in special:
+        return special[name]
+    for prefix, record in (("contract_benchmark_", "contract_benchmark"), ("contract_", "contract_benchmark"),
+                           ("holding_cost_", "holding_cost"), ("nasdaq100_", "benchmark_fit"), ("us_equity_", "us_equity_exposure")):
+        if name.startswith(prefix):
+            return F.col(f"{record}.{name.removeprefix(prefix)}")
+    return F.col(name)
+
+
 def flatten_ranking(ranking: DataFrame) -> DataFrame:
     """SNK-02. The flat columns of nested ranking records, arrays joined by a bar."""
-    plain_head = ["ranking_list", "routing_reason", "rank", "code", "name", "fund_type", "management_style"]
-    contract = {
-        "contract_benchmark_status": "status", "contract_benchmark_name": "benchmark_name",
-        "contract_benchmark_text": "benchmark_text",
-        "contract_benchmark_weight_pct": "benchmark_weight_pct",
-        "contract_benchmark_components": "components", "contract_market_scope": "market_scope",
-        "contract_market_label": "market_label", "contract_asset_class": "asset_class",
-        "contract_style_label": "style_label", "contract_structure": "structure",
-        "contract_prospectus_published_date": "prospectus_published_date",
-        "contract_source_url": "source_url", "product_summary_status": "product_summary_status",
-        "product_summary_source_url": "product_summary_source_url",
-    }
-    cost = {"holding_cost_status": "status", "holding_cost_annualized_pct": "annualized_pct",
-            "holding_cost_measurement_date": "measurement_date", "holding_cost_source_url": "source_url"}
-    plain_middle = ["institution_holding_ratio_pct", "holder_report_date", "inception_date",
-                    "scale_100m_cny", "scale_report_date", "nav_history_start_date", "nav_history_end_date"]
-    windows = []
-    for prefix in fixed.RETURN_HORIZONS.values():
-        windows.append(f"{prefix}_return_pct")
-        if prefix in ("one_year", "three_year"):
-            windows.append(f"{prefix}_max_drawdown_pct")
-        windows += [f"{prefix}_performance_start_date", f"{prefix}_performance_end_date"]
-    fit = ["correlation", "beta", "tracking_error_pct", "observations", "start_date", "end_date"]
-    exposure = ["confirmed_pct", "possible_pct", "status", "report_date", "source_url"]
-
-    def nested(parent: str, field: str) -> Column:
-        column = F.col(f"{parent}.{field}")
-        return F.to_json(column) if field == "components" else column
-
-    return ranking.select(
-        *plain_head,
-        F.concat_ws(" | ", "product_structure_tags").alias("product_structure_tags"),
-        *[nested("contract_benchmark", field).alias(name) for name, field in contract.items()],
-        *[F.col(f"holding_cost.{field}").alias(name) for name, field in cost.items()],
-        *plain_middle, *windows,
-        *[F.col(f"benchmark_fit.{field}").alias(f"nasdaq100_{field}") for field in fit],
-        "three_year_annualized_return_pct", "return_drawdown_ratio",
-        *[F.col(f"us_equity_exposure.{field}").alias(f"us_equity_{field}") for field in exposure],
-        "purchase_status", _amount("direct_limit").alias("direct_limit"),
-        _amount("agency_limit").alias("agency_limit"),
-        "share_class_rule", "channel_rule", "quota_confidence", "fund_page_url",
-        "performance_source_url",
-        F.concat_ws(" | ", "quota_source_urls").alias("quota_source_urls"),
-    )
+    return ranking.select(*[_flat_column(name).alias(name) for name in fixed.FLAT_COLUMNS])
 
 
 def pending_documents(docs: DataFrame, results: DataFrame, fingerprint: str, version: int) -> DataFrame:
