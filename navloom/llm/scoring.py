@@ -55,8 +55,8 @@ class _Numbers(dict):
 class Grams:
     """The n-grams of some texts.
 
-    ``words`` are sorted by key, the last number is the begin mark.  ``at`` holds
-    the word at every place, ``keys[k]``, ``prefix[k]``, ``suffix[k]`` and ``last[k]``
+    ``words`` are sorted by key, the last number is the begin mark.  ``at`` holds the
+    word and ``places[k]`` the gram of k words that ends at every place; ``keys[k]``, ``prefix[k]``, ``suffix[k]`` and ``last[k]``
     describe the distinct grams of k words by key: the gram before their last word,
     the gram without their first, and their last word.
     """
@@ -88,6 +88,7 @@ class Grams:
         self.keys, self.prefix, self.suffix, self.last = {1: keys[:-1]}, {}, {}, {}
         self.counts = {1: np.bincount(self.at[taught & (step > 0)], minlength=self.width - 1)}
         gram, key = self.at, keys
+        self.places = {1: self.at}
         for k in range(2, order + 1):
             places = np.flatnonzero(step >= k - 1)
             code, inverse = np.unique(gram[places - 1] * self.width + self.at[places], return_inverse=True)
@@ -109,6 +110,7 @@ class Grams:
             fresh = np.full(len(self.at), -1, np.int64)
             fresh[places] = here
             gram, key = fresh, self.keys[k]
+            self.places[k] = fresh
 
     def ranges(self, bits: int):
         """(range number, keys, counts) of every key range that holds a gram; numbers grow with length and key."""
@@ -134,60 +136,50 @@ def _unpacked(sent: bytes) -> np.ndarray:
 class Automaton:
     """The arcs that the texts of some ``Grams`` can use, from their totals in the corpus.
 
-    State 0 is the empty context; a gram that was learned and is shorter than
-    the order is a state.  ``arcs`` leads from state * width + word to the place
-    of its weight and next state.
+    A state is a learned gram shorter than the order, state 0 words long the empty
+    context.  Where a text is at a place in a state of n words, the arc that reads its
+    next word is the gram of n + 1 words that ends there: ``arcs[n]`` holds its weight by
+    place, not a number where the gram was not learned, and ``drops[n]`` the weight of
+    the failure arc of the state of n words that ends at a place.
     """
 
     def __init__(self, grams: Grams, totals: dict[int, np.ndarray], tokens: int, known: int, prior: float):
-        order, width = max(totals), grams.width
-        self.width = width
+        self.order = max(totals)
         self.chance = {1: (totals[1] + 1) / (tokens + known + 1)}
         begin = totals[1][grams.words.index(END)] if grams.words else 0
-        # Totals and first states by length; the begin mark is the last gram of length one.
+        # Totals by length; the begin mark is the last gram of length one.
         context = {1: np.append(totals[1], begin)} | {k: totals[k] for k in totals if k > 1}
-        base, states = {}, 1
-        for k in range(1, order):
-            base[k] = states
-            states += len(context[k])
-        self.begin = base[1] + width - 1 if order > 1 else 0
-        fail, drop = np.zeros(states, np.int64), np.zeros(states)
-        for k in range(1, order):
-            here = slice(base[k], base[k] + len(context[k]))
-            drop[here] = np.log10(prior / (context[k] + prior))
-            if k > 1:
-                fail[here] = base[k - 1] + grams.suffix[k]
-        # States go by their place in the arcs, state * width.
-        self.fail, self.drop, self.begin = (fail * width).tolist(), drop.tolist(), self.begin * width
-
-        def state(k: int, gram: np.ndarray) -> np.ndarray:
-            return np.where(context[k][gram] > 0, base[k] + gram, 0)
-
-        words = np.arange(width - 1)
-        keys, weights = [words], [np.log10(self.chance[1])]
-        nexts = [state(1, words) if order > 1 else np.zeros_like(words)]
-        for k in range(2, order + 1):
+        for k in range(2, self.order + 1):
             lower = self.chance[k - 1][grams.suffix[k]]
             self.chance[k] = (totals[k] + prior * lower) / (context[k - 1][grams.prefix[k]] + prior)
-            seen = np.flatnonzero(totals[k])
-            keys.append((base[k - 1] + grams.prefix[k][seen]) * width + grams.last[k][seen])
-            weights.append(np.log10(self.chance[k][seen]))
-            nexts.append(base[k] + seen if k < order else state(k - 1, grams.suffix[k][seen]))
-        self.arcs = dict(zip(np.concatenate(keys).tolist(), range(sum(map(len, keys)))))
-        self.weights, self.nexts = np.concatenate(weights).tolist(), (np.concatenate(nexts) * width).tolist()
-
-    def read(self, words: list[int]) -> float:
-        """Log-probability of the words after the begin mark."""
-        arc_of, weights, nexts, fail, drop, width = self.arcs.get, self.weights, self.nexts, self.fail, self.drop, self.width
-        total, state = 0.0, self.begin
-        for word in words:
-            arc = arc_of(state + word)
-            while arc is None:
-                total += drop[state // width]
-                state = fail[state // width]
-                arc = arc_of(state + word)
-            total += weights[arc]
-            state = nexts[arc]
+        self.learned = (context[1][grams.at] > 0).tolist()
+        self.arcs, self.drops = [], [[]]
+        for k in range(1, self.order + 1):
+            # The begin mark is read by no arc, and neither is a gram that would reach over it.
+            weight = np.log10(np.append(self.chance[k], [1.0] * (len(context[k]) - len(self.chance[k]))))
+            place = grams.places[k]
+            by_place = np.where(place >= 0, weight[place], np.nan) if len(weight) else np.full(len(place), np.nan)
+            if k > 1 and len(weight):
+                by_place[(place >= 0) & (totals[k][place] == 0)] = np.nan
+            self.arcs.append(by_place.tolist())
+            if k < self.order:
+                drop = np.log10(prior / (context[k] + prior))
+                self.drops.append((drop[place] if len(drop) else np.zeros(len(place))).tolist())
+
+    def read(self, start: int, size: int) -> float:
+        """Log-probability of the text that begins at ``start``: one way from left to right, state by state."""
+        arcs, drops, learned, longest = self.arcs, self.drops, self.learned, self.order - 1
+        total, state = 0.0, min(1, longest) if learned[start] else 0
+        for place in range(start + 1, start + size):
+            weight = arcs[state][place]
+            while weight != weight:
+                total += drops[state][place - 1]
+                state -= 1
+                weight = arcs[state][place]
+            total += weight
+            if state or learned[place]:
+                if state < longest:
+                    state += 1
         return total
 
 
@@ -247,7 +239,7 @@ def _score(order: int, prior: float, tokens: int, known: int):
         scores, base, found = [], [], []
         for start, size in zip(grams.starts.tolist(), grams.sizes.tolist()):
             words = grams.at[start + 1:start + size]
-            scores.append(model.read(words.tolist()))
+            scores.append(model.read(start, size))
             base.append(float(plain[words].sum()))
             found.append(int(seen[words].sum()))
         return pa.table([

@@ -69,18 +69,27 @@ def test_the_query(spark, docs, rows, tmp_path):
 
 
 def test_probabilities_sum_to_one():
-    texts = [b"a b a c", b"a b b", b"c a", b""]
-    grams = scoring.Grams(texts + [b"x y a b c"], [True] * 4 + [False], 3)
-    tokens_in = int(sum(len(t.split()) + 1 for t in texts))
+    taught = [b"a b a c", b"a b b", b"c a", b""]
+    histories = [b"", b"a", b"a b", b"x"]
+    words = [b"a", b"b", b"c", b"y"]
+    # Each history alone and with each word behind it; the end is read last in all of them.
+    asked = [b" ".join(filter(None, (h, w, last))) for h in histories for w in [b"", *words] for last in [b""]]
+    grams = scoring.Grams(taught + asked, [True] * 4 + [False] * len(asked), 3)
+    tokens_in = sum(len(t.split()) + 1 for t in taught)
     known = int((grams.counts[1] > 0).sum())
     model = scoring.Automaton(grams, grams.counts, tokens_in, known, 2.0)
-    words = {w: i for i, w in enumerate(grams.words)}
-    for history in ([], [b"a"], [b"a", b"b"], [b"x"]):
-        before = [words[w] for w in history]
-        # Each unseen word alone has the share of the unknown class.
-        mass = sum(10 ** (model.read(before + [words[w]]) - model.read(before)) for w in words if grams.counts[1][words[w]])
-        unknown = 10 ** (model.read(before + [words[b"y"]]) - model.read(before))
-        assert abs(mass + unknown - 1) < 1e-9
+
+    def mass(number, but_end):
+        """Probability of a text's words, with or without its end."""
+        start, size = int(grams.starts[number]), int(grams.sizes[number])
+        return 10 ** model.read(start, size - but_end)
+
+    for n, history in enumerate(histories):
+        first = 4 + n * (1 + len(words))
+        before = mass(first, 1)
+        end = mass(first, 0) / before
+        # An unseen word alone has the share of the unknown class.
+        assert abs(end + sum(mass(first + 1 + i, 1) for i in range(len(words))) / before - 1) < 1e-9, history
 
 
 def test_contexts_help_and_empty_tables(spark, empty):
