@@ -6,14 +6,17 @@ such string holds an anchor: the position of the least hash among its
 Only suffixes at anchors are sorted, one in some thirty bytes, and only those
 whose gram occurs twice in the corpus:
 
-1. each task emits the grams of its anchors; grams seen twice are kept;
+1. each task emits the grams of its anchors; grams seen twice are kept.  A task tells the
+   others once of a gram that it has met twice itself and deals the gram's rows by document;
 2. documents meet their repeated grams, and each task sorts the suffixes at those
    anchors, settles what repeats inside the task and front-codes the rest as sorted
    runs (common prefix with the suffix before, remaining bytes);
 3. runs of a bucket of grams meet in one task, where a loser tree merges them.
    It compares two suffixes only behind the prefix both are known to share, and gives
    the common prefix of neighbours, from which equal strings follow for every offset of
-   a string around its anchor;
+   a string around its anchor.  A gram of more than ``HOT`` rows is dealt by a longer window
+   instead: each of its strings by the bytes that all strings of nearly the same
+   distance share, so that one line between different neighbours does not meet in one bucket;
 4. removed ranges are gathered by groups of documents and return to them.
 
 A passage that fills a third of the corpus reaches its bucket once for each task and
@@ -26,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,9 +42,16 @@ GRAM = 40
 SEGMENT = 1 << 19
 SUFFIXES = 40_000
 BUCKET_BYTES = 16 << 20
+# Rows from which a gram is dealt by longer windows, unless more than HOT_GRAMS grams have so many,
+# and the distances from string to anchor that share a window of LENGTH - STEP + 1 bytes.
+HOT = 8192
+HOT_GRAMS = 1_000_000
+STEP = 8
+# Grams that a task remembers to have met twice.
+REMEMBERED = 1 << 17
+_MARK, _ROW, _KNOWN = 0, 1, 2
 _POSITION = np.uint64((1 << 24) - 1)
 _VALUES = np.random.default_rng(23).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_P = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -101,41 +112,61 @@ def anchors(pieces: list[bytes], length: int = LENGTH, gram: int = GRAM):
 
 
 def _grams(length: int, gram: int):
+    """(gram, document, kind) of anchors: known to occur twice, not known to, or a mark of a known gram."""
+
     def run(batches):
+        marked = np.zeros(0, np.int64)
         for batch in batches:
             ids = batch.column(0).to_numpy()
             for held in segments(as_bytes(batch, "text"), length):
                 piece, _, grams, _, _ = anchors([p for _, _, p in held], length, gram)
+                if not len(grams):
+                    continue
                 owner = ids[np.array([r for r, _, _ in held])][piece]
                 order = np.lexsort([owner, grams])
                 grams, owner = grams[order], owner[order]
-                # A gram that a document has several times is sent twice, which tells as much.
-                same = (grams[1:] == grams[:-1]) & (owner[1:] == owner[:-1])
-                third = np.concatenate([[False, False], same[1:] & same[:-1]])[:len(grams)]
-                yield pa.RecordBatch.from_arrays([pa.array(grams[~third]), pa.array(owner[~third])], names=["g", "ord"])
+                heads = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
+                sizes = np.diff(np.append(heads, len(grams)))
+                old = np.isin(grams[heads], marked)
+                known = np.repeat(old | (sizes >= 2), sizes)
+                again = np.concatenate([[False], (grams[1:] == grams[:-1]) & (owner[1:] == owner[:-1])])
+                new = grams[heads[(sizes >= 2) & ~old]]
+                marked = np.union1d(marked, new) if len(marked) + len(new) <= REMEMBERED else new
+                grams, owner, known = grams[~again], owner[~again], known[~again]
+                kind = np.where(known, _KNOWN, _ROW)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate([grams, new])), pa.array(np.concatenate([owner, np.zeros(len(new), np.int64)])),
+                     pa.array(np.concatenate([kind, np.full(len(new), _MARK)]).astype(np.int8))], names=["g", "ord", "kind"])
 
     return run
 
 
 def _repeated(batches):
-    """Of rows sorted by gram, those of grams that occur twice or more; one row is held back at most."""
+    """Rows of grams known to occur twice, and of the rest, sorted by gram and marks first, those that do.
+
+    One row is held back at most.
+    """
     before, pending = None, None
     for batch in batches:
-        g, owner = (batch.column(i).to_numpy() for i in range(2))
-        if not len(g):
-            continue
-        heads = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
-        many = np.diff(np.append(heads, len(g))) >= 2
-        extra_g, extra_owner = [], []
-        if before == g[0]:
-            many[0] = True
-            if pending is not None:
-                extra_g, extra_owner = [before], [pending]
-        keep = np.repeat(many, np.diff(np.append(heads, len(g))))
-        before, pending = g[-1], None if many[-1] else owner[-1]
+        g, owner, kind = (batch.column(i).to_numpy() for i in range(3))
+        known, rest = kind == _KNOWN, kind != _KNOWN
+        out_g, out_owner = [g[known]], [owner[known]]
+        g, owner, mark = g[rest], owner[rest], kind[rest] == _MARK
+        if len(g):
+            heads = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
+            sizes = np.diff(np.append(heads, len(g)))
+            many = (sizes >= 2) | mark[heads]
+            if before == g[0]:
+                many[0] = True
+                if pending is not None:
+                    out_g.append([before])
+                    out_owner.append([pending])
+            keep = np.repeat(many, sizes) & ~mark
+            out_g.append(g[keep])
+            out_owner.append(owner[keep])
+            before, pending = g[-1], None if many[-1] else owner[-1]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([np.array(extra_owner, np.int64), owner[keep]])),
-             pa.array(np.concatenate([np.array(extra_g, np.int64), g[keep]]))], names=["ord", "g"])
+            [pa.array(np.concatenate(out_owner), pa.int64()), pa.array(np.concatenate(out_g), pa.int64())], names=["ord", "g"])
 
 
 class Suffixes:
@@ -148,35 +179,31 @@ class Suffixes:
     def earlier(self, length: int, gram: int) -> np.ndarray:
         """Per suffix and distance: whether the string that starts there has an earlier equal.
 
-        The neighbours' common prefix bounds the equality behind the anchor, a
-        running hash of the bytes before the anchor the equality in front.
+        The neighbours' common prefix bounds the equality behind the anchor; the bytes
+        in front, read backwards and sorted likewise, bound the equality there.
         """
         size, reach = len(self.right), length - gram + 1
         rank = np.lexsort([self.position, self.owner])
         owner, position = self.owner[rank], self.position[rank]
         place = np.zeros(size, np.int64)
         place[rank] = np.concatenate([[0], np.cumsum((owner[1:] != owner[:-1]) | (position[1:] != position[:-1]))])
-        before = np.zeros((size, reach), np.uint8)
-        for i, text in enumerate(self.left):
-            if text:
-                before[i, :len(text)] = np.frombuffer(text, np.uint8)[::-1]
+        front = [text[::-1] for text in self.left]
+        backward = np.array(sorted(range(size), key=front.__getitem__), np.int64)
+        fronts = common_prefixes([front[i] for i in backward.tolist()], reach)
         out = np.zeros((size, reach), bool)
-        hashed, power = np.zeros(size, np.uint64), np.uint64(1)
-        with np.errstate(over="ignore"):
-            for distance in range(reach):
-                if distance:
-                    hashed = hashed + _VALUES[before[:, distance - 1]] * power
-                    power = power * _P
-                mine = rank[(self.low[rank] <= distance) & (distance <= self.high[rank])]
-                if len(mine) < 2:
-                    continue
-                run = np.cumsum(self.common < length - distance).astype(np.uint64)
-                key = _mixed(run * _P + np.uint64(distance))[mine] ^ _mixed(hashed[mine])
-                order = np.argsort(key, kind="stable")
-                key, mine = key[order], mine[order]
-                new = np.concatenate([[True], key[1:] != key[:-1]])
-                first = mine[np.maximum.accumulate(np.where(new, np.arange(len(mine)), 0))]
-                out[mine, distance] = place[first] < place[mine]
+        alike = np.zeros(size, np.int64)
+        for distance in range(reach):
+            mine = rank[(self.low[rank] <= distance) & (distance <= self.high[rank])]
+            if len(mine) < 2:
+                continue
+            run = np.cumsum(self.common < length - distance)
+            alike[backward] = np.cumsum(fronts < distance)
+            key = run[mine] * (size + 1) + alike[mine]
+            order = np.argsort(key, kind="stable")
+            key, mine = key[order], mine[order]
+            new = np.concatenate([[True], key[1:] != key[:-1]])
+            first = mine[np.maximum.accumulate(np.where(new, np.arange(len(mine)), 0))]
+            out[mine, distance] = place[first] < place[mine]
         return out
 
 
@@ -320,13 +347,30 @@ def _by_document(batches):
         yield rows(held)
 
 
+def cut_by_step(row: np.ndarray, near: np.ndarray, far: np.ndarray, hot: np.ndarray):
+    """Stretches of distances, those of hot suffixes cut at every multiple of ``STEP``."""
+    pieces = np.where(hot[row], far // STEP - near // STEP + 1, 1)
+    at = np.repeat(np.arange(len(row)), pieces)
+    step = near[at] // STEP + np.arange(len(at)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    row, near, far = row[at], near[at], far[at]
+    cut = hot[row]
+    return row, np.where(cut, np.maximum(near, step * STEP), near), np.where(cut, np.minimum(far, step * STEP + STEP - 1), far)
+
+
+def shared_window(left: bytes, right: bytes, distance: int, length: int, gram: int) -> bytes:
+    """The bytes around an anchor that all strings with it in the same step of distances hold."""
+    least = distance - distance % STEP
+    most = min(least + STEP - 1, length - gram)
+    return left[len(left) - least:] + right[:length - most]
+
+
 def _runs(buckets: int, length: int, gram: int):
     """Step 2: settle the repeats of a task, front-code the rest by bucket."""
 
     def flush(parts) -> Iterator[pa.RecordBatch]:
-        owner, position, grams, low, high = (np.concatenate([p[i] for p in parts]) for i in range(5))
-        right = [t for p in parts for t in p[5]]
-        left = [t for p in parts for t in p[6]]
+        owner, position, grams, low, high, hot = (np.concatenate([p[i] for p in parts]) for i in range(6))
+        right = [t for p in parts for t in p[6]]
+        left = [t for p in parts for t in p[7]]
         order = np.array(sorted(range(len(right)), key=right.__getitem__), np.int64)
         right, left = [right[i] for i in order], [left[i] for i in order]
         found = Suffixes(owner[order], position[order], low[order], high[order], right, left,
@@ -335,8 +379,13 @@ def _runs(buckets: int, length: int, gram: int):
         yield _removed_rows(found, marks, length, buckets)
         distance = np.arange(marks.shape[1])
         own = (distance >= found.low[:, None]) & (distance <= found.high[:, None])
-        row, near, far = stretches(own & ~marks)
-        bucket = (grams[order].view(np.uint64)[row] % np.uint64(buckets)).astype(np.int64)
+        hot = hot[order]
+        row, near, far = cut_by_step(*stretches(own & ~marks), hot)
+        dealt = grams[order].view(np.uint64)[row]
+        for i in np.flatnonzero(hot[row]).tolist():
+            at = row[i]
+            dealt[i] = xxhash.xxh64_intdigest(shared_window(left[at], right[at], int(near[i]), length, gram))
+        bucket = (dealt % np.uint64(buckets)).astype(np.int64)
         for b in np.unique(bucket).tolist():
             mine = np.flatnonzero(bucket == b)
             at = row[mine]
@@ -360,22 +409,24 @@ def _runs(buckets: int, length: int, gram: int):
         for batch in batches:
             ids = batch.column(0).to_numpy()
             texts = as_bytes(batch, "text")
-            wanted = batch.column(2).to_pylist()
+            wanted, hot = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             for held in segments(texts, length):
                 piece, at, grams, low, high = anchors([p for _, _, p in held], length, gram)
                 rows = np.array([r for r, _, _ in held])[piece]
-                keep = np.zeros(len(piece), bool)
+                keep, warm = np.zeros(len(piece), bool), np.zeros(len(piece), bool)
                 for r in np.unique(rows).tolist():
                     mine = np.flatnonzero(rows == r)
                     keep[mine] = np.isin(grams[mine], np.array(wanted[r], np.int64))
-                piece, at, grams, low, high, rows = (v[keep] for v in (piece, at, grams, low, high, rows))
+                    if hot[r]:
+                        warm[mine] = np.isin(grams[mine], np.array(hot[r], np.int64))
+                piece, at, grams, low, high, warm, rows = (v[keep] for v in (piece, at, grams, low, high, warm, rows))
                 right, left = [], []
                 for p, a, n, f in zip(piece.tolist(), at.tolist(), low.tolist(), high.tolist()):
                     text = held[p][2]
                     right.append(text[a:a + length - n])
                     left.append(text[a - f:a])
                 starts = np.array([s for _, s, _ in held])[piece] if len(piece) else np.zeros(0, np.int64)
-                parts.append((ids[rows], at + starts, grams, low, high, right, left))
+                parts.append((ids[rows], at + starts, grams, low, high, warm, right, left))
                 size += len(right)
                 if size >= SUFFIXES:
                     yield from flush(parts)
@@ -478,16 +529,23 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     keyed = base.select(F.coalesce("doc_id", F.lit(least)).alias("ord"), "text")
     total = base.agg(F.sum(F.expr("octet_length(text)"))).first()[0] or 0
     buckets = max(1, int(total) // BUCKET_BYTES)
-    grams = keyed.mapInArrow(_grams(length, gram), "g long, ord long")
-    repeated = staged(grams.repartition("g").sortWithinPartitions("g").mapInArrow(_repeated, "ord long, g long"))
+    tasks = max(buckets, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    known = F.col("kind") == _KNOWN
+    grams = keyed.mapInArrow(_grams(length, gram), "g long, ord long, kind byte")
+    repeated = staged(grams.repartition(tasks, F.when(known, F.col("ord")).otherwise(F.col("g"))).sortWithinPartitions(
+        known, "g", "kind").mapInArrow(_repeated, "ord long, g long"))
     del grams
     release(docs.sparkSession)
-    wanted = repeated.groupBy(F.col("ord").alias("k")).agg(F.collect_list("g").alias("wanted"))
-    runs = keyed.join(wanted, F.col("ord") == F.col("k")).select("ord", "text", "wanted").mapInArrow(
+    # At most HOT_GRAMS grams: no more of them can have their share of the rows.
+    least_rows = max(HOT, repeated.count() // HOT_GRAMS)
+    hot = repeated.groupBy(F.col("g").alias("h")).count().where(F.col("count") > least_rows).select("h")
+    wanted = repeated.join(F.broadcast(hot), F.col("g") == F.col("h"), "left").groupBy(F.col("ord").alias("k")).agg(
+        F.collect_list("g").alias("wanted"), F.collect_list("h").alias("hot"))
+    runs = keyed.join(wanted, F.col("ord") == F.col("k")).select("ord", "text", "wanted", "hot").mapInArrow(
         _runs(buckets, length, gram), OUT)
-    removed = runs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
+    removed = runs.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(
         _merged(buckets, length, gram), "bucket int, owners array<long>, starts array<int>, ends array<int>")
-    ranges = staged(removed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
+    ranges = staged(removed.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(
         _by_document, "k long, starts array<int>, ends array<int>"))
     del wanted, runs, removed
     release(docs.sparkSession)

@@ -185,6 +185,37 @@ def test_suffix_dedup_small_strings(spark, monkeypatch):
     compare_suffixes(frame, [(i, t.encode()) for i, t in texts], length=16, gram=6)
 
 
+def test_suffix_dedup_hot_line(spark, monkeypatch):
+    """A line shorter than a string between different neighbours, hot, with and without equal surroundings."""
+    monkeypatch.setattr(suffixes, "HOT", 10)
+    monkeypatch.setattr(suffixes, "SUFFIXES", 40)
+    monkeypatch.setattr(suffixes, "BUCKET_BYTES", 2000)
+    monkeypatch.setattr(suffixes, "REMEMBERED", 3)
+    rng = random.Random(12)
+    line = "".join(rng.choice("abcdefgh ") for _ in range(70))
+    around = ["".join(rng.choice("xyz ") for _ in range(120)) for _ in range(60)]
+    texts = [(i, around[i] + line + around[(i * 7) % 60 if i % 3 else 5]) for i in range(60)]
+    texts += [(100 + i, around[i][-40 - i:] + line + around[9]) for i in range(20)] + [(200, line * 4), (201, line)]
+    frame = spark.createDataFrame(texts, "doc_id long, text string").repartition(6)
+    got = compare_suffixes(frame, [(i, t.encode()) for i, t in texts])
+    assert sum(r.n_removed > 0 for r in got) > 20
+
+
+def test_hot_stretches_keep_their_distances():
+    """Cut stretches cover the same distances, and strings alike at a distance share its window."""
+    row, near, far = np.array([0, 1, 1]), np.array([3, 0, 30]), np.array([29, 7, 60])
+    r, n, f = suffixes.cut_by_step(row, near, far, np.array([False, True]))
+    assert [(a, b, c) for a, b, c in zip(r, n, f) if a == 0] == [(0, 3, 29)]
+    assert sorted(d for a, b, c in zip(r, n, f) if a == 1 for d in range(b, c + 1)) == [*range(8), *range(30, 61)]
+    assert all(b // suffixes.STEP == c // suffixes.STEP for a, b, c in zip(r, n, f) if a == 1)
+    rng = random.Random(3)
+    text = bytes(rng.randrange(97, 123) for _ in range(100))
+    for d in range(61):
+        windows = {suffixes.shared_window(bytes(rng.randrange(256) for _ in range(60 - d)) + text[:d],
+                                          text[d:] + bytes(rng.randrange(256) for _ in range(d)), d, 100, 40) for _ in range(5)}
+        assert len(windows) == 1 and windows.pop() in text
+
+
 def test_suffix_dedup_edges(spark, empty):
     assert suffixes.remove_repeats(id_text(empty)).count() == 0
     text = "x" * 40 + "".join(chr(65 + i % 26) for i in range(150))
