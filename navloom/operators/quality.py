@@ -7,6 +7,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from navloom.session import counted
+
 
 class DataError(RuntimeError):
     """A fatal issue was found; nothing may be published."""
@@ -67,15 +69,33 @@ def gate_status(issues: DataFrame, ranked: DataFrame) -> DataFrame:
     )
 
 
-def gate(issues: DataFrame, ranked: DataFrame) -> None:
-    """Raise when a fatal issue exists or both lists are empty."""
-    status = gate_status(issues, ranked).first()
-    if not status.publishable:
-        sample = issues.where("severity = 'fatal'").limit(5).collect()
-        raise DataError(
-            f"{status.fatal_count} fatal issues, {status.record_count} ranked records; "
-            f"for example {[tuple(row) for row in sample]}"
-        )
+class Gate(NamedTuple):
+    """DQ-01 with what it judged: the staged tables, which hold the rows that were counted."""
+
+    fatal_count: int
+    record_count: int
+    issues: DataFrame
+    ranked: DataFrame
+
+    @property
+    def publishable(self) -> bool:
+        return self.fatal_count == 0 and self.record_count > 0
+
+    def check(self) -> None:
+        """Raise when a fatal issue exists or both lists are empty."""
+        if not self.publishable:
+            sample = self.issues.where("severity = 'fatal'").limit(5).collect()
+            raise DataError(
+                f"{self.fatal_count} fatal issues, {self.record_count} ranked records; "
+                f"for example {[tuple(row) for row in sample]}"
+            )
+
+
+def staged_gate(issues: DataFrame, ranked: DataFrame) -> Gate:
+    """DQ-01. Stage both tables and count them while they are written: each is computed once."""
+    issues, found = counted(issues, fatal_count=F.count_if(F.col("severity") == "fatal"))
+    ranked, listed = counted(ranked, record_count=F.count(F.lit(1)))
+    return Gate(found["fatal_count"], listed["record_count"], issues, ranked)
 
 
 def distinct_warnings(warnings: DataFrame) -> DataFrame:

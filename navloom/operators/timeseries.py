@@ -34,7 +34,7 @@ def visible(df: DataFrame, as_of, *columns: str) -> DataFrame:
     return df
 
 
-def daily_factor(nav: DataFrame, *, as_of) -> DataFrame:
+def daily_factor(nav: DataFrame, *, as_of, keep: tuple = ()) -> DataFrame:
     """WIN-01. Adjusted growth from the previous point; the first point has none.
 
     A cash dividend is added back, another event takes the published daily
@@ -63,7 +63,7 @@ def daily_factor(nav: DataFrame, *, as_of) -> DataFrame:
     return points.select(
         "code", "date", "nav", "previous_nav",
         F.when(follows & usable, F.col("growth")).alias("factor"),
-        issue.alias("factor_issue"),
+        issue.alias("factor_issue"), *keep,
     )
 
 
@@ -76,13 +76,13 @@ def wealth_series(nav: DataFrame, *, as_of) -> DataFrame:
     return points.select("code", "date", F.when(broken == 0, wealth).alias("wealth"))
 
 
-def _horizon_points(nav: DataFrame, as_of, horizons: dict[int, str]) -> DataFrame:
+def _horizon_points(nav: DataFrame, as_of, horizons: dict[int, str], keep: tuple = ()) -> DataFrame:
     """Per point and horizon: anchor, growth since the anchor and drawdown.
 
     WIN-05: the anchor is the last point on or before the code's own last date
     minus n years.  WIN-03: the peak starts at the anchor.
     """
-    points = daily_factor(nav, as_of=as_of).withColumns({
+    points = daily_factor(nav, as_of=as_of, keep=keep).withColumns({
         "last_date": F.max("date").over(_by_code()),
         "last_issue": F.max(F.when(F.col("factor_issue").isNotNull(), F.col("date"))).over(_by_code()),
     })
@@ -128,13 +128,16 @@ def anchors(nav: DataFrame, *, as_of, horizons: dict[int, str] = fixed.RETURN_HO
 
 
 def performance_record(nav: DataFrame, *, as_of, horizons: dict[int, str] = fixed.RETURN_HORIZONS,
-                       weekly_years: int | None = None) -> DataFrame:
+                       weekly_years: int | None = None, page_dates: bool = False) -> DataFrame:
     """AG-02, AG-03, AG-19. Returns and drawdowns of all horizons, one row per code.
 
+    With ``page_dates`` every row of ``nav`` holds its fund's ``page_date``, and the same
+    pass gives ``page_nav``, the value of that day (JN-11).
+
     With ``weekly_years`` the same pass also gives ``weekly``, the last wealth of
     each week of so many years (AG-01): at most 53 points a year.
     """
-    points = _horizon_points(nav, as_of, horizons)
+    points = _horizon_points(nav, as_of, horizons, ("page_date",) if page_dates else ())
     measures = [
         F.min("date").alias("nav_history_start_date"),
         F.max("date").alias("nav_history_end_date"),
@@ -142,6 +145,9 @@ def performance_record(nav: DataFrame, *, as_of, horizons: dict[int, str] = fixe
     ]
     kept = ["code", "nav_history_start_date", "nav_history_end_date", "factor_issue_count"]
     results = []
+    if page_dates:
+        measures.append(F.max(F.when(F.col("date") == F.col("page_date"), F.col("nav"))).alias("page_nav"))
+        kept.append("page_nav")
     if weekly_years is not None:
         points = points.withColumns({
             "next_date": F.lead("date").over(_by_code().orderBy("date")),
@@ -368,15 +374,25 @@ def reconcile_nav(nav: DataFrame, pages: DataFrame, *, as_of, reloaded: bool = F
     aggregate or from ``last_dates(code, series_date)``; no history meets its fund
     row by row.
     """
-    shown = pages.groupBy("code").agg(
-        F.max("latest_nav_date").alias("page_date"), F.max("latest_nav_value").alias("page_value"))
+    shown = shown_values(pages)
     values = nav.select("code", F.col("date").alias("page_date"), F.col("nav").alias("series_value"))
     last = last_dates if last_dates is not None else visible(nav, as_of, "date").groupBy("code").agg(
         F.max("date").alias("series_date"))
     seen = shown.join(values, ["code", "page_date"], "left").join(last, "code", "left").select(
         "code", "page_date", "page_value", "series_value", "series_date")
+    return seen.withColumn("status", reconcile_status(as_of, reloaded))
+
+
+def shown_values(pages: DataFrame) -> DataFrame:
+    """JN-11. The latest date and value that the pages of every code show."""
+    return pages.groupBy("code").agg(
+        F.max("latest_nav_date").alias("page_date"), F.max("latest_nav_value").alias("page_value"))
+
+
+def reconcile_status(as_of, reloaded: bool = False) -> Column:
+    """JN-11. Verdict on page_date and page_value beside series_value and series_date."""
     lead = F.date_diff("page_date", "series_date")
-    status = (
+    return (
         F.when(F.col("page_date").isNull() | F.col("page_value").isNull()
                | (F.col("page_date") > as_date(as_of)), "skipped")
         .when(F.abs(F.col("series_value") - F.col("page_value")) <= fixed.NAV_MATCH_TOLERANCE, "ok")
@@ -384,7 +400,6 @@ def reconcile_nav(nav: DataFrame, pages: DataFrame, *, as_of, reloaded: bool = F
         .when(F.lit(reloaded) & lead.between(1, fixed.MAX_STALENESS_DAYS), "page_lead")
         .otherwise("missing")
     )
-    return seen.withColumn("status", status)
 
 
 def reconcile_issues(reconciled: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ from navloom.operators import exposure as expo
 from navloom.operators import quota as quo
 from navloom.operators import ranking as rank
 from navloom.operators import timeseries as ts
-from navloom.operators.quality import gate, issues_of, union_all
+from navloom.operators.quality import issues_of, staged_gate, union_all
 from navloom.operators.validation import Limits
 from navloom.plans.incremental import Store, catalog_fingerprint, parse_once
 from navloom.session import staged
@@ -182,12 +182,18 @@ def eligible_funds(tables: Tables, params: Params) -> tuple[DataFrame, DataFrame
 def measure(eligible: DataFrame, tables: Tables, params: Params) -> DataFrame:
     """Eligible funds with performance, threshold failures, score and benchmark fit.
 
-    The price history is read and dealt by fund once: the same pass gives the
-    record and the weekly points.  Fits are computed for funds that pass.
+    The price history is read and dealt by fund once, and not dealt where it is a table of
+    ``bucketed_history``: the same pass gives the record, the weekly points and the value of
+    the day that the fund's pages show.  Fits are computed for funds that pass.
     """
-    nav = tables.nav.join(eligible.select("code"), "code", "left_semi")
+    paged = shows_values(tables)
+    if paged:
+        days = eligible.select("code").join(ts.shown_values(tables.fund_pages).select("code", "page_date"), "code", "left")
+        nav = tables.nav.join(days, "code")
+    else:
+        nav = tables.nav.join(eligible.select("code"), "code", "left_semi")
     performance = ts.performance_record(
-        nav, as_of=params.as_of, weekly_years=fixed.BENCHMARK_WINDOW_YEARS)
+        nav, as_of=params.as_of, weekly_years=fixed.BENCHMARK_WINDOW_YEARS, page_dates=paged)
     measured = stage(elig.with_score(eligible.join(performance, "code", "left").withColumn(
         "failures", elig.performance_failures(params.min_return_pct))), params)
     calendar = stage(ts.benchmark_calendar(tables.index_levels, tables.fx_rates), params)
@@ -280,15 +286,18 @@ def run_issues(enriched: DataFrame, evaluated: DataFrame, tables: Tables, params
     return union_all(frames)
 
 
-def reconcile(eligible: DataFrame, evaluated: DataFrame, tables: Tables, params: Params) -> DataFrame | None:
-    """JN-11 for the eligible funds, where the pages show a latest value."""
-    if not {"latest_nav_date", "latest_nav_value"} <= set(tables.fund_pages.columns):
+def shows_values(tables: Tables) -> bool:
+    """Whether the pages show a latest value, to be reconciled with the history."""
+    return {"latest_nav_date", "latest_nav_value"} <= set(tables.fund_pages.columns)
+
+
+def reconcile(evaluated: DataFrame, tables: Tables, params: Params) -> DataFrame | None:
+    """JN-11 for the eligible funds, from the values that the pass over the history noted."""
+    if not shows_values(tables):
         return None
-    codes = eligible.select("code")
-    return ts.reconcile_nav(
-        tables.nav.join(codes, "code", "left_semi"), tables.fund_pages.join(codes, "code", "left_semi"),
-        as_of=params.as_of, reloaded=params.nav_reloaded,
-        last_dates=evaluated.select("code", F.col("nav_history_end_date").alias("series_date")))
+    seen = ts.shown_values(tables.fund_pages).join(
+        evaluated.select("code", F.col("page_nav").alias("series_value"), F.col("nav_history_end_date").alias("series_date")), "code")
+    return seen.withColumn("status", ts.reconcile_status(params.as_of, params.nav_reloaded))
 
 
 def run_warnings(selection: DataFrame, evaluated: DataFrame, main: DataFrame, supplement: DataFrame,
@@ -316,15 +325,14 @@ def stage(df: DataFrame, params: Params) -> DataFrame:
 def build_ranking(tables: Tables, params: Params) -> dict:
     """PIPE-01. All results of a run as DataFrames, and ``tables`` with the parsed documents.
 
-    The price history is read for one staged table, and once more where pages show
-    a value to reconcile; everything after works on one row per fund.
+    The price history is read once; everything after works on one row per fund.
     """
     eligible, enriched, selection = eligible_funds(tables, params)
     eligible = stage(eligible, params)
     measured = stage(measure(eligible, tables, params), params)
     tables = with_documents(tables, measured, params)
     evaluated = stage(evaluate(measured, tables, params), params)
-    reconciled = reconcile(eligible, evaluated, tables, params)
+    reconciled = reconcile(evaluated, tables, params)
     passed = evaluated.where("ranking_list is not null and quota_reason is null")
     main, supplement = rank.rank_main(passed, params.top), rank.rank_supplement(passed, params.top)
     ranked = main.unionByName(supplement)
@@ -399,8 +407,13 @@ def _record_columns(params: Params) -> list[Column]:
 
 
 def publish(results: dict[str, DataFrame], records: DataFrame, path: str) -> None:
-    """DQ-01 then SNK-01: nothing is written when the gate fails."""
+    """DQ-01 then SNK-01: nothing is written to ``path`` when the gate fails.
+
+    Issues and records are staged and counted on the way; the run is written from the staged
+    records, so neither is computed twice.
+    """
     from navloom.sources.sinks import write_run
 
-    gate(results["issues"], results["ranking"])
-    write_run(records, path)
+    judged = staged_gate(results["issues"], records)
+    judged.check()
+    write_run(judged.ranked, path)

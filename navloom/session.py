@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -59,6 +59,13 @@ def staged(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def counted(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]:
+    """``staged``, and aggregates of the rows, taken while they are written and so without a scan."""
+    seen = Observation()
+    out = staged(df.observe(seen, *[value.alias(name) for name, value in metrics.items()]))
+    return out, seen.get
+
+
 def dealt(df: DataFrame, *keys: str) -> DataFrame:
     """``df`` dealt by key to as many tasks as a shuffle of the session has.
 

@@ -18,7 +18,7 @@ from navloom.operators import premium as prem
 from navloom.operators import quota as quo
 from navloom.operators import ranking as rank
 from navloom.operators import validation as val
-from navloom.operators.quality import DataError, gate
+from navloom.operators.quality import DataError, staged_gate
 from navloom.sources import catalogs, raw
 from navloom.streaming import upserts
 
@@ -201,11 +201,29 @@ def test_funds_without_visible_announcements(spark):
 
 def test_gate(spark):
     fatal = spark.createDataFrame([("f", "r", None, "fatal")], schemas.ISSUES)
-    with pytest.raises(DataError):
-        gate(fatal, spark.range(1))
-    with pytest.raises(DataError):
-        gate(fatal.where("false"), spark.range(0))
-    gate(fatal.where("false"), spark.range(1))
+    warned = spark.createDataFrame([("f", "r", None, "warning")] * 3, schemas.ISSUES)
+    for issues, ranked, counts in ((fatal.union(warned), 1, (1, 1)), (warned, 0, (0, 0)), (fatal.where("false"), 0, (0, 0))):
+        judged = staged_gate(issues, spark.range(ranked))
+        assert judged[:2] == counts and not judged.publishable
+        with pytest.raises(DataError):
+            judged.check()
+    staged_gate(warned, spark.range(1)).check()
+
+
+def test_gate_computes_its_tables_once(spark):
+    """The counts come from the write itself: an accumulator of all evaluations ends at the number of rows."""
+    calls = spark.sparkContext.accumulator(0)
+
+    def batches(frames):
+        for frame in frames:
+            calls.add(len(frame))
+            yield frame
+
+    issues = spark.createDataFrame([("f", "r", None, "warning")] * 7, schemas.ISSUES).mapInPandas(batches, schemas.ISSUES)
+    judged = staged_gate(issues, spark.range(5))
+    judged.check()
+    assert calls.value == 7 and judged.issues.count() == 7 and judged.ranked.count() == judged.record_count == 5
+    assert calls.value == 7
 
 
 def test_catalog_of_another_version_is_refused(spark, tmp_path):

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from navloom import schemas
 from navloom.operators import timeseries as ts
+from navloom.sources.history import bucketed_history
 
 D = date
 
@@ -120,6 +121,36 @@ def test_one_exchange_serves_all_windows(spark, tmp_path):
     assert "PushedFilters: [IsNotNull(date), LessThanOrEqual(date,2026-01-03)]" in plan
 
 
+def test_bucketed_history_needs_no_exchange(spark):
+    """Record, weekly points and the value of the page's day come from buckets as they lie; the rows are the same."""
+    rows = [(f"{c:02d}", D(2021, 1, 1) + timedelta(7 * i), 1.0 + ((c * i) % 17) / 50) for c in range(12) for i in range(200)]
+    nav = nav_frame(spark, rows)
+    table = bucketed_history(nav, "nav_buckets", 8)
+    days = spark.createDataFrame([(f"{c:02d}", D(2021, 1, 1) + timedelta(7 * (c * 9))) for c in range(12)], "code string, page_date date")
+
+    def measured(history):
+        # The hint keeps the small side of the test from being broadcast.
+        joined = history.join(days.hint("merge"), "code")
+        return ts.performance_record(joined, as_of=D(2024, 10, 1), weekly_years=2, page_dates=True)
+
+    def plan_of(df):
+        df.collect()  # the plan that was run
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    got = measured(table)
+    plan = plan_of(got)
+    assert plan.count("Exchange hashpartitioning") < plan_of(measured(nav)).count("Exchange hashpartitioning")
+    lines = plan.split("== Initial Plan ==")[0].splitlines()
+    scan = next(i for i, line in enumerate(lines) if "nav_buckets" in line)
+    deep = [line for line in lines[:scan + 1] if "Exchange" in line]
+    assert "Bucketed: true" in plan and not deep, plan
+    want = {(r.code, r.date): r.nav for r in nav.collect()}
+    asked = {r.code: r.page_date for r in days.collect()}
+    out = got.collect()
+    assert {r.code: r.page_nav for r in out} == {c: want[c, d] for c, d in asked.items()}
+    assert sorted(map(str, out)) == sorted(map(str, measured(nav).collect()))
+
+
 def test_reconcile(spark):
     nav = nav_frame(spark, [("a", D(2026, 8, 19), 1.5)])
     kind = "code string, latest_nav_date date, latest_nav_value double"

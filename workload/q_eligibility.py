@@ -191,3 +191,23 @@ def gate_status(spark, sf):
     issues = issues_of(b.fund_pages(spark, sf), F.col("code"),
                        F.when(F.col("purchase_status") == "suspended", "not_purchasable"))
     return status(issues, b.table(spark, sf, "supplier"))
+
+
+@query("dq01_staged_gate", """WITH f AS (SELECT count(*) AS n FROM customer WHERE c_acctbal < 0),
+r AS (SELECT count(*) AS n FROM supplier)
+SELECT CAST(f.n AS BIGINT) AS fatal_count, CAST(r.n AS BIGINT) AS record_count, f.n = 0 AND r.n > 0 AS publishable,
+  CAST(f.n AS BIGINT) AS staged_issues, CAST(r.n AS BIGINT) AS staged_records FROM f, r""")
+def staged_gate(spark, sf):
+    """The gate with counts taken while its tables are staged, beside what the staged tables hold."""
+    from navloom.operators.quality import staged_gate as judge
+
+    issues = issues_of(b.fund_pages(spark, sf), F.col("code"),
+                       F.when(F.col("purchase_status") == "suspended", "not_purchasable"))
+    judged = judge(issues, b.table(spark, sf, "supplier"))
+    both = judged.issues.select(F.lit(1).alias("issue"), F.lit(0).alias("record")).unionByName(
+        judged.ranked.select(F.lit(0).alias("issue"), F.lit(1).alias("record")))
+    held = both.agg(F.coalesce(F.sum("issue"), F.lit(0)).cast("long").alias("staged_issues"),
+                    F.coalesce(F.sum("record"), F.lit(0)).cast("long").alias("staged_records"))
+    return held.select(F.lit(judged.fatal_count).cast("long").alias("fatal_count"),
+                       F.lit(judged.record_count).cast("long").alias("record_count"),
+                       F.lit(judged.publishable).alias("publishable"), "staged_issues", "staged_records")
