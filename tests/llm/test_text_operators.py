@@ -145,6 +145,37 @@ def test_secret_rules_do_not_retry_and_models_add(spark):
     assert all(text[s.start:s.end] == s.found for s in spans)
 
 
+def test_secret_models_find_planted_tokens(spark):
+    """Tokens of all kinds of characters that no rule knows are found at the production ratio, long identifiers left alone."""
+    rng = random.Random(21)
+    base62 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    syllables = "con fig ure load er par se read write set ting val ue data base con nec tion time out hand ler user name".split()
+
+    def word():
+        return "".join(rng.choice(syllables) for _ in range(rng.randint(1, 3)))
+
+    def identifier(i):
+        parts = [word() for _ in range(rng.randint(4, 6))]
+        return ("_".join(parts) if i % 2 else parts[0] + "".join(p.capitalize() for p in parts[1:])) + "x" * 4
+
+    def token(letters, n):
+        return "".join(rng.choice(letters) for _ in range(n))
+
+    # Every tenth document holds a secret that the rules know, another tenth the tokens that they do not.
+    planted = {i: token(base62, 24) for i in range(0, 2000, 10)}
+    upper = {i: token(base62[:26] + base62[-10:], 20) for i in range(0, 2000, 10)}
+    known = {i: f"token={token(base62, 24)} AKIA{token(base62[:26] + base62[-10:], 16)}" for i in range(1, 2000, 10)}
+    rows = [(i, " ".join([*(word() for _ in range(60)), identifier(i), *(t[i] for t in (planted, upper, known) if i in t)]))
+            for i in range(2000)]
+    found = {r.doc_id: {s.found for s in r.spans if s.kind == "random"} for r in secret_scan.find_secrets(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    caught, short = (sum(t[i] in found[i] for i in t) / len(t) for t in (planted, upper))
+    wrong = sum(len(found[i] - {planted.get(i), upper.get(i)}) for i in found)
+    print(f"caught {caught:.3f} of base62, {short:.3f} of upper case and digits, wrong {wrong} of {len(rows)}")
+    # Short tokens of few kinds of characters are the method's weak side: README gives the figure, nothing is claimed here.
+    assert caught >= 0.9 and wrong == 0
+
+
 def test_secret_models_count_all_ordinary_tokens(spark):
     """Every token of every document counts, also in long and repeated documents."""
     rng = random.Random(4)
