@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from navloom import fixed_values as fixed
 
 _HAN = r"一-鿿"
+# Matches whose offsets are summed in one array; more are summed in chunks.
+FEW_MATCHES = 32
 
 
 def strip_tags(html: Column) -> Column:
@@ -79,16 +81,11 @@ def match_spans(text: Column, pattern: str) -> Column:
     """All matches as ``array<struct<start, stop, found>>``, 0-based offsets.
 
     ``split`` gives the pieces between the matches, so the offsets are running
-    sums of lengths and no Python is needed.  Sums run over chunks of the matches
-    and then within each chunk, because appending to one array costs its length
-    each time; a text with very many matches stays affordable.
+    sums of lengths and no Python is needed.  Appending to one array costs its length
+    each time, so beyond ``FEW_MATCHES`` sums run over chunks of the matches and
+    then within each chunk; a text with very many matches stays affordable.
     """
     empty = F.array().cast("array<struct<start:int,stop:int,found:string>>")
-    # The pattern runs twice, for the matches and for the gaps; the last gap has no match behind it.
-    items = F.filter(
-        F.zip_with(F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
-                   lambda gap, hit: F.struct(F.length(gap).alias("gap"), hit.alias("hit"))),
-        lambda item: item.hit.isNotNull())
 
     def spans_from(chunk: Column, at: Column) -> Column:
         return F.aggregate(
@@ -114,13 +111,27 @@ def match_spans(text: Column, pattern: str) -> Column:
                                         F.array_append(acc.starts, acc.at).alias("starts")),
             lambda acc: acc.starts)
 
-    # transform over a one-element array binds a value once for all uses.
-    spans = F.element_at(F.transform(F.array(items), lambda all_items: F.element_at(F.transform(
-        F.array(chunks(all_items)),
-        lambda parts: F.flatten(F.zip_with(parts, chunk_starts(parts), spans_from))), 1)), 1)
+    def chunked(all_items: Column) -> Column:
+        return _bound(chunks(all_items), lambda parts: F.flatten(F.zip_with(parts, chunk_starts(parts), spans_from)))
+
+    def located(hits: Column) -> Column:
+        # The last gap has no match behind it.
+        items = F.filter(
+            F.zip_with(F.split(text, pattern, -1), hits, lambda gap, hit: F.struct(F.length(gap).alias("gap"), hit.alias("hit"))),
+            lambda item: item.hit.isNotNull())
+        few = F.size(hits) <= FEW_MATCHES
+        return F.when(F.size(hits) == 0, empty).when(few, spans_from(items, F.lit(0))).otherwise(_bound(items, chunked))
+
+    # The pattern runs once for the matches and, where there are any, once more for the gaps.
+    spans = _bound(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), located)
     return F.when(text.isNotNull(), F.coalesce(spans, empty))
 
 
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once for all its uses, as the one element of an array."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def cut(text: Column, start: Column, stop: Column) -> Column:
     """``text[start:stop]`` with 0-based offsets."""
     begin = F.greatest(start, F.lit(0))

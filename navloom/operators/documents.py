@@ -21,7 +21,7 @@ from navloom.functions.text import (
 from navloom.operators.eligibility import management_style
 from navloom.operators.matching import alias_hits
 from navloom.operators.quality import issues_of, union_all
-from navloom.session import dealt, staged
+from navloom.session import computed, dealt, staged
 
 
 def _u(pattern: str) -> str:
@@ -149,8 +149,8 @@ def parse_notices(docs: DataFrame) -> DataFrame:
     rows = rows.select("code", "announcement_id", "notice_seq", "published_date", "source_url", "base_date",
                        "c.*").where("transition_seq = 0 or clause_date != base_date")
     segment, squeezed = F.col("segment"), F.col("squeezed")
-    # Two steps, so that each pattern runs once per segment.
-    found = rows.withColumns({
+    # Each search runs once per segment; the filter below would repeat it for each of its uses.
+    found = computed(rows, {
         "squeezed": compact(segment), "hit": global_amount(segment),
         "direct_text": channel_amount_text(segment, fixed.DIRECT_CHANNEL),
         "agency_text": channel_amount_text(segment, fixed.AGENCY_CHANNEL),
@@ -187,10 +187,16 @@ def failed_notices(docs: DataFrame, transitions: DataFrame) -> DataFrame:
 
 # --- benchmark statements --------------------------------------------------
 
-def benchmark_statement(text: Column) -> Column:
-    """TXT-05. Best sentence after a benchmark heading: weighted first, then the shortest."""
-    joined = F.regexp_replace(F.translate(text, "　", " "), "(?U)(?<=[一-鿿])\\s+(?=[一-鿿])", "")
-    body = collapse(joined)
+def benchmark_body(text: Column) -> Column:
+    """The text that statements are sought in: blanks between Han characters out, others collapsed."""
+    return collapse(F.regexp_replace(F.translate(text, "　", " "), "(?U)(?<=[一-鿿])\\s+(?=[一-鿿])", ""))
+
+
+def benchmark_statement(body: Column) -> Column:
+    """TXT-05. Best sentence after a benchmark heading: weighted first, then the shortest.
+
+    ``body`` is a column of its own: an expression would run for each heading.
+    """
     starts = F.concat(*[match_spans(body, _u(p)) for p in fixed.BENCHMARK_STARTS])
 
     def statement(span: Column) -> Column:
@@ -256,9 +262,10 @@ def parse_benchmarks(docs: DataFrame, catalog: DataFrame) -> tuple[DataFrame, Da
     key, own_key = "announcement_id", ["code", "announcement_id"]
     texts = dealt(docs.where("text is not null"), key).groupBy(key).agg(F.first("text").alias("text"))
     # Statements and their matches are read several times and short beside the texts: staged, each text is parsed once.
+    texts = computed(texts, {"body": benchmark_body(F.col("text"))})
     texts = staged(texts.select(
-        key, benchmark_statement(F.col("text")).alias("statement"),
-        F.substring("text", 1, fixed.BENCHMARK_FALLBACK_CHARS).alias("opening")).where("statement is not null"))
+        key, benchmark_statement(F.col("body")).alias("statement"),
+        F.substring("text", 1, fixed.BENCHMARK_FALLBACK_CHARS).alias("opening"))).where("statement is not null")
     listed = docs.select("code", key, "fund_name").dropDuplicates(own_key)
     shared = staged(match_catalog(texts, key, "statement", catalog).select(key, "position"))
     own = listed.select(*own_key).join(shared, key)

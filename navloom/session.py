@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -66,6 +67,15 @@ def counted(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]:
     return out, seen.get
 
 
+def computed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """``df`` with ``columns`` computed once for each row, whatever reads them later.
+
+    For costly expressions: a filter or projection on a plain column is moved below it with
+    a copy of its expression for each use; nothing is moved below a generator.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[value.alias(name) for name, value in columns.items()]))))
+
+
 def dealt(df: DataFrame, *keys: str) -> DataFrame:
     """``df`` dealt by key to as many tasks as a shuffle of the session has.
 
