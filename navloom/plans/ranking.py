@@ -1,7 +1,7 @@
 """The full ranking, composed from the operators.
 
-Four tables of one row per fund are staged while a run is built; what follows them
-is lazy.
+Four tables of one row per fund and the holdings of the funds that pass are staged while a
+run is built; what follows them is lazy.
 """
 
 from __future__ import annotations
@@ -65,6 +65,7 @@ class Tables:
     disclosures: Disclosures | None = None
     issues: DataFrame | None = None  # what the loaders found
     warnings: DataFrame | None = None  # what the loaders report, as text
+    contributed: DataFrame | None = None  # holdings of qualified funds with what each contributes, of a run
 
 
 @dataclass
@@ -225,11 +226,24 @@ def contributed_holdings(tables: Tables, qualified: DataFrame) -> tuple[DataFram
     # A report that could not be read has no totals; its fund lacks an exposure, which is fatal.
     read = tables.report_totals.where("direct_us_pct is not null and fund_investment_pct is not null")
     reports = read.join(qualified.select("code"), "code", "left_semi")
+    if tables.contributed is not None:
+        keys = ["code", "announcement_id"]
+        return reports, tables.contributed.join(reports.select(*keys), keys, "left_semi")
     dated = tables.report_holdings.join(
         reports.select("code", "announcement_id", "report_date"), "announcement_id")
     return reports, expo.contributions(expo.resolve_instruments(dated, tables.instruments))
 
 
+def with_contributions(tables: Tables, measured: DataFrame, params: Params) -> Tables:
+    """Tables with the resolved holdings of the funds that pass the thresholds.
+
+    The evaluation, the warnings and the records all read them: holdings are read and
+    matched once in a run.
+    """
+    _, contributed = contributed_holdings(tables, measured.where("size(failures) = 0").select("code"))
+    return replace(tables, contributed=stage(contributed, params))
+
+
 def evaluate(measured: DataFrame, tables: Tables, params: Params) -> DataFrame:
     """Every eligible fund with performance, fit, exposure, quota, route and reasons.
 
@@ -330,7 +344,7 @@ def build_ranking(tables: Tables, params: Params) -> dict:
     eligible, enriched, selection = eligible_funds(tables, params)
     eligible = stage(eligible, params)
     measured = stage(measure(eligible, tables, params), params)
-    tables = with_documents(tables, measured, params)
+    tables = with_contributions(with_documents(tables, measured, params), measured, params)
     evaluated = stage(evaluate(measured, tables, params), params)
     reconciled = reconcile(evaluated, tables, params)
     passed = evaluated.where("ranking_list is not null and quota_reason is null")
