@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from navloom import fixed_values as fixed
 from navloom.functions.numbers import exact_round, reduction_pct
+from navloom.session import staged
 
 
 # Ranges of about equal numbers of distinct values that a metric is cut into.
 MEDIAN_RANGES = 256
+# Cuts that are looked through for each cut of the coarse search.
+CUTS_PER_STEP = 16
 # Ranks that the sketch behind the cuts may be off by, as a share: one in so many.
 SKETCH_ACCURACY = 10_000
 
@@ -21,12 +24,21 @@ def value_ranges(runs: DataFrame) -> DataFrame:
     The cuts are sampled quantiles of the distinct values, so whatever the
     distribution, outliers included, no range holds more than its share.
     """
-    counts = runs.where("value is not null").groupBy("metric", "value").agg(F.count(F.lit(1)).alias("n"))
+    # Staged: the values are counted once, and the few ends of metrics have their real size.
+    counts = staged(runs.where("value is not null").groupBy("metric", "value").agg(F.count(F.lit(1)).alias("n")))
     cuts = F.percentile_approx("value", [i / MEDIAN_RANGES for i in range(1, MEDIAN_RANGES)], SKETCH_ACCURACY)
     ends = counts.groupBy("metric").agg(
         F.min("value").alias("minimum"), F.max("value").alias("maximum"), F.sum("n").alias("total"), cuts.alias("cuts"))
-    place = F.size(F.filter("cuts", lambda c: c < F.col("value")))
-    return counts.join(ends, "metric").withColumn("range", place).drop("cuts")
+    ends = staged(ends.withColumn("steps", F.filter("cuts", lambda c, i: (i + 1) % CUTS_PER_STEP == 0)))
+
+    def below(found: Column) -> Column:
+        return F.size(F.filter(found, lambda c: c < F.col("value")))
+
+    # The cuts ascend: whole steps below the value first, then the cuts of the step that it lies in.
+    step = below(F.col("steps")) * CUTS_PER_STEP
+    placed = counts.join(ends, "metric").withColumn("step", step)
+    place = F.col("step") + below(F.slice("cuts", F.col("step") + 1, F.lit(CUTS_PER_STEP - 1)))
+    return placed.withColumn("range", place).drop("cuts", "steps", "step")
 
 
 def baseline_summary(runs: DataFrame) -> DataFrame:
@@ -35,7 +47,7 @@ def baseline_summary(runs: DataFrame) -> DataFrame:
     The exact median without a metric's values in one task: equal values are counted
     first, and only the range or two that hold the middle ranks are sorted.
     """
-    ranged = value_ranges(runs)
+    ranged = staged(value_ranges(runs))
     # At most MEDIAN_RANGES rows a metric.
     before = Window.partitionBy("metric").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     sizes = ranged.groupBy("metric", "range").agg(

@@ -1,5 +1,8 @@
+from pyspark.sql import functions as F
+
 from navloom import schemas
 from navloom.operators import documents as doc
+from navloom.operators import runs
 from navloom.sources.catalogs import load_benchmarks
 
 
@@ -8,9 +11,10 @@ def optimized(df) -> str:
 
 
 def test_notices_search_each_channel_once(spark):
-    docs = spark.createDataFrame([("f", "a", None, "u", "公告", None, 0)], schemas.DOCUMENTS + ", notice_seq long")
-    # Channel words and the amounts beside them, for two channels.
-    assert optimized(doc.parse_notices(docs)).count("regexp_extract_all(") == 4
+    # Not a local relation, which the optimizer would evaluate.
+    docs = spark.createDataFrame(spark.sparkContext.emptyRDD(), schemas.DOCUMENTS + ", notice_seq long")
+    # Dates, and the words and amounts of two channels.
+    assert optimized(doc.parse_notices(docs)).count("regexp_extract_all(") == 5
 
 
 def test_statements_clean_each_text_once(spark, monkeypatch):
@@ -21,3 +25,13 @@ def test_statements_clean_each_text_once(spark, monkeypatch):
     statements, _ = doc.parse_benchmarks(docs, load_benchmarks(spark))
     assert [r.statement for r in statements.collect()] == ["标普500指数"]
     assert plans[0].count("translate(") == 1
+
+
+def test_values_are_counted_once_and_not_shuffled_by_metric(spark):
+    rows = spark.range(5000).selectExpr("concat('m', id % 2) as metric", "cast(id * id % 3001 as double) as value")
+    ranged = runs.value_ranges(rows)
+    assert "Exchange hashpartitioning" not in ranged._jdf.queryExecution().executedPlan().toString()
+    seen = ranged.groupBy("metric").agg(F.percentile_approx(
+        "value", [i / runs.MEDIAN_RANGES for i in range(1, runs.MEDIAN_RANGES)], runs.SKETCH_ACCURACY).alias("cuts"))
+    cuts = {r.metric: r.cuts for r in seen.collect()}
+    assert all(r.range == sum(c < r.value for c in cuts[r.metric]) for r in ranged.collect())
