@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from navloom.llm.common import append_columns, as_bytes, list_column
+from navloom.llm.common import append_columns, as_bytes, list_column, staged
 
 WINDOW = 13
 MAX_PART_BYTES = 16 << 20
