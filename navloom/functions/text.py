@@ -56,13 +56,12 @@ def has_any(text: Column, words) -> Column:
 
 def product_structure(text: Column, default: Column) -> Column:
     """Inverse before leveraged before volatility, else the catalog value."""
-    squeezed = compact(text)
-    return (
+    return _bound(compact(text), lambda squeezed: (
         F.when(squeezed.rlike(fixed.STRUCTURE_INVERSE), "inverse")
         .when(squeezed.rlike(fixed.STRUCTURE_LEVERAGED), "leveraged")
         .when(squeezed.rlike(fixed.STRUCTURE_VOLATILITY), "volatility")
         .otherwise(default)
-    )
+    ))
 
 
 def share_aggregation(text: Column) -> Column:

@@ -238,7 +238,7 @@ def component_weights(named: DataFrame, catalog: DataFrame, key: str) -> DataFra
     def beside(group: int) -> Column:
         return group_or_null(F.call_function("regexp_extract", F.col("statement"), F.col("pattern"), F.lit(group)))
 
-    found = tried.select(key, "position", "turn", F.coalesce(beside(1), beside(2)).alias("beside"))
+    found = computed(tried, {"beside": F.coalesce(beside(1), beside(2))}).select(key, "position", "turn", "beside")
     first = found.where("beside is not null").groupBy(key, "position").agg(F.min_by("beside", "turn").alias("beside"))
     every = F.regexp_extract_all("statement", F.lit(r"(?U)(\d+(?:\.\d+)?)\s*%"), F.lit(1))
     largest = F.array_max(F.transform(every, lambda w: plain_digits(w).try_cast("double")))
@@ -261,28 +261,30 @@ def parse_benchmarks(docs: DataFrame, catalog: DataFrame) -> tuple[DataFrame, Da
     """
     key, own_key = "announcement_id", ["code", "announcement_id"]
     texts = dealt(docs.where("text is not null"), key).groupBy(key).agg(F.first("text").alias("text"))
-    # Statements and their matches are read several times and short beside the texts: staged, each text is parsed once.
     texts = computed(texts, {"body": benchmark_body(F.col("text"))})
+    texts = computed(texts, {"statement": benchmark_statement(F.col("body"))}).where("statement is not null")
+    # Statements are read several times and short beside the texts: staged, each text is parsed once.
+    targeted = F.col("statement").contains("标的指数")
     texts = staged(texts.select(
-        key, benchmark_statement(F.col("body")).alias("statement"),
-        F.substring("text", 1, fixed.BENCHMARK_FALLBACK_CHARS).alias("opening"))).where("statement is not null")
+        key, "statement", F.when(targeted, F.substring("text", 1, fixed.BENCHMARK_FALLBACK_CHARS)).alias("opening")))
     listed = docs.select("code", key, "fund_name").dropDuplicates(own_key)
-    shared = staged(match_catalog(texts, key, "statement", catalog).select(key, "position"))
-    own = listed.select(*own_key).join(shared, key)
-    opening = F.concat_ws(" ", "fund_name", "opening")
-    unnamed = texts.where(F.col("statement").contains("标的指数")).join(
-        shared.select(key).distinct(), key, "left_anti").join(listed, key).withColumn(
-        "opening", opening).withColumn("pair", F.struct(*own_key))
-    fallback = match_catalog(unnamed, "pair", "opening", catalog).select("pair.*", "position")
-    matched = own.unionByName(fallback)
-    named = matched.select(key, "position").distinct().join(texts.select(key, "statement"), key)
-    weights = component_weights(named, catalog, key)
-    weighted = matched.join(weights.select(key, "position", "weight_pct"), [key, "position"]).join(catalog, "position")
+    statements = staged(listed.join(texts, key))
+    # Documents repeat each other's statements: entries and weights follow from the statement, found once for each.
+    spoken = texts.select("statement").distinct().withColumn("spoken", F.col("statement"))
+    shared = staged(match_catalog(spoken, "statement", "spoken", catalog).select("statement", "position"))
+    unnamed = statements.where(targeted).join(shared.select("statement").distinct(), "statement", "left_anti").select(
+        F.struct(*own_key, "statement").alias("own"), F.concat_ws(" ", "fund_name", "opening").alias("opening"))
+    fallback = staged(match_catalog(unnamed, "own", "opening", catalog).select("own.*", "position"))
+    named = shared.unionByName(fallback.select("statement", "position").distinct())
+    weights = staged(component_weights(named, catalog, "statement"))
+    statements = statements.drop("opening")
+    matched = statements.select(*own_key, "statement").join(shared, "statement").unionByName(
+        fallback.select(*own_key, "statement", "position"))
+    weighted = matched.join(weights, ["statement", "position"]).join(catalog, "position")
     components = weighted.select(
         "code", key, F.col("id").alias("benchmark_id"), F.col("display_name").alias("benchmark_name"), "weight_pct",
         "market_scope", "market_label", "asset_class", "style_label", "structure", "excluded_target")
     components = components.withColumn("weight_pct", exact_round("weight_pct", 2))
-    statements = listed.join(texts.select(key, "statement"), key)
     return statements, components
 
 

@@ -15,6 +15,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from navloom.session import staged
 from navloom.sources.sinks import pending_documents
 
 # Raised whenever a parser changes what it returns.
@@ -55,6 +56,8 @@ def parse_once(store: Store | None, kind: str, docs: DataFrame, texts: DataFrame
     known = _stored(docs, path)
     todo = docs.withColumns({"catalog_fingerprint": F.lit(fingerprint), "method_version": F.lit(store.version)}) \
         if known is None else pending_documents(docs, known, fingerprint, store.version)
+    # What is pending is read three times; the store is searched once for it.
+    todo = staged(todo)
     landed = todo.join(texts, "announcement_id")
     rows = parse(landed.select(*docs.columns, "text", "error"))
     fields = [c for c in rows.columns if c not in keys]

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 from navloom import schemas
 from navloom.operators import documents as doc
 from navloom.operators import runs
+from navloom.plans import incremental
 from navloom.sources.catalogs import load_benchmarks
 
 
@@ -35,3 +36,36 @@ def test_values_are_counted_once_and_not_shuffled_by_metric(spark):
         "value", [i / runs.MEDIAN_RANGES for i in range(1, runs.MEDIAN_RANGES)], runs.SKETCH_ACCURACY).alias("cuts"))
     cuts = {r.metric: r.cuts for r in seen.collect()}
     assert all(r.range == sum(c < r.value for c in cuts[r.metric]) for r in ranged.collect())
+
+
+def test_repeated_statements_are_matched_once(spark, monkeypatch):
+    asked = []
+    match_catalog = doc.match_catalog
+    monkeypatch.setattr(doc, "match_catalog", lambda texts, *a: asked.append(texts.count()) or match_catalog(texts, *a))
+    said = "本基金的业绩比较基准为%s。风险收益特征"
+    docs = spark.createDataFrame(
+        [("f", "a", "F", said % "60%×标普500指数"), ("g", "b", "G", said % "60%×标普500指数"), ("g", "a", "G", said % "60%×标普500指数"),
+         ("h", "c", "纳斯达克100", said % "标的指数"), ("i", "c", "德国DAX指数", said % "标的指数"), ("j", "d", "J", None)],
+        "code string, announcement_id string, fund_name string, text string")
+    statements, components = doc.parse_benchmarks(docs, load_benchmarks(spark))
+    found = sorted((r.code, r.announcement_id, r.benchmark_id, r.weight_pct) for r in components.collect())
+    # Both statements once, and the openings of the two funds without an index in theirs.
+    assert asked == [2, 2]
+    assert found == [("f", "a", "sp-500", 60.0), ("g", "a", "sp-500", 60.0), ("g", "b", "sp-500", 60.0),
+                     ("h", "c", "nasdaq-100", 100.0), ("i", "c", "dax", 100.0)]
+    assert statements.count() == 5
+
+
+def test_pending_documents_are_sought_once(spark, tmp_path):
+    docs = spark.createDataFrame([(str(i), "") for i in range(6)], "announcement_id string, fund_identity string")
+    texts = docs.selectExpr("announcement_id", "announcement_id as text", "cast(null as string) as error")
+    store = incremental.Store(str(tmp_path / "store"))
+
+    def parse(rows):
+        # The parser reads what is pending from the stage, not through the store again.
+        assert any("staged-" in f for f in rows.inputFiles())
+        return rows.select("announcement_id", "fund_identity", "text")
+
+    for n in (4, 6):
+        some = docs.where(f"cast(announcement_id as int) < {n}")
+        assert incremental.parse_once(store, "k", some, texts, parse).count() == n
