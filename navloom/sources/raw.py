@@ -18,6 +18,7 @@ from navloom.functions.numbers import (
 )
 from navloom.functions.text import strip_tags
 from navloom.operators.quality import Loaded, issues_of, union_all
+from navloom.session import computed
 
 
 def iso_date(text: Column) -> Column:
@@ -54,9 +55,13 @@ def load_funds(raw: DataFrame) -> Loaded:
     return Loaded(good, unreadable(parsed, F.col("list"), F.col("seq"), "fund_list_unreadable"))
 
 
-def _data_array(payload: Column) -> Column:
-    """The rows of a payload's data array, null when it has none that parses."""
-    return F.from_json(_whole(group_or_null(F.regexp_extract(payload, fixed.RAW_DATA_ARRAY, 1))), "array<array<string>>")
+def _with_data(raw: DataFrame) -> DataFrame:
+    """``raw`` with ``data``, the rows of the payload's data array, null when it has none that parses.
+
+    Computed once for each payload: what explodes it asks for its size first.
+    """
+    found = computed(raw, {"found": F.regexp_extract("payload", fixed.RAW_DATA_ARRAY, 1)})
+    return computed(found, {"data": F.from_json(_whole(F.col("found")), "array<array<string>>")}).drop("found")
 
 
 def load_holder_periods(raw: DataFrame) -> Loaded:
@@ -65,7 +70,7 @@ def load_holder_periods(raw: DataFrame) -> Loaded:
     A payload whose data array is missing or does not parse is a fatal issue under
     its page.
     """
-    parsed = raw.select("page", _data_array(F.col("payload")).alias("data"))
+    parsed = _with_data(raw.select("page", "payload")).select("page", "data")
     rows = parsed.select(F.explode("data").alias("r")).where(F.size("r") >= 2)
     day = iso_date(F.col("r")[0])
     good = rows.select(
@@ -77,8 +82,8 @@ def load_holder_periods(raw: DataFrame) -> Loaded:
 
 def load_holders(raw: DataFrame) -> Loaded:
     """SRC-03. ``raw(period_key, page, payload)``; all announced pages must be there and parse."""
-    parsed = raw.select("period_key", "page", _data_array(F.col("payload")).alias("data"),
-                        F.regexp_extract("payload", fixed.RAW_PAGE_COUNT, 1).try_cast("int").alias("announced"))
+    parsed = _with_data(raw.select("period_key", "page", "payload")).select(
+        "period_key", "page", "data", F.regexp_extract("payload", fixed.RAW_PAGE_COUNT, 1).try_cast("int").alias("announced"))
     rows = parsed.select("period_key", "page", F.posexplode("data").alias("pos", "r"))
     rows = rows.where(F.size("r") >= 6)
 
@@ -111,7 +116,7 @@ def load_nav(raw: DataFrame) -> Loaded:
     """SRC-04. ``raw(code, payload)`` with one NAV history each; last row of a day wins."""
     kind = "array<struct<x:string,y:string,equityReturn:string,unitMoney:string>>"
     points = F.from_json(F.regexp_extract("payload", fixed.RAW_NAV, 1), kind)
-    parsed = raw.select("code", points.alias("points"))
+    parsed = computed(raw.select("code", "payload"), {"points": points}).select("code", "points")
     rows = parsed.select("code", F.posexplode("points").alias("pos", "p"))
     millis = F.col("p.x").try_cast("double")
     blank = F.coalesce(F.col("p.equityReturn"), F.lit("")) == ""
