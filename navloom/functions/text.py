@@ -56,7 +56,7 @@ def has_any(text: Column, words) -> Column:
 
 def product_structure(text: Column, default: Column) -> Column:
     """Inverse before leveraged before volatility, else the catalog value."""
-    return _bound(compact(text), lambda squeezed: (
+    return bound(compact(text), lambda squeezed: (
         F.when(squeezed.rlike(fixed.STRUCTURE_INVERSE), "inverse")
         .when(squeezed.rlike(fixed.STRUCTURE_LEVERAGED), "leveraged")
         .when(squeezed.rlike(fixed.STRUCTURE_VOLATILITY), "volatility")
@@ -111,7 +111,7 @@ def match_spans(text: Column, pattern: str) -> Column:
             lambda acc: acc.starts)
 
     def chunked(all_items: Column) -> Column:
-        return _bound(chunks(all_items), lambda parts: F.flatten(F.zip_with(parts, chunk_starts(parts), spans_from)))
+        return bound(chunks(all_items), lambda parts: F.flatten(F.zip_with(parts, chunk_starts(parts), spans_from)))
 
     def located(hits: Column) -> Column:
         # The last gap has no match behind it.
@@ -119,14 +119,14 @@ def match_spans(text: Column, pattern: str) -> Column:
             F.zip_with(F.split(text, pattern, -1), hits, lambda gap, hit: F.struct(F.length(gap).alias("gap"), hit.alias("hit"))),
             lambda item: item.hit.isNotNull())
         few = F.size(hits) <= FEW_MATCHES
-        return F.when(F.size(hits) == 0, empty).when(few, spans_from(items, F.lit(0))).otherwise(_bound(items, chunked))
+        return F.when(F.size(hits) == 0, empty).when(few, spans_from(items, F.lit(0))).otherwise(bound(items, chunked))
 
     # The pattern runs once for the matches and, where there are any, once more for the gaps.
-    spans = _bound(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), located)
+    spans = bound(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), located)
     return F.when(text.isNotNull(), F.coalesce(spans, empty))
 
 
-def _bound(value: Column, use) -> Column:
+def bound(value: Column, use) -> Column:
     """``use(value)`` with the value computed once for all its uses, as the one element of an array."""
     return F.element_at(F.transform(F.array(value), use), 1)
 

@@ -15,7 +15,7 @@ from navloom.functions.numbers import (
     cny_amount, exact_round, finite_number, group_or_null, plain_digits,
 )
 from navloom.functions.text import (
-    collapse, compact, cut, first_piece, match_spans, normalize_instrument, normalize_name,
+    bound, collapse, compact, cut, first_piece, match_spans, normalize_instrument, normalize_name,
     normalize_notice, product_structure, share_aggregation,
 )
 from navloom.operators.eligibility import management_style
@@ -384,7 +384,9 @@ def costs_as_of(costs: DataFrame, as_of) -> DataFrame:
 
 def repair_text(text: Column) -> Column:
     """TXT-09. Page headers out, numbers split over lines rejoined."""
-    out = F.regexp_replace(text, fixed.REPORT_PAGE_HEADER, "")
+    # A header needs a year in its line or behind the blanks that follow it; lines without one are passed over at once.
+    header = fixed.REPORT_PAGE_HEADER.replace("^", r"^(?=[^\n年]*+\s*+年)", 1)
+    out = F.regexp_replace(text, header, "")
     for pattern, replacement in fixed.SPLIT_NUMBERS:
         out = F.regexp_replace(out, pattern, replacement)
     return out
@@ -399,17 +401,20 @@ def report_sections(docs: DataFrame) -> DataFrame:
     """
     body = F.col("body")
 
+    # The value of a search is bound, or it would run once for its test and once more for its result.
+    def found(pattern: str) -> Column:
+        return bound(F.regexp_extract(body, pattern, 1), group_or_null)
+
     def after(heading: str, chars: int) -> Column:
-        return group_or_null(F.regexp_extract(body, rf"(?Us)(?:{heading})(.{{1,{chars}}})", 1))
+        return found(rf"(?Us)(?:{heading})(.{{1,{chars}}})")
 
     fixed_text = dealt(docs, "announcement_id").withColumn("body", repair_text(F.col("text")))
     return fixed_text.select(
         "code", "announcement_id", F.col("text").isNotNull().alias("readable"),
         first_piece(after(fixed.COUNTRY_HEADING, fixed.COUNTRY_CHARS), _u(fixed.NEXT_HEADING)).alias("country_part"),
         after(fixed.ASSET_HEADING, fixed.ASSET_CHARS).alias("asset_part"),
-        _group(body, fixed.NET_ASSETS).alias("net_part"),
-        group_or_null(F.regexp_extract(
-            body, rf"(?Us)(?:{fixed.HOLDINGS_START})(.*?){fixed.HOLDINGS_END}", 1)).alias("holdings_part"))
+        found(_u(fixed.NET_ASSETS)).alias("net_part"),
+        found(rf"(?Us)(?:{fixed.HOLDINGS_START})(.*?){fixed.HOLDINGS_END}").alias("holdings_part"))
 
 
 def parse_report_totals(docs: DataFrame) -> DataFrame:
@@ -419,9 +424,9 @@ def parse_report_totals(docs: DataFrame) -> DataFrame:
 
 def section_totals(sections: DataFrame) -> DataFrame:
     """TXT-08, AG-16, from the sections of reports."""
-    country, net_block = F.col("country_part"), F.col("net_part")
-    asset = collapse_keep_ends(F.col("asset_part"))
-    direct = plain_digits(_group(collapse_keep_ends(country), fixed.COUNTRY_US, 2)).try_cast("double")
+    country, net_block, asset = F.col("country_part"), F.col("net_part"), F.col("asset")
+    sections = computed(sections, {"asset": collapse_keep_ends(F.col("asset_part")), "countries": collapse_keep_ends(country)})
+    direct = plain_digits(_group(F.col("countries"), fixed.COUNTRY_US, 2)).try_cast("double")
     amount = plain_digits(_group(asset, fixed.FUND_AMOUNT)).try_cast("double")
     net_values = F.transform(
         F.regexp_extract_all(net_block, F.lit(_u(fixed.NET_ASSET_VALUE)), F.lit(1)),
