@@ -9,7 +9,9 @@ positions to the same join.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +20,8 @@ from pyspark.sql import functions as F
 GRAM_CHARS = 3
 # Grams that are tested inside the row, each of at most GRAM_CHARS characters.
 MOST_GRAMS = 20_000
+# Grams that one pattern seeks; more are looked up in a set, position by position.
+PATTERN_GRAMS = 256
 # Characters of a piece: a position in a piece costs as many steps as lie before it.
 PIECE_CHARS = 128
 
@@ -38,12 +42,25 @@ def _grams(aliases: DataFrame) -> tuple[int, list[int], list[str] | None]:
     return sizes.longest, sizes.lengths, None
 
 
+def _pattern(longest: int, grams: list[str]) -> str:
+    """Finds every position that starts with a gram, overlaps included; group 1 is its window.
+
+    Grams are gathered by their first character, which a class tests before any of them.
+    """
+    heads = [(head, [re.escape(g[1:]) for g in own]) for head, own in groupby(sorted(grams), lambda g: g[0])]
+    firsts = "".join(re.escape(head) for head, _ in heads)
+    tree = "|".join(f"{re.escape(head)}(?:{'|'.join(rest)})" for head, rest in heads)
+    return f"(?s)(?=[{firsts}])(?=(?:{tree}))(?=(.{{1,{longest}}}))"
+
+
 def candidate_windows(text: Column, longest: int, lengths: list[int], grams: list[str] | None) -> Column:
     """Distinct windows of ``longest`` characters that start with a gram; with no ``grams`` those of all positions.
 
-    Windows are cut from pieces of bounded length, each with the start of the
-    next piece behind it.
+    Few grams are sought by one pattern.  Else windows are cut from pieces of bounded
+    length, each with the start of the next piece behind it.
     """
+    if grams is not None and len(grams) <= PATTERN_GRAMS:
+        return F.array_distinct(F.regexp_extract_all(text, F.lit(_pattern(longest, grams)), F.lit(1)))
     size = max(PIECE_CHARS, longest)
     pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
 

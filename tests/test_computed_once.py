@@ -2,8 +2,9 @@ from pyspark.sql import functions as F
 
 from navloom import schemas
 from navloom.operators import documents as doc
-from navloom.operators import runs
+from navloom.operators import matching, runs
 from navloom.plans import incremental
+from navloom.sources import raw
 from navloom.sources.catalogs import load_benchmarks
 
 
@@ -69,3 +70,36 @@ def test_pending_documents_are_sought_once(spark, tmp_path):
     for n in (4, 6):
         some = docs.where(f"cast(announcement_id as int) < {n}")
         assert incremental.parse_once(store, "k", some, texts, parse).count() == n
+
+
+def test_payloads_are_parsed_once(spark):
+    pages = spark.createDataFrame(spark.sparkContext.emptyRDD(), "period_key string, page int, code string, payload string")
+    for loaded, searches in ((raw.load_holders(pages), 1), (raw.load_holder_periods(pages), 1), (raw.load_nav(pages), 1)):
+        plan = optimized(loaded.rows)
+        assert plan.count("from_json(") == 1 and plan.count("regexp_extract(") == searches
+
+
+def test_few_grams_are_sought_by_one_pattern(spark, monkeypatch):
+    texts = spark.createDataFrame([("ABABABC标普500", ), ("",), (None,), ("X" * 300 + "ABC.A.C",), ("BAAB" * 100,)], "t string")
+    grams = ["ABA", "ABC", "A", "BAA", "标普5", "A.C"]
+
+    def windows():
+        found = matching.candidate_windows(F.col("t"), 9, [1, 3], grams)
+        return optimized(texts.select(found.alias("w"))), [r.w for r in texts.select(found.alias("w")).collect()]
+
+    few = windows()
+    monkeypatch.setattr(matching, "PATTERN_GRAMS", 0)
+    many = windows()
+    assert few[1] == many[1] and few[1][0][0] == "ABABABC标普"
+    assert few[1][4] and "sequence(" not in few[0]
+
+
+def test_report_searches_run_once_and_headers_stay_found(spark):
+    docs = spark.createDataFrame(spark.sparkContext.emptyRDD(), "code string, announcement_id string, text string")
+    # Two headings and net assets of the text, then two amounts, each with its test.
+    assert optimized(doc.parse_report_totals(docs)).count("regexp_extract(") == 7
+    lines = ["某基金2024年第1季度报告\n 3 \nrest", "a\n某基金 二〇二四 \n 年年度报告\n12\nb", "没有年份 报告\n3\n", "x 2024\ny 年\n2023年年度 报告\n7\n", None]
+    texts = spark.createDataFrame([(line,) for line in lines], "t string")
+    kept = [r.t for r in texts.select(doc.repair_text(F.col("t")).alias("t")).collect()]
+    assert kept == [r.t for r in texts.select(F.regexp_replace("t", doc.fixed.REPORT_PAGE_HEADER, "").alias("t")).collect()]
+    assert kept[0] == "rest" and kept[1] == "a\nb"
