@@ -21,7 +21,7 @@ from navloom.functions.text import (
 from navloom.operators.eligibility import management_style
 from navloom.operators.matching import alias_hits
 from navloom.operators.quality import issues_of, union_all
-from navloom.session import computed, dealt, staged
+from navloom.session import computed, dealt, merged, staged
 
 
 def _u(pattern: str) -> str:
@@ -252,23 +252,26 @@ def match_catalog(texts: DataFrame, key: str, text: str, catalog: DataFrame) ->
     return alias_hits(named, key, "normalized", catalog).join(catalog, "position")
 
 
-def parse_benchmarks(docs: DataFrame, catalog: DataFrame) -> tuple[DataFrame, DataFrame]:
+def parse_benchmarks(docs: DataFrame, catalog: DataFrame, rows: int = 0) -> tuple[DataFrame, DataFrame]:
     """TXT-05, TXT-06. ``(statements, components)`` of readable documents, by code and announcement id.
 
     ``docs`` carries ``fund_name``.  Several funds may list one document: its text
     is parsed once, under its id.  A statement that only names a target index is
     matched on the fund name, which is the fund's own, and the opening of the text.
+    ``rows`` is the number of ``docs`` where it is known.
     """
     key, own_key = "announcement_id", ["code", "announcement_id"]
-    texts = dealt(docs.where("text is not null"), key).groupBy(key).agg(F.first("text").alias("text"))
+    # One copy of each text leaves a task, however many funds list it.
+    texts = dealt(docs.where("text is not null").select(key, "text").distinct(), key)
+    texts = texts.groupBy(key).agg(F.first("text").alias("text"))
     texts = computed(texts, {"body": benchmark_body(F.col("text"))})
     texts = computed(texts, {"statement": benchmark_statement(F.col("body"))}).where("statement is not null")
     # Statements are read several times and short beside the texts: staged, each text is parsed once.
     targeted = F.col("statement").contains("标的指数")
     texts = staged(texts.select(
         key, "statement", F.when(targeted, F.substring("text", 1, fixed.BENCHMARK_FALLBACK_CHARS)).alias("opening")))
-    listed = docs.select("code", key, "fund_name").dropDuplicates(own_key)
-    statements = staged(listed.join(texts, key))
+    listed = dealt(docs.select("code", key, "fund_name"), key, rows=rows).dropDuplicates(own_key)
+    statements = staged(merged(listed, texts, key))
     # Documents repeat each other's statements: entries and weights follow from the statement, found once for each.
     spoken = texts.select("statement").distinct().withColumn("spoken", F.col("statement"))
     shared = staged(match_catalog(spoken, "statement", "spoken", catalog).select("statement", "position"))
@@ -288,18 +291,20 @@ def parse_benchmarks(docs: DataFrame, catalog: DataFrame) -> tuple[DataFrame, Da
     return statements, components
 
 
-def benchmark_profiles(statements: DataFrame, components: DataFrame) -> DataFrame:
+def benchmark_profiles(statements: DataFrame, components: DataFrame, rows: int = 0) -> DataFrame:
     """TXT-06. One profile per fund and document; components by weight descending, then id.
 
     A document names each catalog entry once, so the array is bounded by the catalog.
+    ``rows`` is the number of listed documents where it is known.
     """
+    keys = ["code", "announcement_id"]
     fields = ["benchmark_id", "benchmark_name", "weight_pct", "market_scope", "market_label",
               "asset_class", "style_label", "structure", "excluded_target"]
     ordered = F.array_sort(
         F.collect_list(F.struct((-F.col("weight_pct")).alias("order"), *fields)))
-    nested = components.groupBy("code", "announcement_id").agg(ordered.alias("sorted")).withColumn(
+    nested = dealt(components, *keys, rows=rows).groupBy(*keys).agg(ordered.alias("sorted")).withColumn(
         "components", F.transform("sorted", lambda c: c.dropFields("order"))).drop("sorted")
-    joined = statements.join(nested, ["code", "announcement_id"], "left").withColumn(
+    joined = merged(statements, nested, keys, "left").withColumn(
         "components", F.coalesce("components", F.array().cast(nested.schema["components"].dataType)))
     count = F.size("components")
     only = F.get("components", F.lit(0))
@@ -511,27 +516,31 @@ def report_issues(totals: DataFrame, holdings: DataFrame) -> DataFrame:
 
 # --- profile assembly ------------------------------------------------------
 
-def document_profiles(funds: DataFrame, legal: DataFrame, profiles: DataFrame, costs: DataFrame) -> DataFrame:
+def document_profiles(funds: DataFrame, legal: DataFrame, profiles: DataFrame, costs: DataFrame, rows: int = 0) -> DataFrame:
     """TXT-11. Contract profile and cost of every fund; nothing unreadable ever blocks.
 
     ``legal`` is ``latest_documents`` joined with texts, ``profiles`` and
     ``costs`` the parsed results keyed by ``code`` and ``announcement_id``.
+    ``rows`` is the number of documents where it is known.
     """
     def newest(kind: str, prefix: str) -> DataFrame:
-        rows = legal.where(F.col("document_class") == kind)
-        return rows.select("code", *[F.col(c).alias(f"{prefix}_{c}")
-                                     for c in ("announcement_id", "title", "published_date", "source_url")])
+        found = legal.where(F.col("document_class") == kind)
+        return dealt(found.select("code", *[F.col(c).alias(f"{prefix}_{c}") for c in (
+            "announcement_id", "title", "published_date", "source_url")]), "code", f"{prefix}_announcement_id", rows=rows)
 
+    # A document meets what was read from it first, then its fund; only the ids of a summary's components are compared.
     own = profiles.withColumnRenamed("announcement_id", "prospectus_announcement_id")
-    base = funds.select("code", "name", "fund_type").join(newest("prospectus", "prospectus"), "code", "left")
-    base = base.join(own, ["code", "prospectus_announcement_id"], "left")
-    base = base.join(newest("product_summary", "summary"), "code", "left").join(
-        costs.select("code", F.col("announcement_id").alias("summary_announcement_id"),
-                     F.col("status").alias("cost_status"), "annualized_pct", "measurement_date", "cost_issue"),
-        ["code", "summary_announcement_id"], "left")
-    other = profiles.select("code", F.col("announcement_id").alias("summary_announcement_id"),
-                            F.col("components").alias("summary_components"))
-    base = base.join(other, ["code", "summary_announcement_id"], "left")
+    prospectuses = merged(newest("prospectus", "prospectus"), own, ["code", "prospectus_announcement_id"], "left")
+    priced = costs.select("code", F.col("announcement_id").alias("summary_announcement_id"),
+                          F.col("status").alias("cost_status"), "annualized_pct", "measurement_date", "cost_issue")
+    other = profiles.select("code", F.col("announcement_id").alias("summary_announcement_id"), F.transform(
+        "components", lambda c: F.struct(c.benchmark_id.alias("benchmark_id"))).alias("summary_components"))
+    summaries = newest("product_summary", "summary")
+    for found in (priced, other):
+        summaries = merged(summaries, found, ["code", "summary_announcement_id"], "left")
+    base = dealt(funds.select("code", "name", "fund_type"), "code", rows=rows)
+    for found in (prospectuses, summaries):
+        base = merged(base, found, "code", "left")
     summary_status = summary_match(
         F.col("summary_announcement_id"), F.col("status"), F.col("components"), F.col("summary_components"))
 

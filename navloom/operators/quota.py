@@ -35,10 +35,11 @@ def select_notices(announcements: DataFrame, *, as_of) -> DataFrame:
 def on_latest_page(announcements: DataFrame) -> DataFrame:
     """JN-07. Rows of the latest page; a fund without any keeps all its rows.
 
-    Funds with a latest page are few columns wide, so the anti join ships keys only.
+    Funds with a latest page are few columns wide, so the anti join ships keys only,
+    but they are as many as the funds: it is merged.
     """
     listed = announcements.where("on_latest_page").select("code").distinct()
-    whole = announcements.where("not on_latest_page").join(listed, "code", "left_anti")
+    whole = announcements.where("not on_latest_page").join(listed.hint("merge"), "code", "left_anti")
     return announcements.where("on_latest_page").unionByName(whole)
 
 

@@ -24,7 +24,7 @@ from navloom.operators import timeseries as ts
 from navloom.operators.quality import issues_of, staged_gate, union_all
 from navloom.operators.validation import Limits
 from navloom.plans.incremental import Store, catalog_fingerprint, parse_once
-from navloom.session import staged
+from navloom.session import dealt, merged, staged
 
 
 @dataclass
@@ -101,32 +101,37 @@ def parse_documents(announcements: DataFrame, texts: DataFrame, funds: DataFrame
     """
     from navloom.sources.raw import document_url, invisible_announcements
 
-    listed = announcements.join(funds.select("code"), "code", "left_semi").withColumn(
-        "source_url", document_url(F.col("announcement_id")))
-    url = listed.select("code", "announcement_id", "source_url")
+    # Rows decide the number of tasks: listings of one fund or document repeat each other and look small packed.
+    rows = announcements.count()
+    listed = staged(merged(announcements, dealt(funds.select("code"), "code", rows=rows), "code", "left_semi"))
+
+    def with_url(found: DataFrame) -> DataFrame:
+        return found.where("announcement_id is not null").withColumn("source_url", document_url(F.col("announcement_id")))
+
     own = funds.select("code", F.col("name").alias("fund_name"),
                        fund_identity(F.col("code"), F.col("name"), F.col("fund_type")).alias("fund_identity"))
     legal = doc.latest_documents(
-        doc.classify_documents(listed), as_of=as_of).where("document_class != 'periodic_report'")
-    legal = legal.join(url, ["code", "announcement_id"]).join(own, "code", "left")
+        dealt(doc.classify_documents(listed), "code", rows=rows), as_of=as_of).where("document_class != 'periodic_report'")
+    legal = staged(merged(with_url(legal), own, "code", "left"))
+    keys = ["code", "announcement_id"]
+
+    def identified(found: DataFrame, docs: DataFrame) -> DataFrame:
+        return merged(found, docs.select(*keys, "fund_identity"), keys)
 
     def benchmark_profiles(docs: DataFrame) -> DataFrame:
-        found = doc.benchmark_profiles(*doc.parse_benchmarks(docs, benchmarks))
-        return found.join(docs.select("code", "announcement_id", "fund_identity"), ["code", "announcement_id"])
+        return identified(doc.benchmark_profiles(*doc.parse_benchmarks(docs, benchmarks, rows), rows), docs)
 
     def costs_of(docs: DataFrame) -> DataFrame:
-        return doc.parse_costs(docs, as_of=date.max).join(
-            docs.select("code", "announcement_id", "fund_identity"), ["code", "announcement_id"])
+        return identified(doc.parse_costs(docs, as_of=date.max), docs)
 
-    statements = legal.select("code", "announcement_id", "fund_name", "fund_identity").distinct()
-    profiles = parse_once(store, "benchmarks", statements, texts, benchmark_profiles,
-                          catalog_fingerprint(benchmarks) if store else "").drop("fund_identity")
-    summaries = legal.where("document_class = 'product_summary'").select("code", "announcement_id", "fund_identity").distinct()
+    statements = dealt(legal.select(*keys, "fund_name", "fund_identity"), *keys, rows=rows).distinct()
+    profiles = staged(parse_once(store, "benchmarks", statements, texts, benchmark_profiles,
+                                 catalog_fingerprint(benchmarks) if store else "").drop("fund_identity"))
+    summaries = dealt(legal.where("document_class = 'product_summary'").select(*keys, "fund_identity"), *keys, rows=rows).distinct()
     costs = doc.costs_as_of(parse_once(store, "costs", summaries, texts, costs_of).drop("fund_identity"), as_of)
 
     newest = doc.latest_report(quo.on_latest_page(listed), as_of=as_of)
-    reports = newest.join(url, ["code", "announcement_id"])
-    facts = reports.select("code", "announcement_id", "report_date", "published_date", "source_url")
+    facts = with_url(newest).select("code", "announcement_id", "report_date", "published_date", "source_url")
     # Share classes list the same report; its text is parsed once, for whichever fund.
     single = facts.groupBy("announcement_id").agg(F.first("code").alias("code")).withColumn("fund_identity", F.lit(""))
 
@@ -139,7 +144,7 @@ def parse_documents(announcements: DataFrame, texts: DataFrame, funds: DataFrame
     totals = facts.join(doc.section_totals(sections).drop("code"), "announcement_id")
     holdings = doc.section_holdings(sections).drop("code")
 
-    selected = doc.notice_order(quo.select_notices(quo.on_latest_page(listed), as_of=as_of))
+    selected = doc.notice_order(with_url(quo.select_notices(quo.on_latest_page(listed), as_of=as_of)))
     # The date of publication stands in for a date that a notice does not state.
     dated = F.concat_ws("|", "code", "published_date")
 
@@ -155,7 +160,7 @@ def parse_documents(announcements: DataFrame, texts: DataFrame, funds: DataFrame
         "report_holdings": holdings,
         "transitions": transitions,
         "failed_notices": doc.failed_notices(selected, transitions),
-        "profiles": doc.document_profiles(funds, legal, profiles, costs),
+        "profiles": doc.document_profiles(funds, legal, profiles, costs, rows),
         "issues": union_all([
             doc.report_issues(totals, facts.select("code", "announcement_id").join(holdings, "announcement_id")),
             doc.missing_reports(funds.select("code"), newest),

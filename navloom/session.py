@@ -23,6 +23,10 @@ SETTINGS = {
 }
 
 
+# Rows of funds or documents that a task gets where their number is known; more rows mean more tasks.
+TASK_ROWS = 50_000
+
+
 def build_session(app: str = "navloom", master: str | None = None, **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
@@ -76,14 +80,25 @@ def computed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     return df.select("*", F.inline(F.array(F.struct(*[value.alias(name) for name, value in columns.items()]))))
 
 
-def dealt(df: DataFrame, *keys: str) -> DataFrame:
-    """``df`` dealt by key to as many tasks as a shuffle of the session has.
+def dealt(df: DataFrame, *keys: str, rows: int = 0) -> DataFrame:
+    """``df`` dealt by key to as many tasks as a shuffle of the session has, to more where ``rows`` ask for it.
+
+    For texts, whose parsing costs far more than their bytes show, and for tables that
+    compress far below what they hold in memory: the explicit number keeps adaptive
+    execution from gathering them in a few tasks, and one file of a single row group no
+    longer means one task.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(tasks, -(-rows // TASK_ROWS)), *keys)
+
+
+def merged(left: DataFrame, right: DataFrame, keys: str | list[str], how: str = "inner") -> DataFrame:
+    """A join in which both sides grow with the funds, so that neither may be broadcast.
 
-    For texts, whose parsing costs far more than their bytes show: the explicit
-    number keeps adaptive execution from gathering them in a few tasks, and one
-    file of a single row group no longer means one task.
+    The planner takes such a side for small because Parquet packs repeated titles, names
+    and statements, while every task would hold all of it unpacked.
     """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    return left.join(right.hint("merge"), keys, how)
 
 
 def remove(spark: SparkSession, path: str) -> None:
