@@ -96,7 +96,7 @@ def merged(left: DataFrame, right: DataFrame, keys: str | list[str], how: str =
     """A join in which both sides grow with the funds, so that neither may be broadcast.
 
     The planner takes such a side for small because Parquet packs repeated titles, names
-    and statements, while every task would hold all of it unpacked.
+    and statements, while every executor would hold all of it unpacked.
     """
     return left.join(right.hint("merge"), keys, how)
 

@@ -56,10 +56,11 @@ def listing(spark, n=12, times=1):
         ("P", "某基金招募说明书"), ("S", "某基金基金产品资料概要"), ("R", "某基金2026年第2季度报告"))] * times
     said = "本基金的业绩比较基准为92%×纳斯达克100指数收益率+8%×存款利率。"
     texts = [("P", said, None), ("S", said + "基金运作综合费率（年化）1.25%", None), ("R", REPORT, None)]
+    # Parquet, whose sizes the planner reads.
     return plan.parse_documents(
-        spark.createDataFrame(announced, schemas.ANNOUNCEMENTS),
+        session.staged(spark.createDataFrame(announced, schemas.ANNOUNCEMENTS)),
         spark.createDataFrame(texts, "announcement_id string, text string, error string"),
-        spark.createDataFrame([(c, "全球成长(QDII)A", "QDII-股票") for c in codes], schemas.FUNDS),
+        session.staged(spark.createDataFrame([(c, "全球成长(QDII)A", "QDII-股票") for c in codes], schemas.FUNDS)),
         catalogs.load_benchmarks(spark), AS_OF)
 
 
